@@ -21,7 +21,7 @@ def to_double_or_null(col) -> Column:
     ``try_cast`` returns NULL on bad text; NaN is nulled as well so that one
     notion of missing remains.
     """
-    d = F.try_cast(_c(col).cast("string"), "double")
+    d = _c(col).cast("string").try_cast("double")
     return F.nanvl(d, F.lit(None).cast("double"))
 
 
@@ -49,4 +49,4 @@ def lower_strip(col) -> Column:
 
 def with_default(col, default, dtype: str) -> Column:
     """Typed value, or ``default`` when missing or not castable."""
-    return F.coalesce(F.try_cast(_c(col), dtype), F.lit(default).cast(dtype))
+    return F.coalesce(_c(col).try_cast(dtype), F.lit(default).cast(dtype))

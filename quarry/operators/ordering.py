@@ -29,10 +29,14 @@ _MID = "_q_mid"
 
 
 def _sort_keys(cols, descending: bool) -> list[Column]:
-    keys = [F.col(c) if isinstance(c, str) else c for c in cols]
-    if descending:
-        return [k.desc_nulls_last() for k in keys]
-    return [k.asc_nulls_first() for k in keys]
+    """Names get the default direction; Column sort orders are kept as given."""
+    keys = []
+    for c in cols:
+        if isinstance(c, str):
+            keys.append(F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_first())
+        else:
+            keys.append(c)
+    return keys
 
 
 def _ranged(df: DataFrame, keys: list[Column], num_partitions: int | None,

@@ -479,3 +479,336 @@ def q_band_avg(spark, sf):
 def q_hash_sample(spark, sf):
     """Seeded 2,000-row sample (the reference's importance subsample); rows-only check."""
     return prof.hash_sample(_t(spark, sf, "orders"), ["o_orderkey"], 2000, seed=42)
+
+
+# --------------------------------------------------------------- lookups and features
+
+from quarry.operators import curves as crv  # noqa: E402
+from quarry.operators import features as feat  # noqa: E402
+from quarry.operators import metrics as met  # noqa: E402
+
+
+@register("dim_lookup", """
+SELECT c_custkey, c_nationkey + 5 AS nation_key,
+       coalesce(n.n_name, 'unknown-' || CAST(c_nationkey + 5 AS VARCHAR)) AS nation_name,
+       n.n_regionkey AS region_key
+FROM customer LEFT JOIN nation n ON c_nationkey + 5 = n.n_nationkey
+""")
+def q_dim_lookup(spark, sf):
+    key = F.col("c_nationkey") + 5
+    c = _t(spark, sf, "customer").select(
+        "c_custkey", key.alias("nation_key"),
+        F.concat(F.lit("unknown-"), key.cast("string")).alias("nation_name"))
+    n = _t(spark, sf, "nation")
+    from quarry.operators.joins import dim_lookup
+    return dim_lookup(c, n, "nation_key", dim_key="n_nationkey",
+                      attrs={"n_name": "nation_name", "n_regionkey": "region_key"})
+
+
+@register("feature_completion", """
+SELECT o.o_orderkey, o.o_custkey, o.o_orderdate, o.o_totalprice,
+       CAST(year(o_orderdate) AS INTEGER) AS Year, CAST(month(o_orderdate) AS INTEGER) AS Month,
+       CAST(quarter(o_orderdate) AS INTEGER) AS Quarter, dayname(o_orderdate) AS Day_of_Week,
+       CASE WHEN isodow(o_orderdate) IN (5, 6) THEN 'Yes' ELSE 'No' END AS Weekend,
+       CASE WHEN month(o_orderdate) IN (5, 6, 7, 12) THEN 'Yes' ELSE 'No' END AS Peak_Season,
+       coalesce(c.c_mktsegment, 'UNKNOWN') AS segment, c.c_nationkey AS nation_key,
+       CAST(greatest(1, floor(o_totalprice / 20)) AS BIGINT) AS n_units,
+       CAST(24.0 AS DOUBLE) AS lighting_hours
+FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+""")
+def q_feature_completion(spark, sf):
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    c = _t(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
+    out = feat.complete_features(
+        o, "o_orderdate", dim=c, key="o_custkey", dim_key="c_custkey",
+        dim_attrs={"c_mktsegment": "segment", "c_nationkey": "nation_key"},
+        ratio_source="o_totalprice", ratio_target="n_units", ratio_divisor=20,
+        constants={"lighting_hours": 24.0}, defaults={"segment": ("UNKNOWN", "string")})
+    return out
+
+
+_COERCE_FIXTURE_SQL = """
+SELECT event_id,
+       CASE WHEN event_type = 'error' THEN 'bad' WHEN event_type = 'purchase' THEN 'NaN'
+            ELSE CAST(value AS VARCHAR) END AS units,
+       CASE WHEN event_type = 'error' THEN 'bad' WHEN event_type = 'purchase' THEN 'NaN'
+            ELSE CAST(value AS VARCHAR) END AS amount,
+       '  ' || event_type || chr(9) AS type_text,
+       CASE WHEN event_type = 'view' THEN NULL ELSE props END AS props_text
+FROM events"""
+
+
+@register("coerce_batch", f"""
+WITH f AS ({_COERCE_FIXTURE_SQL}),
+x AS (SELECT *, try_cast(units AS DOUBLE) AS u, try_cast(amount AS DOUBLE) AS a FROM f)
+SELECT event_id,
+       CAST(trunc(coalesce(CASE WHEN isnan(u) THEN NULL ELSE u END, CAST(0 AS DOUBLE))) AS BIGINT) AS units,
+       CASE WHEN isnan(a) THEN NULL ELSE a END AS amount,
+       coalesce(regexp_replace(type_text, '^\\s+|\\s+$', '', 'g'), 'nan') AS type_text,
+       coalesce(regexp_replace(props_text, '^\\s+|\\s+$', '', 'g'), 'nan') AS props_text
+FROM x
+""")
+def q_coerce_batch(spark, sf):
+    ev = _t(spark, sf, "events")
+    text = (F.when(F.col("event_type") == "error", F.lit("bad"))
+             .when(F.col("event_type") == "purchase", F.lit("NaN"))
+             .otherwise(F.col("value").cast("string")))
+    raw = ev.select("event_id", text.alias("units"), text.alias("amount"),
+                    F.concat(F.lit("  "), F.col("event_type"), F.lit("\t")).alias("type_text"),
+                    F.when(F.col("event_type") == "view", F.lit(None).cast("string"))
+                     .otherwise(F.col("props")).alias("props_text"))
+    return feat.coerce_batch(raw, int_cols=["units"], float_cols=["amount"])
+
+
+_DOMAIN_RANGES = {"l_quantity": (1, 50), "l_discount": (0.0, 0.1), "l_tax": (0.0, 0.08),
+                  "l_extendedprice": (900.0, 50000.0)}
+_DOMAIN_CATS = {"l_returnflag": ["A", "N", "R"], "l_linestatus": ["F", "O"]}
+
+
+def _domain_sql() -> str:
+    conds = {c: f"coalesce({c} BETWEEN {lo} AND {hi}, false)" for c, (lo, hi) in _DOMAIN_RANGES.items()}
+    conds.update({c: f"coalesce({c} IN ({', '.join(repr(v) for v in vals)}), false)"
+                  for c, vals in _DOMAIN_CATS.items()})
+    parts = [f"SELECT '{c}' AS rule, count_if(NOT {cond}) AS n_invalid FROM lineitem"
+             for c, cond in conds.items()]
+    parts.append(f"SELECT 'all', count_if(NOT ({' AND '.join(conds.values())})) FROM lineitem")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("domain_check", _domain_sql())
+def q_domain_check(spark, sf):
+    return feat.domain_check(_t(spark, sf, "lineitem"), _DOMAIN_RANGES, _DOMAIN_CATS)
+
+
+_SEARCH_TERM = "  Customer#0000001(2|5) "
+
+
+@register("search_filter", """
+SELECT c_acctbal, c_custkey, c_name, c_nationkey, c_mktsegment FROM customer
+WHERE coalesce(regexp_matches(lower(c_name), 'customer#0000001(2|5)'), false)
+""")
+def q_search_filter(spark, sf):
+    hits = feat.search(_t(spark, sf, "customer"), "c_name", _SEARCH_TERM)
+    return feat.reorder(hits, ["c_acctbal", "c_custkey", "c_name"]).orderBy(F.desc("c_acctbal"))
+
+
+@register("point_lookup", """
+SELECT *, concat_ws(' — ', CAST(o_custkey AS VARCHAR), CAST(o_orderdate AS VARCHAR)) AS display_label
+FROM orders WHERE o_custkey = 769 AND o_orderdate = TIMESTAMP '1997-05-28 00:00:00'
+ORDER BY o_orderkey LIMIT 1
+""")
+def q_point_lookup(spark, sf):
+    return feat.point_lookup(_t(spark, sf, "orders"), "o_custkey", 769, "o_orderdate",
+                             "1997-05-28 00:00:00", ["o_orderkey"])
+
+
+# --------------------------------------------------------------- regression metrics
+
+_PRED_SQL = "l_quantity * CAST(1200 AS DOUBLE) + CAST(500 AS DOUBLE)"
+
+
+def _pred(df):
+    return df.withColumn("prediction", F.col("l_quantity") * 1200.0 + 500.0)
+
+
+def _metric_round_spark(m):
+    digits = {"rmse": 6, "mae": 6, "mse": 2, "r2": 9, "explained_variance": 9, "mape": 6,
+              "adjusted_r2": 9}
+    return m.select(*[(_r(c, digits[c]).alias(c) if c in digits else F.col(c)) for c in m.columns])
+
+
+def _regression_sql(y: str, p: str, src: str, k: int | None) -> str:
+    adj = (f", round(CASE WHEN n - {k} - 1 > 0 THEN 1 - (1 - r2) * (n - 1) / (n - {k} - 1) END, 9)"
+           f" AS adjusted_r2" if k is not None else "")
+    return f"""
+WITH d AS (SELECT {y} AS y, {p} AS p FROM {src}),
+a AS (SELECT count(*) AS n, sum((y - p) * (y - p)) AS sse, sum(abs(y - p)) AS sae,
+             var_pop(y) * count(y) AS sst, var_pop(y - p) AS vres, var_pop(y) AS vy,
+             avg(abs(y - p) / y) FILTER (WHERE abs(y) > 1e-6) AS mape FROM d),
+b AS (SELECT *, CASE WHEN sst = 0 THEN (CASE WHEN sse = 0 THEN 1.0 ELSE 0.0 END) ELSE 1 - sse / sst END AS r2,
+             CASE WHEN vy = 0 THEN (CASE WHEN vres = 0 THEN 1.0 ELSE 0.0 END) ELSE 1 - vres / vy END AS ev
+      FROM a)
+SELECT n, round(sqrt(sse / n), 6) AS rmse, round(sae / n, 6) AS mae, round(sse / n, 2) AS mse,
+       round(r2, 9) AS r2, round(ev, 9) AS explained_variance, round(mape * 100, 6) AS mape{adj}
+FROM b"""
+
+
+@register("regression_metrics", _regression_sql("l_extendedprice", _PRED_SQL, "lineitem", 7))
+def q_regression_metrics(spark, sf):
+    li = _pred(_t(spark, sf, "lineitem"))
+    return _metric_round_spark(met.regression_metrics(li, "l_extendedprice", "prediction",
+                                                      n_features=7))
+
+
+@register("circular_metrics", """
+WITH d AS (SELECT value AS y, value * CAST(0.9 AS DOUBLE) + CAST(3 AS DOUBLE) AS p,
+                  CAST(hour(ts) * 60 + minute(ts) AS DOUBLE) AS base FROM events),
+w AS (SELECT y, p, ((base + y) % 1440 + 1440) % 1440 AS t, ((base + p) % 1440 + 1440) % 1440 AS q,
+             ((y - p + 720) % 1440 + 1440) % 1440 - 720 AS dd FROM d),
+a AS (SELECT count(*) AS n, sum((y - p) * (y - p)) AS sse, sum(abs(y - p)) AS sae,
+             sum((t - q) * (t - q)) AS wsse, var_pop(t) * count(t) AS wsst,
+             var_pop(t - q) AS wvres, var_pop(t) AS wvy,
+             avg(abs(dd) / t) FILTER (WHERE t > 1e-6) AS mape FROM w)
+SELECT n, round(sqrt(sse / n), 6) AS rmse, round(sae / n, 6) AS mae, round(sse / n, 2) AS mse,
+       round(CASE WHEN wsst = 0 THEN (CASE WHEN wsse = 0 THEN 1.0 ELSE 0.0 END) ELSE 1 - wsse / wsst END, 9) AS r2,
+       round(CASE WHEN wvy = 0 THEN (CASE WHEN wvres = 0 THEN 1.0 ELSE 0.0 END) ELSE 1 - wvres / wvy END, 9) AS explained_variance,
+       round(mape * 100, 6) AS mape
+FROM a
+""")
+def q_circular_metrics(spark, sf):
+    ev = _t(spark, sf, "events")
+    d = ev.select(F.col("value").alias("y"), (F.col("value") * 0.9 + 3.0).alias("p"),
+                  (F.hour("ts") * 60 + F.minute("ts")).alias("base"))
+    return _metric_round_spark(met.circular_metrics(d, "y", "p", "base"))
+
+
+@register("residual_histogram", _hist_sql(
+    f"(SELECT l_extendedprice - ({_PRED_SQL}) AS residual FROM lineitem)", "residual", 60))
+def q_residual_histogram(spark, sf):
+    li = met.residuals(_pred(_t(spark, sf, "lineitem")), "l_extendedprice", "prediction")
+    h = prof.histogram(li, "residual", bins=60)
+    return h.select("bin", _r("bin_lo", 6).alias("bin_lo"), _r("bin_hi", 6).alias("bin_hi"), "n")
+
+
+# --------------------------------------------------------------- classification
+
+_CLS_SRC_SQL = """(SELECT l.quality AS y, CASE WHEN d.n_chars > 2000 THEN 1 ELSE 0 END AS p,
+        CAST(d.n_chars AS DOUBLE) AS s
+ FROM labels l JOIN documents d ON l.doc_id = d.doc_id)"""
+
+
+def _cls_frame(spark, sf):
+    lab = _t(spark, sf, "labels").select("doc_id", F.col("quality").alias("y"))
+    docs = _t(spark, sf, "documents").select("doc_id", "n_chars")
+    j = docs.join(sized_broadcast(lab), "doc_id")
+    return j.select("y", F.when(F.col("n_chars") > 2000, 1).otherwise(0).alias("p"),
+                    F.col("n_chars").cast("double").alias("s"))
+
+
+@register("confusion", f"""
+SELECT CAST(y AS VARCHAR) AS label, CAST(p AS VARCHAR) AS prediction, count(*) AS n
+FROM {_CLS_SRC_SQL} GROUP BY 1, 2
+""")
+def q_confusion(spark, sf):
+    return met.confusion(_cls_frame(spark, sf), "y", "p")
+
+
+_PER_CLASS_SQL = f"""
+c AS (SELECT CAST(y AS VARCHAR) AS label, CAST(p AS VARCHAR) AS prediction, count(*) AS n
+      FROM {_CLS_SRC_SQL} GROUP BY 1, 2),
+k AS (SELECT label AS class_label FROM c UNION SELECT prediction FROM c),
+pc AS (SELECT class_label,
+              coalesce((SELECT sum(n) FROM c WHERE label = class_label), 0) AS support,
+              coalesce((SELECT sum(n) FROM c WHERE prediction = class_label), 0) AS predicted,
+              coalesce((SELECT sum(n) FROM c WHERE label = class_label AND prediction = class_label), 0) AS tp
+       FROM k),
+pr AS (SELECT *, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0 END AS precision,
+              CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall FROM pc),
+f AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall)
+                     ELSE 0.0 END AS f1 FROM pr)"""
+
+
+@register("classification_metrics", f"""
+WITH {_PER_CLASS_SQL}
+SELECT CAST(sum(support) AS BIGINT) AS n, round(sum(tp) / sum(support), 9) AS accuracy,
+       round(sum(precision * support) / sum(support), 9) AS precision,
+       round(sum(recall * support) / sum(support), 9) AS recall,
+       round(sum(f1 * support) / sum(support), 9) AS f1_score
+FROM f
+""")
+def q_classification_metrics(spark, sf):
+    m = met.classification_metrics(_cls_frame(spark, sf), "y", "p")
+    return m.select(F.col("n").cast("long").alias("n"),
+                    *[_r(c, 9).alias(c) for c in ("accuracy", "precision", "recall", "f1_score")])
+
+
+@register("classification_report", f"""
+WITH {_PER_CLASS_SQL}
+SELECT class_label AS row_label, round(precision, 9) AS precision, round(recall, 9) AS recall,
+       round(f1, 9) AS f1, CAST(support AS BIGINT) AS support FROM f
+UNION ALL SELECT 'accuracy', NULL, NULL, round(sum(tp) / sum(support), 9), CAST(sum(support) AS BIGINT) FROM f
+UNION ALL SELECT 'macro avg', round(avg(precision), 9), round(avg(recall), 9), round(avg(f1), 9),
+                 CAST(sum(support) AS BIGINT) FROM f
+UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 9),
+                 round(sum(recall * support) / sum(support), 9),
+                 round(sum(f1 * support) / sum(support), 9), CAST(sum(support) AS BIGINT) FROM f
+""")
+def q_classification_report(spark, sf):
+    r = met.classification_report(_cls_frame(spark, sf), "y", "p")
+    return r.select("row_label", *[_r(c, 9).alias(c) for c in ("precision", "recall", "f1")],
+                    F.col("support").cast("long").alias("support"))
+
+
+_CUM_SQL = f"""
+d AS {_CLS_SRC_SQL},
+c AS (SELECT s AS score, sum(CASE WHEN y = 1 THEN 1 ELSE 0 END) AS pos,
+             sum(CASE WHEN y = 1 THEN 0 ELSE 1 END) AS neg
+      FROM d WHERE y IS NOT NULL AND s IS NOT NULL GROUP BY s),
+cum AS (SELECT score, CAST(pos AS DOUBLE) AS pos, CAST(neg AS DOUBLE) AS neg,
+               CAST(sum(pos) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS tps,
+               CAST(sum(neg) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS fps,
+               CAST(sum(pos) OVER () AS DOUBLE) AS P, CAST(sum(neg) OVER () AS DOUBLE) AS N FROM c)"""
+
+
+@register("roc_curve", f"""
+WITH {_CUM_SQL}
+SELECT score AS threshold, CAST(tps AS BIGINT) AS tps, CAST(fps AS BIGINT) AS fps,
+       round(tps / P, 9) AS tpr, round(fps / N, 9) AS fpr FROM cum
+""")
+def q_roc_curve(spark, sf):
+    r = crv.roc_curve(_cls_frame(spark, sf), "y", "s")
+    return r.select("threshold", "tps", "fps", _r("tpr", 9).alias("tpr"), _r("fpr", 9).alias("fpr"))
+
+
+@register("roc_auc", f"""
+WITH {_CUM_SQL}
+SELECT round(sum(pos * ((N - fps) + neg / 2.0)) / (any_value(P) * any_value(N)), 9) AS auc FROM cum
+""")
+def q_roc_auc(spark, sf):
+    return crv.auc(_cls_frame(spark, sf), "y", "s").select(_r("auc", 9).alias("auc"))
+
+
+@register("pr_curve", f"""
+WITH {_CUM_SQL}
+SELECT score AS threshold, round(tps / (tps + fps), 9) AS precision, round(tps / P, 9) AS recall FROM cum
+""")
+def q_pr_curve(spark, sf):
+    r = crv.pr_curve(_cls_frame(spark, sf), "y", "s")
+    return r.select("threshold", _r("precision", 9).alias("precision"),
+                    _r("recall", 9).alias("recall"))
+
+
+@register("average_precision", f"""
+WITH {_CUM_SQL}
+SELECT round(sum(pos * tps / (tps + fps)) / any_value(P), 9) AS average_precision FROM cum
+""")
+def q_average_precision(spark, sf):
+    ap = crv.average_precision(_cls_frame(spark, sf), "y", "s")
+    return ap.select(_r("average_precision", 9).alias("average_precision"))
+
+
+_OVR_SCORES_SQL = {"F": "o_totalprice", "O": "CAST(year(o_orderdate) AS DOUBLE)",
+                   "P": "CAST(o_custkey AS DOUBLE)"}
+
+
+@register("auc_ovr", f"""
+WITH e AS ({' UNION ALL '.join(f"SELECT '{k}' AS class_label, CASE WHEN o_orderstatus = '{k}' THEN 1 ELSE 0 END AS y, {v} AS s FROM orders" for k, v in _OVR_SCORES_SQL.items())}),
+c AS (SELECT class_label, s AS score, CAST(sum(y) AS DOUBLE) AS pos, CAST(sum(1 - y) AS DOUBLE) AS neg
+      FROM e WHERE s IS NOT NULL GROUP BY 1, 2),
+cum AS (SELECT *, sum(neg) OVER (PARTITION BY class_label ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS fps,
+               sum(pos) OVER (PARTITION BY class_label) AS P, sum(neg) OVER (PARTITION BY class_label) AS N
+        FROM c),
+per AS (SELECT class_label, any_value(P) AS n_pos, any_value(N) AS n_neg,
+               sum(pos * ((N - fps) + neg / 2.0)) / (any_value(P) * any_value(N)) AS auc
+        FROM cum GROUP BY 1)
+SELECT class_label, CAST(n_pos AS BIGINT) AS n_pos, round(n_pos / sum(n_pos + n_neg) OVER (), 9) AS prevalence,
+       round(auc, 9) AS auc, round(sum(auc * n_pos) OVER () / sum(n_pos) OVER (), 9) AS weighted_auc
+FROM per
+""")
+def q_auc_ovr(spark, sf):
+    o = _t(spark, sf, "orders")
+    scores = {"F": F.col("o_totalprice"), "O": F.year("o_orderdate").cast("double"),
+              "P": F.col("o_custkey").cast("double")}
+    a = crv.auc_one_vs_rest(o, "o_orderstatus", scores)
+    return a.select("class_label", "n_pos", *[_r(c, 9).alias(c) for c in
+                                              ("prevalence", "auc", "weighted_auc")])
