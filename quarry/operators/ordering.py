@@ -63,7 +63,7 @@ def _partition_offsets(ranged: DataFrame, sums: dict[str, Column] | None = None)
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
     out = per_part.withColumn("_q_off", F.coalesce(F.sum("_q_cnt").over(before), F.lit(0)))
-    out = out.withColumn("_q_n", F.sum("_q_cnt").over(everything))
+    out = out.withColumn("_q_ntot", F.sum("_q_cnt").over(everything))
     for name in (sums or {}):
         out = out.withColumn(f"_q_offsum_{name}",
                              F.coalesce(F.sum(f"_q_tot_{name}").over(before), F.lit(0)))
@@ -85,8 +85,8 @@ def global_rank(df: DataFrame, order_cols, tie_break=(), rank_col: str = "_rank"
     out = (ranged.join(F.broadcast(offsets), _PID)
                  .withColumn(rank_col, F.col("_q_off") + (F.col(_MID) - F.col("_q_mid0")) + 1))
     if total_col:
-        out = out.withColumn(total_col, F.col("_q_n"))
-    return out.drop(_PID, _MID, "_q_mid0", "_q_cnt", "_q_off", "_q_n")
+        out = out.withColumn(total_col, F.col("_q_ntot"))
+    return out.drop(_PID, _MID, "_q_mid0", "_q_cnt", "_q_off", "_q_ntot")
 
 
 def running_totals(df: DataFrame, order_cols, sums: dict[str, Column], tie_break=(),

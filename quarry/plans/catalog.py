@@ -812,3 +812,67 @@ def q_auc_ovr(spark, sf):
     a = crv.auc_one_vs_rest(o, "o_orderstatus", scores)
     return a.select("class_label", "n_pos", *[_r(c, 9).alias(c) for c in
                                               ("prevalence", "auc", "weighted_auc")])
+
+
+# --------------------------------------------------------------- modelling (rows-only checks)
+
+from quarry.operators import importance as imp  # noqa: E402
+from quarry.operators import modeling as mdl  # noqa: E402
+from quarry.plans import training as trn  # noqa: E402
+
+
+@register("tournament")
+def q_tournament(spark, sf):
+    """Leaderboard of the bagged Spark ML pool + weighted ensemble on lineitem."""
+    return mdl.leaderboard_frame(spark, trn.lineitem_tournament(spark, sf))
+
+
+@register("ensemble_weights")
+def q_ensemble_weights(spark, sf):
+    """Greedy ensemble weights of three fixed predictors from one Gram pass."""
+    li = _t(spark, sf, "lineitem").select(
+        "l_extendedprice", (F.col("l_quantity") * 1000.0).alias("p_low"),
+        (F.col("l_quantity") * 1400.0 + 200.0).alias("p_mid"),
+        (F.col("l_quantity") * 1800.0 - 300.0).alias("p_high"))
+    w, score = mdl.ensemble_from_predictions(li, "l_extendedprice", ["p_low", "p_mid", "p_high"])
+    rows = [(k, float(v), float(score)) for k, v in w.items()]
+    return spark.createDataFrame(rows, "member string, weight double, ensemble_r2 double")
+
+
+def _scored_test(spark, sf):
+    split, _ = trn.lineitem_splits(spark, sf)
+    test = split.filter(F.col("split") == "test").drop("split")
+    t = trn.lineitem_tournament(spark, sf)
+    from quarry.plans.scoring import score_batch
+    return score_batch(test, t, trn.LINEITEM_TARGET, keys=trn.LINEITEM_KEYS)
+
+
+@register("batch_score")
+def q_batch_score(spark, sf):
+    """Test split scored by the best model, predictions rounded half-even."""
+    return _scored_test(spark, sf)
+
+
+@register("batch_summary")
+def q_batch_summary(spark, sf):
+    """count / mean / max / min of the scored batch."""
+    from quarry.plans.scoring import batch_summary
+    return batch_summary(_scored_test(spark, sf), f"Predicted_{trn.LINEITEM_TARGET}")
+
+
+@register("class_probability")
+def q_class_probability(spark, sf):
+    """Per-class probabilities on the document test split, sorted class order."""
+    t, split = trn.document_tournament(spark, sf)
+    test = split.filter(F.col("split") == "test").drop("split")
+    return mdl.predict_proba(test, t).select("doc_id", "quality",
+                                             *[f"prob_{lbl}" for lbl in t.labels])
+
+
+@register("perm_importance")
+def q_perm_importance(spark, sf):
+    """Permutation importance on a 2,000-row seeded sample of the test split."""
+    split, _ = trn.lineitem_splits(spark, sf)
+    test = split.filter(F.col("split") == "test").drop("split")
+    t = trn.lineitem_tournament(spark, sf)
+    return imp.permutation_importance(test, t, trn.LINEITEM_KEYS, n_repeats=5, sample_rows=2000)
