@@ -104,27 +104,52 @@ def corrected_kurtosis(g2: Column, n: Column) -> Column:
     return F.when(n < 4, F.lit(None).cast("double")).otherwise(F.coalesce(adj, F.lit(0.0)))
 
 
+def _clean(c: str) -> Column:
+    v = _q(c).cast("double")
+    return F.when(_missing_free(v), v)
+
+
 def moments(df: DataFrame, cols, with_median: bool = True, exact_median: bool = True,
             digits: int | None = 4) -> DataFrame:
     """Per column: n, mean, sample std, median, skewness, kurtosis, high-skew flag.
 
-    One aggregate for all columns; skewness/kurtosis follow pandas' bias
-    correction and are rounded to ``digits`` like the reference table.
+    Two aggregate passes over all columns at once: counts, means and min/max,
+    then centered power sums (plain sums keep whole-stage codegen tight; the
+    central-moment aggregates are several times slower).  Skewness/kurtosis
+    follow pandas' bias correction, 0.0 for a constant column (min = max,
+    exact), and are rounded to ``digits`` like the reference table.
     """
     cols = list(cols)
+    spark = df.sparkSession
+    first = df.agg(*[F.count(_clean(c)).alias(f"n{i}") for i, c in enumerate(cols)],
+                   *[F.avg(_clean(c)).alias(f"m{i}") for i, c in enumerate(cols)],
+                   *[(F.min(_clean(c)) == F.max(_clean(c))).alias(f"k{i}")
+                     for i, c in enumerate(cols)]).first()
+    sums = []
+    for i, c in enumerate(cols):
+        mean = first[f"m{i}"]
+        d = _clean(c) - F.lit(mean if mean is not None else 0.0)
+        sums += [F.sum(d * d).alias(f"s2_{i}"), F.sum(d * d * d).alias(f"s3_{i}"),
+                 F.sum(d * d * d * d).alias(f"s4_{i}")]
+    second = df.agg(*sums)
     structs = []
-    for c in cols:
-        v = F.when(_missing_free(_q(c).cast("double")), _q(c).cast("double"))
-        n = F.count(v).cast("double")
+    for i, c in enumerate(cols):
+        n = F.lit(float(first[f"n{i}"]))
+        s2, s3, s4 = F.col(f"s2_{i}"), F.col(f"s3_{i}"), F.col(f"s4_{i}")
+        const = F.lit(bool(first[f"k{i}"]))
+        g1 = F.when(const, F.lit(0.0)).otherwise(
+            F.try_divide(F.sqrt(n) * s3, F.pow(s2, 1.5)))
+        g2 = F.when(const, F.lit(0.0)).otherwise(
+            F.try_divide(n * s4, s2 * s2) - F.lit(3.0))
+        skew = F.when(const & (n >= 3), F.lit(0.0)).otherwise(corrected_skewness(g1, n))
+        kurt = F.when(const & (n >= 4), F.lit(0.0)).otherwise(corrected_kurtosis(g2, n))
         structs.append(F.struct(
             F.lit(c).alias("column_name"),
-            F.count(v).alias("n"),
-            F.avg(v).alias("mean"),
-            F.stddev_samp(v).alias("std"),
-            corrected_skewness(F.skewness(v), n).alias("skewness"),
-            corrected_kurtosis(F.kurtosis(v), n).alias("kurtosis"),
-        ))
-    out = df.agg(F.array(*structs).alias("_q_m")).select(F.inline("_q_m"))
+            F.lit(int(first[f"n{i}"])).cast("long").alias("n"),
+            F.lit(first[f"m{i}"]).cast("double").alias("mean"),
+            F.when(n > 1, F.sqrt(s2 / (n - 1))).alias("std"),
+            skew.alias("skewness"), kurt.alias("kurtosis")))
+    out = second.select(F.array(*structs).alias("_q_m")).select(F.inline("_q_m"))
     if digits is not None:
         out = out.withColumn("skewness", F.round("skewness", digits)) \
                  .withColumn("kurtosis", F.round("kurtosis", digits))
@@ -132,7 +157,7 @@ def moments(df: DataFrame, cols, with_median: bool = True, exact_median: bool =
     if with_median:
         med = quantiles(df, cols, [0.5], exact=exact_median).select(
             "column_name", F.col("quantile").alias("median"))
-        out = out.join(med, "column_name", "left")
+        out = out.join(F.broadcast(med), "column_name", "left")
     return out
 
 
@@ -271,16 +296,30 @@ def _pair_corr(a: str, b: str) -> Column:
 def corr_pairs(df: DataFrame, cols) -> DataFrame:
     """Strict lower triangle of the Pearson matrix: (column_a, column_b, corr).
 
-    ``column_a`` comes later in ``cols`` than ``column_b``.  All pairs are
-    computed in one aggregate pass.
+    ``column_a`` comes later in ``cols`` than ``column_b``.  Without missing
+    values the matrix comes from two passes of plain sums (means, then
+    centered cross products); with missing values every pair uses only the
+    rows where both are present (pairwise-complete, as pandas does).
     """
     cols = list(cols)
     if len(cols) < 2:
         raise ValueError("correlation needs at least two numeric columns")
+    first = df.agg(F.count(F.lit(1)).alias("n"),
+                   *[F.count(_clean(c)).alias(f"n{i}") for i, c in enumerate(cols)],
+                   *[F.avg(_clean(c)).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    if any(first[f"n{i}"] != first["n"] for i in range(len(cols))):
+        structs = [F.struct(F.lit(cols[i]).alias("column_a"), F.lit(cols[j]).alias("column_b"),
+                            _pair_corr(cols[i], cols[j]).alias("corr"))
+                   for i in range(len(cols)) for j in range(i)]
+        return df.agg(F.array(*structs).alias("_q_c")).select(F.inline("_q_c"))
+    d = [_clean(c) - F.lit(first[f"m{i}"]) for i, c in enumerate(cols)]
+    sums = df.agg(*[F.sum(d[i] * d[j]).alias(f"c{i}_{j}")
+                    for i in range(len(cols)) for j in range(i + 1)])
     structs = [F.struct(F.lit(cols[i]).alias("column_a"), F.lit(cols[j]).alias("column_b"),
-                        _pair_corr(cols[i], cols[j]).alias("corr"))
+                        F.try_divide(F.col(f"c{i}_{j}"),
+                                     F.sqrt(F.col(f"c{i}_{i}") * F.col(f"c{j}_{j}"))).alias("corr"))
                for i in range(len(cols)) for j in range(i)]
-    return df.agg(F.array(*structs).alias("_q_c")).select(F.inline("_q_c"))
+    return sums.select(F.array(*structs).alias("_q_c")).select(F.inline("_q_c"))
 
 
 def target_corr(df: DataFrame, features, target: str, k: int = 8) -> DataFrame:
