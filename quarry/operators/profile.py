@@ -40,16 +40,20 @@ def to_long(df: DataFrame, cols, id_cols=(), name_col: str = "column_name",
 # ---------------------------------------------------------------- quantiles
 
 def quantiles_long(long: DataFrame, probs, group_cols=("column_name",), value_col="value",
-                   exact: bool = True, accuracy: int = 100_000) -> DataFrame:
+                   exact: bool = True, accuracy: int = 10_000, method: str = "auto"
+                   ) -> DataFrame:
     """Quantiles of ``value_col`` per group, linear interpolation.
 
     Output: group_cols..., prob, quantile.  The exact mode equals numpy's
     ``linear`` method and DuckDB's ``quantile_cont``: with ``h = (n-1)p`` the
-    result is ``v[floor h] + (h - floor h)(v[ceil h] - v[floor h])``.  Values
-    are globally ranked (range partitioned, never one task per group), each
-    group's first position found by an aggregate, and only the two ranks per
-    (group, prob) are fetched by a join.  ``exact=False`` uses
-    ``percentile_approx`` instead (one pass, bounded memory).
+    result is ``v[floor h] + (h - floor h)(v[ceil h] - v[floor h])``.
+
+    Exact values come from a bracket: ``percentile_approx`` (rank error at
+    most n/accuracy) gives values around each target rank, one pass counts the
+    rows below and inside each bracket, and only the rows inside are ranked
+    globally - a fraction of a percent of the data instead of all of it.  If
+    a bracket misses its target ranks (the check is exact) the whole input is
+    ranked instead.  ``exact=False`` returns ``percentile_approx`` directly.
     """
     gkeys = list(group_cols)
     probs = [float(p) for p in probs]
@@ -59,6 +63,71 @@ def quantiles_long(long: DataFrame, probs, group_cols=("column_name",), value_co
         return q.select(*gkeys, F.posexplode("_q_vals").alias("_q_i", "quantile")).select(
             *gkeys, F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("_q_i") + 1)
             .alias("prob"), "quantile")
+    if method == "auto":
+        cores = long.sparkSession.sparkContext.defaultParallelism
+        method = "bracket" if long.rdd.getNumPartitions() > cores else "rank"
+    if method == "bracket":
+        bracketed = _bracketed_quantiles(long, probs, gkeys, value_col, accuracy)
+        if bracketed is not None:
+            return bracketed
+    return _ranked_quantiles(long, probs, gkeys, value_col)
+
+
+def _interpolate(picked: DataFrame, gkeys) -> DataFrame:
+    frac = F.col("_q_h") - F.col("_q_lo")
+    return picked.select(*gkeys, "prob",
+                         (F.col("_q_vlo") + frac * (F.col("_q_vhi") - F.col("_q_vlo")))
+                         .alias("quantile"))
+
+
+def _bracketed_quantiles(long: DataFrame, probs, gkeys, value_col: str, accuracy: int):
+    delta = 3.0 / accuracy
+    edges = []
+    for p in probs:
+        edges += [max(0.0, p - delta), min(1.0, p + delta)]
+    stats = long.groupBy(*gkeys).agg(
+        F.count(F.lit(1)).alias("_q_n"),
+        F.percentile_approx(value_col, edges, accuracy).alias("_q_edges"))
+    per = (stats.select(*gkeys, "_q_n", "_q_edges",
+                        F.posexplode(F.array(*[F.lit(p) for p in probs])).alias("_q_pi", "prob"))
+                .withColumn("_q_blo", F.element_at("_q_edges", F.col("_q_pi") * 2 + 1))
+                .withColumn("_q_bhi", F.element_at("_q_edges", F.col("_q_pi") * 2 + 2))
+                .withColumn("_q_h", (F.col("_q_n") - 1).cast("double") * F.col("prob"))
+                .withColumn("_q_lo", F.floor("_q_h"))
+                .withColumn("_q_hi", F.ceil("_q_h"))
+                .drop("_q_edges", "_q_pi"))
+    per = sized_broadcast(per).cache()
+    v = F.col(value_col)
+    tagged = long.select(*gkeys, v.alias("_q_v")).join(per, gkeys)
+    below = F.col("_q_v") < F.col("_q_blo")
+    inside = (F.col("_q_v") >= F.col("_q_blo")) & (F.col("_q_v") <= F.col("_q_bhi"))
+    counts = tagged.groupBy(*gkeys, "prob").agg(F.count_if(below).alias("_q_cb"),
+                                                F.count_if(inside).alias("_q_ci"))
+    checked = per.join(counts, gkeys + ["prob"], "left").fillna(0, ["_q_cb", "_q_ci"])
+    ok = (F.col("_q_cb") <= F.col("_q_lo")) & (F.col("_q_cb") + F.col("_q_ci") > F.col("_q_hi"))
+    checked = checked.withColumn("_q_ok", ok).cache()
+    if checked.filter(~F.col("_q_ok")).limit(1).count() > 0:
+        per.unpersist()
+        checked.unpersist()
+        return None
+    rows = (tagged.filter(inside).select(*gkeys, "prob", "_q_v")
+                  .withColumn("_q_row", F.monotonically_increasing_id()))
+    ranked = global_rank(rows, gkeys + ["prob", "_q_v"], ["_q_row"], rank_col="_q_pos")
+    first = ranked.groupBy(*gkeys, "prob").agg(F.min("_q_pos").alias("_q_first"))
+    local = (ranked.join(first, gkeys + ["prob"])
+                   .join(checked.select(*gkeys, "prob", "_q_cb", "_q_h", "_q_lo", "_q_hi"),
+                         gkeys + ["prob"])
+                   .withColumn("_q_r", F.col("_q_pos") - F.col("_q_first") + F.col("_q_cb")))
+    picked = local.filter((F.col("_q_r") == F.col("_q_lo")) | (F.col("_q_r") == F.col("_q_hi"))) \
+        .groupBy(*gkeys, "prob").agg(
+            F.first("_q_h").alias("_q_h"), F.first("_q_lo").alias("_q_lo"),
+            F.max(F.when(F.col("_q_r") == F.col("_q_lo"), F.col("_q_v"))).alias("_q_vlo"),
+            F.max(F.when(F.col("_q_r") == F.col("_q_hi"), F.col("_q_v"))).alias("_q_vhi"))
+    return _interpolate(picked, gkeys)
+
+
+def _ranked_quantiles(long: DataFrame, probs, gkeys, value_col: str) -> DataFrame:
+    """Exact quantiles by ranking every value (the bracket's fallback)."""
     tagged = long.withColumn("_q_row", F.monotonically_increasing_id())
     ranked = global_rank(tagged, gkeys + [value_col], ["_q_row"], rank_col="_q_pos")
     bounds = ranked.groupBy(*gkeys).agg(F.min("_q_pos").alias("_q_first"),
@@ -78,10 +147,7 @@ def quantiles_long(long: DataFrame, probs, group_cols=("column_name",), value_co
         F.first("_q_h").alias("_q_h"), F.first("_q_lo").alias("_q_lo"),
         F.max(F.when(F.col("_q_side") == 0, F.col("_q_v"))).alias("_q_vlo"),
         F.max(F.when(F.col("_q_side") == 1, F.col("_q_v"))).alias("_q_vhi"))
-    frac = F.col("_q_h") - F.col("_q_lo")
-    return picked.select(*gkeys, "prob",
-                         (F.col("_q_vlo") + frac * (F.col("_q_vhi") - F.col("_q_vlo")))
-                         .alias("quantile"))
+    return _interpolate(picked, gkeys)
 
 
 def quantiles(df: DataFrame, cols, probs, group_cols=(), exact: bool = True) -> DataFrame:

@@ -17,7 +17,7 @@ from quarry.sources.tables import table
 _CACHE: dict = {}
 
 LINEITEM_TARGET = "l_extendedprice"
-LINEITEM_KEYS = ["l_orderkey", "l_linenumber"]
+LINEITEM_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 
 def split_table(df: DataFrame, date_col: str, tie_break) -> DataFrame:

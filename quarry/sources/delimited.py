@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 ENCODINGS = ("utf-8", "latin-1", "cp1252")
 SEPARATORS = (",", ";", "\t", "|")
 REPLACEMENT_CHAR = "�"
+# Spark's CSV reader takes Java charset names.
+JAVA_CHARSETS = {"utf-8": "utf-8", "latin-1": "iso-8859-1", "cp1252": "windows-1252"}
 
 
 def sniff_format(spark: SparkSession, path: str, encodings=ENCODINGS, separators=SEPARATORS,
@@ -33,8 +35,11 @@ def sniff_format(spark: SparkSession, path: str, encodings=ENCODINGS, separators
             continue
         for sep in separators:
             # header-only schema resolution reads the first line, not the data
-            cols = (spark.read.option("header", True).option("sep", sep)
-                         .option("encoding", enc).csv(path).columns)
+            try:
+                cols = (spark.read.option("header", True).option("sep", sep)
+                             .option("encoding", JAVA_CHARSETS.get(enc, enc)).csv(path).columns)
+            except Exception:  # charset not accepted by this Spark build
+                break
             if len(cols) > 1:
                 return enc, sep
     raise ValueError(f"Cannot parse {path} - check encoding/delimiter.")
@@ -44,8 +49,8 @@ def read_delimited(spark: SparkSession, path: str, infer_schema: bool = True,
                    encodings=ENCODINGS, separators=SEPARATORS, schema=None) -> DataFrame:
     """Sniffed CSV read with header (S1); ``schema`` skips inference."""
     enc, sep = sniff_format(spark, path, encodings, separators)
-    reader = (spark.read.option("header", True).option("sep", sep).option("encoding", enc)
-                   .option("mode", "PERMISSIVE"))
+    reader = (spark.read.option("header", True).option("sep", sep)
+                   .option("encoding", JAVA_CHARSETS.get(enc, enc)).option("mode", "PERMISSIVE"))
     if schema is not None:
         reader = reader.schema(schema)
     else:
