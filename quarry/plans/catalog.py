@@ -876,3 +876,69 @@ def q_perm_importance(spark, sf):
     test = split.filter(F.col("split") == "test").drop("split")
     t = trn.lineitem_tournament(spark, sf)
     return imp.permutation_importance(test, t, trn.LINEITEM_KEYS, n_repeats=5, sample_rows=2000)
+
+
+# --------------------------------------------------------------- more SQL-checked operators
+
+@register("feature_histograms", "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, * FROM ({_hist_sql('lineitem', c, 40)})"
+    for c in LINEITEM_NUMERIC))
+def q_feature_histograms(spark, sf):
+    """40-bin histograms of every numeric lineitem column in one pass."""
+    h = prof.histograms(_t(spark, sf, "lineitem"), LINEITEM_NUMERIC, 40)
+    return h.select("column_name", "bin", _r("bin_lo", 6).alias("bin_lo"),
+                    _r("bin_hi", 6).alias("bin_hi"), "n")
+
+
+@register("total_missing", f"""
+WITH f AS ({_NULL_FIXTURE_SQL})
+SELECT CAST(count_if(c_custkey IS NULL) + count_if(c_name IS NULL) + count_if(c_nationkey IS NULL)
+            + count_if(c_acctbal IS NULL OR isnan(c_acctbal)) + count_if(c_mktsegment IS NULL)
+            AS BIGINT) AS n_missing FROM f
+""")
+def q_total_missing(spark, sf):
+    """Missing cells of a whole table."""
+    return qual.total_missing(_null_fixture(spark, sf))
+
+
+@register("label_lookup", """
+SELECT o_orderkey, o_orderstatus,
+       CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 END AS class_index
+FROM orders
+""")
+def q_label_lookup(spark, sf):
+    """Class label to index with unknown labels NULL (F17, J2); 'P' is not in the label list."""
+    from quarry.functions.numeric import label_index
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    return o.withColumn("class_index", label_index("o_orderstatus", ["F", "O"]))
+
+
+@register("fit_range", f"""
+SELECT least(min(l_extendedprice), min({_PRED_SQL})) AS range_min,
+       greatest(max(l_extendedprice), max({_PRED_SQL})) AS range_max FROM lineitem
+""")
+def q_fit_range(spark, sf):
+    """Perfect-fit line range over actual and predicted values."""
+    return prof.fit_range(_pred(_t(spark, sf, "lineitem")), "l_extendedprice", "prediction")
+
+
+@register("ingestion_summary", """
+WITH r AS (SELECT *, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS rk,
+                  count(*) OVER () AS n FROM orders),
+s AS (SELECT CASE WHEN rk <= floor(n * CAST(0.7 AS DOUBLE)) THEN 'train'
+                  WHEN rk <= floor(n * CAST(0.85 AS DOUBLE)) THEN 'val' ELSE 'test' END AS split FROM r)
+SELECT 'o_totalprice' AS target_column, 'regression' AS problem_type,
+       (SELECT count(*) FROM orders) AS total_rows_raw,
+       (SELECT count(*) FROM orders) - (SELECT count(*) FROM (SELECT DISTINCT * FROM orders)) AS duplicate_rows_dropped,
+       CAST(0 AS BIGINT) AS total_missing_values,
+       (SELECT count(*) FROM s WHERE split = 'train') AS train_rows,
+       (SELECT count(*) FROM s WHERE split = 'val') AS val_rows,
+       (SELECT count(*) FROM s WHERE split = 'test') AS test_rows,
+       CAST(6 AS INTEGER) AS n_columns
+""")
+def q_ingestion_summary(spark, sf):
+    """Stage-1 report on orders: quality before de-dup, then the chronological split."""
+    from quarry.plans.stages import ingest
+    rep = ingest(_t(spark, sf, "orders"), "o_totalprice", "o_orderdate", ["o_orderkey"]).report
+    return rep.select("target_column", "problem_type", "total_rows_raw", "duplicate_rows_dropped",
+                      "total_missing_values", "train_rows", "val_rows", "test_rows", "n_columns")

@@ -104,6 +104,7 @@ class Profiled:
     report: DataFrame
     skew_kurtosis: DataFrame
     outliers: DataFrame
+    charts: dict
 
 
 def profile_train(train: DataFrame, target: str | None = None, exact: bool = True) -> Profiled:
@@ -135,7 +136,9 @@ def profile_train(train: DataFrame, target: str | None = None, exact: bool = Tru
         "total_outliers_iqr": int(total_out or 0), "high_skew_features": high,
         "target_stats": stats, "class_counts": classes,
     }, EDA_SCHEMA)
-    return Profiled(report, moments, outliers)
+    low = [c for c in categorical if c in roles.low_cardinality]
+    charts = prof.chart_tables(df, target, kind, numeric, categorical, low)
+    return Profiled(report, moments, outliers, charts)
 
 
 # ---------------------------------------------------------------- stage 3
