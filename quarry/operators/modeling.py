@@ -308,8 +308,9 @@ def run_tournament(train: DataFrame, val: DataFrame, target: str, kind: str, key
             t.members[name] = Member(name, [m for _, m, _ in fitted], sum(x[2] for x in fitted),
                                      fit_order=order)
     base.unpersist()
-    _score_members(t, val)
-    _fit_ensemble(t, val, ensemble_rounds)
+    scored = _score_members(t, val)
+    _fit_ensemble(t, scored, ensemble_rounds)
+    scored.unpersist()
     return t
 
 
@@ -320,12 +321,25 @@ def _partitions_for(df: DataFrame, rows_per_partition: int) -> int:
     return max(1, -(-n // rows_per_partition))
 
 
-def _score_members(t: Tournament, val: DataFrame) -> None:
+def _score_members(t: Tournament, val: DataFrame) -> DataFrame:
+    """Score each member on validation; returns validation with every ``_p_<name>`` column.
+
+    Members are added one at a time to a cached frame, so each model
+    transforms the validation rows exactly once; a member's prediction time
+    is the time of its own step.
+    """
+    current = val.cache()
+    steps = [current]
     for name, m in t.members.items():
         t0 = time.time()
-        scored = member_columns(val, t, [name])
-        m.score_val = _score(scored, t, F.col(f"_p_{name}"))
+        nxt = member_columns(current, t, [name]).cache()
+        m.score_val = _score(nxt, t, F.col(f"_p_{name}"))
         m.pred_time_val = time.time() - t0
+        steps.append(nxt)
+        current = nxt
+    for frame in steps[:-1]:
+        frame.unpersist()
+    return current
 
 
 # ---------------------------------------------------------------- T6 ensemble
@@ -381,19 +395,18 @@ def ensemble_from_predictions(df: DataFrame, y: str, preds: list[str], rounds: i
     return {preds[i]: v for i, v in w.items()}, score
 
 
-def _fit_ensemble(t: Tournament, val: DataFrame, rounds: int) -> None:
+def _fit_ensemble(t: Tournament, scored: DataFrame, rounds: int) -> None:
+    """Greedy weights from validation rows that already carry every member's prediction."""
     names = list(t.members)
     if not names:
         return
     t0 = time.time()
-    scored = member_columns(val, t, names).cache()
     if t.kind == "regression":
         g = gram_stats(scored, t.spec.target, [f"_p_{n}" for n in names])
         w, score = greedy_weights(lambda ws: r2_from_gram(g, ws), len(names), rounds)
     else:
         # each round scores all k candidate blends in one pass over the validation rows
         w, score = _greedy_classification(scored, t, names, rounds)
-    scored.unpersist()
     t.weights = {names[i]: v for i, v in w.items()}
     t.ensemble_score = score
     t.ensemble_fit_time = time.time() - t0

@@ -55,8 +55,15 @@ class Ingested:
 
 
 def ingest(df: DataFrame, target: str | None, date_col: str, tie_break, derived=(),
-           train: float = 0.70, val: float = 0.15) -> Ingested:
-    """Stage 1: P1 -> P2 -> A5 -> A1 (before de-dup) -> A3 -> P5 -> F1/P3/F5 -> W1 -> A21."""
+           train: float = 0.70, val: float = 0.15, handoff: str = "checkpoint") -> Ingested:
+    """Stage 1: P1 -> P2 -> A5 -> A1 (before de-dup) -> A3 -> P5 -> F1/P3/F5 -> W1 -> A21.
+
+    ``handoff="checkpoint"`` writes the labelled split to the cluster's
+    ``spark.checkpoint.dir`` (the reference writes its split files here):
+    later stages read it many times, and a lost executor then costs a re-read
+    instead of re-running de-duplication and ranking.  ``"persist"`` keeps it
+    in executor storage; ``"none"`` leaves it lazy.
+    """
     spark = df.sparkSession
     target = qual.resolve_target(df, target)
     df = qual.drop_null_target(df, target)
@@ -70,6 +77,10 @@ def ingest(df: DataFrame, target: str | None, date_col: str, tie_break, derived=
     elif date_col in cleaned.columns:
         cleaned = qual.drop_unparseable_dates(cleaned, date_col)
     split = chronological_split(cleaned, date_col, tie_break, train, val)
+    if handoff == "checkpoint":
+        split = split.checkpoint(eager=True)
+    elif handoff == "persist":
+        split = split.persist()
     counts = {r["split"]: r["count"] for r in split.groupBy("split").count().collect()}
     cols = [c for c in split.columns if c != "split"]
     report = _one_row(spark, {
