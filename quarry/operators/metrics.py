@@ -114,18 +114,21 @@ def per_class(conf: DataFrame) -> DataFrame:
     """Per class: support, tp, predicted, precision, recall, f1 (zero division -> 0).
 
     The class set is every label seen as truth or prediction, as in sklearn.
-    ``conf`` is the small confusion table.
+    Each confusion cell contributes to its true class (support, tp) and to its
+    predicted class (predicted): one explode and one aggregate, no joins.
     """
-    truth = conf.groupBy(F.col("label").alias("class_label")).agg(F.sum("n").alias("support"))
-    pred = conf.groupBy(F.col("prediction").alias("class_label")).agg(F.sum("n").alias("predicted"))
-    tp = conf.filter(F.col("label") == F.col("prediction")).select(
-        F.col("label").alias("class_label"), F.col("n").alias("tp"))
-    classes = truth.select("class_label").union(pred.select("class_label")).distinct()
-    t = (classes.join(truth, "class_label", "left").join(pred, "class_label", "left")
-                .join(tp, "class_label", "left")
-                .select("class_label",
-                        *[F.coalesce(F.col(c), F.lit(0)).alias(c)
-                          for c in ("support", "predicted", "tp")]))
+    n = F.col("n")
+    cells = F.array(
+        F.struct(F.col("label").alias("class_label"), n.alias("support"),
+                 F.lit(0).cast("long").alias("predicted"),
+                 F.when(F.col("label") == F.col("prediction"), n).otherwise(0).alias("tp")),
+        F.struct(F.col("prediction").alias("class_label"), F.lit(0).cast("long").alias("support"),
+                 n.alias("predicted"), F.lit(0).cast("long").alias("tp")))
+    t = (conf.select(F.explode(cells).alias("_c")).select("_c.*")
+             .filter(F.col("class_label").isNotNull())
+             .groupBy("class_label")
+             .agg(F.sum("support").alias("support"), F.sum("predicted").alias("predicted"),
+                  F.sum("tp").alias("tp")))
     precision = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(0.0)
     recall = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(0.0)
     t = t.withColumn("precision", precision).withColumn("recall", recall)

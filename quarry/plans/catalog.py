@@ -942,3 +942,32 @@ def q_ingestion_summary(spark, sf):
     rep = ingest(_t(spark, sf, "orders"), "o_totalprice", "o_orderdate", ["o_orderkey"]).report
     return rep.select("target_column", "problem_type", "total_rows_raw", "duplicate_rows_dropped",
                       "total_missing_values", "train_rows", "val_rows", "test_rows", "n_columns")
+
+
+@register("eda_summary", """
+WITH r AS (SELECT *, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS rk,
+                  count(*) OVER () AS n FROM orders),
+t AS (SELECT * FROM r WHERE rk <= floor(n * CAST(0.7 AS DOUBLE))),
+q AS (SELECT quantile_cont(o_orderkey, 0.25) AS k1, quantile_cont(o_orderkey, 0.75) AS k3,
+             quantile_cont(o_custkey, 0.25) AS c1, quantile_cont(o_custkey, 0.75) AS c3 FROM t)
+SELECT count(*) AS n_rows, CAST(2 AS INTEGER) AS n_numeric_features,
+       CAST(2 AS INTEGER) AS n_categorical_features,
+       (SELECT count(*) FROM t, q WHERE o_orderkey < k1 - 1.5 * (k3 - k1) OR o_orderkey > k3 + 1.5 * (k3 - k1))
+     + (SELECT count(*) FROM t, q WHERE o_custkey < c1 - 1.5 * (c3 - c1) OR o_custkey > c3 + 1.5 * (c3 - c1))
+       AS total_outliers_iqr,
+       round(avg(o_totalprice), 6) AS target_mean, round(stddev_samp(o_totalprice), 6) AS target_std,
+       round(quantile_cont(o_totalprice, 0.5), 6) AS target_median,
+       round(skewness(o_totalprice), 6) AS target_skew
+FROM t
+""")
+def q_eda_summary(spark, sf):
+    """Stage-2 report on the orders training split."""
+    from quarry.plans.stages import profile_train
+    orders = _t(spark, sf, "orders")
+    train = chronological_split(orders, "o_orderdate", ["o_orderkey"]).filter("split = 'train'")
+    rep = profile_train(train.drop("split"), "o_totalprice", with_charts=False).report
+    st = F.col("target_stats")
+    return rep.select("n_rows", "n_numeric_features", "n_categorical_features",
+                      "total_outliers_iqr",
+                      *[_r(st[k], 6).alias(k) for k in ("target_mean", "target_std",
+                                                         "target_median", "target_skew")])

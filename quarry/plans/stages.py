@@ -118,8 +118,12 @@ class Profiled:
     charts: dict
 
 
-def profile_train(train: DataFrame, target: str | None = None, exact: bool = True) -> Profiled:
-    """Stage 2 over the training rows: ID drop (may drop the target), moments, outliers."""
+def profile_train(train: DataFrame, target: str | None = None, exact: bool = True,
+                  with_charts: bool = True) -> Profiled:
+    """Stage 2 over the training rows: ID drop (may drop the target), moments, outliers.
+
+    ``with_charts`` also builds the chart-data tables (some need a range pass).
+    """
     spark = train.sparkSession
     roles = column_roles(train, None, exclude_target=False)
     df = train.drop(*roles.id_like) if roles.id_like else train
@@ -148,7 +152,7 @@ def profile_train(train: DataFrame, target: str | None = None, exact: bool = Tru
         "target_stats": stats, "class_counts": classes,
     }, EDA_SCHEMA)
     low = [c for c in categorical if c in roles.low_cardinality]
-    charts = prof.chart_tables(df, target, kind, numeric, categorical, low)
+    charts = prof.chart_tables(df, target, kind, numeric, categorical, low) if with_charts else {}
     return Profiled(report, moments, outliers, charts)
 
 
