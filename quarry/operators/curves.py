@@ -89,15 +89,15 @@ def average_precision(df: DataFrame, label, score, positive=1) -> DataFrame:
     return cum.agg((F.sum(F.col("pos") * precision) / F.first("P")).alias("average_precision"))
 
 
-def auc_one_vs_rest(df: DataFrame, label, class_scores: dict, max_classes: int = 12
-                    ) -> DataFrame:
+def auc_one_vs_rest(df: DataFrame, label, class_scores: dict) -> DataFrame:
     """Per class AUC of its score against the rest, plus the prevalence-weighted mean (M8).
 
-    ``class_scores`` maps a class value to its score column/expression.
-    Output: class_label, n_pos, prevalence, auc, weighted_auc.  All classes are
-    scored in one exploded pass grouped by class.
+    ``class_scores`` maps a class value to its score column/expression; every
+    class enters the weighted mean (the reference draws curves for the first
+    12 classes only - see :func:`roc_curves_by_class`).  Output: class_label,
+    n_pos, prevalence, auc, weighted_auc, from one exploded pass grouped by class.
     """
-    classes = list(class_scores)[:max_classes]
+    classes = list(class_scores)
     lab = _c(label).cast("string")
     entries = [F.struct(F.lit(str(k)).alias("class_label"),
                         (lab == F.lit(str(k))).cast("int").alias("_y"),
@@ -107,10 +107,28 @@ def auc_one_vs_rest(df: DataFrame, label, class_scores: dict, max_classes: int =
     cum = cumulative_counts(counts, ["class_label"])
     per = cum.groupBy("class_label").agg(F.first("P").alias("n_pos"), F.first("N").alias("_n_neg"),
                                          _auc_terms(cum).alias("auc"))
-    every = Window.partitionBy()  # at most ``max_classes`` rows
+    every = Window.partitionBy()  # one row per class
     per = per.withColumn("prevalence",
                          F.col("n_pos") / F.sum(F.col("n_pos") + F.col("_n_neg")).over(every))
     wavg = F.sum(F.col("auc") * F.col("n_pos")).over(every) / F.sum("n_pos").over(every)
     return per.withColumn("weighted_auc", wavg).select(
         "class_label", F.col("n_pos").cast("long").alias("n_pos"), "prevalence", "auc",
         "weighted_auc")
+
+
+def roc_curves_by_class(df: DataFrame, label, class_scores: dict, max_classes: int = 12
+                        ) -> DataFrame:
+    """One-vs-rest ROC points for the first ``max_classes`` classes (the chart data of M8).
+
+    Output: class_label, threshold, tpr, fpr.
+    """
+    classes = list(class_scores)[:max_classes]
+    lab = _c(label).cast("string")
+    entries = [F.struct(F.lit(str(k)).alias("class_label"),
+                        (lab == F.lit(str(k))).cast("int").alias("_y"),
+                        _c(class_scores[k]).cast("double").alias("_s")) for k in classes]
+    long = df.select(F.explode(F.array(*entries)).alias("_e")).select("_e.*")
+    cum = cumulative_counts(score_counts(long, "_y", "_s", group_cols=["class_label"]),
+                            ["class_label"])
+    return cum.select("class_label", F.col("score").alias("threshold"),
+                      (F.col("tps") / F.col("P")).alias("tpr"), (F.col("fps") / F.col("N")).alias("fpr"))

@@ -497,81 +497,29 @@ def band_avg(df: DataFrame, col: str, edges, value: str) -> DataFrame:
 
 # ---------------------------------------------------------------- sampling
 
-def hash_sample(df: DataFrame, key_cols, n: int, seed: int = 42) -> DataFrame:
-    """Reproducible sample of ``n`` rows: smallest ``xxhash64(keys, seed)``.
-
-    Planned as a top-k (each task keeps n rows), so the result does not
-    depend on partitioning; the whole table is returned when it has <= n rows.
+def hash_sample(df: DataFrame, key_cols, n: int, seed: int = 42, oversample: float = 1.5
+                ) -> DataFrame:
+    """Reproducible sample of ``n`` rows: the smallest ``xxhash64(keys, seed)``.
+
+    A plain ``orderBy(h).limit(n)`` would funnel n rows from every partition
+    into one task.  The 64-bit hash is uniform, so rows below a threshold
+    chosen for about ``oversample * n`` survivors are kept first; if fewer
+    than n survive the threshold doubles.  The n smallest hashes always lie
+    below any threshold that keeps at least n rows, so the result equals the
+    plain top-n.  The whole table is returned when it has <= n rows.
     """
     h = F.xxhash64(*[_q(c) for c in key_cols], F.lit(seed))
-    return df.withColumn("_q_h", h).orderBy("_q_h", *key_cols).limit(n).drop("_q_h")
-
-
-def histograms(df: DataFrame, cols, bins: int = 40) -> DataFrame:
-    """Equal-width histograms of several columns in one pass: (column_name, bin, bin_lo, bin_hi, n).
-
-    One aggregate finds every column's range (a few numbers per column to the
-    driver); the values are then unpivoted, binned and counted in one grouped
-    aggregation.  Constant columns are widened by 0.5 on each side.
-    """
-    cols = list(cols)
-    row = df.agg(*[F.min(_clean(c)).alias(f"lo{i}") for i, c in enumerate(cols)],
-                 *[F.max(_clean(c)).alias(f"hi{i}") for i, c in enumerate(cols)]).first()
-    ranges = {}
-    for i, c in enumerate(cols):
-        lo, hi = row[f"lo{i}"], row[f"hi{i}"]
-        if lo is None:
-            continue
-        ranges[c] = (lo - 0.5, hi + 0.5) if lo == hi else (lo, hi)
-    if not ranges:
-        return df.sparkSession.createDataFrame(
-            [], "column_name string, bin int, bin_lo double, bin_hi double, n bigint")
-    long = to_long(df, list(ranges))
-    lo_map = F.create_map(*[x for c, (lo, _) in ranges.items() for x in (F.lit(c), F.lit(lo))])
-    hi_map = F.create_map(*[x for c, (_, hi) in ranges.items() for x in (F.lit(c), F.lit(hi))])
-    lo, hi = F.element_at(lo_map, F.col("column_name")), F.element_at(hi_map, F.col("column_name"))
-    b = F.least(F.floor((F.col("value") - lo) * F.lit(float(bins)) / (hi - lo)) + 1,
-                F.lit(bins)).cast("int")
-    counts = long.groupBy("column_name", b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    step = (hi - lo) / F.lit(float(bins))
-    return counts.select("column_name", "bin", (lo + (F.col("bin") - 1) * step).alias("bin_lo"),
-                         (lo + F.col("bin") * step).alias("bin_hi"), "n")
-
-
-def chart_tables(df: DataFrame, target: str, kind: str, numeric, categorical,
-                 low_cardinality) -> dict[str, DataFrame]:
-    """The data behind each profile chart, with the reference's positional caps (L4).
-
-    target distribution (50 bins / class counts), first 20 numeric features
-    (40 bins), first 16 categorical columns (top 15 values), top-8 target
-    correlations, first 6 low-cardinality columns against the target (box
-    data for regression, row-normalised cross-tabs for classification).
-    """
-    out: dict[str, DataFrame] = {}
-    if kind == "regression":
-        out["target_histogram"] = histogram(df, target, 50)
-        out["target_box"] = box_stats(df, target)
-    else:
-        out["class_counts"] = class_counts(df, target)
-    feats = [c for c in numeric if c != target][:20]
-    if feats:
-        out["feature_histograms"] = histograms(df, feats, 40)
-        if kind == "regression":
-            out["target_corr"] = target_corr(df, feats, target, 8)
-    if categorical:
-        out["value_counts"] = value_counts(df, list(categorical)[:16], 15)
-    frames = []
-    for c in list(low_cardinality)[:6]:
-        if kind == "regression":
-            frames.append(box_stats(df, target, [c]).select(
-                F.lit(c).alias("column_name"), F.col(c).cast("string").alias("group_value"),
-                *[x for x in ("n", "min", "max", "q1", "median", "q3", "lower_whisker",
-                              "upper_whisker", "n_outliers")]))
-        else:
-            frames.append(crosstab_norm(df, c, target).select(F.lit(c).alias("column_name"), "*"))
-    if frames:
-        merged = frames[0]
-        for f in frames[1:]:
-            merged = merged.unionByName(f)
-        out["category_vs_target"] = merged
-    return out
+    hashed = df.withColumn("_q_h", h)
+    total = df.count()
+    if total <= n:
+        return df
+    frac = oversample * n / total
+    cand = hashed
+    while frac < 1.0:
+        threshold = -(2 ** 63) + int(frac * 2 ** 64)
+        trial = hashed.filter(F.col("_q_h") < F.lit(threshold))
+        if trial.count() >= n:
+            cand = trial
+            break
+        frac *= 2
+    return cand.orderBy("_q_h", *key_cols).limit(n).drop("_q_h")

@@ -35,3 +35,11 @@ def test_box_whiskers(spark):
     df = spark.createDataFrame([("k", v) for v in vals], "g string, v double")
     r = prof.box_stats(df, "v", ["g"]).first()
     assert r["upper_whisker"] == 5.0 and r["lower_whisker"] == 1.0 and r["n_outliers"] == 1
+
+
+def test_hash_sample_equals_plain_top_n(spark):
+    o = spark.read.parquet("/root/testdata/sf0.01/orders.parquet")
+    got = {r["o_orderkey"] for r in prof.hash_sample(o, ["o_orderkey"], 300).collect()}
+    h = F.xxhash64("o_orderkey", F.lit(42))
+    ref = {r["o_orderkey"] for r in o.orderBy(h, "o_orderkey").limit(300).collect()}
+    assert got == ref and len(got) == 300

@@ -41,3 +41,13 @@ def test_batch_read_is_text_and_fallback(spark):
     got = read_with_fallback(spark, [os.path.join(d, "missing.csv"), p], fmt="csv", header=True)
     assert got.count() == 2
     assert read_with_fallback(spark, [os.path.join(d, "nope")], optional=True) is None
+
+
+def test_bounded_read_equals_plain_top_n(spark):
+    from pyspark.sql import functions as F
+
+    from quarry.sources.delimited import bounded_read
+    o = spark.read.parquet("/root/testdata/sf0.01/orders.parquet")
+    got = [r["o_orderkey"] for r in bounded_read(o, ["o_orderdate", "o_orderkey"], 500).collect()]
+    ref = [r["o_orderkey"] for r in o.orderBy("o_orderdate", "o_orderkey").limit(500).collect()]
+    assert got == ref
