@@ -26,6 +26,9 @@ from quarry.session import shuffle_partitions
 
 _PID = "_q_pid"
 _MID = "_q_mid"
+# Last tie-break: the input row id, so the range key is unique and even a
+# key repeated on a third of all rows is cut across partitions.
+_ROW = "_q_rowid"
 
 
 def _sort_keys(cols, descending: bool) -> list[Column]:
@@ -79,14 +82,15 @@ def global_rank(df: DataFrame, order_cols, tie_break=(), rank_col: str = "_rank"
     Equals ``row_number() over (order by order_cols, tie_break)`` when the
     combined key is unique.  ``total_col`` optionally carries the row count.
     """
-    keys = _sort_keys(list(order_cols) + list(tie_break), descending)
-    ranged = _ranged(df, keys, num_partitions, materialize)
+    keys = _sort_keys(list(order_cols) + list(tie_break), descending) + [F.col(_ROW)]
+    ranged = _ranged(df.withColumn(_ROW, F.monotonically_increasing_id()), keys,
+                     num_partitions, materialize)
     offsets = _partition_offsets(ranged)
     out = (ranged.join(F.broadcast(offsets), _PID)
                  .withColumn(rank_col, F.col("_q_off") + (F.col(_MID) - F.col("_q_mid0")) + 1))
     if total_col:
         out = out.withColumn(total_col, F.col("_q_ntot"))
-    return out.drop(_PID, _MID, "_q_mid0", "_q_cnt", "_q_off", "_q_ntot")
+    return out.drop(_PID, _MID, _ROW, "_q_mid0", "_q_cnt", "_q_off", "_q_ntot")
 
 
 def running_totals(df: DataFrame, order_cols, sums: dict[str, Column], tie_break=(),
@@ -100,8 +104,8 @@ def running_totals(df: DataFrame, order_cols, sums: dict[str, Column], tie_break
     :func:`global_rank`.  Columns ``<name>`` hold the running sums and
     ``<name>_total`` the totals over the whole table.
     """
-    keys = _sort_keys(list(order_cols) + list(tie_break), descending)
-    ranged = df
+    keys = _sort_keys(list(order_cols) + list(tie_break), descending) + [F.col(_ROW)]
+    ranged = df.withColumn(_ROW, F.monotonically_increasing_id())
     for name, expr in sums.items():
         ranged = ranged.withColumn(f"_q_v_{name}", expr.cast("double"))
     ranged = _ranged(ranged, keys, num_partitions, materialize)

@@ -57,3 +57,13 @@ def test_split_is_ordered_in_time(spark):
     r = {x["split"]: x for x in b.collect()}
     assert r["train"]["hi"] <= r["val"]["lo"] and r["val"]["hi"] <= r["test"]["lo"]
     assert s.count() == o.count()
+
+
+def test_duplicate_keys_without_tie_break_are_spread(spark):
+    # a third of the rows share one key and nothing breaks the tie
+    df = spark.createDataFrame([(0 if i % 3 == 0 else i,) for i in range(9000)], "k long")
+    ranked = global_rank(df, ["k"], rank_col="r", num_partitions=8)
+    sizes = [r["n"] for r in ranked.groupBy(F.spark_partition_id().alias("p"))
+             .agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert max(sizes) < 9000 / 8 * 2
+    assert sorted(r["r"] for r in ranked.select("r").collect()) == list(range(1, 9001))
