@@ -186,7 +186,6 @@ def moments(df: DataFrame, cols, with_median: bool = True, exact_median: bool =
     exact), and are rounded to ``digits`` like the reference table.
     """
     cols = list(cols)
-    spark = df.sparkSession
     first = df.agg(*[F.count(_clean(c)).alias(f"n{i}") for i, c in enumerate(cols)],
                    *[F.avg(_clean(c)).alias(f"m{i}") for i, c in enumerate(cols)],
                    *[(F.min(_clean(c)) == F.max(_clean(c))).alias(f"k{i}")

@@ -23,9 +23,6 @@ from quarry.operators.columns import (column_roles, problem_type, prune_columns,
                                       type_partition)
 from quarry.operators.ordering import chronological_split
 
-SPLITS = ("train", "val", "test")
-
-
 def _one_row(spark, fields: dict, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([tuple(fields[f.name] for f in schema.fields)], schema)
 

@@ -1,6 +1,5 @@
 """Property checks with generated data: ranks, running totals, AUC."""
 
-import numpy as np
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

@@ -44,8 +44,6 @@ def test_batch_read_is_text_and_fallback(spark):
 
 
 def test_bounded_read_equals_plain_top_n(spark):
-    from pyspark.sql import functions as F
-
     from quarry.sources.delimited import bounded_read
     o = spark.read.parquet("/root/testdata/sf0.01/orders.parquet")
     got = [r["o_orderkey"] for r in bounded_read(o, ["o_orderdate", "o_orderkey"], 500).collect()]

@@ -1,6 +1,5 @@
 """The semantic traps listed in the blueprint, each on a tiny inline frame."""
 
-import math
 
 import numpy as np
 import pandas as pd
