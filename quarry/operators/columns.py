@@ -14,8 +14,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BooleanType, ByteType, DecimalType, DoubleType, FloatType,
-                               IntegerType, LongType, ShortType, StringType)
+from pyspark.sql.types import (ArrayType, BooleanType, ByteType, DecimalType, DoubleType,
+                               FloatType, IntegerType, LongType, MapType, ShortType, StringType,
+                               StructType)
 
 from quarry.operators.ordering import global_rank
 
@@ -115,7 +116,10 @@ def column_roles(df: DataFrame, target: str | None = None, order_cols=(), tie_br
       ``min(c - r) = max(c - r)``, an aggregate instead of a global lag.
     * low cardinality: categorical with at most ``threshold`` distinct values.
     """
-    cols = [c for c in df.columns if not (exclude_target and c == target)]
+    schema_types = {f.name: f.dataType for f in df.schema.fields}
+    # atomic columns only: arrays, maps and structs get no role (kind "other")
+    cols = [c for c in df.columns if not (exclude_target and c == target)
+            and not isinstance(schema_types[c], (ArrayType, MapType, StructType))]
     numeric, categorical = type_partition(df, target if exclude_target else None)
     stats = df.agg(
         F.count(F.lit(1)).alias("_n"),

@@ -971,3 +971,56 @@ def q_eda_summary(spark, sf):
                       "total_outliers_iqr",
                       *[_r(st[k], 6).alias(k) for k in ("target_mean", "target_std",
                                                          "target_median", "target_skew")])
+
+
+_BLEND = {"p_low": "l_quantity * CAST(1000 AS DOUBLE)",
+          "p_mid": "l_quantity * CAST(1400 AS DOUBLE) + CAST(200 AS DOUBLE)",
+          "p_high": "l_quantity * CAST(1800 AS DOUBLE) - CAST(300 AS DOUBLE)"}
+_BLEND_W = {"p_low": 0.5, "p_mid": 0.3, "p_high": 0.2}
+
+
+@register("ensemble_blend_r2", f"""
+WITH d AS (SELECT l_extendedprice AS y,
+                  {' + '.join(f"CAST({w} AS DOUBLE) * ({_BLEND[k]})" for k, w in _BLEND_W.items())} AS p
+           FROM lineitem),
+a AS (SELECT sum((y - p) * (y - p)) AS sse, var_pop(y) * count(y) AS sst FROM d)
+SELECT round(1 - sse / sst, 9) AS r2 FROM a
+""")
+def q_ensemble_blend_r2(spark, sf):
+    """R^2 of a fixed blend from the one-pass Gram statistics (the T6 search's only data pass)."""
+    li = _t(spark, sf, "lineitem").select(
+        "l_extendedprice", (F.col("l_quantity") * 1000.0).alias("p_low"),
+        (F.col("l_quantity") * 1400.0 + 200.0).alias("p_mid"),
+        (F.col("l_quantity") * 1800.0 - 300.0).alias("p_high"))
+    names = list(_BLEND_W)
+    g = mdl.gram_stats(li, "l_extendedprice", names)
+    r2 = mdl.r2_from_gram(g, [_BLEND_W[k] for k in names])
+    # one-row result built from the aggregate; rounded like the SQL
+    return spark.createDataFrame([(round(r2, 9),)], "r2 double")
+
+
+@register("bounded_read", """
+SELECT * FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 10000
+""")
+def q_bounded_read(spark, sf):
+    """First 10,000 records in date order (S3: the reference's bounded sample read)."""
+    from quarry.sources.delimited import bounded_read
+    return bounded_read(_t(spark, sf, "orders"), ["o_orderdate", "o_orderkey"], 10_000)
+
+
+@register("drop_empty_columns", f"""
+SELECT l_returnflag, l_linestatus, l_quantity, l_discount, l_tax FROM ({_QUALITY_FIXTURE_SQL})
+""")
+def q_drop_empty_columns(spark, sf):
+    """Fully-null columns removed (P5): the injected all-null column disappears."""
+    return qual.drop_empty_columns(_quality_fixture(spark, sf))
+
+
+@register("preview", """
+SELECT * FROM lineitem ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate LIMIT 5
+""")
+def q_preview(spark, sf):
+    """Head of a table in a stated order."""
+    from quarry.operators.features import preview
+    return preview(_t(spark, sf, "lineitem"),
+                   ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"], 5)

@@ -67,3 +67,11 @@ def test_duplicate_keys_without_tie_break_are_spread(spark):
              .agg(F.count(F.lit(1)).alias("n")).collect()]
     assert max(sizes) < 9000 / 8 * 2
     assert sorted(r["r"] for r in ranked.select("r").collect()) == list(range(1, 9001))
+
+
+def test_roles_skip_array_columns(spark):
+    from quarry.operators.columns import column_roles, roles_frame
+    emb = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    roles = column_roles(emb, None, ["vec_id"])
+    kinds = {r["column_name"]: r["kind"] for r in roles_frame(emb, roles).collect()}
+    assert kinds["embedding"] == "other" and "vec_id" in roles.sequence or kinds["vec_id"] == "numeric"
