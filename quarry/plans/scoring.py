@@ -20,10 +20,13 @@ class MissingColumns(ValueError):
 
 
 def score_batch(df: DataFrame, t: mdl.Tournament, target: str, keys=(), required=None,
-                int_cols=(), float_cols=(), digits: int = 2) -> DataFrame:
+                int_cols=(), float_cols=(), digits: int = 2, sort: bool = True) -> DataFrame:
     """Score a batch with the tournament's best model.
 
     Raises :class:`MissingColumns` listing required names that are absent.
+    With ``sort`` the rows come highest prediction first (L2).  A range sort
+    samples its input before shuffling, which would run every model twice, so
+    the scored rows are persisted first and both passes read that copy.
     """
     required = list(required or (t.spec.numeric + t.spec.categorical))
     missing = missing_required(df, required)
@@ -33,7 +36,10 @@ def score_batch(df: DataFrame, t: mdl.Tournament, target: str, keys=(), required
     pred_col = f"Predicted_{target}"
     scored = mdl.predict(typed, t, out_col="_q_pred")
     scored = scored.withColumn(pred_col, round_half_even(F.col("_q_pred"), digits)).drop("_q_pred")
-    return reorder(scored, [pred_col, *keys]).orderBy(F.desc(pred_col), *keys)
+    scored = reorder(scored, [pred_col, *keys])
+    if not sort:
+        return scored
+    return scored.persist().orderBy(F.desc(pred_col), *keys)
 
 
 def batch_summary(scored: DataFrame, pred_col: str) -> DataFrame:
