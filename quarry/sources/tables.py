@@ -1,4 +1,4 @@
-"""Parquet table access for the driver-provided fixtures and any warehouse folder."""
+"""Parquet table access for the driver-provided fixtures and any table folder."""
 
 from __future__ import annotations
 
@@ -17,7 +17,7 @@ def table(spark: SparkSession, root: str, name: str, spread: bool = False) -> Da
     (one large file with a single row group, as in the fixtures) would run
     every fused stage above the scan in one task; ``spread`` then adds one
     round-robin exchange to use every core.  Catalyst still pushes filters and
-    column pruning below it, and on a real warehouse (many files and row
+    column pruning below it, and on a production table (many files and row
     groups) the check leaves the scan untouched.  Off by default: measured on
     the fixtures, the exchange (a local sort keeps round-robin deterministic)
     costs more than light aggregations gain; heavy operators partition their
