@@ -10,9 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed values of the reference: peak months and the scoring-form weekend days.
-PEAK_MONTHS = (5, 6, 7, 12)
-WEEKEND_DAYS_FORM = ("Friday", "Saturday")
+from quarry.constants import PEAK_MONTHS, WEEKEND_DAYS_FORM  # noqa: F401  (fixed values)
 
 
 def _c(col) -> Column:

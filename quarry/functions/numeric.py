@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MINUTES_PER_DAY = 1440
+from quarry.constants import MINUTES_PER_DAY  # noqa: E402
 
 
 def _c(col) -> Column:

@@ -22,7 +22,7 @@ from quarry.operators.ordering import global_rank
 
 INTEGRAL = (ByteType, ShortType, IntegerType, LongType)
 NUMERIC = INTEGRAL + (FloatType, DoubleType, DecimalType)
-LOW_CARD_THRESHOLD = 15
+from quarry.constants import LOW_CARD_THRESHOLD  # noqa: E402
 
 
 def _q(name: str):

@@ -14,7 +14,7 @@ from quarry.functions.coerce import clean_string, to_double_or_null, to_int_or_z
 from quarry.functions.numeric import floor_ratio_at_least_one
 from quarry.operators.joins import dim_lookup
 
-LABEL_SEPARATOR = " — "
+from quarry.constants import LABEL_SEPARATOR  # noqa: E402
 
 
 def _q(name: str) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.numeric import circular_add, circular_diff
 
-NONZERO_EPS = 1e-6
+from quarry.constants import MAPE_NONZERO as NONZERO_EPS  # noqa: E402
 
 
 def _c(col) -> Column:

@@ -250,3 +250,39 @@ def evaluate(split: DataFrame, t: mdl.Tournament) -> DataFrame:
                                               for k, v in metrics.items()},
     }, EVAL_SCHEMA)
     return report
+
+
+# ---------------------------------------------------------------- all stages
+
+def run_all(df: DataFrame, target: str, date_col: str, tie_break, key_cols, out_dir: str,
+            explicit_drops=(), folds: int = 3, budget_s: float | None = None,
+            exclude=()) -> dict[str, DataFrame]:
+    """Stages 1-5 in order, each report and table written under ``out_dir``.
+
+    Outputs: ``ingestion`` / ``eda`` / ``preparation`` / ``evaluation``
+    reports (JSON), ``splits`` (parquet partitioned by split), the
+    ``skew_kurtosis`` and ``leaderboard`` tables (CSV) and the saved ``model``.
+    A failing stage raises and stops the run, like the reference's runner.
+    """
+    from quarry.operators.modeling import save
+    from quarry.sources.sinks import write_report, write_splits, write_table
+
+    ing = ingest(df, target, date_col, tie_break)
+    write_report(ing.report, f"{out_dir}/ingestion")
+    write_splits(ing.split, f"{out_dir}/splits")
+    train = ing.split.filter(F.col("split") == "train").drop("split")
+    prof_out = profile_train(train, ing.target, with_charts=False)
+    write_report(prof_out.report, f"{out_dir}/eda")
+    if prof_out.skew_kurtosis is not None:
+        write_table(prof_out.skew_kurtosis.select("column_name", "skewness", "kurtosis"),
+                    f"{out_dir}/skew_kurtosis")
+    prep_report, pruned = prepare(ing.split, ing.target, explicit_drops, [date_col], tie_break)
+    write_report(prep_report, f"{out_dir}/preparation")
+    t, board = train_models(pruned, ing.target, key_cols, exclude=tuple(exclude) + (date_col,),
+                            folds=folds, budget_s=budget_s)
+    write_table(board, f"{out_dir}/leaderboard")
+    save(t, f"{out_dir}/model", df.sparkSession)
+    ev = evaluate(pruned, t)
+    write_report(ev, f"{out_dir}/evaluation")
+    return {"ingestion": ing.report, "eda": prof_out.report, "preparation": prep_report,
+            "leaderboard": board, "evaluation": ev}

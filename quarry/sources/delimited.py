@@ -10,9 +10,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-# Fixed values of the reference: encodings (outer loop) and separators tried.
-ENCODINGS = ("utf-8", "latin-1", "cp1252")
-SEPARATORS = (",", ";", "\t", "|")
+from quarry.constants import ENCODINGS, SEPARATORS  # fixed values: encodings (outer loop), separators
 REPLACEMENT_CHAR = "�"
 # Spark's CSV reader takes Java charset names.
 JAVA_CHARSETS = {"utf-8": "utf-8", "latin-1": "iso-8859-1", "cp1252": "windows-1252"}

@@ -22,3 +22,21 @@ def test_ingest_profile_prepare(spark):
     report, pruned = prepare(ing.split, "o_totalprice", order_cols=["o_orderdate"],
                              tie_break=["o_orderkey"])
     assert "split" in pruned.columns and report.first()["train_rows"] == rep["train_rows"]
+
+
+def test_run_all_writes_every_output(spark):
+    import os
+    import tempfile
+
+    from quarry.plans.stages import run_all
+    out = tempfile.mkdtemp(prefix="quarry-run-")
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    res = run_all(orders, "o_totalprice", "o_orderdate", ["o_orderkey"], ["o_orderkey"], out,
+                  folds=2)
+    for name in ("ingestion", "eda", "preparation", "evaluation", "splits", "leaderboard", "model"):
+        assert os.path.exists(os.path.join(out, name)), name
+    ev = res["evaluation"].first()
+    assert ev["test_rows"] == res["ingestion"].first()["test_rows"]
+    assert set(ev["metrics"]) >= {"rmse", "mae", "mse", "r2_score", "adjusted_r2", "mape"}
+    assert spark.read.parquet(os.path.join(out, "splits")).filter("split = 'test'").count() \
+        == ev["test_rows"]
