@@ -142,6 +142,7 @@ class Member:
     pred_time_val: float = 0.0
     score_val: float | None = None
     fit_order: int = 0
+    level: int = 1
 
 
 @dataclass
@@ -155,6 +156,7 @@ class Tournament:
     ensemble_score: float | None = None
     ensemble_fit_time: float = 0.0
     ensemble_pred_time: float = 0.0
+    l1_names: list[str] = field(default_factory=list)
 
     @property
     def best(self) -> str:
@@ -175,9 +177,42 @@ def _label_frame(df: DataFrame, t: Tournament) -> DataFrame:
                          .cast("double"))
 
 
+def l1_columns(t: Tournament, name: str) -> list[str]:
+    """Feature columns a level-2 model reads from level-1 member ``name`` (T5)."""
+    if t.kind == "regression":
+        return [f"_l1_{name}"]
+    return [f"_l1_{name}_{i}" for i in range(len(t.labels))]
+
+
+def _flatten_l1(df: DataFrame, t: Tournament, name: str) -> DataFrame:
+    cols = l1_columns(t, name)
+    if t.kind == "regression":
+        return df.withColumn(cols[0], F.col(f"_p_{name}"))
+    return df.withColumns({c: F.col(f"_p_{name}")[i] for i, c in enumerate(cols)})
+
+
+def _ensure_l1(df: DataFrame, t: Tournament) -> DataFrame:
+    """Add the level-1 feature columns, reusing ``_p_`` columns already present."""
+    for n in t.l1_names:
+        if all(c in df.columns for c in l1_columns(t, n)):
+            continue
+        added = f"_p_{n}" not in df.columns
+        if added:
+            df = member_columns(df, t, [n])
+        df = _flatten_l1(df, t, n)
+        if added:
+            df = df.drop(f"_p_{n}")
+    return df
+
+
 def member_columns(df: DataFrame, t: Tournament, names) -> DataFrame:
-    """Append ``_p_<name>`` per member (regression value, or probability array)."""
+    """Append ``_p_<name>`` per member (regression value, or probability array).
+
+    Level-2 members first get their level-1 feature columns (T5).
+    """
     out = df
+    if any(t.members[n].level > 1 for n in names):
+        out = _ensure_l1(out, t)
     for name in names:
         m = t.members[name]
         parts = []
@@ -258,12 +293,15 @@ def _score(df: DataFrame, t: Tournament, pred: Column) -> float:
 def run_tournament(train: DataFrame, val: DataFrame, target: str, kind: str, key_cols,
                    folds: int = 3, pool: dict | None = None, budget_s: float | None = None,
                    exclude=(), ensemble_rounds: int = 25, seed: int = 42,
-                   parallelism: int = 8, rows_per_partition: int = 250_000) -> Tournament:
+                   parallelism: int = 8, rows_per_partition: int = 250_000,
+                   stack_levels: int = 1) -> Tournament:
     """Fit the pool on ``train`` (bagged), score on ``val``, build the weighted ensemble.
 
     ``budget_s`` stops starting new fits once exceeded (a member enters the
     board only with all its folds).  The labelled training frame is cached once
     and reused by every fit; up to ``parallelism`` fits run as concurrent jobs.
+    ``stack_levels=2`` adds a second bagged pool fed with out-of-fold level-1
+    predictions (T5; unset in the reference configuration, so off by default).
     """
     spec = feature_spec(train, target, kind, exclude=tuple(exclude))
     labels = None
@@ -279,10 +317,32 @@ def run_tournament(train: DataFrame, val: DataFrame, target: str, kind: str, key
     base = _label_frame(train, t).filter(F.col("_label").isNotNull()).withColumn("_fold", fold)
     base = base.repartition(_partitions_for(base, rows_per_partition)).cache()
     started = time.time()
+    t.members.update(_fit_pool(base, spec, pool, kind, folds, parallelism, budget_s, started))
+    if stack_levels >= 2 and folds >= 2 and t.members:
+        # level 2: the pool again, with out-of-fold level-1 predictions as extra features
+        t.l1_names = list(t.members)
+        oof = _oof_features(base, t, folds)
+        l1_feats = [c for n in t.l1_names for c in l1_columns(t, n)]
+        spec2 = FeatureSpec(spec.numeric + l1_feats, spec.categorical, target, kind)
+        base2 = oof.repartition(_partitions_for(oof, rows_per_partition)).cache()
+        t.members.update(_fit_pool(base2, spec2, pool, kind, folds, parallelism, budget_s,
+                                   started, suffix="_l2", level=2, first_order=len(t.members)))
+        base2.unpersist()
+    base.unpersist()
+    scored = _score_members(t, val)
+    _fit_ensemble(t, scored, ensemble_rounds)
+    scored.unpersist()
+    return t
+
+
+def _fit_pool(base: DataFrame, spec: FeatureSpec, pool: dict, kind: str, folds: int,
+              parallelism: int, budget_s: float | None, started: float, suffix: str = "",
+              level: int = 1, first_order: int = 0) -> dict[str, Member]:
+    """Fit every (model, fold) pair as concurrent Spark jobs; complete members only."""
     jobs = []
-    for order, (name, (factory, one_hot)) in enumerate(pool.items(), start=1):
+    for order, (name, (factory, one_hot)) in enumerate(pool.items(), start=first_order + 1):
         for j in range(folds):
-            jobs.append((order, name, factory, one_hot, j))
+            jobs.append((order, name + suffix, factory, one_hot, j))
 
     def fit_one(job):
         order, name, factory, one_hot, j = job
@@ -299,19 +359,32 @@ def run_tournament(train: DataFrame, val: DataFrame, target: str, kind: str, key
     # fits are independent Spark jobs; running a few at once keeps executors busy
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool_exec:
         results = list(pool_exec.map(fit_one, jobs))
+    members: dict[str, Member] = {}
     for order, name, _f, _o, _j in jobs:
-        if name in t.members:
+        if name in members:
             continue
         fitted = [(r[0][4], r[1], r[2]) for r in results if r[0][1] == name and r[1] is not None]
         if len(fitted) == folds:
             fitted.sort(key=lambda x: x[0])
-            t.members[name] = Member(name, [m for _, m, _ in fitted], sum(x[2] for x in fitted),
-                                     fit_order=order)
-    base.unpersist()
-    scored = _score_members(t, val)
-    _fit_ensemble(t, scored, ensemble_rounds)
-    scored.unpersist()
-    return t
+            members[name] = Member(name, [m for _, m, _ in fitted], sum(x[2] for x in fitted),
+                                   fit_order=order, level=level)
+    return members
+
+
+def _oof_features(base: DataFrame, t: Tournament, folds: int) -> DataFrame:
+    """Training rows with out-of-fold level-1 predictions: fold j is scored by the
+    models that did not see it, so level 2 learns from honest predictions."""
+    parts = []
+    for j in range(folds):
+        part = base.filter(F.col("_fold") == j)
+        for n in t.l1_names:
+            part = _transform_to(part, t.members[n].fold_models[j], t, f"_p_{n}")
+            part = _flatten_l1(part, t, n).drop(f"_p_{n}")
+        parts.append(part)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def _partitions_for(df: DataFrame, rows_per_partition: int) -> int:
@@ -475,13 +548,14 @@ def leaderboard(t: Tournament) -> list[tuple]:
     rows = []
     for n, m in t.members.items():
         rows.append((f"{n}_bag", m.score_val, t.eval_metric, m.pred_time_val, m.fit_time,
-                     m.pred_time_val, m.fit_time, 1, True, m.fit_order))
+                     m.pred_time_val, m.fit_time, m.level, True, m.fit_order))
     if t.weights:
         used = [t.members[n] for n in t.weights]
+        top = max(m.level for m in t.members.values()) + 1
         rows.append(("weighted_ensemble", t.ensemble_score, t.eval_metric,
                      sum(m.pred_time_val for m in used) + t.ensemble_pred_time,
                      sum(m.fit_time for m in used) + t.ensemble_fit_time,
-                     t.ensemble_pred_time, t.ensemble_fit_time, 2, True, len(t.members) + 1))
+                     t.ensemble_pred_time, t.ensemble_fit_time, top, True, len(t.members) + 1))
     return sorted(rows, key=lambda r: (-(r[1] if r[1] is not None else float("-inf")), r[9]))
 
 
@@ -505,7 +579,7 @@ def predict(df: DataFrame, t: Tournament, model: str | None = None, out_col: str
     value = blend(t, weights)
     if t.kind != "regression":
         value = argmax_label(value, t.labels)
-    drop = [f"_p_{n}" for n in weights]
+    drop = [f"_p_{n}" for n in weights] + [c for c in scored.columns if c.startswith("_l1_")]
     return scored.withColumn(out_col, value).drop(*drop)
 
 
@@ -518,31 +592,40 @@ def predict_proba(df: DataFrame, t: Tournament, model: str | None = None, prefix
     weights = t.weights if name == "weighted_ensemble" else {name: 1.0}
     scored = member_columns(df, t, list(weights)).withColumn("_q_prob", blend(t, weights))
     cols = {f"{prefix}{lbl}": F.col("_q_prob")[i] for i, lbl in enumerate(t.labels)}
-    return scored.withColumns(cols).drop("_q_prob", *[f"_p_{n}" for n in weights])
+    l1 = [c for c in scored.columns if c.startswith("_l1_")]
+    return scored.withColumns(cols).drop("_q_prob", *[f"_p_{n}" for n in weights], *l1)
 
 
 # ---------------------------------------------------------------- S10 persistence
 
 def save(t: Tournament, path: str, spark) -> None:
-    """Persist members with non-zero weight (or the best single member) and the weights."""
-    keep = list(t.weights) if t.best == "weighted_ensemble" else [t.best]
+    """Persist the best model: the ensemble's members with non-zero weight, or the best
+    single member with weight 1 (plus the level-1 members a level-2 member reads)."""
+    weights = dict(t.weights) if t.best == "weighted_ensemble" else {t.best: 1.0}
+    keep = list(weights)
+    if any(t.members[n].level > 1 for n in keep):
+        keep += [n for n in t.l1_names if n not in keep]   # level 2 reads level-1 outputs
     for n in keep:
         for j, model in enumerate(t.members[n].fold_models):
             model.write().overwrite().save(f"{path}/{n}/fold{j}")
-    meta = [(n, float(t.weights.get(n, 1.0 if n == t.best else 0.0)), len(t.members[n].fold_models))
+    meta = [(n, float(weights.get(n, 0.0)), len(t.members[n].fold_models), t.members[n].level)
             for n in keep]
-    spark.createDataFrame(meta, "member string, weight double, folds int") \
+    spark.createDataFrame(meta, "member string, weight double, folds int, level int") \
          .coalesce(1).write.mode("overwrite").json(f"{path}/_weights")
 
 
 def load(path: str, spark, template: Tournament) -> Tournament:
-    """Reload a saved tournament; ``template`` supplies the feature spec and labels."""
+    """Reload a saved model; ``template`` supplies the kind, feature spec and labels.
+
+    The reloaded tournament predicts with the saved weights (its ``best`` is the blend).
+    """
     meta = spark.read.json(f"{path}/_weights").collect()
     t = Tournament(template.kind, template.eval_metric, template.spec, template.labels)
     for r in meta:
         models = [PipelineModel.load(f"{path}/{r['member']}/fold{j}") for j in range(r["folds"])]
-        t.members[r["member"]] = Member(r["member"], models, 0.0)
-    if len(meta) > 1 or (meta and meta[0]["weight"] != 1.0):
-        t.weights = {r["member"]: r["weight"] for r in meta}
-        t.ensemble_score = float("inf")
+        t.members[r["member"]] = Member(r["member"], models, 0.0, level=r["level"])
+    if any(r["level"] > 1 for r in meta):
+        t.l1_names = [r["member"] for r in meta if r["level"] == 1]
+    t.weights = {r["member"]: r["weight"] for r in meta if r["weight"] > 0}
+    t.ensemble_score = float("inf")
     return t

@@ -83,3 +83,28 @@ def test_greedy_weights_pick_the_better_predictor(spark):
                                "y double, good double, bad double")
     w, score = mdl.ensemble_from_predictions(df, "y", ["good", "bad"])
     assert w.get("good", 0) > 0.9 and score > 0.99
+
+
+def test_stack_level_two_and_save_load(spark, tmp_path_factory):
+    li = spark.read.parquet(f"{SF}/lineitem.parquet")
+    split = chronological_split(li, "l_shipdate", ["l_orderkey", "l_linenumber"]).cache()
+    train = split.filter("split = 'train'").drop("split")
+    val = split.filter("split = 'val'").drop("split")
+    test = split.filter("split = 'test'").drop("split")
+    pool = {"linear": mdl.model_pool("regression")["linear"]}
+    t = mdl.run_tournament(train, val, "l_extendedprice", "regression",
+                           ["l_orderkey", "l_linenumber"], folds=2, pool=pool,
+                           exclude=("l_orderkey", "l_shipdate"), stack_levels=2)
+    assert {m.level for m in t.members.values()} == {1, 2} and t.l1_names == ["linear"]
+    board = mdl.leaderboard(t)
+    assert {r[7] for r in board} == {1, 2, 3}
+    before = mdl.predict(test, t, model="linear_l2").select("prediction").collect()
+    assert len(before) == test.count() and not any(c.startswith("_l1_") for c in
+                                                   mdl.predict(test, t, "linear_l2").columns)
+    path = str(tmp_path_factory.mktemp("model"))
+    keep_best = t.best
+    mdl.save(t, path, spark)
+    t2 = mdl.load(path, spark, t)
+    a = sorted(r[0] for r in mdl.predict(test, t, model=keep_best).select("prediction").collect())
+    b = sorted(r[0] for r in mdl.predict(test, t2).select("prediction").collect())
+    assert a == pytest.approx(b)
