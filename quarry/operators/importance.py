@@ -24,16 +24,27 @@ IMPORTANCE_SCHEMA = ("feature string, importance double, stddev double, p_value
 
 
 def _grouped_score(df: DataFrame, t: mdl.Tournament, group_cols, pred: str) -> DataFrame:
-    """Score per group: R^2 for regression, accuracy for classification."""
+    """Score per group with the tournament's metric: R^2, binary F1 or weighted F1.
+
+    For classification the per-group confusion counts (groups x classes^2
+    rows) are small; F1 follows from them on the driver.
+    """
     y = F.col(t.spec.target)
     if t.kind == "regression":
         yc = y.cast("double")
         res = yc - F.col(pred)
         sse, sst = F.sum(res * res), F.var_pop(yc) * F.count(yc)
         score = F.when(sst == 0, F.when(sse == 0, 1.0).otherwise(0.0)).otherwise(1 - sse / sst)
-    else:
-        score = F.avg((y.cast("string") == F.col(pred)).cast("double"))
-    return df.groupBy(*group_cols).agg(score.alias("score"))
+        return df.groupBy(*group_cols).agg(score.alias("score"))
+    conf = (df.groupBy(*group_cols, y.cast("string").alias("_y"), F.col(pred).alias("_yhat"))
+              .count().collect())
+    cells: dict = {}
+    for r in conf:
+        cells.setdefault(tuple(r[g] for g in group_cols), []).append(
+            (r["_y"], r["_yhat"], r["count"]))
+    rows = [(*k, float(mdl._f1_from_confusion(v, t.kind, t.labels))) for k, v in cells.items()]
+    schema = ", ".join([f"{g} {dict(df.dtypes)[g]}" for g in group_cols] + ["score double"])
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def permutation_importance(df: DataFrame, t: mdl.Tournament, key_cols, features=None,

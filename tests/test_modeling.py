@@ -108,3 +108,18 @@ def test_stack_level_two_and_save_load(spark, tmp_path_factory):
     a = sorted(r[0] for r in mdl.predict(test, t, model=keep_best).select("prediction").collect())
     b = sorted(r[0] for r in mdl.predict(test, t2).select("prediction").collect())
     assert a == pytest.approx(b)
+
+
+def test_classification_importance_uses_f1(spark):
+    from quarry.plans.training import document_frame
+    from quarry.operators.ordering import chronological_split as split_fn
+    docs = document_frame(spark, SF)
+    split = split_fn(docs, "doc_id", []).cache()
+    train = split.filter("split = 'train'").drop("split")
+    val = split.filter("split = 'val'").drop("split")
+    pool = {"logistic": mdl.model_pool("binary")["logistic"]}
+    t = mdl.run_tournament(train, val, "quality", "binary", ["doc_id"], folds=2, pool=pool,
+                           exclude=("doc_id",))
+    fi = imp.permutation_importance(split.drop("split"), t, ["doc_id"], n_repeats=2,
+                                    sample_rows=None).collect()
+    assert {r["feature"] for r in fi} == set(t.spec.numeric + t.spec.categorical)
