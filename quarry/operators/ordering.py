@@ -51,7 +51,24 @@ def _ranged(df: DataFrame, keys: list[Column], num_partitions: int | None,
                 .withColumn(_MID, F.monotonically_increasing_id()))
     if materialize == "checkpoint":
         return ranged.checkpoint(eager=True)
-    return ranged.persist(StorageLevel.MEMORY_AND_DISK)
+    ranged = ranged.persist(StorageLevel.MEMORY_AND_DISK)
+    _MATERIALISED.append(ranged)
+    return ranged
+
+
+_MATERIALISED: list[DataFrame] = []
+
+
+def release_ranked() -> int:
+    """Unpersist every range-partitioned frame kept by the ordering operators.
+
+    Call once the results built on them have been written; returns how many
+    frames were released.
+    """
+    n = len(_MATERIALISED)
+    while _MATERIALISED:
+        _MATERIALISED.pop().unpersist()
+    return n
 
 
 def _partition_offsets(ranged: DataFrame, sums: dict[str, Column] | None = None) -> DataFrame:
