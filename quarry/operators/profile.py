@@ -175,6 +175,15 @@ def _clean(c: str) -> Column:
     return F.when(_missing_free(v), v)
 
 
+def _sql_name(c: str) -> str:
+    return "`" + c.replace("`", "``") + "`"
+
+
+def _sql_clean(c: str) -> str:
+    v = f"CAST({_sql_name(c)} AS DOUBLE)"
+    return f"CASE WHEN {v} IS NOT NULL AND NOT isnan({v}) THEN {v} END"
+
+
 def moments(df: DataFrame, cols, with_median: bool = True, exact_median: bool = True,
             digits: int | None = 4) -> DataFrame:
     """Per column: n, mean, sample std, median, skewness, kurtosis, high-skew flag.
@@ -184,41 +193,46 @@ def moments(df: DataFrame, cols, with_median: bool = True, exact_median: bool =
     central-moment aggregates are several times slower).  Skewness/kurtosis
     follow pandas' bias correction, 0.0 for a constant column (min = max,
     exact), and are rounded to ``digits`` like the reference table.
+    Expressions are written as SQL text: one JVM call per expression keeps the
+    driver-side plan building cheap for wide tables.
     """
     cols = list(cols)
-    first = df.agg(*[F.count(_clean(c)).alias(f"n{i}") for i, c in enumerate(cols)],
-                   *[F.avg(_clean(c)).alias(f"m{i}") for i, c in enumerate(cols)],
-                   *[(F.min(_clean(c)) == F.max(_clean(c))).alias(f"k{i}")
-                     for i, c in enumerate(cols)]).first()
+    clean = [_sql_clean(c) for c in cols]
+    first = df.agg(*[F.expr(f"count({x})").alias(f"n{i}") for i, x in enumerate(clean)],
+                   *[F.expr(f"avg({x})").alias(f"m{i}") for i, x in enumerate(clean)],
+                   *[F.expr(f"min({x}) = max({x})").alias(f"k{i}")
+                     for i, x in enumerate(clean)]).first()
     sums = []
-    for i, c in enumerate(cols):
-        mean = first[f"m{i}"]
-        d = _clean(c) - F.lit(mean if mean is not None else 0.0)
-        sums += [F.sum(d * d).alias(f"s2_{i}"), F.sum(d * d * d).alias(f"s3_{i}"),
-                 F.sum(d * d * d * d).alias(f"s4_{i}")]
+    for i, x in enumerate(clean):
+        mean = first[f"m{i}"] if first[f"m{i}"] is not None else 0.0
+        d = f"(({x}) - CAST('{mean!r}' AS DOUBLE))"
+        sums += [F.expr(f"sum({d} * {d})").alias(f"s2_{i}"),
+                 F.expr(f"sum({d} * {d} * {d})").alias(f"s3_{i}"),
+                 F.expr(f"sum({d} * {d} * {d} * {d})").alias(f"s4_{i}")]
     second = df.agg(*sums)
+    rnd = (lambda e: f"round({e}, {digits})") if digits is not None else (lambda e: e)
     structs = []
     for i, c in enumerate(cols):
-        n = F.lit(float(first[f"n{i}"]))
-        s2, s3, s4 = F.col(f"s2_{i}"), F.col(f"s3_{i}"), F.col(f"s4_{i}")
-        const = F.lit(bool(first[f"k{i}"]))
-        g1 = F.when(const, F.lit(0.0)).otherwise(
-            F.try_divide(F.sqrt(n) * s3, F.pow(s2, 1.5)))
-        g2 = F.when(const, F.lit(0.0)).otherwise(
-            F.try_divide(n * s4, s2 * s2) - F.lit(3.0))
-        skew = F.when(const & (n >= 3), F.lit(0.0)).otherwise(corrected_skewness(g1, n))
-        kurt = F.when(const & (n >= 4), F.lit(0.0)).otherwise(corrected_kurtosis(g2, n))
-        structs.append(F.struct(
-            F.lit(c).alias("column_name"),
-            F.lit(int(first[f"n{i}"])).cast("long").alias("n"),
-            F.lit(first[f"m{i}"]).cast("double").alias("mean"),
-            F.when(n > 1, F.sqrt(s2 / (n - 1))).alias("std"),
-            skew.alias("skewness"), kurt.alias("kurtosis")))
-    out = second.select(F.array(*structs).alias("_q_m")).select(F.inline("_q_m"))
-    if digits is not None:
-        out = out.withColumn("skewness", F.round("skewness", digits)) \
-                 .withColumn("kurtosis", F.round("kurtosis", digits))
-    out = out.withColumn("is_high_skew", F.coalesce(F.abs("skewness") > 1, F.lit(False)))
+        n_int = int(first[f"n{i}"])
+        n = f"CAST({n_int} AS DOUBLE)"
+        const = "true" if first[f"k{i}"] else "false"
+        mean = first[f"m{i}"]
+        s2, s3, s4 = f"s2_{i}", f"s3_{i}", f"s4_{i}"
+        g1 = f"try_divide(sqrt({n}) * {s3}, pow({s2}, 1.5))"
+        g2 = f"(try_divide({n} * {s4}, {s2} * {s2}) - 3.0)"
+        skew = (f"CASE WHEN {n} < 3 THEN CAST(NULL AS DOUBLE) WHEN {const} THEN 0.0 "
+                f"ELSE coalesce({g1} * sqrt({n} * ({n} - 1)) / ({n} - 2), 0.0) END")
+        kurt = (f"CASE WHEN {n} < 4 THEN CAST(NULL AS DOUBLE) WHEN {const} THEN 0.0 "
+                f"ELSE coalesce((({n} + 1) * {g2} + 6) * ({n} - 1) / "
+                f"(({n} - 2) * ({n} - 3)), 0.0) END")
+        mean_sql = "CAST(NULL AS DOUBLE)" if mean is None else f"CAST('{mean!r}' AS DOUBLE)"
+        structs.append(
+            f"named_struct('column_name', {c!r}, 'n', CAST({n_int} AS BIGINT), "
+            f"'mean', {mean_sql}, "
+            f"'std', CASE WHEN {n} > 1 THEN sqrt({s2} / ({n} - 1)) END, "
+            f"'skewness', {rnd(skew)}, 'kurtosis', {rnd(kurt)})")
+    out = second.select(F.expr(f"inline(array({', '.join(structs)}))"))
+    out = out.withColumn("is_high_skew", F.expr("coalesce(abs(skewness) > 1, false)"))
     if with_median:
         med = quantiles(df, cols, [0.5], exact=exact_median).select(
             "column_name", F.col("quantile").alias("median"))
