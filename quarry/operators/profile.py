@@ -391,14 +391,14 @@ def corr_pairs(df: DataFrame, cols) -> DataFrame:
                             _pair_corr(cols[i], cols[j]).alias("corr"))
                    for i in range(len(cols)) for j in range(i)]
         return df.agg(F.array(*structs).alias("_q_c")).select(F.inline("_q_c"))
-    d = [_clean(c) - F.lit(first[f"m{i}"]) for i, c in enumerate(cols)]
-    sums = df.agg(*[F.sum(d[i] * d[j]).alias(f"c{i}_{j}")
+    # SQL text: one JVM call per expression keeps plan building cheap for wide tables
+    d = [f"({_sql_clean(c)} - CAST('{first[f'm{i}']!r}' AS DOUBLE))" for i, c in enumerate(cols)]
+    sums = df.agg(*[F.expr(f"sum({d[i]} * {d[j]})").alias(f"c{i}_{j}")
                     for i in range(len(cols)) for j in range(i + 1)])
-    structs = [F.struct(F.lit(cols[i]).alias("column_a"), F.lit(cols[j]).alias("column_b"),
-                        F.try_divide(F.col(f"c{i}_{j}"),
-                                     F.sqrt(F.col(f"c{i}_{i}") * F.col(f"c{j}_{j}"))).alias("corr"))
+    structs = [f"named_struct('column_a', {cols[i]!r}, 'column_b', {cols[j]!r}, 'corr', "
+               f"try_divide(c{i}_{j}, sqrt(c{i}_{i} * c{j}_{j})))"
                for i in range(len(cols)) for j in range(i)]
-    return sums.select(F.array(*structs).alias("_q_c")).select(F.inline("_q_c"))
+    return sums.select(F.expr(f"inline(array({', '.join(structs)}))"))
 
 
 def target_corr(df: DataFrame, features, target: str, k: int = 8) -> DataFrame:
