@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 from pyspark import StorageLevel
 
-from quarry.session import shuffle_partitions
 
 _PID = "_q_pid"
 _MID = "_q_mid"
@@ -44,8 +43,11 @@ def _sort_keys(cols, descending: bool) -> list[Column]:
 
 def _ranged(df: DataFrame, keys: list[Column], num_partitions: int | None,
             materialize: str = "persist") -> DataFrame:
-    n = num_partitions or shuffle_partitions(df.sparkSession)
-    ranged = (df.repartitionByRange(n, *keys)
+    """Range-partition and sort; without an explicit count AQE may coalesce adjacent
+    partitions to the data's size (order is kept, ids are read after the exchange)."""
+    parted = (df.repartitionByRange(num_partitions, *keys) if num_partitions
+              else df.repartitionByRange(*keys))
+    ranged = (parted
                 .sortWithinPartitions(*keys)
                 .withColumn(_PID, F.spark_partition_id())
                 .withColumn(_MID, F.monotonically_increasing_id()))
