@@ -121,11 +121,13 @@ def column_roles(df: DataFrame, target: str | None = None, order_cols=(), tie_br
     cols = [c for c in df.columns if not (exclude_target and c == target)
             and not isinstance(schema_types[c], (ArrayType, MapType, StructType))]
     numeric, categorical = type_partition(df, target if exclude_target else None)
+    names = ["`" + c.replace("`", "``") + "`" for c in cols]
+    # SQL text: one JVM call per expression keeps plan building cheap for wide tables
     stats = df.agg(
         F.count(F.lit(1)).alias("_n"),
-        *[F.count(_q(c)).alias(f"_nn{i}") for i, c in enumerate(cols)],
-        *[F.min(_q(c)).eqNullSafe(F.max(_q(c))).alias(f"_k{i}") for i, c in enumerate(cols)],
-        *[F.approx_count_distinct(_q(c), 0.02).alias(f"_a{i}") for i, c in enumerate(cols)],
+        *[F.expr(f"count({x})").alias(f"_nn{i}") for i, x in enumerate(names)],
+        *[F.expr(f"min({x}) <=> max({x})").alias(f"_k{i}") for i, x in enumerate(names)],
+        *[F.expr(f"approx_count_distinct({x}, 0.02)").alias(f"_a{i}") for i, x in enumerate(names)],
     ).first()
     n = stats["_n"]
     roles = ColumnRoles(n_rows=n, numeric=numeric, categorical=categorical)

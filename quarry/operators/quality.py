@@ -48,11 +48,13 @@ def quality_summary(df: DataFrame) -> DataFrame:
     """
     cols = df.columns
     grouped = df.groupBy(*[_q(c) for c in cols]).agg(F.count(F.lit(1)).alias("_q_n"))
-    n = F.col("_q_n")
-    aggs = [F.sum(n).alias("n_rows"), F.sum(n - 1).alias("n_duplicate_rows")]
+    aggs = [F.expr("sum(_q_n)").alias("n_rows"), F.expr("sum(_q_n - 1)").alias("n_duplicate_rows")]
     for i, c in enumerate(cols):
-        aggs += [F.sum(F.when(_q(c).isNull(), n).otherwise(0)).alias(f"_q_null_{i}"),
-                 F.min(_q(c)).alias(f"_q_min_{i}"), F.max(_q(c)).alias(f"_q_max_{i}")]
+        name = "`" + c.replace("`", "``") + "`"
+        # SQL text: one JVM call per expression keeps plan building cheap for wide tables
+        aggs += [F.expr(f"sum(CASE WHEN {name} IS NULL THEN _q_n ELSE 0 END)").alias(f"_q_null_{i}"),
+                 F.expr(f"min({name})").alias(f"_q_min_{i}"),
+                 F.expr(f"max({name})").alias(f"_q_max_{i}")]
     wide = grouped.agg(*aggs)
     nulls = [F.col(f"_q_null_{i}") for i in range(len(cols))]
     total_nulls = sum(nulls[1:], nulls[0]) if nulls else F.lit(0)
