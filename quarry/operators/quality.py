@@ -77,14 +77,17 @@ def null_counts(df: DataFrame, keep_zero: bool = False) -> DataFrame:
     NaN in floating columns counts as missing, like pandas.
     """
     dtypes = dict(df.dtypes)
-    aggs = []
+    parts = []
     for c in df.columns:
-        miss = _q(c).isNull()
+        name = "`" + c.replace("`", "``") + "`"
+        miss = f"{name} IS NULL"
         if dtypes[c] in ("double", "float"):
-            miss = miss | F.isnan(_q(c))
-        aggs.append(F.struct(F.lit(c).alias("column_name"),
-                             F.count_if(miss).alias("n_missing")))
-    out = df.agg(F.array(*aggs).alias("_q_cols")).select(F.inline("_q_cols"))
+            miss = f"({miss} OR isnan({name}))"
+        label = c.replace("\\", "\\\\").replace("'", "\\'")
+        parts.append(f"named_struct('column_name', '{label}', 'n_missing', count_if({miss}))")
+    # SQL text: one JVM call for the whole aggregate, whatever the width
+    out = df.agg(F.expr(f"array({', '.join(parts)})").alias("_q_cols")) \
+            .select(F.inline("_q_cols"))
     if not keep_zero:
         out = out.filter(F.col("n_missing") > 0)
     return out.orderBy(F.desc("n_missing"), "column_name")
@@ -103,7 +106,8 @@ def deduplicate(df: DataFrame) -> DataFrame:
 
 def empty_columns(df: DataFrame) -> list[str]:
     """Columns without any non-null value (P5); one aggregate, one row to the driver."""
-    row = df.agg(*[F.count(_q(c)).alias(f"_q{i}") for i, c in enumerate(df.columns)]).first()
+    row = df.agg(*[F.expr("count(`" + c.replace("`", "``") + "`)").alias(f"_q{i}")
+                   for i, c in enumerate(df.columns)]).first()
     return [c for i, c in enumerate(df.columns) if row[f"_q{i}"] == 0]
 
 
