@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import exact, quality
+from quarry.llm import bpe, chat, exact, quality
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -92,3 +92,46 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(documents(spark, sf_dir)).select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept",
         F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+ESCAPES = r"([<\[])(\\*)(/?s>|/?INST\]|<SYS>>|</SYS>>|\|im_start\|>|\|im_end\|>|\|endoftext\|>|\|eot_id\|>|\|start_header_id\|>|\|end_header_id\|>|\|begin_of_text\|>|/?bos>|/?eos>|/?pad>|/?unk>|start_of_turn>|end_of_turn>|\|system\|>|\|user\|>|\|assistant\|>)"  # noqa: E501
+
+
+@register("op3_chat_formatting", rf"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text)
+                       FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(12 + length(role) + 1 + length(text) + 11
+                + len(regexp_extract_all(text, '{ESCAPES}'))) AS BIGINT) AS formatted_chars,
+       true AS round_trip
+FROM c GROUP BY conv_id
+""")
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(
+        "conv_id", "turn", "role", "text")
+    both = "</s>[INST] ok [/INST]"
+    rows = rows.unionByName(spark.createDataFrame(
+        [(-7, 0, "user", both), (-7, 1, "assistant", both)],
+        "conv_id bigint, turn bigint, role string, text string"))
+    done = chat.format_conversations(rows)
+    loss = chat.loss_text(F.col("formatted"), F.col("loss_spans"))
+    return done.select(
+        F.col("id").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(F.transform("turns", lambda x: F.concat(
+            x["role"], F.lit("\n"), x["text"], F.lit("\n"))), ""), 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"), "round_trip")
+
+
+@register("op2_byte_bpe")
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    spec = bpe.from_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+                          public_tokenizers.PATTERN)
+    return bpe.round_trip_digests(documents(spark, sf_dir), spec).withColumnRenamed("id", "doc_id")
