@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, chat, exact, quality
+from quarry.llm import bpe, chat, exact, packing, quality, toxicity
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -135,3 +135,26 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = bpe.from_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
                           public_tokenizers.PATTERN)
     return bpe.round_trip_digests(documents(spark, sf_dir), spec).withColumnRenamed("id", "doc_id")
+
+
+def gpt_ranks() -> tuple[bytes, str]:
+    """Content of the rank file with the vocabulary of byte_bpe_50k.json, and its split pattern."""
+    import public_tokenizers
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
+        return file.read(), public_tokenizers.PATTERN
+
+
+@register("op6_best_fit_packing")
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir), *gpt_ranks()) \
+        .withColumnRenamed("id", "doc_id")
+
+
+@register("op7_toxicity")
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    scored = toxicity.score(docs, toxicity.fit(docs, labels))
+    held_out = F.crc32(F.col("id").cast("string").cast("binary")) % 3 == 1
+    return scored.select(F.col("id").alias("doc_id"),
+                         F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
