@@ -78,7 +78,7 @@ def without_copies(rows: list[np.ndarray], rare: np.ndarray) -> list[np.ndarray]
 
 
 def evident_words(positive: list[np.ndarray], unlabelled: list[np.ndarray], size: int,
-                  least_share: float = 0.02, least_ratio: float = 2.0,
+                  least_share: float = 0.02, least_ratio: float = 5.0,
                   least_z: float = 4.0) -> np.ndarray:
     """Words whose share of documents differs between the two sets beyond chance."""
     n_p, n_u = max(1, len(positive)), max(1, len(unlabelled))
