@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, chat, exact, packing, quality, toxicity
+from quarry.llm import bpe, chat, exact, minhash, packing, quality, toxicity
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -158,3 +158,9 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.crc32(F.col("id").cast("string").cast("binary")) % 3 == 1
     return scored.select(F.col("id").alias("doc_id"),
                          F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@register("op4_minhash_near_dedup")
+def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir)).select(
+        F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
