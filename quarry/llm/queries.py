@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, chat, exact, minhash, packing, quality, toxicity
+from quarry.llm import bpe, chat, exact, minhash, packing, quality, suffix, toxicity
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -164,3 +164,8 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir)).select(
         F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
+@register("op10_suffix_array_dedup")
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.removal_report(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
