@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, chat, exact, minhash, packing, quality, suffix, toxicity
+from quarry.llm import (bpe, chat, exact, license, minhash, packing, quality, shards, suffix,
+                        toxicity)
+from quarry.session import ensure_checkpoint_dir
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -169,3 +173,15 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_suffix_array_dedup")
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.removal_report(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
+@register("op8_license_scan", license.oracle_sql())
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license.scan(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
+@register("op9_token_shards")
+def op9_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-{uuid.uuid4().hex}/shards"
+    return shards.write_shards(documents(spark, sf_dir), *gpt_ranks(), folder) \
+        .withColumnRenamed("id", "doc_id")
