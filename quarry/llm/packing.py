@@ -5,10 +5,9 @@ first piece takes the remainder). Pieces that fill a sequence alone are done. Th
 by hash to partitions of about ``per_partition`` pieces, and each partition is packed by best-fit
 decreasing. Dual feasible functions (the identity, the Martello-Toth threshold functions and the
 Fekete-Schepers rounding functions) give a lower bound on the sequences of each partition; a
-partition that meets its bound is certified optimal and closed. Partitions with a gap keep
-their full sequences and exchange the documents of the others: these are dealt anew, to fewer
-partitions, and packed again, until no partition has a gap or one partition holds all that is
-left. A hot source does not matter, since pieces are dealt by hash of their row.
+partition that meets its bound is certified optimal and closed, but for its emptiest sequence.
+Partitions with a gap keep their full sequences only. What they do not keep is exchanged: the documents
+are dealt anew, to fewer partitions, and packed again, until one partition holds all that is left. A hot source does not matter, since pieces are dealt by hash of their row.
 
 Only (row, length) pairs shuffle; token ids stay where they are made, unless asked for.
 
@@ -137,7 +136,10 @@ def pack_partition(lengths: np.ndarray, capacity: int) -> dict:
     bins, offsets, used = best_fit_decreasing(lengths, capacity)
     bound = lower_bound(lengths, capacity)
     filled = np.bincount(bins, weights=lengths, minlength=used)
-    loose = (filled[bins] < capacity) if used > bound else np.zeros(len(lengths), dtype=bool)
+    if used > bound:
+        loose = filled[bins] < capacity
+    else:  # optimal but for the remainder, which the remainders of other partitions may fill up
+        loose = (bins == int(np.argmin(filled))) & (filled.min() < capacity)
     return {"bin": bins, "offset": offsets, "bins": used, "bound": bound, "loose": loose}
 
 

@@ -156,7 +156,10 @@ def write_shards(docs: DataFrame, ranks: bytes, pattern: str, uri: str, key: int
         filesystem, folder = open_folder(uri)
         record = 2 * stride
         filler = int(pad).to_bytes(2, "little")
-        table = pa.Table.from_batches(list(batches))
+        got = list(batches)
+        if not got:
+            return
+        table = pa.Table.from_batches(got)
         slots = table["slot"].to_numpy()
         for shard in np.unique(slots // per_shard).tolist():
             rows = np.flatnonzero(slots // per_shard == shard)

@@ -270,9 +270,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
     parts = max(1, -(-total // bucket_bytes))
 
     def compare(batches):
-        table = pa.Table.from_batches(list(batches))
-        if not table.num_rows:
+        got = [b for b in batches if b.num_rows]
+        if not got:
             return
+        table = pa.Table.from_batches(got)
         a, p1 = table["a"].to_numpy(), table["p1"].to_numpy()
         low, high = covered_offsets(table["text"].to_pylist(), a - p1, length)
         keep = np.flatnonzero((low >= 0) & (table["total"].to_numpy() == 1))
