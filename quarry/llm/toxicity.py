@@ -145,11 +145,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     chosen = (known.filter("__y = 1").orderBy(order, "__id").limit(max_positive)
               .withColumn("__kind", F.lit(1)))
     others = (docs.filter(training_fold(id_col)).select(F.col(id_col).alias("__id"))
-              .orderBy(order, "__id").limit(max_unlabelled)
+              .distinct().orderBy(order, "__id").limit(max_unlabelled)
               .select("__id", F.lit(None).cast("int").alias("__y"), F.lit(0).alias("__kind")))
     wanted = chosen.select("__id", "__kind").unionByName(others.select("__id", "__kind"))
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text")) \
-        .join(F.broadcast(wanted), "__id").select("__kind", "__text")  # bounded by the two limits
+        .join(F.broadcast(wanted), "__id").dropDuplicates(["__id", "__kind"])  # bounded by the two limits
+    rows = rows.select("__kind", "__text")
 
     def run(batches):
         known: dict[str, tuple] = {}
@@ -160,6 +161,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                     "kind": batch["__kind"], "words": pa.array(found, pa.list_(pa.int32()))})
 
     got = rows.mapInArrow(run, "kind int, words array<int>").toArrow()
+    if not got.num_rows:
+        return None
     kind, lists = got["kind"].to_numpy(), got["words"].combine_chunks()
     ends = np.cumsum(pa.compute.list_value_length(lists).to_numpy())
     words = np.split(lists.flatten().to_numpy(), ends[:-1])
