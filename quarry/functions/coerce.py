@@ -11,6 +11,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# White space at either end, beyond ASCII too; a plain decimal number or an infinity.
+OUTER_BLANKS = r"(?U)^[\s\x1C-\x1F]+|[\s\x1C-\x1F]+$"
+NUMBER = r"(?i)^[+-]?(\d+(\.\d*)?|\.\d+)(e[+-]?\d+)?$|^[+-]?inf(inity)?$"
+
+
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
@@ -18,35 +23,32 @@ def _c(col) -> Column:
 def to_double_or_null(col) -> Column:
     """Numeric parse; non-numeric text and NaN become NULL.
 
-    ``try_cast`` returns NULL on bad text; NaN is nulled as well so that one
-    notion of missing remains.
+    The text must be a plain number (no type suffixes as in ``1d``) or an infinity; NaN is
+    nulled as well so that one notion of missing remains.
     """
-    d = _c(col).cast("string").try_cast("double")
+    text = F.regexp_replace(_c(col).cast("string"), OUTER_BLANKS, "")
+    d = F.when(text.rlike(NUMBER), text.try_cast("double"))
     return F.nanvl(d, F.lit(None).cast("double"))
 
 
 def to_int_or_zero(col) -> Column:
     """Numeric parse, missing to 0, then truncation toward zero (P10).
 
-    NaN is nulled before the cast: casting NaN to bigint raises under ANSI.
+    Numbers beyond 64 bits and infinities have no integer and count as missing, so one
+    such cell gives 0 and does not end the job.
     """
-    return F.coalesce(to_double_or_null(col), F.lit(0.0)).cast("bigint")
+    return F.coalesce(to_double_or_null(col).try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def clean_string(col) -> Column:
     """Strip surrounding whitespace; a missing value becomes ``nan``.
 
-    ``trim`` only removes spaces, so a regex strips tabs and newlines too.
+    All Unicode white space is stripped, as Python's ``str.strip`` does.
     """
-    stripped = F.regexp_replace(_c(col).cast("string"), r"^\s+|\s+$", "")
+    stripped = F.regexp_replace(_c(col).cast("string"), OUTER_BLANKS, "")
     return F.coalesce(stripped, F.lit("nan"))
 
 
-def lower_strip(col) -> Column:
-    """Cast to string, lower-case and strip whitespace."""
-    return F.lower(F.regexp_replace(_c(col).cast("string"), r"^\s+|\s+$", ""))
-
-
 def with_default(col, default, dtype: str) -> Column:
     """Typed value, or ``default`` when missing or not castable."""
     return F.coalesce(_c(col).try_cast(dtype), F.lit(default).cast(dtype))

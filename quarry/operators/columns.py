@@ -19,6 +19,7 @@ from pyspark.sql.types import (ArrayType, BooleanType, ByteType, DecimalType, Do
                                StructType)
 
 from quarry.operators.ordering import global_rank
+from quarry.operators.quality import nan_as_null
 
 INTEGRAL = (ByteType, ShortType, IntegerType, LongType)
 NUMERIC = INTEGRAL + (FloatType, DoubleType, DecimalType)
@@ -51,8 +52,15 @@ def type_partition(df: DataFrame, target: str | None = None) -> tuple[list[str],
 
 
 def bounded_distinct(df: DataFrame, col: str, cap: int) -> int:
-    """min(number of distinct non-null values, cap); stops reading distinct values at ``cap``."""
-    return df.select(_q(col)).filter(_q(col).isNotNull()).distinct().limit(cap).count()
+    """min(number of distinct non-null values, cap), NaN counting as missing.
+
+    A sketch (error 2%) settles columns with far more than ``cap`` values in one scan; only a column near
+    or under it is counted exactly, and its few values are combined map-side.
+    """
+    one = nan_as_null(df.select(_q(col).alias("v")))
+    if one.agg(F.approx_count_distinct("v", 0.02)).first()[0] > 2 * cap + 10:
+        return cap
+    return min(cap, one.agg(F.count_distinct("v")).first()[0])
 
 
 def problem_type(df: DataFrame, target: str, threshold: int = LOW_CARD_THRESHOLD,
@@ -71,14 +79,14 @@ def problem_type(df: DataFrame, target: str, threshold: int = LOW_CARD_THRESHOLD
 
 def problem_type_frame(df: DataFrame, target: str, threshold: int = LOW_CARD_THRESHOLD
                        ) -> DataFrame:
-    """The A5 decision as a one-row DataFrame computed on the cluster.
+    """The A5 decision as a one-row DataFrame; the counts come from the cluster.
 
     ``n_distinct_capped`` is the exact distinct count when it is at most
     ``threshold + 1`` and ``threshold + 1`` otherwise - all the decision needs.
     """
     numeric = is_numeric(df, target)
-    capped = (df.select(_q(target)).filter(_q(target).isNotNull()).distinct()
-                .limit(threshold + 1).agg(F.count(F.lit(1)).alias("n_distinct_capped")))
+    capped = df.sparkSession.range(1).select(
+        F.lit(bounded_distinct(df, target, threshold + 1)).cast("long").alias("n_distinct_capped"))
     k = F.col("n_distinct_capped")
     kind = F.when(F.lit(numeric) & (k > threshold), "regression").otherwise("classification")
     fine = (F.when(F.lit(numeric) & (k > threshold), "regression")
@@ -116,6 +124,7 @@ def column_roles(df: DataFrame, target: str | None = None, order_cols=(), tie_br
       ``min(c - r) = max(c - r)``, an aggregate instead of a global lag.
     * low cardinality: categorical with at most ``threshold`` distinct values.
     """
+    df = nan_as_null(df)
     schema_types = {f.name: f.dataType for f in df.schema.fields}
     # atomic columns only: arrays, maps and structs get no role (kind "other")
     cols = [c for c in df.columns if not (exclude_target and c == target)
@@ -128,6 +137,8 @@ def column_roles(df: DataFrame, target: str | None = None, order_cols=(), tie_br
         *[F.expr(f"count({x})").alias(f"_nn{i}") for i, x in enumerate(names)],
         *[F.expr(f"min({x}) <=> max({x})").alias(f"_k{i}") for i, x in enumerate(names)],
         *[F.expr(f"approx_count_distinct({x}, 0.02)").alias(f"_a{i}") for i, x in enumerate(names)],
+        *[F.expr(f"{side}({x})").alias(f"_{tag}{i}") for i, x in enumerate(names)
+          if isinstance(schema_types[cols[i]], INTEGRAL) for side, tag in (("min", "lo"), ("max", "hi"))],
     ).first()
     n = stats["_n"]
     roles = ColumnRoles(n_rows=n, numeric=numeric, categorical=categorical)
@@ -141,7 +152,7 @@ def column_roles(df: DataFrame, target: str | None = None, order_cols=(), tie_br
         if full and approx >= 0.9 * n:
             if isinstance(schema[c], StringType):
                 id_candidates.append(c)
-            elif isinstance(schema[c], INTEGRAL):
+            elif isinstance(schema[c], INTEGRAL) and stats[f"_hi{i}"] - stats[f"_lo{i}"] == n - 1:
                 seq_candidates.append(c)
         if c in categorical and approx <= 2 * threshold + 10:
             if bounded_distinct(df, c, threshold + 1) <= threshold:
@@ -159,11 +170,9 @@ def column_roles(df: DataFrame, target: str | None = None, order_cols=(), tie_br
 
 
 def _exactly_unique(df: DataFrame, cols: list[str], n: int) -> set[str]:
-    """Columns among ``cols`` whose exact distinct count equals ``n``."""
-    if not cols:
-        return set()
-    row = df.agg(*[F.count_distinct(_q(c)).alias(f"_d{i}") for i, c in enumerate(cols)]).first()
-    return {c for i, c in enumerate(cols) if row[f"_d{i}"] == n}
+    """Columns among ``cols`` whose exact distinct count equals ``n``; one at a time, since several
+    distinct counts in one aggregate would expand every row once a column."""
+    return {c for c in cols if df.agg(F.count_distinct(_q(c))).first()[0] == n}
 
 
 def roles_frame(df: DataFrame, roles: ColumnRoles, table_name: str | None = None,

@@ -48,11 +48,12 @@ def _grouped_score(df: DataFrame, t: mdl.Tournament, group_cols, pred: str) -> D
 
 
 def permutation_importance(df: DataFrame, t: mdl.Tournament, key_cols, features=None,
-                           n_repeats: int = 5, sample_rows: int | None = 2000, seed: int = 42,
-                           top: int = 30, model: str | None = None) -> DataFrame:
+                           n_repeats: int = 5, sample_rows: int | None = None, seed: int = 42,
+                           model: str | None = None) -> DataFrame:
     """Importance table: feature, importance, stddev, p_value, n, p99_high, p99_low.
 
-    ``sample_rows=None`` uses every row (cost = features x repeats x rows).
+    Every row and every feature by default (cost = features x repeats x rows); ``sample_rows`` asks for
+    a reproducible sample.
     """
     spark = df.sparkSession
     features = list(features or (t.spec.numeric + t.spec.categorical))
@@ -63,18 +64,19 @@ def permutation_importance(df: DataFrame, t: mdl.Tournament, key_cols, features=
                          for fi in range(len(features)) for r in range(n_repeats)])
     exploded = keyed.withColumn("_q_v", F.explode(variants)).select("*", "_q_v.*").drop("_q_v")
     h = F.xxhash64(*[F.col(k) for k in key_cols], F.lit(seed), F.col("_q_f"), F.col("_q_r"))
+    # a donor row carries the shuffled feature's value alone, as text (exact both ways)
+    value = F.coalesce(*[F.when(F.col("_q_f") == i, F.col(f"`{c}`").cast("string"))
+                         for i, c in enumerate(features)])
     donors = global_rank(exploded.select("_q_f", "_q_r", h.alias("_q_h"), "_q_i",
-                                         *[F.col(c).alias(f"_q_d_{i}")
-                                           for i, c in enumerate(features)]),
+                                         value.alias("_q_d")),
                          ["_q_f", "_q_r", "_q_h"], ["_q_i"], rank_col="_q_pos")
     group = F.col("_q_f") * n_repeats + F.col("_q_r")
     donors = donors.withColumn("_q_at", F.col("_q_pos") - group * F.lit(n)).drop("_q_i", "_q_pos",
                                                                              "_q_h")
     permuted = exploded.join(donors, ["_q_f", "_q_r"]).filter(F.col("_q_i") == F.col("_q_at"))
     permuted = permuted.withColumns({
-        c: F.when(F.col("_q_f") == i, F.col(f"_q_d_{i}")).otherwise(F.col(c))
-        for i, c in enumerate(features)}).drop(*[f"_q_d_{i}" for i in range(len(features))],
-                                               "_q_at")
+        c: F.when(F.col("_q_f") == i, F.col("_q_d").cast(keyed.schema[c].dataType)).otherwise(F.col(c))
+        for i, c in enumerate(features)}).drop("_q_d", "_q_at")
     perm_scores = _grouped_score(mdl.predict(permuted, t, model, "_q_pred"), t,
                                  ["_q_f", "_q_r"], "_q_pred")
     base_score = _grouped_score(mdl.predict(keyed.withColumn("_q_all", F.lit(0)), t, model,
@@ -88,4 +90,4 @@ def permutation_importance(df: DataFrame, t: mdl.Tournament, key_cols, features=
         p, hi, lo = importance_row(r["m"], r["s"], r["k"])
         rows.append((features[r["_q_f"]], float(r["m"]), r["s"], p, int(r["k"]), hi, lo))
     rows.sort(key=lambda x: -x[1])
-    return spark.createDataFrame(rows[:top], IMPORTANCE_SCHEMA)
+    return spark.createDataFrame(rows, IMPORTANCE_SCHEMA)

@@ -1,27 +1,16 @@
-"""Joins: size-checked broadcast and the dimension lookup."""
+"""The dimension lookup.
+
+No side is hinted: the planner and AQE broadcast a side by its size in bytes, and split skewed
+partitions otherwise.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def sized_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``small`` for broadcast only if it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows.  Beyond the bound the frame
-    is returned unmarked and Catalyst plans a shuffle join (AQE may still
-    switch to broadcast at runtime when the shuffled side proves small).
-    """
-    n = small.limit(max_rows + 1).count()
-    return F.broadcast(small) if n <= max_rows else small
-
-
 def dim_lookup(df: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None,
-               attrs: dict[str, str] | None = None, max_rows: int = DEFAULT_BROADCAST_ROWS
-               ) -> DataFrame:
+               attrs: dict[str, str] | None = None) -> DataFrame:
     """Left lookup: known keys take the dimension's attributes, unknown keep their own.
 
     ``attrs`` maps dimension column -> output column; when the output column
@@ -31,7 +20,7 @@ def dim_lookup(df: DataFrame, dim: DataFrame, key: str, dim_key: str | None = No
     attrs = attrs or {c: c for c in dim.columns if c != dim_key}
     right = dim.select(F.col(dim_key).alias("_q_dk"),
                        *[F.col(src).alias(f"_q_d_{dst}") for src, dst in attrs.items()])
-    joined = df.join(sized_broadcast(right, max_rows), F.col(key) == F.col("_q_dk"), "left")
+    joined = df.join(right, F.col(key) == F.col("_q_dk"), "left")
     out = {}
     for dst in attrs.values():
         looked_up = F.col(f"_q_d_{dst}")

@@ -24,6 +24,16 @@ def _score_ratio(num: Column, den: Column) -> Column:
              .otherwise(F.lit(1.0) - num / den))
 
 
+def usable(*cols) -> list[Column]:
+    """The columns as doubles, all of them NULL in rows where any is NULL or NaN, so that every
+    term of a metric covers the same rows."""
+    values = [_c(c).cast("double") for c in cols]
+    whole = F.lit(True)
+    for v in values:
+        whole = whole & v.isNotNull() & ~F.isnan(v)
+    return [F.when(whole, v) for v in values]
+
+
 def _regression_aggs(y: Column, p: Column, base: Column, diff: Column, tag: str) -> list[Column]:
     res = y - p
     return [
@@ -40,9 +50,9 @@ def _regression_finish(tag: str) -> dict[str, Column]:
     n = F.col("n")
     sse = F.col(f"_sse{tag}")
     return {
-        "rmse": F.sqrt(sse / n),
-        "mae": F.col(f"_sae{tag}") / n,
-        "mse": sse / n,
+        "rmse": F.sqrt(F.try_divide(sse, n)),
+        "mae": F.try_divide(F.col(f"_sae{tag}"), n),
+        "mse": F.try_divide(sse, n),
         "r2": _score_ratio(sse, F.col(f"_sst{tag}")),
         "explained_variance": _score_ratio(F.col(f"_vres{tag}"), F.col(f"_vy{tag}")),
         "mape": F.col(f"_mape{tag}") * 100,
@@ -57,12 +67,13 @@ def _adjusted(r2: Column, n_features: int) -> Column:
 def regression_metrics(df: DataFrame, y, p, n_features: int | None = None) -> DataFrame:
     """One row: n, rmse, mae, mse, r2, explained_variance, mape, adjusted_r2 (M1, M3, M5).
 
-    R^2 is 1 - SSE/SST (not the squared correlation).  MAPE averages
+    R^2 is 1 - SSE/SST (not the squared correlation).
+    Rows with a missing label or prediction enter no term and not n.  MAPE averages
     |y - p| / y over rows with |y| > 1e-6 - the denominator keeps its sign -
     and is NULL when no row qualifies.  Adjusted R^2 needs n - k - 1 > 0.
     """
-    yc, pc = _c(y).cast("double"), _c(p).cast("double")
-    agg = df.agg(F.count(F.lit(1)).alias("n"), *_regression_aggs(yc, pc, yc, yc - pc, ""))
+    yc, pc = usable(y, p)
+    agg = df.agg(F.count(yc).alias("n"), *_regression_aggs(yc, pc, yc, yc - pc, ""))
     fin = _regression_finish("")
     out = agg.select("n", *[e.alias(k) for k, e in fin.items()])
     if n_features is not None:
@@ -79,11 +90,11 @@ def circular_metrics(df: DataFrame, y, p, base, period: int = 1440,
     MAPE divides the wrapped signed difference by the wrapped actual time
     where that time is above 1e-6.
     """
-    yc, pc, bc = _c(y).cast("double"), _c(p).cast("double"), _c(base).cast("double")
+    yc, pc, bc = usable(y, p, base)
     act_true = circular_add(bc, yc, period)
     act_pred = circular_add(bc, pc, period)
     diff = circular_diff(yc, pc, period)
-    agg = df.agg(F.count(F.lit(1)).alias("n"),
+    agg = df.agg(F.count(yc).alias("n"),
                  *_regression_aggs(yc, pc, yc, yc - pc, "_raw"),
                  *_regression_aggs(act_true, act_pred,
                                    F.when(act_true > NONZERO_EPS, act_true), diff, "_wrap"))
@@ -144,10 +155,10 @@ def classification_metrics(df: DataFrame, y, p) -> DataFrame:
     total = F.sum("support")
     return pc.agg(
         total.alias("n"),
-        (F.sum("tp") / total).alias("accuracy"),
-        (F.sum(F.col("precision") * F.col("support")) / total).alias("precision"),
-        (F.sum(F.col("recall") * F.col("support")) / total).alias("recall"),
-        (F.sum(F.col("f1") * F.col("support")) / total).alias("f1_score"),
+        F.try_divide(F.sum("tp"), total).alias("accuracy"),
+        F.try_divide(F.sum(F.col("precision") * F.col("support")), total).alias("precision"),
+        F.try_divide(F.sum(F.col("recall") * F.col("support")), total).alias("recall"),
+        F.try_divide(F.sum(F.col("f1") * F.col("support")), total).alias("f1_score"),
     )
 
 
@@ -165,11 +176,11 @@ def classification_report(df: DataFrame, y, p) -> DataFrame:
                    F.avg("recall").alias("recall"), F.avg("f1").alias("f1"),
                    total.alias("support"))
     weighted = pc.agg(F.lit("weighted avg").alias("row_label"),
-                      (F.sum(F.col("precision") * F.col("support")) / total).alias("precision"),
-                      (F.sum(F.col("recall") * F.col("support")) / total).alias("recall"),
-                      (F.sum(F.col("f1") * F.col("support")) / total).alias("f1"),
+                      F.try_divide(F.sum(F.col("precision") * F.col("support")), total).alias("precision"),
+                      F.try_divide(F.sum(F.col("recall") * F.col("support")), total).alias("recall"),
+                      F.try_divide(F.sum(F.col("f1") * F.col("support")), total).alias("f1"),
                       total.alias("support"))
     acc = pc.agg(F.lit("accuracy").alias("row_label"), F.lit(None).cast("double").alias("precision"),
                  F.lit(None).cast("double").alias("recall"),
-                 (F.sum("tp") / total).alias("f1"), total.alias("support"))
+                 F.try_divide(F.sum("tp"), total).alias("f1"), total.alias("support"))
     return rows.unionByName(acc).unionByName(macro).unionByName(weighted)

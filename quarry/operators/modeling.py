@@ -7,9 +7,9 @@
 * T4  k-fold bagging: fold = ``pmod(xxhash64(key), k)``; k fits on the
       complements, member prediction = mean of the k fold predictions.
 * T6  greedy forward selection with replacement (Caruana et al., 2004).  For
-      regression one aggregate collects n, sum y, sum y^2, sum p_i, sum p_i y
-      and sum p_i p_j; R^2 of any weight vector then follows from that small
-      matrix, so the greedy search never touches rows again.
+      regression one aggregate collects n, SST and the products of the members'
+      errors; R^2 of any weight vector then follows from that small matrix, so
+      the greedy search never touches rows again.
 * T7  leaderboard rows with fit/predict times; the ensemble's totals are the
       sums over its used members plus its own marginal cost.
 
@@ -51,6 +51,7 @@ class FeatureSpec:
     categorical: list[str]
     target: str
     kind: str
+    hashed: list[str] = field(default_factory=list)  # categoricals encoded by hash bucket
 
     @property
     def n_features(self) -> int:
@@ -58,18 +59,20 @@ class FeatureSpec:
 
 
 def feature_spec(train: DataFrame, target: str, kind: str, exclude=()) -> FeatureSpec:
-    """Numeric and low-cardinality categorical features of ``train``.
+    """Numeric and categorical features of ``train``.
 
-    Categoricals above ``MAX_CATEGORIES`` distinct values (HyperLogLog
-    estimate) are left out: indexing them would bring every label to the driver.
+    Categoricals with more distinct values than a tree's bins hold (HyperLogLog estimate, with room
+    for its error) are encoded by hash bucket: indexing them would bring every label to the driver.
     """
     numeric, categorical = type_partition(train, target)
     numeric = [c for c in numeric if c not in exclude]
     categorical = [c for c in categorical if c not in exclude]
+    hashed = []
     if categorical:
-        row = train.agg(*[F.approx_count_distinct(c).alias(c) for c in categorical]).first()
-        categorical = [c for c in categorical if row[c] <= MAX_CATEGORIES]
-    return FeatureSpec(numeric, categorical, target, kind)
+        row = train.agg(*[F.approx_count_distinct(F.col(f"`{c}`")).alias(f"n{i}")
+                          for i, c in enumerate(categorical)]).first()
+        hashed = [c for i, c in enumerate(categorical) if row[f"n{i}"] > 0.75 * MAX_CATEGORIES]
+    return FeatureSpec(numeric, categorical, target, kind, hashed)
 
 
 def vectorizer(spec: FeatureSpec, one_hot: bool, out_col: str) -> list:
@@ -81,8 +84,11 @@ def vectorizer(spec: FeatureSpec, one_hot: bool, out_col: str) -> list:
         stages.append(_caster(num_in, casted))
         stages.append(Imputer(inputCols=casted, outputCols=imputed, strategy="mean"))
     idx = [f"_idx_{c}" for c in spec.categorical]
+    if spec.hashed:
+        stages.append(_hasher(spec.hashed))
     if spec.categorical:
-        stages.append(StringIndexer(inputCols=spec.categorical, outputCols=idx,
+        stages.append(StringIndexer(inputCols=[f"_hsh_{c}" if c in spec.hashed else c
+                                               for c in spec.categorical], outputCols=idx,
                                     handleInvalid="keep", stringOrderType="alphabetAsc"))
     cat_feats = idx
     if one_hot and idx:
@@ -99,6 +105,13 @@ def _caster(inputs, outputs) -> SQLTransformer:
     return SQLTransformer(statement=f"SELECT *, {sel} FROM __THIS__")
 
 
+def _hasher(columns) -> SQLTransformer:
+    """Wide categoricals as one of MAX_CATEGORIES hash buckets (a missing value stays missing)."""
+    sel = ", ".join(f"CAST(CASE WHEN `{c}` IS NOT NULL THEN pmod(xxhash64(`{c}`), {MAX_CATEGORIES}) END "
+                    f"AS STRING) AS `_hsh_{c}`" for c in columns)
+    return SQLTransformer(statement=f"SELECT *, {sel} FROM __THIS__")
+
+
 # ---------------------------------------------------------------- T3 pool
 
 def model_pool(kind: str, n_classes: int = 2, seed: int = 42) -> dict[str, tuple]:
@@ -160,10 +173,12 @@ class Tournament:
 
     @property
     def best(self) -> str:
-        board = [(m.score_val, n) for n, m in self.members.items() if m.score_val is not None]
+        """The leaderboard's first: highest score, then the order of fitting (the ensemble last)."""
+        board = [(m.score_val, -m.fit_order, n) for n, m in self.members.items()
+                 if m.score_val is not None]
         if self.ensemble_score is not None:
-            board.append((self.ensemble_score, "weighted_ensemble"))
-        return max(board)[1]
+            board.append((self.ensemble_score, -len(self.members) - 1, "weighted_ensemble"))
+        return max(board)[2]
 
 
 # ---------------------------------------------------------------- prediction helpers
@@ -293,8 +308,7 @@ def _score(df: DataFrame, t: Tournament, pred: Column) -> float:
 def run_tournament(train: DataFrame, val: DataFrame, target: str, kind: str, key_cols,
                    folds: int = 3, pool: dict | None = None, budget_s: float | None = None,
                    exclude=(), ensemble_rounds: int = 25, seed: int = 42,
-                   parallelism: int = 8, rows_per_partition: int = 250_000,
-                   stack_levels: int = 1) -> Tournament:
+                   parallelism: int = 8, stack_levels: int = 1) -> Tournament:
     """Fit the pool on ``train`` (bagged), score on ``val``, build the weighted ensemble.
 
     ``budget_s`` stops starting new fits once exceeded (a member enters the
@@ -315,7 +329,7 @@ def run_tournament(train: DataFrame, val: DataFrame, target: str, kind: str, key
     pool = pool or model_pool(kind, len(labels or []), seed)
     fold = F.pmod(F.xxhash64(*[F.col(k) for k in key_cols], F.lit(seed)), F.lit(folds))
     base = _label_frame(train, t).filter(F.col("_label").isNotNull()).withColumn("_fold", fold)
-    base = base.repartition(_partitions_for(base, rows_per_partition)).cache()
+    base = base.repartition(_partitions_for(base)).cache()
     started = time.time()
     t.members.update(_fit_pool(base, spec, pool, kind, folds, parallelism, budget_s, started))
     if stack_levels >= 2 and folds >= 2 and t.members:
@@ -323,8 +337,8 @@ def run_tournament(train: DataFrame, val: DataFrame, target: str, kind: str, key
         t.l1_names = list(t.members)
         oof = _oof_features(base, t, folds)
         l1_feats = [c for n in t.l1_names for c in l1_columns(t, n)]
-        spec2 = FeatureSpec(spec.numeric + l1_feats, spec.categorical, target, kind)
-        base2 = oof.repartition(_partitions_for(oof, rows_per_partition)).cache()
+        spec2 = FeatureSpec(spec.numeric + l1_feats, spec.categorical, target, kind, spec.hashed)
+        base2 = oof.repartition(_partitions_for(oof)).cache()
         t.members.update(_fit_pool(base2, spec2, pool, kind, folds, parallelism, budget_s,
                                    started, suffix="_l2", level=2, first_order=len(t.members)))
         base2.unpersist()
@@ -387,11 +401,9 @@ def _oof_features(base: DataFrame, t: Tournament, folds: int) -> DataFrame:
     return out
 
 
-def _partitions_for(df: DataFrame, rows_per_partition: int) -> int:
-    """Partitions so that each holds about ``rows_per_partition`` rows (ML iterations run
-    one job per step, so tiny partitions cost more in scheduling than in work)."""
-    n = df.count()
-    return max(1, -(-n // rows_per_partition))
+def _partitions_for(df: DataFrame) -> int:
+    """The input's own splits, or one partition a core where it has fewer."""
+    return max(df.rdd.getNumPartitions(), df.sparkSession.sparkContext.defaultParallelism)
 
 
 def _score_members(t: Tournament, val: DataFrame) -> DataFrame:
@@ -418,25 +430,25 @@ def _score_members(t: Tournament, val: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- T6 ensemble
 
 def gram_stats(df: DataFrame, y: str, preds: list[str]) -> dict:
-    """One aggregate: n, sum y, sum y^2, sum p_i, sum p_i*y, sum p_i*p_j."""
-    yc = F.col(y).cast("double")
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum(yc).alias("sy"), F.sum(yc * yc).alias("syy")]
-    for i, p in enumerate(preds):
-        aggs += [F.sum(F.col(p)).alias(f"sp{i}"), F.sum(F.col(p) * yc).alias(f"spy{i}")]
-        for j in range(i, len(preds)):
-            aggs.append(F.sum(F.col(p) * F.col(preds[j])).alias(f"spp{i}_{j}"))
+    """One aggregate over the rows without a missing label or prediction: n, the label's sum of
+    squares about its mean, and the sums of products of the members' errors. Errors, not raw values:
+    a large offset of the label would cancel out all digits of a difference of raw sums."""
+    yc, *ps = met.usable(y, *preds)
+    errors = [yc - p for p in ps]
+    aggs = [F.count(yc).alias("n"), (F.var_pop(yc) * F.count(yc)).alias("sst")]
+    for i, a in enumerate(errors):
+        aggs += [F.sum(a * errors[j]).alias(f"see{i}_{j}") for j in range(i, len(errors))]
     return df.agg(*aggs).first().asDict()
 
 
 def r2_from_gram(g: dict, w: list[float]) -> float:
-    """R^2 = 1 - SSE/SST of the blend sum w_i p_i, from the Gram statistics only."""
+    """R^2 = 1 - SSE/SST of the blend sum w_i p_i, weights summing to 1: its error is sum w_i e_i, so
+    SSE = w'Ew follows from the products of the members' errors."""
     k = len(w)
-    sse = g["syy"] - 2 * sum(w[i] * g[f"spy{i}"] for i in range(k))
-    for i in range(k):
-        for j in range(k):
-            a, b = min(i, j), max(i, j)
-            sse += w[i] * w[j] * g[f"spp{a}_{b}"]
-    sst = g["syy"] - g["sy"] ** 2 / g["n"]
+    if not g["n"]:
+        return float("nan")
+    sse = sum(w[i] * w[j] * g[f"see{min(i, j)}_{max(i, j)}"] for i in range(k) for j in range(k))
+    sst = g["sst"]
     if sst == 0:
         return 1.0 if sse == 0 else 0.0
     return 1.0 - sse / sst

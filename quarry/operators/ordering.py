@@ -181,11 +181,20 @@ def chronological_split(df: DataFrame, date_col: str, tie_break=(), train: float
                         materialize: str = "persist") -> DataFrame:
     """Label each row train/val/test by its position in (date, tie-break) order.
 
+    The two cut positions are found by bracketing and every row is labelled by comparing its key
+    with the two boundary keys; rows are ranked (and moved) only where positions are asked for, or
+    where equal keys lie across a cut.
+
     Rows with the same date are ordered by ``tie_break``; the reference leaves
     that order unspecified, so a key is required for reproducible cuts.
     """
     if date_col not in df.columns:
         raise KeyError(f"order column '{date_col}' not found; Spark has no implicit row order")
+    keys = [date_col, *tie_break]
+    if rank_col is None and all(isinstance(k, str) for k in keys):
+        labelled = _split_by_boundaries(df, keys, train, val, split_col)
+        if labelled is not None:
+            return labelled
     rk = rank_col or "_q_rank"
     ranked = global_rank(df, [date_col], tie_break, rank_col=rk, total_col="_q_total",
                          num_partitions=num_partitions, materialize=materialize)
@@ -194,6 +203,79 @@ def chronological_split(df: DataFrame, date_col: str, tie_break=(), train: float
     return out if rank_col else out.drop(rk)
 
 
+def _split_by_boundaries(df: DataFrame, keys: list[str], train: float, val: float,
+                         split_col: str) -> DataFrame | None:
+    """Labels from the keys at the two cut positions: a scan and a comparison, no row moves.
+
+    None if rows with one and the same key would fall on both sides of a cut (they have no order
+    of their own), which is counted exactly.
+    """
+    narrow = df.select(*keys)
+    n = narrow.count()
+    cuts = [int(n * float(train)), int(n * (float(train) + float(val)))]
+    bounds = [key_at(narrow, keys, k) if 0 < k < n else None for k in cuts]
+    if any(b is None and 0 < k < n for b, k in zip(bounds, cuts)):
+        return None
+    row = F.struct(*keys)
+    upto = [F.lit(k >= n) if b is None else
+            row <= F.struct(*[F.lit(v).cast(df.schema[c].dataType).alias(c) for c, v in zip(keys, b)])
+            for b, k in zip(bounds, cuts)]
+    held = narrow.agg(*[F.count_if(u).alias(f"c{i}") for i, u in enumerate(upto)]).first()
+    if [held["c0"], held["c1"]] != [min(k, n) for k in cuts]:
+        return None
+    names = ("train", "val", "test")
+    return df.withColumn(split_col, F.when(upto[0], names[0]).when(upto[1], names[1]).otherwise(names[2]))
+
+
+def key_at(df: DataFrame, keys: list[str], position: int, small: int = 20_000,
+           accuracy: int = 10_000) -> tuple | None:
+    """The key tuple at a 1-based position in ascending order, nulls first.
+
+    Approximate percentiles of the first key bracket the position, one pass counts the rows below and
+    inside, and the bracket is narrowed until it holds few rows, of which the top rows are
+    taken; a bracket that is one value fixes that key and goes on with the next. None if a key with many
+    rows has no percentiles (text).
+    """
+    fixed: list = []
+    rows, k = df, position
+    while True:
+        n = rows.count()
+        rest = keys[len(fixed):]
+        if n <= small or not rest:
+            order = [F.col(c).asc_nulls_first() for c in rest]
+            found = (rows.orderBy(*order) if order else rows).offset(k - 1).limit(1).collect()
+            return tuple(fixed) + tuple(found[0][c] for c in rest)
+        key = rest[0]
+        if df.schema[key].dataType.typeName() not in (
+                "byte", "short", "integer", "long", "float", "double", "decimal", "date", "timestamp",
+                "timestamp_ntz"):
+            return None
+        nulls = rows.filter(F.col(key).isNull()).count()
+        if k <= nulls:
+            rows = rows.filter(F.col(key).isNull())
+            fixed.append(None)
+            continue
+        at, width = (k - nulls) / max(1, n - nulls), 3.0 / accuracy
+        lo, hi = rows.agg(F.percentile_approx(
+            key, [max(0.0, at - width), min(1.0, at + width)], accuracy)).first()[0]
+        c = F.col(key)
+        below, inside = rows.agg(F.count_if(c.isNull() | (c < F.lit(lo))),
+                                 F.count_if((c >= F.lit(lo)) & (c <= F.lit(hi)))).first()
+        if not below < k <= below + inside:
+            return None
+        if lo == hi:
+            rows, fixed = rows.filter(c == F.lit(lo)), [*fixed, lo]
+        elif inside < n:
+            rows = rows.filter((c >= F.lit(lo)) & (c <= F.lit(hi)))
+        else:  # few values: the bracket is all rows; split it at its lower edge
+            upto = below + rows.filter(c == F.lit(lo)).count()
+            if k <= upto:
+                rows, fixed = rows.filter(c == F.lit(lo)), [*fixed, lo]
+            else:
+                rows, below = rows.filter(c > F.lit(lo)), upto
+        k -= below
+
+
 def first_difference(df: DataFrame, col: str, order_cols, partition_cols=()) -> DataFrame:
     """``col - lag(col)`` in the given order (W2); only for bounded partitions."""
     w = Window.partitionBy(*partition_cols).orderBy(*order_cols)

@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.joins import sized_broadcast
 from quarry.operators.ordering import global_rank
+from quarry.operators.quality import nan_as_null
 
 
 def _q(name: str) -> Column:
@@ -40,7 +40,7 @@ def to_long(df: DataFrame, cols, id_cols=(), name_col: str = "column_name",
 # ---------------------------------------------------------------- quantiles
 
 def quantiles_long(long: DataFrame, probs, group_cols=("column_name",), value_col="value",
-                   exact: bool = True, accuracy: int = 10_000, method: str = "auto"
+                   exact: bool = True, accuracy: int = 10_000, method: str = "bracket"
                    ) -> DataFrame:
     """Quantiles of ``value_col`` per group, linear interpolation.
 
@@ -51,7 +51,8 @@ def quantiles_long(long: DataFrame, probs, group_cols=("column_name",), value_co
     Exact values come from a bracket: ``percentile_approx`` (rank error at
     most n/accuracy) gives values around each target rank, one pass counts the
     rows below and inside each bracket, and only the rows inside are ranked
-    globally - a fraction of a percent of the data instead of all of it.  If
+    globally. Where both edges of a bracket are one value (heavy ties, few distinct
+    values), that value is the quantile and nothing is ranked.  If
     a bracket misses its target ranks (the check is exact) the whole input is
     ranked instead.  ``exact=False`` returns ``percentile_approx`` directly.
     """
@@ -63,9 +64,6 @@ def quantiles_long(long: DataFrame, probs, group_cols=("column_name",), value_co
         return q.select(*gkeys, F.posexplode("_q_vals").alias("_q_i", "quantile")).select(
             *gkeys, F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("_q_i") + 1)
             .alias("prob"), "quantile")
-    if method == "auto":
-        cores = long.sparkSession.sparkContext.defaultParallelism
-        method = "bracket" if long.rdd.getNumPartitions() > cores else "rank"
     if method == "bracket":
         bracketed = _bracketed_quantiles(long, probs, gkeys, value_col, accuracy)
         if bracketed is not None:
@@ -96,7 +94,7 @@ def _bracketed_quantiles(long: DataFrame, probs, gkeys, value_col: str, accuracy
                 .withColumn("_q_lo", F.floor("_q_h"))
                 .withColumn("_q_hi", F.ceil("_q_h"))
                 .drop("_q_edges", "_q_pi"))
-    per = sized_broadcast(per).cache()
+    per = per.cache()
     v = F.col(value_col)
     tagged = long.select(*gkeys, v.alias("_q_v")).join(per, gkeys)
     below = F.col("_q_v") < F.col("_q_blo")
@@ -110,7 +108,10 @@ def _bracketed_quantiles(long: DataFrame, probs, gkeys, value_col: str, accuracy
         per.unpersist()
         checked.unpersist()
         return None
-    rows = (tagged.filter(inside).select(*gkeys, "prob", "_q_v")
+    tied = checked.filter(F.col("_q_blo") == F.col("_q_bhi")).select(
+        *gkeys, "prob", F.col("_q_blo").cast("double").alias("quantile"))
+    open_ = inside & (F.col("_q_blo") < F.col("_q_bhi"))
+    rows = (tagged.filter(open_).select(*gkeys, "prob", "_q_v")
                   .withColumn("_q_row", F.monotonically_increasing_id()))
     ranked = global_rank(rows, gkeys + ["prob", "_q_v"], ["_q_row"], rank_col="_q_pos")
     first = ranked.groupBy(*gkeys, "prob").agg(F.min("_q_pos").alias("_q_first"))
@@ -123,7 +124,7 @@ def _bracketed_quantiles(long: DataFrame, probs, gkeys, value_col: str, accuracy
             F.first("_q_h").alias("_q_h"), F.first("_q_lo").alias("_q_lo"),
             F.max(F.when(F.col("_q_r") == F.col("_q_lo"), F.col("_q_v"))).alias("_q_vlo"),
             F.max(F.when(F.col("_q_r") == F.col("_q_hi"), F.col("_q_v"))).alias("_q_vhi"))
-    return _interpolate(picked, gkeys)
+    return _interpolate(picked, gkeys).unionByName(tied)
 
 
 def _ranked_quantiles(long: DataFrame, probs, gkeys, value_col: str) -> DataFrame:
@@ -140,7 +141,7 @@ def _ranked_quantiles(long: DataFrame, probs, gkeys, value_col: str) -> DataFram
             .withColumn("_q_side", F.explode(F.array(F.lit(0), F.lit(1))))
             .withColumn("_q_at", F.col("_q_first") +
                         F.when(F.col("_q_side") == 0, F.col("_q_lo")).otherwise(F.col("_q_hi"))))
-    need = sized_broadcast(need.select(*gkeys, "prob", "_q_h", "_q_lo", "_q_side", "_q_at"))
+    need = need.select(*gkeys, "prob", "_q_h", "_q_lo", "_q_side", "_q_at")
     hits = ranked.select("_q_pos", F.col(value_col).alias("_q_v")).join(
         need, F.col("_q_pos") == F.col("_q_at"))
     picked = hits.groupBy(*gkeys, "prob").agg(
@@ -158,18 +159,6 @@ def quantiles(df: DataFrame, cols, probs, group_cols=(), exact: bool = True) ->
 
 # ---------------------------------------------------------------- moments
 
-def corrected_skewness(g1: Column, n: Column) -> Column:
-    """Bias-corrected G1 from the population skewness; constant -> 0.0, n < 3 -> NULL."""
-    adj = F.sqrt(n * (n - 1)) / (n - 2)
-    return F.when(n < 3, F.lit(None).cast("double")).otherwise(F.coalesce(g1 * adj, F.lit(0.0)))
-
-
-def corrected_kurtosis(g2: Column, n: Column) -> Column:
-    """Bias-corrected excess G2; constant -> 0.0, n < 4 -> NULL."""
-    adj = ((n + 1) * g2 + 6) * (n - 1) / ((n - 2) * (n - 3))
-    return F.when(n < 4, F.lit(None).cast("double")).otherwise(F.coalesce(adj, F.lit(0.0)))
-
-
 def _clean(c: str) -> Column:
     v = _q(c).cast("double")
     return F.when(_missing_free(v), v)
@@ -297,7 +286,7 @@ def box_stats(df: DataFrame, value_col: str, group_cols=(), exact: bool = True,
     lo, hi = iqr_bounds(F.col("q1"), F.col("q3"), k)
     five = five.withColumn("_q_lo", lo).withColumn("_q_hi", hi)
     data = long if gcols else long.withColumn("_q_all", F.lit(1))
-    joined = data.join(sized_broadcast(five), keys)
+    joined = data.join(five, keys)
     val = F.col("value")
     inside_lo = val >= F.col("_q_lo")
     inside_hi = val <= F.col("_q_hi")
@@ -337,25 +326,33 @@ def value_counts(df: DataFrame, cols, k: int = 15) -> DataFrame:
 
 def class_counts(df: DataFrame, target: str) -> DataFrame:
     """(class_value, n, n_classes) for a classification target, nulls excluded."""
-    counts = (df.filter(_q(target).isNotNull())
+    counts = (nan_as_null(df).filter(_q(target).isNotNull())
                 .groupBy(_q(target).cast("string").alias("class_value"))
                 .agg(F.count(F.lit(1)).alias("n")))
-    return counts.withColumn("n_classes", F.count(F.lit(1)).over(Window.partitionBy()))
+    total = counts.agg(F.count(F.lit(1)).alias("n_classes")).withColumn("_q_some", F.col("n_classes") > 0)
+    return counts.withColumn("_q_some", F.col("n") > 0).join(total, "_q_some").drop("_q_some")
 
 
 def crosstab_norm(df: DataFrame, row_col: str, col_col: str) -> DataFrame:
     """Row-normalised cross-tab in long form: (row_value, col_value, n, share).
 
-    Only observed pairs are listed (a missing pair has share 0).  Rows with
+    Every row value is listed with every column value, absent pairs with 0.  Rows with
     a null in either column are left out, as in ``pandas.crosstab``.
     """
     pairs = (df.filter(_q(row_col).isNotNull() & _q(col_col).isNotNull())
                .groupBy(_q(row_col).cast("string").alias("row_value"),
                         _q(col_col).cast("string").alias("col_value"))
                .agg(F.count(F.lit(1)).alias("n")))
-    totals = pairs.groupBy("row_value").agg(F.sum("n").alias("_q_row_n"))
-    return (pairs.join(sized_broadcast(totals), "row_value")
-                 .withColumn("share", F.col("n") / F.col("_q_row_n")).drop("_q_row_n"))
+    # the grid: counted pairs, spread over the column values (a list in one row)
+    columns = pairs.agg(F.sort_array(F.collect_set("col_value")).alias("_q_cols"),
+                        (F.count(F.lit(1)) > 0).alias("_q_some"))
+    rows = pairs.groupBy("row_value").agg(
+        F.map_from_entries(F.collect_list(F.struct("col_value", "n"))).alias("_q_n"),
+        F.sum("n").alias("_q_row_n"), (F.sum("n") > 0).alias("_q_some"))
+    cells = rows.join(columns, "_q_some").select(
+        "row_value", "_q_row_n", "_q_n", F.explode("_q_cols").alias("col_value"))
+    n = F.coalesce(F.try_element_at("_q_n", F.col("col_value")), F.lit(0)).cast("long")
+    return cells.select("row_value", "col_value", n.alias("n"), (n / F.col("_q_row_n")).alias("share"))
 
 
 # ---------------------------------------------------------------- correlation
@@ -385,7 +382,9 @@ def corr_pairs(df: DataFrame, cols) -> DataFrame:
         raise ValueError("correlation needs at least two numeric columns")
     first = df.agg(F.count(F.lit(1)).alias("n"),
                    *[F.count(_clean(c)).alias(f"n{i}") for i, c in enumerate(cols)],
-                   *[F.avg(_clean(c)).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+                   *[F.avg(_clean(c)).alias(f"m{i}") for i, c in enumerate(cols)],
+                   *[(F.min(_clean(c)) == F.max(_clean(c))).alias(f"k{i}")
+                     for i, c in enumerate(cols)]).first()
     if any(first[f"n{i}"] != first["n"] for i in range(len(cols))):
         structs = [F.struct(F.lit(cols[i]).alias("column_a"), F.lit(cols[j]).alias("column_b"),
                             _pair_corr(cols[i], cols[j]).alias("corr"))
@@ -395,8 +394,10 @@ def corr_pairs(df: DataFrame, cols) -> DataFrame:
     d = [f"({_sql_clean(c)} - CAST('{first[f'm{i}']!r}' AS DOUBLE))" for i, c in enumerate(cols)]
     sums = df.agg(*[F.expr(f"sum({d[i]} * {d[j]})").alias(f"c{i}_{j}")
                     for i in range(len(cols)) for j in range(i + 1)])
+    # a constant column has no correlation; centring it with a rounded mean leaves dust
     structs = [f"named_struct('column_a', {cols[i]!r}, 'column_b', {cols[j]!r}, 'corr', "
-               f"try_divide(c{i}_{j}, sqrt(c{i}_{i} * c{j}_{j})))"
+               + ("CAST(NULL AS DOUBLE))" if first[f"k{i}"] or first[f"k{j}"] else
+                  f"try_divide(c{i}_{j}, sqrt(c{i}_{i} * c{j}_{j})))")
                for i in range(len(cols)) for j in range(i)]
     return sums.select(F.expr(f"inline(array({', '.join(structs)}))"))
 
@@ -428,7 +429,7 @@ def bin_index(v: Column, lo: float, hi: float, bins: int) -> Column:
 
 
 def histogram(df: DataFrame, col: str, bins: int = 50, value_range_=None) -> DataFrame:
-    """Equal-width histogram: (bin, bin_lo, bin_hi, n); empty bins are not listed.
+    """Equal-width histogram: (bin, bin_lo, bin_hi, n), every bin listed.
 
     A constant column is widened to value +- 0.5 like numpy.
     """
@@ -442,6 +443,8 @@ def histogram(df: DataFrame, col: str, bins: int = 50, value_range_=None) -> Dat
     counts = (df.filter(_missing_free(v)).groupBy(bin_index(v, lo, hi, bins).alias("bin"))
                 .agg(F.count(F.lit(1)).alias("n")))
     step = (F.lit(hi) - F.lit(lo)) / F.lit(float(bins))
+    every = spark.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
+    counts = every.join(counts, "bin", "left").fillna(0, ["n"])
     return counts.select("bin",
                          (F.lit(lo) + (F.col("bin") - 1) * step).alias("bin_lo"),
                          (F.lit(lo) + F.col("bin") * step).alias("bin_hi"), "n")
@@ -473,6 +476,7 @@ def fit_range(df: DataFrame, actual: str, predicted: str) -> DataFrame:
 def kpi(df: DataFrame, value: str) -> DataFrame:
     """count / avg / max / min of one value."""
     v = _q(value)
+    df = nan_as_null(df)
     return df.agg(F.count(v).alias("n"), F.avg(v).alias("avg_value"),
                   F.max(v).alias("max_value"), F.min(v).alias("min_value"))
 
@@ -480,6 +484,7 @@ def kpi(df: DataFrame, value: str) -> DataFrame:
 def trend(df: DataFrame, date_col: str, value: str, grain: str = "month") -> DataFrame:
     """Average, total and count of ``value`` per year (and month)."""
     d = _q(date_col)
+    df = nan_as_null(df)
     keys = [F.year(d).alias("year")]
     if grain == "month":
         keys.append(F.month(d).alias("month"))
@@ -490,7 +495,7 @@ def trend(df: DataFrame, date_col: str, value: str, grain: str = "month") -> Dat
 
 def group_avg(df: DataFrame, key: str, value: str) -> DataFrame:
     """Average of ``value`` per ``key`` with counts."""
-    return df.groupBy(_q(key).alias(key)).agg(F.count(F.lit(1)).alias("n"),
+    return nan_as_null(df).groupBy(_q(key).alias(key)).agg(F.count(F.lit(1)).alias("n"),
                                              F.avg(_q(value)).alias("avg_value"))
 
 
@@ -501,6 +506,7 @@ def band_avg(df: DataFrame, col: str, edges, value: str) -> DataFrame:
     and band len(edges) at or above the last.
     """
     c = _q(col).cast("double")
+    df = nan_as_null(df)
     band = F.lit(0)
     for e in edges:
         band = band + F.when(c >= F.lit(float(e)), 1).otherwise(0)
@@ -564,6 +570,9 @@ def histograms(df: DataFrame, cols, bins: int = 40) -> DataFrame:
     b = F.least(F.floor((F.col("value") - lo) * F.lit(float(bins)) / (hi - lo)) + 1,
                 F.lit(bins)).cast("int")
     counts = long.groupBy("column_name", b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    every = df.sparkSession.createDataFrame([(c,) for c in ranges], "column_name string").withColumn(
+        "bin", F.explode(F.sequence(F.lit(1), F.lit(bins))))
+    counts = every.join(counts, ["column_name", "bin"], "left").fillna(0, ["n"])
     step = (hi - lo) / F.lit(float(bins))
     return counts.select("column_name", "bin", (lo + (F.col("bin") - 1) * step).alias("bin_lo"),
                          (lo + F.col("bin") * step).alias("bin_hi"), "n")
@@ -571,28 +580,29 @@ def histograms(df: DataFrame, cols, bins: int = 40) -> DataFrame:
 
 def chart_tables(df: DataFrame, target: str, kind: str, numeric, categorical,
                  low_cardinality) -> dict[str, DataFrame]:
-    """The data behind each profile chart, with the reference's positional caps (L4).
+    """The data behind each profile chart, for all columns given (L4); callers choose which.
 
-    target distribution (50 bins / class counts), first 20 numeric features
-    (40 bins), first 16 categorical columns (top 15 values), top-8 target
-    correlations, first 6 low-cardinality columns against the target (box
-    data for regression, row-normalised cross-tabs for classification).
+    target distribution (50 bins / class counts), numeric features (40 bins),
+    categorical columns (top 15 values), top-8 target correlations,
+    low-cardinality columns against the target (box data for regression,
+    row-normalised cross-tabs for classification).
     """
     out: dict[str, DataFrame] = {}
+    df = nan_as_null(df)
     if kind == "regression":
         out["target_histogram"] = histogram(df, target, 50)
         out["target_box"] = box_stats(df, target)
     else:
         out["class_counts"] = class_counts(df, target)
-    feats = [c for c in numeric if c != target][:20]
+    feats = [c for c in numeric if c != target]
     if feats:
         out["feature_histograms"] = histograms(df, feats, 40)
         if kind == "regression":
             out["target_corr"] = target_corr(df, feats, target, 8)
     if categorical:
-        out["value_counts"] = value_counts(df, list(categorical)[:16], 15)
+        out["value_counts"] = value_counts(df, list(categorical), 15)
     frames = []
-    for c in list(low_cardinality)[:6]:
+    for c in low_cardinality:
         if kind == "regression":
             frames.append(box_stats(df, target, [c]).select(
                 F.lit(c).alias("column_name"), F.col(c).cast("string").alias("group_value"),

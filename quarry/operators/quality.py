@@ -1,9 +1,7 @@
 """Data-quality operators.
 
-The summary is one aggregation over the table grouped by all of its columns:
-identical rows collapse map-side first (a hot duplicate group costs one row
-per map task), and the same pass yields row count, duplicates, per-column
-nulls and constant columns.
+The summary is one map-side combined scan for row count, nulls and constant
+columns, and a shuffle of row hashes (not rows) for the duplicates.
 """
 
 from __future__ import annotations
@@ -18,6 +16,13 @@ def _q(name: str):
     return F.col(f"`{name}`")
 
 
+def nan_as_null(df: DataFrame) -> DataFrame:
+    """NaN in floating columns becomes NULL, so that one notion of missing remains."""
+    floats = [f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")]
+    return df.withColumns({c: F.nanvl(_q(c), F.lit(None).cast(df.schema[c].dataType))
+                           for c in floats}) if floats else df
+
+
 def resolve_target(df: DataFrame, target: str | None = None) -> str:
     """Configured target, else the last column; ``KeyError`` when absent."""
     name = target or df.columns[-1]
@@ -39,6 +44,21 @@ def drop_unparseable_dates(df: DataFrame, date_col: str) -> DataFrame:
     return df.withColumn(date_col, parse_timestamp(date_col)).filter(_q(date_col).isNotNull())
 
 
+def duplicate_rows(df: DataFrame) -> int:
+    """Rows beyond the first of each identical group, nulls comparing equal (A2).
+
+    Only a 128-bit hash of each row is shuffled (values and null flags, counted map-side); whole rows
+    are compared for hashes seen twice or more alone.
+    """
+    df = nan_as_null(df)
+    marks = [F.col(f"`{c}`") for c in df.columns] + [F.col(f"`{c}`").isNull() for c in df.columns]
+    hashed = df.withColumns({"_q_h1": F.xxhash64(F.lit(1), *marks), "_q_h2": F.xxhash64(F.lit(2), *marks)})
+    twice = hashed.groupBy("_q_h1", "_q_h2").agg(F.count(F.lit(1)).alias("_q_n")).filter("_q_n > 1")
+    same = (hashed.join(twice.select("_q_h1", "_q_h2"), ["_q_h1", "_q_h2"], "left_semi")
+            .groupBy(*[_q(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_q_n")))
+    return same.agg(F.coalesce(F.sum(F.col("_q_n") - 1), F.lit(0)).cast("long")).first()[0]
+
+
 def quality_summary(df: DataFrame) -> DataFrame:
     """One row: n_rows, n_columns, n_duplicate_rows, n_missing, missing_pct, constant columns (A1).
 
@@ -46,16 +66,16 @@ def quality_summary(df: DataFrame) -> DataFrame:
     comparing equal (A2).  A column is constant when it has at most one
     distinct non-null value; an all-null column counts as constant (P6).
     """
+    df = nan_as_null(df)
     cols = df.columns
-    grouped = df.groupBy(*[_q(c) for c in cols]).agg(F.count(F.lit(1)).alias("_q_n"))
-    aggs = [F.expr("sum(_q_n)").alias("n_rows"), F.expr("sum(_q_n - 1)").alias("n_duplicate_rows")]
+    aggs = [F.count(F.lit(1)).alias("n_rows")]
     for i, c in enumerate(cols):
         name = "`" + c.replace("`", "``") + "`"
         # SQL text: one JVM call per expression keeps plan building cheap for wide tables
-        aggs += [F.expr(f"sum(CASE WHEN {name} IS NULL THEN _q_n ELSE 0 END)").alias(f"_q_null_{i}"),
+        aggs += [F.expr(f"count_if({name} IS NULL)").alias(f"_q_null_{i}"),
                  F.expr(f"min({name})").alias(f"_q_min_{i}"),
                  F.expr(f"max({name})").alias(f"_q_max_{i}")]
-    wide = grouped.agg(*aggs)
+    wide = df.agg(*aggs).withColumn("n_duplicate_rows", F.lit(duplicate_rows(df)))
     nulls = [F.col(f"_q_null_{i}") for i in range(len(cols))]
     total_nulls = sum(nulls[1:], nulls[0]) if nulls else F.lit(0)
     const_flags = [F.when(F.col(f"_q_min_{i}").eqNullSafe(F.col(f"_q_max_{i}")), F.lit(c))
@@ -105,8 +125,8 @@ def deduplicate(df: DataFrame) -> DataFrame:
 
 
 def empty_columns(df: DataFrame) -> list[str]:
-    """Columns without any non-null value (P5); one aggregate, one row to the driver."""
-    row = df.agg(*[F.expr("count(`" + c.replace("`", "``") + "`)").alias(f"_q{i}")
+    """Columns without any value (P5), NaN being none; one aggregate, one row to the driver."""
+    row = nan_as_null(df).agg(*[F.expr("count(`" + c.replace("`", "``") + "`)").alias(f"_q{i}")
                    for i, c in enumerate(df.columns)]).first()
     return [c for i, c in enumerate(df.columns) if row[f"_q{i}"] == 0]
 

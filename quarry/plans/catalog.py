@@ -19,7 +19,6 @@ from quarry.functions import calendar as cal
 from quarry.operators import columns as colops
 from quarry.operators import profile as prof
 from quarry.operators import quality as qual
-from quarry.operators.joins import sized_broadcast
 from quarry.operators.ordering import chronological_split
 from quarry.sources.tables import table
 
@@ -357,9 +356,12 @@ def q_box_stats(spark, sf):
 
 
 @register("crosstab_norm", """
-SELECT row_value, col_value, n, round(n / sum(n) OVER (PARTITION BY row_value), 6) AS share
-FROM (SELECT o_orderpriority AS row_value, o_orderstatus AS col_value, count(*) AS n
-      FROM orders WHERE o_orderpriority IS NOT NULL AND o_orderstatus IS NOT NULL GROUP BY 1, 2)
+WITH p AS (SELECT o_orderpriority AS row_value, o_orderstatus AS col_value, count(*) AS n
+           FROM orders WHERE o_orderpriority IS NOT NULL AND o_orderstatus IS NOT NULL GROUP BY 1, 2)
+SELECT row_value, col_value, coalesce(n, 0) AS n,
+       round(coalesce(n, 0) / sum(n) OVER (PARTITION BY row_value), 6) AS share
+FROM (SELECT DISTINCT row_value FROM p) CROSS JOIN (SELECT DISTINCT col_value FROM p)
+LEFT JOIN p USING (row_value, col_value)
 """)
 def q_crosstab_norm(spark, sf):
     ct = prof.crosstab_norm(_t(spark, sf, "orders"), "o_orderpriority", "o_orderstatus")
@@ -406,7 +408,9 @@ b AS (SELECT CAST(least(floor(({col} - lo) * CAST({bins} AS DOUBLE) / (hi - lo))
              count(*) AS n, any_value(lo) AS lo, any_value(hi) AS hi
       FROM {tname}, r {where} {'AND' if where else 'WHERE'} {col} IS NOT NULL GROUP BY 1)
 SELECT bin, round(lo + (bin - 1) * ((hi - lo) / CAST({bins} AS DOUBLE)), 6) AS bin_lo,
-       round(lo + bin * ((hi - lo) / CAST({bins} AS DOUBLE)), 6) AS bin_hi, n FROM b"""
+       round(lo + bin * ((hi - lo) / CAST({bins} AS DOUBLE)), 6) AS bin_hi, coalesce(n, 0) AS n
+FROM r, (SELECT CAST(unnest(range(1, {bins} + 1)) AS INTEGER) AS bin)
+LEFT JOIN (SELECT bin, n FROM b) USING (bin)"""
 
 
 @register("histogram", _hist_sql("events", "value", 50))
@@ -447,7 +451,7 @@ FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_mktsegment
 def q_group_avg(spark, sf):
     o = _t(spark, sf, "orders").select("o_custkey", "o_totalprice")
     c = _t(spark, sf, "customer").select("c_custkey", "c_mktsegment")
-    joined = o.join(sized_broadcast(c), o.o_custkey == c.c_custkey)
+    joined = o.join(c, o.o_custkey == c.c_custkey)
     g = prof.group_avg(joined, "c_mktsegment", "o_totalprice")
     return g.withColumn("avg_value", _r("avg_value", 2))
 
@@ -680,7 +684,7 @@ _CLS_SRC_SQL = """(SELECT l.quality AS y, CASE WHEN d.n_chars > 2000 THEN 1 ELSE
 def _cls_frame(spark, sf):
     lab = _t(spark, sf, "labels").select("doc_id", F.col("quality").alias("y"))
     docs = _t(spark, sf, "documents").select("doc_id", "n_chars")
-    j = docs.join(sized_broadcast(lab), "doc_id")
+    j = docs.join(lab, "doc_id")
     return j.select("y", F.when(F.col("n_chars") > 2000, 1).otherwise(0).alias("p"),
                     F.col("n_chars").cast("double").alias("s"))
 
@@ -754,6 +758,7 @@ cum AS (SELECT score, CAST(pos AS DOUBLE) AS pos, CAST(neg AS DOUBLE) AS neg,
 WITH {_CUM_SQL}
 SELECT score AS threshold, CAST(tps AS BIGINT) AS tps, CAST(fps AS BIGINT) AS fps,
        round(tps / P, 9) AS tpr, round(fps / N, 9) AS fpr FROM cum
+UNION ALL SELECT NULL, 0, 0, 0.0, 0.0
 """)
 def q_roc_curve(spark, sf):
     r = crv.roc_curve(_cls_frame(spark, sf), "y", "s")
@@ -771,6 +776,7 @@ def q_roc_auc(spark, sf):
 @register("pr_curve", f"""
 WITH {_CUM_SQL}
 SELECT score AS threshold, round(tps / (tps + fps), 9) AS precision, round(tps / P, 9) AS recall FROM cum
+UNION ALL SELECT NULL, 1.0, 0.0
 """)
 def q_pr_curve(spark, sf):
     r = crv.pr_curve(_cls_frame(spark, sf), "y", "s")
@@ -831,9 +837,10 @@ def q_tournament(spark, sf):
 def q_ensemble_weights(spark, sf):
     """Greedy ensemble weights of three fixed predictors from one Gram pass."""
     li = _t(spark, sf, "lineitem").select(
-        "l_extendedprice", (F.col("l_quantity") * 1000.0).alias("p_low"),
-        (F.col("l_quantity") * 1400.0 + 200.0).alias("p_mid"),
-        (F.col("l_quantity") * 1800.0 - 300.0).alias("p_high"))
+        (F.col("l_extendedprice") + 1e8).alias("l_extendedprice"),  # an offset that dwarfs the spread
+        (F.col("l_quantity") * 1000.0 + 1e8).alias("p_low"),
+        (F.col("l_quantity") * 1400.0 + 200.0 + 1e8).alias("p_mid"),
+        (F.col("l_quantity") * 1800.0 - 300.0 + 1e8).alias("p_high"))
     w, score = mdl.ensemble_from_predictions(li, "l_extendedprice", ["p_low", "p_mid", "p_high"])
     rows = [(k, float(v), float(score)) for k, v in w.items()]
     return spark.createDataFrame(rows, "member string, weight double, ensemble_r2 double")
@@ -875,7 +882,7 @@ def q_perm_importance(spark, sf):
     split, _ = trn.lineitem_splits(spark, sf)
     test = split.filter(F.col("split") == "test").drop("split")
     t = trn.lineitem_tournament(spark, sf)
-    return imp.permutation_importance(test, t, trn.LINEITEM_KEYS, n_repeats=5, sample_rows=2000)
+    return imp.permutation_importance(test, t, trn.LINEITEM_KEYS, n_repeats=5)
 
 
 # --------------------------------------------------------------- more SQL-checked operators
@@ -980,23 +987,24 @@ _BLEND_W = {"p_low": 0.5, "p_mid": 0.3, "p_high": 0.2}
 
 
 @register("ensemble_blend_r2", f"""
-WITH d AS (SELECT l_extendedprice AS y,
-                  {' + '.join(f"CAST({w} AS DOUBLE) * ({_BLEND[k]})" for k, w in _BLEND_W.items())} AS p
+WITH d AS (SELECT l_extendedprice + 1e8 AS y,
+                  {' + '.join(f"CAST({w} AS DOUBLE) * ({_BLEND[k]} + 1e8)" for k, w in _BLEND_W.items())} AS p
            FROM lineitem),
 a AS (SELECT sum((y - p) * (y - p)) AS sse, var_pop(y) * count(y) AS sst FROM d)
-SELECT round(1 - sse / sst, 9) AS r2 FROM a
+SELECT round(1 - sse / sst, 6) AS r2 FROM a
 """)
 def q_ensemble_blend_r2(spark, sf):
     """R^2 of a fixed blend from the one-pass Gram statistics (the T6 search's only data pass)."""
     li = _t(spark, sf, "lineitem").select(
-        "l_extendedprice", (F.col("l_quantity") * 1000.0).alias("p_low"),
-        (F.col("l_quantity") * 1400.0 + 200.0).alias("p_mid"),
-        (F.col("l_quantity") * 1800.0 - 300.0).alias("p_high"))
+        (F.col("l_extendedprice") + 1e8).alias("l_extendedprice"),  # an offset that dwarfs the spread
+        (F.col("l_quantity") * 1000.0 + 1e8).alias("p_low"),
+        (F.col("l_quantity") * 1400.0 + 200.0 + 1e8).alias("p_mid"),
+        (F.col("l_quantity") * 1800.0 - 300.0 + 1e8).alias("p_high"))
     names = list(_BLEND_W)
     g = mdl.gram_stats(li, "l_extendedprice", names)
     r2 = mdl.r2_from_gram(g, [_BLEND_W[k] for k in names])
     # one-row result built from the aggregate; rounded like the SQL
-    return spark.createDataFrame([(round(r2, 9),)], "r2 double")
+    return spark.createDataFrame([(round(r2, 6),)], "r2 double")
 
 
 @register("bounded_read", """

@@ -174,7 +174,7 @@ def prepare(split: DataFrame, target: str, explicit=(), order_cols=(), tie_break
     spark = split.sparkSession
     train = split.filter(F.col("split") == "train").drop("split")
     drops = prune_decision(train, target, explicit, order_cols, tie_break)
-    keep = [d for d in drops if d not in order_cols and d not in tie_break]
+    keep = [d for d in drops if d in explicit or (d not in order_cols and d not in tie_break)]
     pruned = prune_columns(split, keep)
     train_p = pruned.filter(F.col("split") == "train").drop("split")
     numeric, categorical = type_partition(train_p, target)

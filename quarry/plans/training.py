@@ -51,10 +51,9 @@ def lineitem_tournament(spark: SparkSession, sf: str) -> mdl.Tournament:
 
 def document_frame(spark: SparkSession, sf: str) -> DataFrame:
     """labels joined to the few document columns the classifier uses (text is never read)."""
-    from quarry.operators.joins import sized_broadcast
     lab = table(spark, sf, "labels").select("doc_id", "quality")
     docs = table(spark, sf, "documents").select("doc_id", "n_chars", "lang", "source")
-    return docs.join(sized_broadcast(lab), "doc_id")
+    return docs.join(lab, "doc_id")
 
 
 def document_tournament(spark: SparkSession, sf: str) -> tuple[mdl.Tournament, DataFrame]:

@@ -1,7 +1,7 @@
 """Delimited-text sources.
 
-The sniffing reader decides encoding and separator on a bounded head of the
-input and then issues one ordinary ``spark.read.csv``; the data itself is
+The sniffing reader decides the encoding on one pass over the whole text and the
+separator on the header, and then issues one ordinary ``spark.read.csv``; the data itself is
 never pulled through the driver.
 """
 
@@ -9,51 +9,97 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quarry.constants import ENCODINGS, SEPARATORS  # fixed values: encodings (outer loop), separators
-REPLACEMENT_CHAR = "�"
 # Spark's CSV reader takes Java charset names.
 JAVA_CHARSETS = {"utf-8": "utf-8", "latin-1": "iso-8859-1", "cp1252": "windows-1252"}
 
+# Tokens that stand for a missing value in delimited text
+MISSING_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
+                  "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 
-def sniff_format(spark: SparkSession, path: str, encodings=ENCODINGS, separators=SEPARATORS,
-                 sample_lines: int = 20) -> tuple[str, str]:
+
+def _scan(spark: SparkSession, path: str) -> tuple[bool, bool, bool]:
+    """(has lines, holds bad UTF-8, has a quoted line break), from one pass over the whole text.
+
+    A line with an odd number of quotes opens or
+    closes a field that runs over a line break.
+    """
+    lines = spark.read.text(path)
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    row = lines.agg(F.count(F.lit(1)).alias("n"),
+                    F.count_if(~F.is_valid_utf8("value")).alias("bad"),
+                    F.count_if(quotes % 2 == 1).alias("open")).first()
+    return row["n"] > 0, row["bad"] > 0, row["open"] > 0
+
+
+def sniff_format(spark: SparkSession, path: str, encodings=ENCODINGS,
+                 separators=SEPARATORS) -> tuple[str, str]:
     """(encoding, separator): first pair whose header splits into more than one field.
 
-    Spark decodes bad UTF-8 into U+FFFD instead of failing, so a replacement
-    character in the sample marks UTF-8 as failed.  Raises ``ValueError`` when
-    no pair works.
+    UTF-8 fails on any bad byte of the whole input.  Raises ``ValueError`` when no pair works.
     """
-    head = [r.value for r in spark.read.text(path).limit(sample_lines).collect()]
-    if not head:
+    return _sniff(spark, path, encodings, separators)[:2]
+
+
+def _sniff(spark, path, encodings, separators) -> tuple[str, str, bool]:
+    some, bad_utf8, multi_line = _scan(spark, path)
+    if not some:
         raise ValueError(f"Cannot parse {path}: no lines")
-    utf8_ok = not any(REPLACEMENT_CHAR in line for line in head)
     for enc in encodings:
-        if enc == "utf-8" and not utf8_ok:
+        if enc == "utf-8" and bad_utf8:
             continue
         for sep in separators:
             # header-only schema resolution reads the first line, not the data
             try:
-                cols = (spark.read.option("header", True).option("sep", sep)
-                             .option("encoding", JAVA_CHARSETS.get(enc, enc)).csv(path).columns)
+                cols = _reader(spark, enc, sep, multi_line).csv(path).columns
             except Exception:  # charset not accepted by this Spark build
                 break
             if len(cols) > 1:
-                return enc, sep
-    raise ValueError(f"Cannot parse {path} - check encoding/delimiter.")
+                return enc, sep, multi_line
+    raise ValueError(f"No known encoding and separator give {path} more than one column")
+
+
+def _reader(spark: SparkSession, enc: str, sep: str, multi_line: bool):
+    """Quotes are doubled inside quoted fields; files are split unless a quoted field spans lines."""
+    return (spark.read.option("header", True).option("sep", sep).option("quote", '"')
+                 .option("escape", '"').option("multiLine", multi_line)
+                 .option("encoding", JAVA_CHARSETS.get(enc, enc)).option("mode", "PERMISSIVE"))
+
+
+def missing_tokens_as_null(df: DataFrame) -> DataFrame:
+    """Text columns with the tokens that mean a missing value replaced by NULL."""
+    texts = [f.name for f in df.schema.fields if f.dataType.typeName() == "string"]
+    return df.withColumns({c: F.when(~F.col(f"`{c}`").isin(MISSING_TOKENS), F.col(f"`{c}`"))
+                           for c in texts}) if texts else df
+
+
+def typed(df: DataFrame) -> DataFrame:
+    """Text columns as whole numbers, numbers or booleans where every value is one; the rest stays text.
+    One aggregate over all columns, one row to the driver."""
+    names = ["`" + c.replace("`", "``") + "`" for c in df.columns]
+    tests = {"bigint": r"{0} rlike '^\\s*[+-]?[0-9]+\\s*$' AND try_cast({0} AS bigint) IS NOT NULL",
+             "double": r"{0} rlike '(?i)^\\s*[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)(e[+-]?[0-9]+)?\\s*$' "
+                       r"OR trim({0}) rlike '(?i)^[+-]?inf(inity)?$'",
+             "boolean": r"{0} IN ('True', 'False', 'TRUE', 'FALSE', 'true', 'false')"}
+    row = df.agg(*[F.expr(f"count({x})").alias(f"n{i}") for i, x in enumerate(names)],
+                 *[F.expr(f"count_if({test.format(x)})").alias(f"{kind}{i}")
+                   for i, x in enumerate(names) for kind, test in tests.items()]).first()
+    kinds = {c: next((k for k in tests if row[f"n{i}"] and row[f"{k}{i}"] == row[f"n{i}"]), None)
+             for i, c in enumerate(df.columns)}
+    return df.withColumns({c: F.trim(F.col(f"`{c}`")).cast(k) for c, k in kinds.items() if k})
 
 
 def read_delimited(spark: SparkSession, path: str, infer_schema: bool = True,
                    encodings=ENCODINGS, separators=SEPARATORS, schema=None) -> DataFrame:
     """Sniffed CSV read with header (S1); ``schema`` skips inference."""
-    enc, sep = sniff_format(spark, path, encodings, separators)
-    reader = (spark.read.option("header", True).option("sep", sep)
-                   .option("encoding", JAVA_CHARSETS.get(enc, enc)).option("mode", "PERMISSIVE"))
+    enc, sep, multi_line = _sniff(spark, path, encodings, separators)
+    reader = _reader(spark, enc, sep, multi_line)
     if schema is not None:
-        reader = reader.schema(schema)
-    else:
-        reader = reader.option("inferSchema", infer_schema)
-    return reader.csv(path)
+        return reader.schema(schema).csv(path)
+    df = missing_tokens_as_null(reader.option("inferSchema", False).csv(path))
+    return typed(df) if infer_schema else df
 
 
 def read_batch(spark: SparkSession, path: str) -> DataFrame:
@@ -79,25 +125,8 @@ def read_with_fallback(spark: SparkSession, paths, fmt: str = "parquet", optiona
 
 
 def bounded_read(df: DataFrame, order_cols, n: int = 10_000) -> DataFrame:
-    """First ``n`` rows in a stated order (S3); Spark tables have no file order.
+    """First ``n`` rows in a stated order, nulls first (S3); Spark tables have no file order.
 
-    For a numeric or date leading key, rows above an approximate quantile
-    bound (aimed at 2n rows) are dropped before the top-n, so the final merge
-    sees about 2n rows instead of n per partition.  If the bound keeps fewer
-    than n rows it is not used; when it keeps n or more, every one of the
-    first n rows is at or below it, so the result is the same.
+    A partial top-n: every task keeps its own first ``n`` rows and only these meet.
     """
-    from pyspark.sql import functions as F
-    from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
-
-    lead = order_cols[0] if order_cols and isinstance(order_cols[0], str) else None
-    if lead is not None and isinstance(df.schema[lead].dataType,
-                                       (NumericType, DateType, TimestampType, TimestampNTZType)):
-        total = df.count()
-        if total > 4 * n:
-            bound = df.agg(F.percentile_approx(lead, 2.0 * n / total, 10_000)).first()[0]
-            if bound is not None:
-                cand = df.filter(F.col(lead) <= F.lit(bound))
-                if cand.count() >= n:
-                    df = cand
     return df.orderBy(*order_cols).limit(n)
