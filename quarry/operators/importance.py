@@ -56,7 +56,7 @@ def permutation_importance(df: DataFrame, t: mdl.Tournament, key_cols, features=
     a reproducible sample.
     """
     spark = df.sparkSession
-    features = list(features or (t.spec.numeric + t.spec.categorical))
+    features = list(features or (t.spec.numeric + t.spec.categorical + t.spec.dates))
     sample = hash_sample(df, key_cols, sample_rows, seed) if sample_rows else df
     keyed = global_rank(sample, key_cols, rank_col="_q_i", total_col="_q_n").cache()
     n = keyed.select("_q_n").first()[0]

@@ -19,9 +19,10 @@ predictions stay in the same row.
 
 from __future__ import annotations
 
+import json
 import time
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml import classification as cls
@@ -51,11 +52,12 @@ class FeatureSpec:
     categorical: list[str]
     target: str
     kind: str
+    dates: list[str] = field(default_factory=list)   # expanded into year, month, day and weekday
     hashed: list[str] = field(default_factory=list)  # categoricals encoded by hash bucket
 
     @property
     def n_features(self) -> int:
-        return len(self.numeric) + len(self.categorical)
+        return len(self.numeric) + len(self.categorical) + len(self.dates)
 
 
 def feature_spec(train: DataFrame, target: str, kind: str, exclude=()) -> FeatureSpec:
@@ -72,12 +74,17 @@ def feature_spec(train: DataFrame, target: str, kind: str, exclude=()) -> Featur
         row = train.agg(*[F.approx_count_distinct(F.col(f"`{c}`")).alias(f"n{i}")
                           for i, c in enumerate(categorical)]).first()
         hashed = [c for i, c in enumerate(categorical) if row[f"n{i}"] > 0.75 * MAX_CATEGORIES]
-    return FeatureSpec(numeric, categorical, target, kind, hashed)
+    dates = [f.name for f in train.schema.fields if f.name != target and f.name not in exclude
+             and f.dataType.typeName() in ("date", "timestamp", "timestamp_ntz")]
+    return FeatureSpec(numeric, categorical, target, kind, dates, hashed)
 
 
 def vectorizer(spec: FeatureSpec, one_hot: bool, out_col: str) -> list:
     stages = []
     num_in = list(spec.numeric)
+    if spec.dates:
+        stages.append(_calendar(spec.dates))
+        num_in += [f"_{part}_{c}" for c in spec.dates for part in DATE_PARTS]
     imputed = [f"_imp_{c}" for c in num_in]
     if num_in:
         casted = [f"_dbl_{c}" for c in num_in]
@@ -105,6 +112,16 @@ def _caster(inputs, outputs) -> SQLTransformer:
     return SQLTransformer(statement=f"SELECT *, {sel} FROM __THIS__")
 
 
+DATE_PARTS = {"year": "year", "month": "month", "day": "dayofmonth", "weekday": "weekday"}
+
+
+def _calendar(columns) -> SQLTransformer:
+    """Year, month, day and weekday of each date column."""
+    sel = ", ".join(f"CAST({fn}(`{c}`) AS DOUBLE) AS `_{part}_{c}`"
+                    for c in columns for part, fn in DATE_PARTS.items())
+    return SQLTransformer(statement=f"SELECT *, {sel} FROM __THIS__")
+
+
 def _hasher(columns) -> SQLTransformer:
     """Wide categoricals as one of MAX_CATEGORIES hash buckets (a missing value stays missing)."""
     sel = ", ".join(f"CAST(CASE WHEN `{c}` IS NOT NULL THEN pmod(xxhash64(`{c}`), {MAX_CATEGORIES}) END "
@@ -337,7 +354,7 @@ def run_tournament(train: DataFrame, val: DataFrame, target: str, kind: str, key
         t.l1_names = list(t.members)
         oof = _oof_features(base, t, folds)
         l1_feats = [c for n in t.l1_names for c in l1_columns(t, n)]
-        spec2 = FeatureSpec(spec.numeric + l1_feats, spec.categorical, target, kind, spec.hashed)
+        spec2 = FeatureSpec(spec.numeric + l1_feats, spec.categorical, target, kind, spec.dates, spec.hashed)
         base2 = oof.repartition(_partitions_for(oof)).cache()
         t.members.update(_fit_pool(base2, spec2, pool, kind, folds, parallelism, budget_s,
                                    started, suffix="_l2", level=2, first_order=len(t.members)))
@@ -624,15 +641,21 @@ def save(t: Tournament, path: str, spark) -> None:
             for n in keep]
     spark.createDataFrame(meta, "member string, weight double, folds int, level int") \
          .coalesce(1).write.mode("overwrite").json(f"{path}/_weights")
+    about = json.dumps({"kind": t.kind, "eval_metric": t.eval_metric, "labels": t.labels,
+                        "spec": asdict(t.spec)})
+    spark.createDataFrame([(about,)], "value string") \
+         .coalesce(1).write.mode("overwrite").text(f"{path}/_about")
 
 
-def load(path: str, spark, template: Tournament) -> Tournament:
-    """Reload a saved model; ``template`` supplies the kind, feature spec and labels.
+def load(path: str, spark) -> Tournament:
+    """Reload a saved model from its path alone: kind, metric, labels and feature spec lie beside the
+    weights, so another process can score with it.
 
     The reloaded tournament predicts with the saved weights (its ``best`` is the blend).
     """
+    about = json.loads(spark.read.text(f"{path}/_about").first()["value"])
     meta = spark.read.json(f"{path}/_weights").collect()
-    t = Tournament(template.kind, template.eval_metric, template.spec, template.labels)
+    t = Tournament(about["kind"], about["eval_metric"], FeatureSpec(**about["spec"]), about["labels"])
     for r in meta:
         models = [PipelineModel.load(f"{path}/{r['member']}/fold{j}") for j in range(r["folds"])]
         t.members[r["member"]] = Member(r["member"], models, 0.0, level=r["level"])

@@ -252,6 +252,33 @@ def evaluate(split: DataFrame, t: mdl.Tournament) -> DataFrame:
     return report
 
 
+def evaluation_tables(split: DataFrame, t: mdl.Tournament, key_cols) -> dict[str, DataFrame]:
+    """The tables of stage 5: what the charts of the evaluation show, and feature importance.
+
+    Regression: residuals (a histogram of 60 bins, and key, actual, predicted, residual of every test row)
+    and the perfect-fit range. Classification: confusion matrix, report, ROC and precision-recall points.
+    """
+    from quarry.operators.importance import permutation_importance
+    test = split.filter(F.col("split") == "test").drop("split")
+    target = t.spec.target
+    scored = mdl.predict(test, t, out_col="_q_pred")
+    out = {"importance": permutation_importance(test, t, key_cols)}
+    if t.kind == "regression":
+        pairs = met.residuals(scored, target, "_q_pred").select(
+            *key_cols, F.col(target).cast("double").alias("actual"),
+            F.col("_q_pred").alias("predicted"), "residual")
+        out |= {"actual_vs_predicted": pairs, "residual_histogram": prof.histogram(pairs, "residual", 60),
+                "fit_range": prof.fit_range(pairs, "actual", "predicted")}
+        return out
+    out |= {"confusion": met.confusion(scored, target, "_q_pred"),
+            "classification_report": met.classification_report(scored, target, "_q_pred")}
+    probs = mdl.predict_proba(test, t)
+    scores = {lbl: F.col(f"prob_{lbl}") for lbl in t.labels}
+    out |= {"roc_points": crv.roc_curves_by_class(probs, target, scores),
+            "pr_points": crv.pr_curves_by_class(probs, target, scores)}
+    return out
+
+
 # ---------------------------------------------------------------- all stages
 
 def run_all(df: DataFrame, target: str, date_col: str, tie_break, key_cols, out_dir: str,
@@ -260,8 +287,9 @@ def run_all(df: DataFrame, target: str, date_col: str, tie_break, key_cols, out_
     """Stages 1-5 in order, each report and table written under ``out_dir``.
 
     Outputs: ``ingestion`` / ``eda`` / ``preparation`` / ``evaluation``
-    reports (JSON), ``splits`` (parquet partitioned by split), the
-    ``skew_kurtosis`` and ``leaderboard`` tables (CSV) and the saved ``model``.
+    reports (JSON), ``splits`` (the cleaned table) and ``prepared`` (parquet partitioned by split), the
+    ``skew_kurtosis``, ``leaderboard``, ``charts/*`` and ``evaluation_tables/*`` tables (CSV) and the
+    saved ``model``.  The date column is a feature (year, month, day, weekday) unless excluded.
     A failing stage raises and stops the run, like the reference's runner.
     """
     from quarry.operators.modeling import save
@@ -271,18 +299,23 @@ def run_all(df: DataFrame, target: str, date_col: str, tie_break, key_cols, out_
     write_report(ing.report, f"{out_dir}/ingestion")
     write_splits(ing.split, f"{out_dir}/splits")
     train = ing.split.filter(F.col("split") == "train").drop("split")
-    prof_out = profile_train(train, ing.target, with_charts=False)
+    prof_out = profile_train(train, ing.target, with_charts=True)
     write_report(prof_out.report, f"{out_dir}/eda")
     if prof_out.skew_kurtosis is not None:
         write_table(prof_out.skew_kurtosis.select("column_name", "skewness", "kurtosis"),
                     f"{out_dir}/skew_kurtosis")
+    for name, table in prof_out.charts.items():
+        write_table(table, f"{out_dir}/charts/{name}")
     prep_report, pruned = prepare(ing.split, ing.target, explicit_drops, [date_col], tie_break)
     write_report(prep_report, f"{out_dir}/preparation")
-    t, board = train_models(pruned, ing.target, key_cols, exclude=tuple(exclude) + (date_col,),
+    write_splits(pruned, f"{out_dir}/prepared")
+    t, board = train_models(pruned, ing.target, key_cols, exclude=tuple(exclude),
                             folds=folds, budget_s=budget_s)
     write_table(board, f"{out_dir}/leaderboard")
     save(t, f"{out_dir}/model", df.sparkSession)
     ev = evaluate(pruned, t)
     write_report(ev, f"{out_dir}/evaluation")
+    for name, table in evaluation_tables(pruned, t, key_cols).items():
+        write_table(table, f"{out_dir}/evaluation_tables/{name}")
     return {"ingestion": ing.report, "eda": prof_out.report, "preparation": prep_report,
             "leaderboard": board, "evaluation": ev}

@@ -104,7 +104,7 @@ def test_stack_level_two_and_save_load(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("model"))
     keep_best = t.best
     mdl.save(t, path, spark)
-    t2 = mdl.load(path, spark, t)
+    t2 = mdl.load(path, spark)
     a = sorted(r[0] for r in mdl.predict(test, t, model=keep_best).select("prediction").collect())
     b = sorted(r[0] for r in mdl.predict(test, t2).select("prediction").collect())
     assert a == pytest.approx(b)

@@ -22,7 +22,7 @@ def test_split_moves_no_rows(spark):
     from quarry.operators.ordering import chronological_split
     orders = spark.read.parquet(f"{SF}/orders.parquet")
     plan = _plan(chronological_split(orders, "o_orderdate", ["o_orderkey"]))
-    for flag in ("Exchange", "Sort", "InMemory", "Window", "SinglePartition", "MapInPandas"):
+    for flag in ("Exchange", "Sort", "InMemoryRelation", "InMemoryTableScan", "Window", "SinglePartition", "MapInPandas"):
         assert flag not in plan, flag
 
 

@@ -33,7 +33,11 @@ def test_run_all_writes_every_output(spark):
     orders = spark.read.parquet(f"{SF}/orders.parquet")
     res = run_all(orders, "o_totalprice", "o_orderdate", ["o_orderkey"], ["o_orderkey"], out,
                   folds=2)
-    for name in ("ingestion", "eda", "preparation", "evaluation", "splits", "leaderboard", "model"):
+    for name in ("ingestion", "eda", "preparation", "evaluation", "splits", "prepared", "leaderboard", "model",
+                 "charts/target_histogram", "charts/target_box", "charts/feature_histograms",
+                 "charts/target_corr", "charts/value_counts", "charts/category_vs_target",
+                 "evaluation_tables/importance", "evaluation_tables/actual_vs_predicted",
+                 "evaluation_tables/residual_histogram", "evaluation_tables/fit_range"):
         assert os.path.exists(os.path.join(out, name)), name
     ev = res["evaluation"].first()
     assert ev["test_rows"] == res["ingestion"].first()["test_rows"]
