@@ -1032,3 +1032,176 @@ def q_preview(spark, sf):
     from quarry.operators.features import preview
     return preview(_t(spark, sf, "lineitem"),
                    ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"], 5)
+
+
+# --------------------------------------------------------------- inputs with odd cells, and the rest of the curves
+
+@register("quality_summary_nan", f"""
+WITH f AS (SELECT l_returnflag, nullif(l_discount, CAST(0 AS DOUBLE)) AS l_discount,
+                  CAST(NULL AS DOUBLE) AS l_unused FROM lineitem),
+d AS (SELECT count(*) AS n_distinct FROM (SELECT DISTINCT * FROM f))
+SELECT count(*) AS n_rows, count(*) - any_value(n_distinct) AS n_duplicate_rows,
+       CAST(count_if(l_discount IS NULL) + count(*) AS BIGINT) AS n_missing, 'l_unused' AS constant_columns
+FROM f, d
+""")
+def q_quality_summary_nan(spark, sf):
+    """NaN counts as missing, and rows that differ in NaN and NULL alone are duplicates."""
+    nan = F.lit(float("nan"))
+    df = _t(spark, sf, "lineitem").select(
+        "l_returnflag",
+        F.when(F.col("l_discount") != 0, F.col("l_discount"))
+         .when(F.col("l_linenumber") % 2 == 0, nan).alias("l_discount"),
+        F.when(F.col("l_linenumber") % 2 == 0, nan).alias("l_unused"))
+    s = qual.quality_summary(df)
+    return s.select("n_rows", "n_duplicate_rows", "n_missing",
+                    F.array_join("constant_columns", ",").alias("constant_columns"))
+
+
+@register("drop_empty_columns_nan", "SELECT l_returnflag, l_tax FROM lineitem")
+def q_drop_empty_columns_nan(spark, sf):
+    """A column of NaN alone is empty (P5)."""
+    return qual.drop_empty_columns(_t(spark, sf, "lineitem").select(
+        "l_returnflag", "l_tax", F.lit(float("nan")).alias("l_unused")))
+
+
+@register("regression_metrics_missing", _regression_sql(
+    "l_extendedprice", _PRED_SQL, "(SELECT * FROM lineitem WHERE l_quantity <> 7 AND l_tax <> 0.05)", 7))
+def q_regression_metrics_missing(spark, sf):
+    """Rows without a label or prediction (NULL or NaN) enter no term and not n (M1, M5)."""
+    li = _pred(_t(spark, sf, "lineitem")).withColumns({
+        "prediction": F.when(F.col("l_quantity") != 7, F.col("prediction")),
+        "l_extendedprice": F.when(F.col("l_tax") == 0.05, F.lit(float("nan")))
+                            .otherwise(F.col("l_extendedprice"))})
+    return _metric_round_spark(met.regression_metrics(li, "l_extendedprice", "prediction",
+                                                      n_features=7))
+
+
+@register("corr_constant", """
+SELECT 'tenth' AS column_a, 'l_quantity' AS column_b, CAST(NULL AS DOUBLE) AS corr
+UNION ALL SELECT 'l_tax', 'l_quantity', round(corr(l_tax, l_quantity), 6) FROM lineitem
+UNION ALL SELECT 'l_tax', 'tenth', NULL
+""")
+def q_corr_constant(spark, sf):
+    """A constant column has no correlation."""
+    c = prof.corr_pairs(_t(spark, sf, "lineitem").withColumn("tenth", F.lit(0.1)),
+                        ["l_quantity", "tenth", "l_tax"])
+    return c.withColumn("corr", _r("corr", 6))
+
+
+@register("coerce_odd_cells", """
+SELECT event_id,
+       CASE event_type WHEN 'click' THEN 7 WHEN 'error' THEN CAST(trunc(value) AS BIGINT) ELSE 0 END AS units,
+       CASE event_type WHEN 'click' THEN CAST(7 AS DOUBLE) WHEN 'view' THEN CAST('1e30' AS DOUBLE)
+            WHEN 'error' THEN value END AS amount,
+       CASE event_type WHEN 'click' THEN '7' WHEN 'view' THEN '1e30' WHEN 'error' THEN 'x' ELSE '1d' END AS note
+FROM events
+""")
+def q_coerce_odd_cells(spark, sf):
+    """Numbers beyond 64 bits, type suffixes and blanks beyond ASCII in uploaded cells."""
+    kind = F.col("event_type")
+    cell = (F.when(kind == "click", " 7　").when(kind == "view", "1e30")
+             .when(kind == "error", F.col("value").cast("string")).otherwise("1d"))
+    note = F.when(kind == "error", " x ").otherwise(cell)
+    raw = _t(spark, sf, "events").select("event_id", cell.alias("units"), cell.alias("amount"),
+                                         note.alias("note"))
+    return feat.coerce_batch(raw, int_cols=["units"], float_cols=["amount"])
+
+
+@register("roc_auc_one_class", "SELECT CAST(NULL AS DOUBLE) AS auc")
+def q_roc_auc_one_class(spark, sf):
+    """A split that holds one class has no AUC, and raises no error (M7)."""
+    return crv.auc(_cls_frame(spark, sf).filter("y = 1"), "y", "s").select("auc")
+
+
+_OVR_CUM_SQL = f"""
+e AS ({' UNION ALL '.join(f"SELECT '{k}' AS class_label, CASE WHEN o_orderstatus = '{k}' THEN 1 ELSE 0 END AS y, {v} AS s FROM orders" for k, v in _OVR_SCORES_SQL.items())}),
+c AS (SELECT class_label, s AS score, CAST(sum(y) AS DOUBLE) AS pos, CAST(sum(1 - y) AS DOUBLE) AS neg
+      FROM e WHERE s IS NOT NULL GROUP BY 1, 2),
+cum AS (SELECT class_label, score, sum(pos) OVER w AS tps, sum(neg) OVER w AS fps,
+               sum(pos) OVER (PARTITION BY class_label) AS P, sum(neg) OVER (PARTITION BY class_label) AS N
+        FROM c WINDOW w AS (PARTITION BY class_label ORDER BY score DESC ROWS UNBOUNDED PRECEDING))"""
+
+
+def _ovr_scores():
+    return {"F": F.col("o_totalprice"), "O": F.year("o_orderdate").cast("double"),
+            "P": F.col("o_custkey").cast("double")}
+
+
+@register("roc_by_class", f"""
+WITH {_OVR_CUM_SQL}
+SELECT class_label, score AS threshold, round(tps / P, 9) AS tpr, round(fps / N, 9) AS fpr FROM cum
+""")
+def q_roc_by_class(spark, sf):
+    r = crv.roc_curves_by_class(_t(spark, sf, "orders"), "o_orderstatus", _ovr_scores())
+    return r.select("class_label", "threshold", _r("tpr", 9).alias("tpr"), _r("fpr", 9).alias("fpr"))
+
+
+@register("pr_by_class", f"""
+WITH {_OVR_CUM_SQL}
+SELECT class_label, score AS threshold, round(tps / (tps + fps), 9) AS precision, round(tps / P, 9) AS recall
+FROM cum
+UNION ALL SELECT DISTINCT class_label, NULL, 1.0, 0.0 FROM cum
+""")
+def q_pr_by_class(spark, sf):
+    """Precision-recall points of every class, each with its end point (M9)."""
+    r = crv.pr_curves_by_class(_t(spark, sf, "orders"), "o_orderstatus", _ovr_scores())
+    return r.select("class_label", "threshold", _r("precision", 9).alias("precision"),
+                    _r("recall", 9).alias("recall"))
+
+
+@register("box_all", """
+WITH q AS (SELECT quantile_cont(o_totalprice, 0.25) AS q1, quantile_cont(o_totalprice, 0.5) AS median,
+                  quantile_cont(o_totalprice, 0.75) AS q3 FROM orders),
+f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)
+SELECT count(*) AS n, min(o_totalprice) AS min, max(o_totalprice) AS max, round(any_value(q1), 6) AS q1,
+       round(any_value(median), 6) AS median, round(any_value(q3), 6) AS q3,
+       min(o_totalprice) FILTER (WHERE o_totalprice >= lo) AS lower_whisker,
+       max(o_totalprice) FILTER (WHERE o_totalprice <= hi) AS upper_whisker,
+       count_if(o_totalprice < lo OR o_totalprice > hi) AS n_outliers
+FROM orders, f
+""")
+def q_box_all(spark, sf):
+    """Five-number box data without groups."""
+    b = prof.box_stats(_t(spark, sf, "orders"), "o_totalprice")
+    return b.withColumns({c: _r(c, 6) for c in ("q1", "median", "q3")})
+
+
+@register("trend_yearly", """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n, round(avg(o_totalprice), 2) AS avg_value,
+       round(sum(o_totalprice), 2) AS total_value
+FROM orders GROUP BY 1
+""")
+def q_trend_yearly(spark, sf):
+    t = prof.trend(_t(spark, sf, "orders"), "o_orderdate", "o_totalprice", "year")
+    return t.select("year", "n", _r("avg_value", 2).alias("avg_value"),
+                    _r("total_value", 2).alias("total_value"))
+
+
+_SPLIT_SQL = """
+r AS (SELECT l_quantity AS x, l_extendedprice AS y, count(*) OVER () AS n,
+             row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey) AS rk
+      FROM lineitem),
+s AS (SELECT *, CASE WHEN rk <= floor(n * CAST(0.7 AS DOUBLE)) THEN 'train'
+                     WHEN rk <= floor(n * CAST(0.85 AS DOUBLE)) THEN 'val' ELSE 'test' END AS split FROM r)"""
+
+
+@register("linear_test_metrics", f"""
+WITH {_SPLIT_SQL},
+m AS (SELECT regr_slope(y, x) AS a, regr_intercept(y, x) AS b FROM s WHERE split = 'train'),
+d AS (SELECT y, a * x + b AS p FROM s, m WHERE split = 'test')
+SELECT count(*) AS n, round(sqrt(avg((y - p) * (y - p))), 3) AS rmse, round(avg(abs(y - p)), 3) AS mae,
+       round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 6) AS r2
+FROM d
+""")
+def q_linear_test_metrics(spark, sf):
+    """Split, fit on train, score the test split: with one feature the linear member is least squares
+    (T1, T3, T8, M1)."""
+    split = chronological_split(_t(spark, sf, "lineitem"), "l_shipdate", trn.LINEITEM_KEYS).select(
+        "l_quantity", trn.LINEITEM_TARGET, "split", "l_orderkey")
+    part = {k: split.filter(F.col("split") == k).drop("split") for k in ("train", "val", "test")}
+    pool = {"linear": mdl.model_pool("regression")["linear"]}
+    t = mdl.run_tournament(part["train"], part["val"], trn.LINEITEM_TARGET, "regression", ["l_orderkey"],
+                           folds=1, pool=pool, exclude=("l_orderkey",))
+    scored = mdl.predict(part["test"], t, model="linear", out_col="p")
+    m = met.regression_metrics(scored, trn.LINEITEM_TARGET, "p")
+    return m.select("n", _r("rmse", 3).alias("rmse"), _r("mae", 3).alias("mae"), _r("r2", 6).alias("r2"))
