@@ -276,17 +276,16 @@ def box_stats(df: DataFrame, value_col: str, group_cols=(), exact: bool = True,
     gcols = list(group_cols)
     v = _q(value_col).cast("double")
     long = df.select(*[_q(c) for c in gcols], v.alias("value")).filter(_missing_free(F.col("value")))
-    q = quantiles_long(long, [0.25, 0.5, 0.75], group_cols=gcols, exact=exact) if gcols else \
-        quantiles_long(long.withColumn("_q_all", F.lit(1)), [0.25, 0.5, 0.75],
-                       group_cols=["_q_all"], exact=exact)
+    if not gcols:  # one group: true for every value, yet no constant, so joins on it stay equi-joins
+        long = long.withColumn("_q_all", F.col("value") <= F.lit(float("inf")))
     keys = gcols or ["_q_all"]
+    q = quantiles_long(long, [0.25, 0.5, 0.75], group_cols=keys, exact=exact)
     five = q.groupBy(*keys).agg(
         *[F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(name)
           for p, name in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
     lo, hi = iqr_bounds(F.col("q1"), F.col("q3"), k)
     five = five.withColumn("_q_lo", lo).withColumn("_q_hi", hi)
-    data = long if gcols else long.withColumn("_q_all", F.lit(1))
-    joined = data.join(five, keys)
+    joined = long.join(five, keys)
     val = F.col("value")
     inside_lo = val >= F.col("_q_lo")
     inside_hi = val <= F.col("_q_hi")
