@@ -49,6 +49,11 @@ def clean_string(col) -> Column:
     return F.coalesce(stripped, F.lit("nan"))
 
 
+def lower_strip(col) -> Column:
+    """Cast to string, lower-case and strip all Unicode white space."""
+    return F.lower(F.regexp_replace(_c(col).cast("string"), OUTER_BLANKS, ""))
+
+
 def with_default(col, default, dtype: str) -> Column:
     """Typed value, or ``default`` when missing or not castable."""
     return F.coalesce(_c(col).try_cast(dtype), F.lit(default).cast(dtype))

@@ -1205,3 +1205,13 @@ def q_linear_test_metrics(spark, sf):
     scored = mdl.predict(part["test"], t, model="linear", out_col="p")
     m = met.regression_metrics(scored, trn.LINEITEM_TARGET, "p")
     return m.select("n", _r("rmse", 3).alias("rmse"), _r("mae", 3).alias("mae"), _r("r2", 6).alias("r2"))
+
+
+@register("lower_strip", """
+SELECT event_id, lower(event_type) AS kind FROM events
+""")
+def q_lower_strip(spark, sf):
+    """Text lower-cased and stripped of any white space, beyond ASCII too."""
+    from quarry.functions.coerce import lower_strip
+    padded = F.concat(F.lit("\u00a0 \t"), F.initcap("event_type"), F.lit(" \u3000"))
+    return _t(spark, sf, "events").select("event_id", lower_strip(padded).alias("kind"))
