@@ -33,7 +33,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.common import stored
@@ -206,15 +206,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col("first.row").alias("node"), F.col("first.id").alias("id"), "digest", "n_shingles",
         "bands"), "representatives")
     keys = reps.select("node", F.col("n_shingles").alias("size"), F.explode("bands").alias("key"))
-    buckets = stored(keys.groupBy("key").agg(
-        F.count("*").alias("n"), F.min("node").alias("least"), F.sum("size").alias("weight"),
-        F.bit_xor(F.xxhash64("node")).alias("x"),
-        F.sum(F.xxhash64(F.lit(1), "node").bitwiseAND(F.lit((1 << 40) - 1))).alias("s")).filter("n > 1")
-        # bands that hold the same members say the same
-        .groupBy("n", "x", "s").agg(F.min("key").alias("key"), F.first("least").alias("least"),
-                                    F.first("weight").alias("weight")), "buckets")
-    members = stored(keys.join(buckets, "key").select("key", "node", "least", "n", "weight", "size"),
-                     "members")
+    bucket = Window.partitionBy("key")
+    shared = stored(keys.withColumns({
+        "n": F.count("*").over(bucket), "least": F.min("node").over(bucket),
+        "weight": F.sum("size").over(bucket), "x": F.bit_xor(F.xxhash64("node")).over(bucket),
+        "s": F.sum(F.xxhash64(F.lit(1), "node").bitwiseAND(F.lit((1 << 40) - 1))).over(bucket)})
+        .filter("n > 1"), "buckets")
+    # bands that hold the same members say the same
+    one_of_each = shared.groupBy("n", "x", "s").agg(F.min("key").alias("key")).select("key")
+    members = stored(shared.join(one_of_each, "key", "left_semi")
+                     .select("key", "node", "least", "n", "weight", "size"), "members")
     clusters = components(members.select(F.col("node").alias("a"), F.col("least").alias("b")))
     sized = clusters.join(reps.select("node", "n_shingles"), "node").groupBy("label").agg(
         F.count("*").alias("n"), F.sum("n_shingles").alias("weight"))
