@@ -9,8 +9,10 @@ prior, R+ and Ru- the mean losses, the risk is
 and a step that makes the second term negative is taken against it instead (non-negative
 correction). The prior is the labelled training rows' share of toxic ones. The model is a logistic
 score over the distinct words of a text and their beginnings (inflected insults share them), hashed
-to ``2**bits`` features; words are runs of letters, lower-cased. Only features whose share of documents differs beyond chance between the two
-sets enter the model, so a long text does not gather noise; near copies in the training sample
+to ``2**bits`` features; words are runs of letters, lower-cased. Only features whose share of documents differs beyond chance between the
+positives and the unlabelled rows not known to be toxic enter the model, so a long text does not gather noise; the
+lift is taken against the clean share, which the prior gives, so it holds at any share of toxic
+documents, and no feature is too rare but for chance. Near copies in the training sample
 count once there, so that one much-copied document is no evidence.
 
 Training reads at most ``max_positive`` positives and ``max_unlabelled`` other rows, those with the
@@ -77,54 +79,62 @@ def without_copies(rows: list[np.ndarray], rare: np.ndarray) -> list[np.ndarray]
     return out
 
 
-def evident_words(positive: list[np.ndarray], unlabelled: list[np.ndarray], size: int,
-                  least_share: float = 0.02, least_ratio: float = 5.0,
-                  least_z: float = 4.0) -> np.ndarray:
-    """Words whose share of documents differs between the two sets beyond chance."""
-    n_p, n_u = max(1, len(positive)), max(1, len(unlabelled))
+def evident_words(positive: list[np.ndarray], others: list[np.ndarray], size: int, toxic: float,
+                  least_count: int = 4, least_ratio: float = 5.0, least_z: float = 4.0) -> np.ndarray:
+    """Words whose share of documents differs between toxic and clean ones beyond chance; a share
+    ``toxic`` of ``others`` is toxic as well, and its words are taken off before the lift is measured."""
+    n_p, n_u = max(1, len(positive)), max(1, len(others))
     in_p = np.bincount(np.concatenate([*positive, np.zeros(0, np.int64)]).astype(np.int64), minlength=size)
-    in_u = np.bincount(np.concatenate([*unlabelled, np.zeros(0, np.int64)]).astype(np.int64), minlength=size)
+    in_u = np.bincount(np.concatenate([*others, np.zeros(0, np.int64)]).astype(np.int64), minlength=size)
     p, u = in_p / n_p, in_u / n_u
+    clean = np.maximum(u - toxic * p, 0) / (1 - toxic)
     pooled = (in_p + in_u + 1) / (n_p + n_u + 2)
     z = (p - u) / np.sqrt(pooled * (1 - np.minimum(pooled, 0.999)) * (1 / n_p + 1 / n_u))
-    more = (z >= least_z) & (in_p >= max(4, least_share * n_p)) & (p >= least_ratio * u)
-    less = (z <= -least_z) & (in_u >= max(4, least_share * n_u)) & (u >= least_ratio * p)
+    more = (z >= least_z) & (in_p >= least_count) & (p >= least_ratio * clean)
+    less = (z <= -least_z) & (in_u >= least_count) & (clean >= least_ratio * p)
     return np.flatnonzero(more | less)
 
 
 def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, bits: int = BITS,
-          epochs: int = 600, rate: float = 0.05, decay: float = 1e-4, seed: int = 0) -> np.ndarray:
-    """Weights of ``2**bits`` words, and the bias last."""
+          epochs: int = 600, rate: float = 0.05, decay: float = 1e-4, seed: int = 0,
+          listed: np.ndarray | None = None) -> np.ndarray:
+    """Weights of ``2**bits`` words, and the bias last. ``listed`` marks the unlabelled rows that are
+    positives too; words are held against the others."""
     size = 1 << bits
     seen = np.bincount(np.concatenate([*unlabelled, np.zeros(0, np.int64)]).astype(np.int64), minlength=size)
     rare = seen <= 0.02 * len(unlabelled)
+    listed = np.zeros(len(unlabelled), bool) if listed is None else listed
+    others = without_copies([x for x, k in zip(unlabelled, listed, strict=True) if not k], rare)
     positive, unlabelled = without_copies(positive, rare), without_copies(unlabelled, rare)
-    used = evident_words(positive, unlabelled, size)
+    held = listed.mean() if len(listed) else 0.0
+    toxic = float(np.clip((prior - held) / max(1 - held, 1e-9), 0, 0.99))
+    used = evident_words(positive, others, size, toxic)
     place = np.full(size, -1)
     place[used] = np.arange(len(used))
 
-    def matrix(rows):
-        x = np.zeros((max(1, len(rows)), len(used)))
-        for i, row in enumerate(rows):
-            at = place[row]
-            x[i, at[at >= 0]] = 1
-        return x
+    def entries(rows):
+        """(row, feature) of the ones, as the features of a large corpus would not fit as a matrix."""
+        at = place[np.concatenate([*rows, np.zeros(0, np.int64)]).astype(np.int64)]
+        row = np.repeat(np.arange(len(rows)), [len(x) for x in rows])
+        return row[at >= 0], at[at >= 0]
 
-    p_x, u_x = matrix(positive), matrix(unlabelled)
-    n_p, n_u = len(p_x), len(u_x)
+    (p_row, p_at), (u_row, u_at) = entries(positive), entries(unlabelled)
+    n_p, n_u = max(1, len(positive)), max(1, len(unlabelled))
     w, bias = np.random.default_rng(seed).normal(0, 1e-3, len(used)), -2.0
     m, v = np.zeros(len(used) + 1), np.zeros(len(used) + 1)
     soft = lambda z: np.logaddexp(0, z).mean()  # noqa: E731  loss of score z under label 0
     sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
     for step in range(1, epochs + 1):
-        p_z, u_z = p_x @ w + bias, u_x @ w + bias
+        p_z = np.bincount(p_row, w[p_at], n_p) + bias
+        u_z = np.bincount(u_row, w[u_at], n_u) + bias
         p, u = sigmoid(p_z), sigmoid(u_z)
         # gradients of the losses by the score: p-1 for label 1, p for label 0
         if soft(u_z) - prior * soft(p_z) >= 0:
             of_p, of_u = -np.full(n_p, prior / n_p), u / n_u
         else:
             of_p, of_u = prior * p / n_p, -u / n_u
-        slope = np.append(of_p @ p_x + of_u @ u_x + decay * w, of_p.sum() + of_u.sum())
+        by_word = np.bincount(p_at, of_p[p_row], len(w)) + np.bincount(u_at, of_u[u_row], len(w))
+        slope = np.append(by_word + decay * w, of_p.sum() + of_u.sum())
         m, v = 0.9 * m + 0.1 * slope, 0.999 * v + 0.001 * slope ** 2
         move = rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
         w, bias = w - move[:-1], bias - move[-1]
@@ -146,7 +156,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
               .withColumn("__kind", F.lit(1)))
     others = (docs.filter(training_fold(id_col)).select(F.col(id_col).alias("__id"))
               .distinct().orderBy(order, "__id").limit(max_unlabelled)
-              .select("__id", F.lit(None).cast("int").alias("__y"), F.lit(0).alias("__kind")))
+              .select("__id"))
+    listed = F.when(F.col("__y") == 1, 2).otherwise(0)  # unlabelled, but a positive as well
+    others = others.join(known.filter("__y = 1"), "__id", "left").withColumn("__kind", listed)
     wanted = chosen.select("__id", "__kind").unionByName(others.select("__id", "__kind"))
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text")) \
         .join(F.broadcast(wanted), "__id").dropDuplicates(["__id", "__kind"])  # bounded by the two limits
@@ -169,8 +181,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     positive = [w for w, k in zip(words, kind, strict=True) if k == 1]
     if not positive:
         return None
-    unlabelled = [w for w, k in zip(words, kind, strict=True) if k == 0]
-    return train(positive, unlabelled, float(share), bits)
+    unlabelled = [w for w, k in zip(words, kind, strict=True) if k != 1]
+    return train(positive, unlabelled, float(share), bits, listed=kind[kind != 1] == 2)
 
 
 def scorer(model: np.ndarray):

@@ -236,6 +236,28 @@ def test_toxicity_learns_from_positives_and_unlabelled(spark):
     assert {r.doc_id for r in kept.collect()} == {i for i, r in got.items() if not r.predicted}
 
 
+@pytest.mark.parametrize("share, number", [(0.35, 4), (0.35, 200), (0.2, 200)])
+def test_toxicity_finds_frequent_classes_and_rare_insults(spark, share, number):
+    rng = random.Random(21)
+    letters = lambda of, a, b: "".join(rng.choice(of) for _ in range(rng.randint(a, b)))
+    words = [letters("abcdefghijklmnop", 2, 9) for _ in range(3000)]
+    insults = [letters("qrstuvwxyz", 5, 9) for _ in range(number)]
+    rows, labels = [], []
+    for i in range(12_000):
+        text = [rng.choice(words) for _ in range(rng.randint(20, 60))]
+        toxic = rng.random() < share
+        for _ in range(3 if toxic else 0):
+            text.insert(rng.randrange(len(text)), rng.choice(insults))
+        rows.append((i, " ".join(text)))
+        labels.append((i, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    given = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    kept = {r.doc_id for r in toxicity.keep_clean(docs, given).select("doc_id").collect()}
+    held = [(i, y) for i, y in labels if zlib.crc32(str(i).encode()) % 3 == 1]
+    assert np.mean([i not in kept for i, y in held if y]) > 0.9
+    assert np.mean([i not in kept for i, y in held if not y]) < 0.01
+
+
 def test_toxicity_never_reads_held_out_labels(spark):
     docs, labels = labelled(spark)
     fold = toxicity.training_fold("doc_id")
