@@ -15,6 +15,12 @@ template shingle at all are passed over without a loss.
 *Verification.* A retrieved (window, template) pair counts if the window holds at least ``percent`` of the
 template's distinct shingles.
 
+*Full texts.* ``scan`` with ``bare`` strips comment markers and other outer punctuation from the words
+on both sides, so a text matches in ``#``, ``//`` and ``*`` comments, and words of punctuation alone go.
+``full_templates`` has the published texts beside this module and more notices. Where two of a window's
+matches share words (GPL notices of two versions), one counts only if the window also holds at least half of
+the shingles that tell it from the other, unless it has none.
+
 The templates travel in the task: a fixed list. Nothing is shuffled; a text never leaves its row.
 
 Defined results: one row per (row, template) with a match; null, empty and short texts give none; rows
@@ -24,6 +30,8 @@ are never read.
 
 from __future__ import annotations
 
+from importlib import resources
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -67,11 +75,66 @@ TEMPLATES = {
 }
 
 
-def text_shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+# Further notices, for scans with bare words.
+NOTICES = {
+    "AGPL-3.0 notice": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of "
+        "the GNU Affero General Public License as published by the Free Software Foundation, either "
+        "version 3 of the License, or (at your option) any later version."),
+    "BSL-1.0 notice": "Distributed under the Boost Software License, Version 1.0.",
+    "CC BY-SA 4.0": (
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    "EPL-2.0 notice": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse "
+        "Public License 2.0 which is available at"),
+    "GPL-2.0 notice": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of "
+        "the GNU General Public License as published by the Free Software Foundation; either version "
+        "2 of the License, or (at your option) any later version."),
+    "LGPL-2.1 notice": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of "
+        "the GNU Lesser General Public License as published by the Free Software Foundation; either "
+        "version 2.1 of the License, or (at your option) any later version."),
+    "LGPL-3.0 notice": (
+        "This library is free software: you can redistribute it and/or modify it under the terms of "
+        "the GNU Lesser General Public License as published by the Free Software Foundation, either "
+        "version 3 of the License, or (at your option) any later version."),
+}
+
+
+def full_templates() -> dict[str, str]:
+    """All notices, and the published texts in ``licenses`` (short ones without their copyright lines)."""
+    texts = {x.name.removesuffix(".txt") + " text": x.read_text(encoding="utf-8")
+             for x in resources.files("quarry.llm").joinpath("licenses").iterdir()
+             if x.name.endswith(".txt")}
+    return TEMPLATES | NOTICES | dict(sorted(texts.items()))
+
+
+INNER = np.zeros(256, dtype=bool)
+INNER[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
+
+
+def bare_words(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray,
+               row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words without outer punctuation (ASCII, Latin-1 signs, dashes and quotes); the others of
+    their row move up where nothing is left."""
+    inner = INNER[buf]
+    signs = np.flatnonzero((buf[:-1] == 0xC2) & (buf[1:] < 0xC0))
+    marks = np.flatnonzero((buf[:-2] == 0xE2) & (buf[1:-1] == 0x80))
+    inner[np.concatenate([signs, signs + 1, marks, marks + 1, marks + 2])] = False
+    at = np.append(np.flatnonzero(inner), len(buf))
+    first, last = at[np.searchsorted(at, starts)], at[np.searchsorted(at, ends) - 1] + 1
+    some = first < ends
+    return first[some], last[some], row[some]
+
+
+def text_shingles(column: pa.Array, bare: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash, row, position in the row) of all shingles, rows in order."""
     buf, offsets = text_buffer(column)
     buf = lower_ascii_bytes(buf)
     starts, ends, row = words(buf, offsets)
+    if bare:
+        starts, ends, row = bare_words(buf, starts, ends, row)
     hashes, rows, at = shingles(hash_ranges(buf, starts, ends), row, SHINGLE, len(offsets) - 1)
     order = np.lexsort((at, rows))
     hashes, rows, at = hashes[order], rows[order], at[order]
@@ -86,10 +149,10 @@ class Index:
     """Distinct shingles of each template, and per scale the band table: coordinate -> least hash ->
     templates."""
 
-    def __init__(self, templates: dict[str, str], bands: int):
-        self.names = list(templates)
+    def __init__(self, templates: dict[str, str], bands: int, bare: bool = False):
+        self.names, self.bare = list(templates), bare
         self.seeds = mix(np.arange(1, bands + 1, dtype=np.uint64)) | np.uint64(1)
-        hashes, rows, _ = text_shingles(pa.array(list(templates.values())))
+        hashes, rows, _ = text_shingles(pa.array(list(templates.values())), bare)
         found = [hashes[rows == i] for i in range(len(self.names))]
         self.scales = [scale_of(len(x)) for x in found]
         self.sets = [np.unique(x) for x in found]
@@ -111,18 +174,28 @@ class Index:
             for b, n, k in windows:
                 inside = np.unique(hashes[b + k * scale:b + min((k + 2) * scale, n)])
                 least = (inside[:, None] * self.seeds[None, :]).min(axis=0)
+                here = {}
                 for i in mine:
                     if (least == self.least[i]).any():  # a band agrees
                         held = int(np.isin(self.sets[i], inside).sum())
                         if 100 * held >= percent * len(self.sets[i]):
-                            found.setdefault((int(rows[b]), i), []).append(held)
+                            here[i] = held
+                for i, held in here.items():
+                    if not self.bare or all(self.told(i, j, inside) for j in here if j != i):
+                        found.setdefault((int(rows[b]), i), []).append(held)
         return found
 
+    def told(self, i: int, j: int, inside: np.ndarray) -> bool:
+        """Whether a window holds half of what tells template i from j."""
+        own = np.setdiff1d(self.sets[i], self.sets[j])
+        return 2 * int(np.isin(own, inside).sum()) >= len(own)
+
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-         templates: dict[str, str] | None = None, percent: int = 80, bands: int = 96) -> DataFrame:
+         templates: dict[str, str] | None = None, percent: int = 80, bands: int = 96,
+         bare: bool = False) -> DataFrame:
     """id, license, n_windows (matching windows), shared (most template shingles in one), and
-    template_shingles."""
+    template_shingles. ``bare`` compares words without their outer punctuation."""
     known = TEMPLATES if templates is None else templates
     short = [name for name, text in known.items() if len(text.split()) < SHINGLE]
     if short:
@@ -130,10 +203,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
-        index = Index(known, bands)
+        index = Index(known, bands, bare)
         for whole in batches:
             for batch in slices(whole, "text"):
-                found = sorted(index.matches(*text_shingles(batch["text"]), percent).items())
+                found = sorted(index.matches(*text_shingles(batch["text"], bare), percent).items())
                 yield pa.RecordBatch.from_pydict({
                     "id": batch["id"].take(pa.array([r for (r, _), _ in found], pa.int64())),
                     "license": pa.array([index.names[i] for (_, i), _ in found], pa.string()),

@@ -180,6 +180,12 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license.scan(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
 
 
+@register("op8_license_texts")
+def op8_license_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license.scan(documents(spark, sf_dir), templates=license.full_templates(), bare=True) \
+        .withColumnRenamed("id", "doc_id")
+
+
 @register("op9_token_shards")
 def op9_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-{uuid.uuid4().hex}/shards"

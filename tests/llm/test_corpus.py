@@ -207,6 +207,29 @@ def test_license_scan_equals_brute_force(spark, edge_docs, no_docs, medium_rows)
     assert {r.license for r in license.scan(edge_docs).collect()} == {"MIT"}
 
 
+def test_license_texts_are_found_in_comments(spark):
+    known = license.full_templates()
+    rng = random.Random(12)
+    prose = lambda n: " ".join("w%d" % rng.randrange(500) for _ in range(n))
+    marks = {"": "{}", "#": "# {}", "//": "//{}", "*": " * {}", "quoted": "> \u201c{}\u201d"}
+    rows, want = [], {}
+    for name, text in known.items():
+        lines = [" ".join(text.split()[k:k + 9]) for k in range(0, len(text.split()), 9)]
+        for mark in marks.values():
+            want[len(rows)] = name
+            rows.append((len(rows), prose(30) + "\n" + "\n".join(map(mark.format, lines)) + "\n" + prose(40)))
+    rows += [(-1, prose(9) + " released under the MIT License and so on"), (-2, prose(300)), (-3, None)]
+    got = defaultdict(set)
+    for r in license.scan(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8),
+                          templates=known, bare=True).collect():
+        got[r.id].add(r.license)
+    assert {i: name for i, name in want.items() if name not in got[i]} == {}
+    for i, name in want.items():  # versions of one notice are told apart
+        if "GPL" in name and name.endswith("notice"):
+            assert got[i] == {name}
+    assert got[-1] == {"MIT"} and not got.keys() & {-2, -3}
+
+
 def labelled(spark):
     rng = random.Random(8)
     words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(400)]
