@@ -8,8 +8,9 @@ with value i + u, u hashed in [0, 1); in round t + j all elements compete for bi
 least value, and a document stops as soon as all its bins are filled. So every coordinate fills, equal
 coordinates have probability J, and their number is concentrated as for independent ones.
 
-*Bands.* Two sets of similarity s share one of b bands of r rows with probability 1-(1-s^r)^b: with
-the defaults (32 x 6) a link at 0.85 is missed with probability below 3e-7.
+*Bands.* Two sets of similarity s share one of b bands of r rows with probability 1-(1-s^r)^b. Bands and
+rows follow from ``percent``, so that a link at the threshold is missed with probability below 3e-7:
+32 x 6 at 85, 50 x 6 at 80. Links above it are missed more rarely still.
 
 *Copies first.* Documents with equal sets collapse to one representative before anything pairs
 up, so copies never form pairs, however many there are.
@@ -30,6 +31,7 @@ carry it); an empty table gives an empty result; other columns are never read.
 from __future__ import annotations
 
 import hashlib
+from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +43,20 @@ from quarry.llm.graph import components
 from quarry.llm.hashing import hash_ranges, lower_ascii_bytes, mix, shingles, slices, text_buffer, words
 
 EMPTY = np.uint64(2**64 - 1)
+MISS = 3e-7  # at most, of a link at the threshold
+
+
+def banding(percent: int, most_rows: int = 6, most_bands: int = 64) -> tuple[int, int]:
+    """(bands, rows): the longest bands of which at most ``most_bands`` keep misses below MISS; at low
+    thresholds, as many bands of one row as it takes."""
+    if percent <= 0:
+        raise ValueError("sets of similarity 0 share no band")
+    for rows in range(most_rows, 0, -1):
+        miss = 1 - min(percent / 100, 1 - 1e-9) ** rows
+        bands = max(1, ceil(log(MISS) / log(miss)))
+        if bands <= most_bands:
+            break
+    return bands, rows
 
 
 def document_sets(column: pa.Array, size: int) -> list[np.ndarray]:
@@ -193,9 +209,13 @@ def blocks(members: DataFrame, unit: int, unit_shingles: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    shingle: int = 5, percent: int = 85, bands: int = 32, rows: int = 6,
-                    unit: int = 1024, unit_shingles: int = 4_000_000) -> DataFrame:
-    """id, n_shingles, component_id, kept, and row (a number of the input row) per input row."""
+                    shingle: int = 5, percent: int = 85, bands: int | None = None,
+                    rows: int | None = None, unit: int = 1024,
+                    unit_shingles: int = 4_000_000) -> DataFrame:
+    """id, n_shingles, component_id, kept, and row (a number of the input row) per input row. Bands and
+    rows are those of ``banding`` unless both are given."""
+    if bands is None or rows is None:
+        bands, rows = banding(percent)
     marks = stored(signatures(docs, id_col, text_col, shingle, bands, rows)
                    .withColumn("row", F.monotonically_increasing_id()), "signatures")
     some = marks.filter("n_shingles > 0")

@@ -79,6 +79,29 @@ def test_near_duplicates_filter_keeps_columns(edge_docs, no_docs):
     assert minhash.near_duplicates(no_docs).count() == 0 == minhash.keep_one_of_each(no_docs).count()
 
 
+@pytest.mark.parametrize("percent", [60, 70, 80])
+def test_links_at_lower_thresholds_are_not_missed(spark, percent):
+    rng = random.Random(percent)
+    word = lambda: "w%d" % rng.randrange(10**9)
+    rows = []
+    for i in range(800):  # pairs with a similarity just over the threshold
+        n, k = 100, 1
+        while 100 * (n - k - 1) >= percent * (n + k + 1):
+            k += 1
+        base = [word() for _ in range(n + 4)]
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(base[:n + 4 - k] + [word() for _ in range(k)]))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = minhash.keep_one_of_each(docs, percent=percent).select("doc_id").collect()
+    assert {r.doc_id for r in kept} == set(range(0, 1600, 2))
+
+
+def test_banding_follows_the_threshold():
+    assert minhash.banding(85) == (32, 6)
+    for percent in range(1, 101):
+        bands, rows = minhash.banding(percent)
+        assert (1 - (percent / 100) ** rows) ** bands <= 3e-7
+
+
 def test_sketches_fill_and_estimate(spark):
     rng = np.random.default_rng(0)
     pool = rng.integers(0, 2**63, 3000).astype(np.uint64)
