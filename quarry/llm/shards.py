@@ -12,7 +12,9 @@ partition reaches the driver), the second numbers, permutes and ships them. The
 count and a digest of each partition against the first and fails if the input has changed between
 them. Tokens are shuffled once, as 16-bit ids. Shards are written under a temporary name and moved
 into place, so a repeated task (lost executor, speculation) writes the same file again; a shard that is
-there with its full size is left alone. The folder must be shared storage (a URI that pyarrow.fs knows).
+there is left alone only if its bytes are those to be written. ``manifest.json`` beside the shards has the
+number of sequences, where readers stop, even if an earlier run left more shards. The folder must be shared
+storage (a URI that pyarrow.fs knows).
 
 Defined results: a null or empty text is one sequence with the end token alone; rows that repeat are
 written each; null ids stay; an empty table gives no shard and an empty result; other columns are never read.
@@ -20,6 +22,7 @@ written each; null ids stay; an empty table gives no shard and an empty result;
 
 from __future__ import annotations
 
+import json
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -71,11 +74,33 @@ def shard_name(folder: str, shard: int) -> str:
     return f"{folder}/shard-{shard:08d}.bin"
 
 
+def write_manifest(uri: str, about: dict) -> None:
+    filesystem, folder = open_folder(uri)
+    filesystem.create_dir(folder, recursive=True)
+    partial = f"{folder}/manifest.json.{uuid.uuid4().hex}"
+    with filesystem.open_output_stream(partial) as file:
+        file.write(json.dumps(about).encode())
+    filesystem.move(partial, f"{folder}/manifest.json")
+
+
+def sequences_held(uri: str) -> int | None:
+    """The manifest's number of sequences."""
+    filesystem, folder = open_folder(uri)
+    name = f"{folder}/manifest.json"
+    if filesystem.get_file_info(name).size is None:
+        return None
+    with filesystem.open_input_file(name) as file:
+        return json.loads(file.read())["sequences"]
+
+
 def read_sequences(uri: str, first_slot: int, number: int, stride: int = STRIDE,
                    per_shard: int = PER_SHARD) -> Iterator[np.ndarray]:
     """Sequences (16-bit ids, padding included) from a slot on, at most ``number``; one seek a shard."""
     filesystem, folder = open_folder(uri)
     slot, record = first_slot, 2 * stride
+    held = sequences_held(uri)
+    if held is not None:
+        number = min(number, held - first_slot)
     while slot < first_slot + number:
         name = shard_name(folder, slot // per_shard)
         if filesystem.get_file_info(name).size is None:
@@ -96,10 +121,18 @@ def read_sequences(uri: str, first_slot: int, number: int, stride: int = STRIDE,
                 return
 
 
+def holds(filesystem, name: str, wanted: list[bytes]) -> bool:
+    """Whether the file is there and has these sequences, byte for byte."""
+    if filesystem.get_file_info(name).size != sum(map(len, wanted)):
+        return False
+    with filesystem.open_input_file(name) as file:
+        return all(file.read(len(x)) == x for x in wanted)
+
+
 def write_shards(docs: DataFrame, ranks: bytes, pattern: str, uri: str, key: int = 1,
                  id_col: str = "doc_id", text_col: str = "text", stride: int = STRIDE,
                  per_shard: int = PER_SHARD, end_token: int = 2, pad: int = PAD) -> DataFrame:
-    """slot, shard, offset (bytes), id, piece, length, ids_crc32 per sequence, the last two read back
+    """slot, shard, offset (bytes), id, piece, length, ids_crc32 per sequence, the last read back
     from the shards. The shards are written when the result is computed."""
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
@@ -109,15 +142,18 @@ def write_shards(docs: DataFrame, ranks: bytes, pattern: str, uri: str, key: int
             for batch in slices(whole, "text"):
                 buf, offsets = text_buffer(batch["text"])
                 ids, at = encoder.encode(buf, offsets)
-                yield batch, ids.astype("<u2"), at, zlib.crc32(buf)
+                yield batch, ids.astype("<u2"), at, buf, np.diff(offsets).astype("<i8")
+
+    def chained(check, buf, sizes):  # of texts and their lengths, in order
+        return zlib.crc32(buf, check[0]), zlib.crc32(sizes, check[1])
 
     def count(batches):
-        total, check = 0, 0
-        for _, ids, at, crc in encoded(batches):
+        total, check = 0, (0, 0)
+        for _, ids, at, buf, sizes in encoded(batches):
             total += int(sequences(ids, at, stride)[0].sum())
-            check ^= crc
+            check = chained(check, buf, sizes)
         yield pa.RecordBatch.from_pydict({"part": [TaskContext.get().partitionId()], "n": [total],
-                                          "crc": pa.array([check], pa.int64())})
+                                          "crc": pa.array([check[0] << 31 ^ check[1]], pa.int64())})
 
     parts = sorted(base.mapInArrow(count, "part bigint, n bigint, crc bigint").collect())
     starts, n = {}, 0
@@ -125,13 +161,17 @@ def write_shards(docs: DataFrame, ranks: bytes, pattern: str, uri: str, key: int
         starts[part["part"]] = (n, part["n"], part["crc"])
         n += part["n"]
     shards = max(1, ceil(n / per_shard))
+    write_manifest(uri, {"sequences": n, "key": key, "stride": stride, "per_shard": per_shard,
+                         "end_token": end_token, "pad": pad,
+                         "vocabulary": zlib.crc32(pattern.encode(), zlib.crc32(ranks)),
+                         "input": zlib.crc32(repr(sorted(starts.items())).encode())})
 
     def place(batches):
         part = TaskContext.get().partitionId()
         first, expected, crc = starts.get(part, (0, 0, 0))
-        done, check = 0, 0
-        for batch, ids, at, own in encoded(batches):
-            check ^= own
+        done, check = 0, (0, 0)
+        for batch, ids, at, buf, sizes in encoded(batches):
+            check = chained(check, buf, sizes)
             counts, lengths = sequences(ids, at, stride)
             rows = np.repeat(np.arange(len(counts)), counts)
             piece = np.arange(len(rows)) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -149,7 +189,7 @@ def write_shards(docs: DataFrame, ranks: bytes, pattern: str, uri: str, key: int
             yield pa.RecordBatch.from_pydict({
                 "slot": pa.array(slot), "id": batch["id"].take(pa.array(rows, pa.int64())),
                 "piece": pa.array(piece, pa.int64()), "tokens": pa.array(tokens, pa.binary())})
-        if (done, check) != (expected, crc):
+        if (done, check[0] << 31 ^ check[1]) != (expected, crc):
             raise RuntimeError(f"input partition {part} changed between the passes")
 
     def write(batches):
@@ -166,26 +206,22 @@ def write_shards(docs: DataFrame, ranks: bytes, pattern: str, uri: str, key: int
             rows = rows[np.argsort(slots[rows])]
             mine = table.take(pa.array(rows))
             name = shard_name(folder, shard)
-            if filesystem.get_file_info(name).size != record * len(rows):
+            used = [len(tokens) // 2 for tokens in mine["tokens"].to_pylist()]
+            wanted = [tokens + filler * (stride - len(tokens) // 2) for tokens in mine["tokens"].to_pylist()]
+            if not holds(filesystem, name, wanted):
                 partial = f"{name}.{uuid.uuid4().hex}"
                 filesystem.create_dir(folder, recursive=True)
                 with filesystem.open_output_stream(partial) as file:
-                    for tokens in mine["tokens"].to_pylist():
-                        file.write(tokens + filler * (stride - len(tokens) // 2))
+                    for sequence in wanted:
+                        file.write(sequence)
                 filesystem.move(partial, name)
-            length, crc = [], []
             with filesystem.open_input_file(name) as file:
-                for _ in range(len(rows)):
-                    raw = file.read(record)
-                    ids = np.frombuffer(raw, "<u2")
-                    used = int(np.count_nonzero(ids != pad))
-                    length.append(used)
-                    crc.append(zlib.crc32(raw[:2 * used]))
+                crc = [zlib.crc32(file.read(record)[:2 * k]) for k in used]
             yield pa.RecordBatch.from_pydict({
                 "slot": mine["slot"].combine_chunks(), "shard": pa.array([shard] * len(rows), pa.int64()),
                 "offset": pa.array((slots[rows] - shard * per_shard) * record),
                 "id": mine["id"].combine_chunks(), "piece": mine["piece"].combine_chunks(),
-                "length": pa.array(length, pa.int64()), "ids_crc32": pa.array(crc, pa.int64())})
+                "length": pa.array(used, pa.int64()), "ids_crc32": pa.array(crc, pa.int64())})
 
     kind = base.schema["id"].dataType.simpleString()
     placed = base.mapInArrow(place, f"slot bigint, id {kind}, piece bigint, tokens binary")

@@ -180,3 +180,23 @@ def test_shards_hold_every_token_in_slot_order(edge_docs, edge_rows, no_docs, tm
     again = shards.write_shards(edge_docs, *gpt_ranks(), folder, stride=64, per_shard=50)  # resumes
     assert sorted(r.slot for r in again.collect()) == list(range(len(rows)))
     assert shards.write_shards(no_docs, *gpt_ranks(), str(tmp_path / "none")).count() == 0
+
+
+def test_shards_of_a_changed_input_replace_the_old_ones(spark, tmp_path):
+    folder = str(tmp_path / "out")
+
+    def written(texts, **options):
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+        rows = shards.write_shards(docs, *gpt_ranks(), folder, stride=8, per_shard=10, **options).collect()
+        held = list(shards.read_sequences(folder, 0, 10**6, stride=8, per_shard=10))
+        assert len(held) == len(rows)
+        return {r.id: (held[r.slot][:r.length].tolist(), r.ids_crc32) for r in rows}
+
+    library = rank_library(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    for texts, options in ((["the cat"] * 40, {}), (["the dog"] * 40, {}), (["the dog"] * 20, {}),
+                           ([f"the {w}" for w in ["dog", "cat"] * 10], {"key": 2}),
+                           (["the! dog!"] * 20, {"pad": 0})):  # 0 is "!"
+        got = written(texts, **options)
+        for i, text in enumerate(texts):
+            ids = [*library.encode_ordinary(text), 2]
+            assert got[i] == (ids, zlib.crc32(np.array(ids, "<u2").tobytes()))
