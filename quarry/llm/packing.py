@@ -7,7 +7,10 @@ decreasing. Dual feasible functions (the identity, the Martello-Toth threshold f
 Fekete-Schepers rounding functions) give a lower bound on the sequences of each partition; a
 partition that meets its bound is certified optimal and closed, but for its emptiest sequence.
 Partitions with a gap keep their full sequences only. What they do not keep is exchanged: the documents
-are dealt anew, to fewer partitions, and packed again, until one partition holds all that is left. A hot source does not matter, since pieces are dealt by hash of their row.
+are dealt anew, to fewer partitions, and packed again, until one partition holds all that is left. Where a
+round leaves almost as many pieces as it took (mid-sized texts whose gap is there to stay), its partitions are
+closed but for their emptiest sequences, and only those are exchanged on: what is used beyond the partitions'
+own bounds is at most the sum of the gaps of the partitions so closed and of the last. A hot source does not matter, since pieces are dealt by hash of their row.
 
 Only (row, length) pairs shuffle; token ids stay where they are made, unless asked for.
 
@@ -131,12 +134,13 @@ def lower_bound(lengths: np.ndarray, capacity: int, most_k: int = 24) -> int:
     return best
 
 
-def pack_partition(lengths: np.ndarray, capacity: int) -> dict:
-    """One partition packed: bin, offset, bins, bound, and loose (its bin goes to the exchange)."""
+def pack_partition(lengths: np.ndarray, capacity: int, closing: bool = False) -> dict:
+    """One partition packed: bin, offset, bins, bound, and loose (its bin goes to the exchange). With
+    ``closing``, a gap is accepted and the emptiest bin alone is loose."""
     bins, offsets, used = best_fit_decreasing(lengths, capacity)
     bound = lower_bound(lengths, capacity)
     filled = np.bincount(bins, weights=lengths, minlength=used)
-    if used > bound:
+    if used > bound and not closing:
         loose = filled[bins] < capacity
     else:  # optimal but for the remainder, which the remainders of other partitions may fill up
         loose = (bins == int(np.argmin(filled))) & (filled.min() < capacity)
@@ -147,6 +151,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, per_partition: int = 60_00
          max_rounds: int = 8) -> DataFrame:
     """``pieces`` (as ``token_pieces`` gives, stored) with sequence_id and offset.
 
+    Rounds go on after ``max_rounds`` while each leaves a twentieth less, then close the gaps, on half as many
+    partitions each, until one holds all that is left.
+
     sequence_id: 2**62 + row for pieces that fill a sequence, else round, partition and bin.
     """
     rows = stored(pieces.withColumn("row", F.monotonically_increasing_id()), "pieces")
@@ -155,9 +162,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, per_partition: int = 60_00
     schema = "row bigint, length bigint, sequence_id bigint, offset bigint, loose boolean"
     placed = []
 
-    def packer(number: int, last: bool):
+    def packer(number: int, last: bool, closing: bool):
         def run(key, table):
-            got = pack_partition(table["length"].to_numpy(), capacity)
+            got = pack_partition(table["length"].to_numpy(), capacity, closing)
             first = (number << 56) | (key[0].as_py() << 28)
             return pa.table({
                 "row": table["row"], "length": table["length"],
@@ -166,19 +173,21 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, per_partition: int = 60_00
                 "loose": pa.array(got["loose"] & (not last), pa.bool_())})
         return run
 
-    for number in range(max_rounds):
-        if not n:
-            break
-        parts = max(1, ceil(n / per_partition))
-        last = parts == 1 or number == max_rounds - 1
+    number, closing, parts = 0, False, None
+    while n:
+        wanted = ceil(n / per_partition)
+        parts = max(1, min(wanted, parts // 2) if closing and parts else wanted)
+        last = parts == 1
         dealt = loose.withColumn("part", F.pmod(F.xxhash64(F.lit(number), "row"), F.lit(parts)))
-        done = stored(dealt.groupBy("part").applyInArrow(packer(number, last), schema),
+        done = stored(dealt.groupBy("part").applyInArrow(packer(number, last, closing), schema),
                       f"round{number}")
         placed.append(done.filter(~F.col("loose")).select("row", "sequence_id", "offset"))
         if last:
             break
         loose = done.filter("loose").select("row", "length")
-        n = loose.count()
+        before, n, number = n, loose.count(), number + 1
+        # 64 numbers of rounds: 32 at most are exact, and those that close halve the partitions
+        closing = closing or (number >= max_rounds - 1 and 20 * n > 19 * before) or number >= 32
     full = rows.filter(F.col("length") >= capacity).withColumns({
         "sequence_id": F.lit(1 << 62) + F.col("row"), "offset": F.lit(0).cast("long")})
     columns = [c for c in rows.columns if c != "row"] + ["sequence_id", "offset"]

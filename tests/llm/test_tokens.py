@@ -150,6 +150,22 @@ def test_packing_on_edges(edge_docs, edge_rows, no_docs, spark):
     assert packing.pack_documents(no_docs, *gpt_ranks()).count() == 0
 
 
+@pytest.mark.parametrize("max_rounds", [1, 3])
+def test_partitions_with_gaps_share_their_remainders(spark, max_rounds):
+    lengths = [30] * 1200  # three fill a sequence of 100, whatever the partition
+    pieces = spark.createDataFrame([(i, n) for i, n in enumerate(lengths)], "id bigint, length bigint")
+    got = packing.pack(pieces, 100, per_partition=20, max_rounds=max_rounds).collect()
+    held = defaultdict(list)
+    for r in got:
+        held[r.sequence_id].append((r.offset, r.length))
+    assert sorted(r.id for r in got) == list(range(1200))
+    for spans in held.values():
+        spans.sort()
+        assert [a for a, _ in spans] == [sum(n for _, n in spans[:k]) for k in range(len(spans))]
+        assert sum(n for _, n in spans) <= 100
+    assert len(held) <= 401
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 17, 1000, 4097])
 def test_feistel_is_a_keyed_bijection(n):
     one, two = (shards.feistel(np.arange(n), n, key) for key in (1, 2))
