@@ -22,6 +22,12 @@ def lower_ascii(col: Column) -> Column:
     return F.translate(col, UPPER, UPPER.lower())
 
 
+def free_name(taken: list[str], name: str) -> str:
+    """``name``, or the first of name_1, name_2, ... that is not among ``taken`` (in any case of letters)."""
+    used = {x.lower() for x in taken}
+    return next(x for x in (name, *(f"{name}_{i}" for i in range(1, len(used) + 2))) if x.lower() not in used)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder as Parquet and read it back.
 

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import (bpe, chat, exact, license, minhash, packing, quality, shards, suffix,
+from quarry.llm import (bpe, chat, exact, license, lines, minhash, packing, quality, shards, suffix,
                         toxicity)
 from quarry.session import ensure_checkpoint_dir
 
@@ -191,3 +191,21 @@ def op9_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-{uuid.uuid4().hex}/shards"
     return shards.write_shards(documents(spark, sf_dir), *gpt_ranks(), folder) \
         .withColumnRenamed("id", "doc_id")
+
+
+@register("op13_line_dedup", r"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+x AS (SELECT doc_id, unnest(range(1, len(l) + 1)) AS pos, unnest(l) AS line FROM d),
+k AS (SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM x),
+v AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 20
+      GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+m AS (SELECT k.*, coalesce(k.doc_id <> v.keeper, false) AS gone FROM k LEFT JOIN v USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+""")
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_report(documents(spark, sf_dir)).select(
+        F.col("id").alias("doc_id"), "n_lines", "n_dropped",
+        F.sha2("clean_text", 256).alias("kept_sha256"))
