@@ -59,7 +59,7 @@ def hot_keys(rows: DataFrame, partitions: int) -> DataFrame:
     tracked = min(4 * most, 1_000_000)
     parts = rows.groupBy(F.expr("pmod(spark_partition_id(), 64)").alias("part")).agg(
         F.expr(f"approx_top_k_accumulate(h1, {tracked})").alias("sketch"), F.count("*").alias("n"))
-    whole = parts.groupBy(F.lit(0)).agg(F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"),
+    whole = parts.groupBy(F.lit("all")).agg(F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"),
                                         F.sum("n").alias("n"))  # no row if there are no records
     found = whole.select("n", F.explode(F.expr(f"approx_top_k_estimate(sketch, {most})")).alias("x"))
     return found.filter((F.col("x.count") * most >= F.col("n")) & (F.col("x.count") >= 1000)) \
