@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import (bpe, chat, exact, license, lines, minhash, packing, quality, shards, suffix,
-                        toxicity)
+from quarry.llm import (bpe, chat, exact, license, lines, minhash, packing, quality, repair,
+                        shards, suffix, toxicity)
 from quarry.session import ensure_checkpoint_dir
 
 QUERIES: dict = {}
@@ -209,3 +209,9 @@ def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_report(documents(spark, sf_dir)).select(
         F.col("id").alias("doc_id"), "n_lines", "n_dropped",
         F.sha2("clean_text", 256).alias("kept_sha256"))
+
+
+@register("op12_conversation_repair")
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = repair.damage(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return repair.report(repair.repair(damaged, count=F.col("n"))).withColumnRenamed("id", "conv_id")
