@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import (bpe, chat, exact, license, lines, minhash, packing, quality, repair,
-                        shards, suffix, toxicity)
+                        shards, suffix, toxicity, whiten)
 from quarry.session import ensure_checkpoint_dir
 
 QUERIES: dict = {}
@@ -215,3 +215,10 @@ def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     damaged = repair.damage(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
     return repair.report(repair.repair(damaged, count=F.col("n"))).withColumnRenamed("id", "conv_id")
+
+
+@register("op11_embedding_whitening")
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return whiten.whiten(vectors).withColumnRenamed("id", "vec_id") \
+        .withColumn("deviation", F.col("deviation").cast("long"))
