@@ -211,7 +211,76 @@ def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("clean_text", 256).alias("kept_sha256"))
 
 
-@register("op12_conversation_repair")
+@register("op12_conversation_repair", r"""
+WITH RECURSIVE
+given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS s
+  FROM conversations),
+hits AS (
+  SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT,
+      list_transform(range(1, length(s) + 1), lambda i: CAST(ascii(substr(s, CAST(i AS INT), 1)) AS BIGINT))),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+      lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295) % 20 AS hit
+  FROM given),
+damaged AS (
+  SELECT conv_id, turn, CASE hit WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE hit WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE hit WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM hits),
+placed AS (
+  SELECT conv_id, turn, role, text, substr(role, 1, 1) AS initial,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth
+  FROM damaged),
+rows_ AS (
+  SELECT *, lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair,
+         CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+              WHEN regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) NOT IN ('.', '!', '?')
+              THEN 'truncated' ELSE '' END AS fault
+  FROM placed),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+         count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+         count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM rows_ GROUP BY conv_id),
+inserts(q, inserted, state, put) AS (VALUES
+  (0, '', 0, []), (0, 'I', 2, ['user:']), (0, 'II', 3, ['user:', 'assistant:']),
+  (1, '', 1, []), (1, 'I', 2, ['user:']), (1, 'II', 3, ['user:', 'assistant:']),
+  (2, '', 2, []), (2, 'I', 3, ['assistant:']), (2, 'II', 2, ['assistant:', 'user:']),
+  (3, '', 3, []), (3, 'I', 2, ['user:']), (3, 'II', 3, ['user:', 'assistant:'])),
+walk AS (
+  SELECT conv_id, 0::BIGINT AS i, 0 AS q, {'cost': 0, 'audit': '', 'made': []::VARCHAR[]} AS best FROM counts
+  UNION ALL
+  SELECT conv_id, i, e.q, min({'cost': b.cost + 3 * length(inserted) + e.cost,
+                               'audit': b.audit || inserted || e.letter, 'made': b.made || put || e.put}) FROM (
+    SELECT r.conv_id, r.i, w.best AS b, s.inserted, s.put, unnest(list_filter([
+      {'q': s.state, 'cost': 4, 'letter': 'D', 'put': []::VARCHAR[]},
+      {'q': CASE WHEN r.fault IN ('blank', 'duplicate') THEN -1 WHEN s.state = 0 AND r.initial = 's' THEN 1
+                 WHEN s.state IN (0, 1, 3) AND r.initial = 'u' THEN 2
+                 WHEN s.state = 2 AND r.initial = 'a' THEN 3 ELSE -1 END,
+       'cost': CASE r.fault WHEN 'truncated' THEN 3 ELSE 0 END, 'letter': 'K', 'put': [r.role || ':' || r.text]},
+      {'q': CASE WHEN r.fault IN ('blank', 'duplicate') THEN -1 WHEN s.state = 2 THEN 3 ELSE 2 END,
+       'cost': CASE r.fault WHEN 'truncated' THEN 6 ELSE 3 END, 'letter': 'R',
+       'put': [CASE s.state WHEN 2 THEN 'assistant:' ELSE 'user:' END || r.text]}],
+      lambda e: e.q >= 0)) AS e
+    FROM walk w JOIN rows_ r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.i = w.i + 1
+    JOIN inserts s ON s.q = w.q)
+  GROUP BY conv_id, i, e.q),
+ended AS (
+  SELECT w.conv_id, min({'cost': w.best.cost + 3 * length(s.inserted), 'audit': w.best.audit || s.inserted,
+                         'made': w.best.made || s.put}) AS best
+  FROM walk w JOIN counts c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.n = w.i
+  JOIN inserts s ON s.q = w.q AND s.state IN (0, 3) GROUP BY w.conv_id)
+SELECT g.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       CAST(coalesce(best.cost, 0) AS BIGINT) AS cost, coalesce(best.audit, '') AS audit,
+       sha256(coalesce(array_to_string(best.made, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) g
+LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM g.conv_id
+LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM g.conv_id
+""")
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     damaged = repair.damage(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
     return repair.report(repair.repair(damaged, count=F.col("n"))).withColumnRenamed("id", "conv_id")
