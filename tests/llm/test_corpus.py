@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quarry.llm import graph, license, minhash, suffix, toxicity
+from quarry.llm import graph, license, minhash, packing, suffix, toxicity
 
 from .test_native import LOWER, WORD
 
@@ -124,6 +124,30 @@ def test_components_of_a_long_chain(spark):
         assert {got[x] for x in part} == {min(part)}
 
 
+def brute_cut(rows, length):
+    """(id, text) without the bytes that a repeated string of ``length`` bytes covers."""
+    texts = [(i, (t or "").encode()) for i, t in rows]
+    seen = Counter(b[p:p + length] for _, b in texts for p in range(len(b) - length + 1))
+    out = []
+    for i, b in texts:
+        keep = np.ones(len(b), dtype=bool)
+        for p in range(len(b) - length + 1):
+            if seen[b[p:p + length]] > 1:
+                keep[p:p + length] = False
+        # a character goes whole if a byte of it goes
+        out.append((i, bytes(np.frombuffer(b, np.uint8)[keep]).decode(errors="ignore")))
+    return out
+
+
+def gpt_ids(text):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    if "model" not in gpt_ids.__dict__:
+        gpt_ids.model = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+        gpt_ids.model.encode_special_tokens = True
+    return gpt_ids.model.encode(text, add_special_tokens=False).ids
+
+
 def brute_removal(rows, length):
     texts = [(i, (t or "").encode()) for i, t in rows]
     seen = Counter(b[p:p + length] for _, b in texts for p in range(len(b) - length + 1))
@@ -338,17 +362,42 @@ def test_pipeline_equals_its_stages_by_brute_force(spark):
         top[t.translate(LOWER)] = max(top.get(t.translate(LOWER), i), i)
     rows = [(i, t) for i, t in rows if top[t.translate(LOWER)] == i]
     rows = [(i, t) for (i, t), (_, _, c) in zip(rows, brute_classes(rows), strict=True) if i == c]
-    left = {i: n - gone for i, n, gone, _, _ in brute_removal(rows, 400)}
+    mark = brute_cut(rows, corpus_pipeline.PASSAGE_BYTES)
+    assert sum(len(t) < len(u) for (_, t), (_, u) in zip(mark, rows, strict=True)) > 10
+    want = Counter()
+    for i, text in mark:
+        ids = np.array(gpt_ids(text) + [2], dtype="<u4")
+        starts = packing.piece_starts(len(ids), 1024)
+        for k, (a, b) in enumerate(zip(starts, [*starts[1:], len(ids)], strict=True)):
+            want[i, k, a, b - a, zlib.crc32(ids[a:b].tobytes())] += 1
     got = corpus_pipeline.run(spark, folder).collect()
-    assert {r.doc_id for r in got} == set(left)
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == want
     used = defaultdict(int)
     for r in got:
         used[r.sequence_id] += r.length
     assert max(used.values()) <= 1024
-    ends = {r.doc_id: 0 for r in got}
-    for r in got:
-        ends[r.doc_id] += r.length
-    assert all(ends[i] == 1 for i, n in left.items() if n == 0)
+
+
+def test_passage_stage_cuts_planted_passages_of_51_to_64_words(spark):
+    rng = random.Random(6)
+    given = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect() if r.text]
+    vocabulary = [w for t in given for w in WORD.findall(t.lower())]  # words as often as they stand
+    prose = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    rows, passages = [], {}
+    for k in range(200):
+        passage = passages[k] = prose(rng.randint(51, 64))
+        rows += [(2 * k, f"{prose(60)} {passage} {prose(40)}"), (2 * k + 1, f"{prose(10)}\n{passage}\n{prose(90)}")]
+    rows += [(1000 + k, prose(120)) for k in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("n_chars", F.length("text"))
+    got = {r.doc_id: r for r in corpus_pipeline.passage_dedup(spark, docs, "").collect()}
+    sizes = [len(p.encode()) for p in passages.values()]
+    short = [k for k, p in passages.items() if len(p.encode()) < corpus_pipeline.PASSAGE_BYTES]
+    assert np.median(sizes) < 450 and min(sizes) < 400 and not short
+    for k, p in passages.items():
+        assert p not in got[2 * k].text and p not in got[2 * k + 1].text
+        assert got[2 * k].n_chars == len(got[2 * k].text) <= len(rows[2 * k][1]) - len(p)
+        assert len(got[2 * k].text) > len(rows[2 * k][1]) - len(p) - 60  # the rest stays
+    assert all(got[1000 + k].text == rows[400 + k][1] for k in range(100))
 
 
 def test_stages_keep_the_columns_and_pass_empty_tables(spark):
