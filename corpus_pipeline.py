@@ -7,8 +7,10 @@ returns one row per token piece with its place in a sequence.
 1. toxicity: documents predicted toxic go (learned from the training fold of ``labels``).
 2. exact dedup: of equal texts the row with the largest doc_id stays.
 3. MinHash near-dedup: the smallest doc_id of each class stays.
-4. suffix-array dedup: passages of 400 bytes or more that stand elsewhere too are cut out of the texts;
-   ``n_chars`` follows. A text may end up empty; its row stays.
+4. suffix-array dedup: passages of ``PASSAGE_BYTES`` bytes or more that stand elsewhere too are cut out of the
+   texts; ``n_chars`` follows. A text may end up empty; its row stays. The length is a parameter of this
+   stage (the query op10 has its own, 400): a passage of 51 words takes about 300 bytes of this prose, and 200 is
+   under nearly all of them.
 5. best-fit packing: sequences of at most 1024 tokens.
 
 Rows with null or empty text pass the first stage, are copies of each other in the second (one stays) and
@@ -24,6 +26,8 @@ from quarry.llm import exact, minhash, packing, suffix, toxicity
 from quarry.llm.common import stored
 from quarry.llm.queries import gpt_ranks
 
+PASSAGE_BYTES = 200
+
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
@@ -40,9 +44,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return minhash.keep_one_of_each(docs)
 
 
-def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str,
+                  length: int = PASSAGE_BYTES) -> DataFrame:
     del spark, sf_dir
-    cut = suffix.remove_repeats(docs)
+    cut = suffix.remove_repeats(docs, length=length)
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
