@@ -41,6 +41,27 @@ def label_index(col, labels) -> Column:
     return F.try_element_at(F.create_map(*pairs), _c(col)) if pairs else F.lit(None).cast("int")
 
 
+def ordered_bits(col) -> Column:
+    """A 64-bit integer in the order of the double ``col``, different for different values (W4, A11): sign,
+    exponent and mantissa as IEEE 754 lays them out, negative numbers mirrored. NaN is last; -0.0 equals 0.0."""
+    v = _c(col).cast("double")
+    size = F.abs(v)
+    guess = F.greatest(F.lit(-1022), F.least(F.lit(1023), F.floor(F.log2(F.greatest(size, F.lit(5e-324)))).cast("int")))
+
+    def laid_out(x: Column) -> Column:  # x: size, guess and 2**guess, of which the logarithm may miss by one
+        scaled = x["a"] / F.pow(F.lit(2.0), x["e"])
+        e = F.when(scaled >= 2, x["e"] + 1).when((scaled < 1) & (x["e"] > -1022), x["e"] - 1).otherwise(x["e"])
+        scaled = F.when(scaled >= 2, scaled / 2).when((scaled < 1) & (x["e"] > -1022), scaled * 2).otherwise(scaled)
+        whole = F.when(scaled >= 1, (e + 1023).cast("long")).otherwise(F.lit(0).cast("long"))
+        part = F.when(scaled >= 1, scaled - 1).otherwise(scaled)
+        return F.shiftleft(whole, 52) + (part * F.lit(float(1 << 52))).cast("long")
+
+    finite = F.get(F.transform(F.array(F.struct(size.alias("a"), guess.alias("e"))), laid_out), 0)
+    bits = F.when(size == 0, F.lit(0).cast("long")).when(size == float("inf"), F.lit(2047 << 52)).otherwise(finite)
+    return F.when(v.isNull(), F.lit(None).cast("long")).when(F.isnan(v), F.lit((1 << 63) - 1)) \
+        .when(v < 0, -bits).otherwise(bits)
+
+
 def normalized_problem_type(kind: str) -> str:
     """binary/multiclass are reported as classification."""
     return "classification" if kind in ("binary", "multiclass") else kind

@@ -2,8 +2,8 @@
 
 Rows are first reduced to one row per (group, distinct score) with positive
 and negative counts (map-side partial aggregation, so a hot score costs one
-row per task).  Cumulative counts in descending score order then come from
-the distributed running totals, never from a single-partition window.
+row per task).  Cumulative counts in descending score order come from a radix tree
+over the bits of the score: windows run inside buckets of bounded size only.
 """
 
 from __future__ import annotations
@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.ordering import running_totals
+from quarry.functions.numeric import ordered_bits
+from quarry.operators.ordering import cumulate_by_key
 
 
 def _c(col) -> Column:
@@ -29,23 +30,9 @@ def score_counts(df: DataFrame, label, score, group_cols=(), positive=1) -> Data
 
 def cumulative_counts(counts: DataFrame, group_cols=()) -> DataFrame:
     """Add tps/fps (counts at or above each score within its group) and P/N totals."""
-    gcols = list(group_cols)
-    order = [F.col(g).asc_nulls_first() for g in gcols] + [F.col("score").desc()]
-    cum = running_totals(counts, order, {"tps": F.col("pos"), "fps": F.col("neg")},
-                         with_grand_totals=not gcols)
-    if gcols:
-        # group-local cumulative = global cumulative - total of the groups before
-        start = cum.groupBy(*gcols).agg(
-            F.min(F.col("tps") - F.col("pos")).alias("_g_tp0"),
-            F.min(F.col("fps") - F.col("neg")).alias("_g_fp0"),
-            F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-        cum = (cum.join(start, gcols)
-                  .withColumn("tps", F.col("tps") - F.col("_g_tp0"))
-                  .withColumn("fps", F.col("fps") - F.col("_g_fp0"))
-                  .drop("_g_tp0", "_g_fp0"))
-    else:
-        cum = cum.withColumnsRenamed({"tps_total": "P", "fps_total": "N"})
-    return cum
+    cum = cumulate_by_key(counts, ordered_bits("score"), ["pos", "neg"], group_cols, descending=True)
+    doubles = {"upto_pos": "tps", "upto_neg": "fps", "all_pos": "P", "all_neg": "N"}
+    return cum.select(*counts.columns, *[F.col(a).cast("double").alias(b) for a, b in doubles.items()])
 
 
 def roc_curve(df: DataFrame, label, score, positive=1) -> DataFrame:

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 from pyspark import StorageLevel
 
 
@@ -73,24 +73,15 @@ def release_ranked() -> int:
     return n
 
 
-def _partition_offsets(ranged: DataFrame, sums: dict[str, Column] | None = None) -> DataFrame:
-    """One row per range partition: first local id, row count, totals of earlier partitions.
+def _partition_offsets(ranged: DataFrame) -> DataFrame:
+    """One row per range partition: first local id, row count, rows of earlier partitions.
 
     The window runs over at most ``num_partitions`` rows.
     """
-    aggs = [F.min(_MID).alias("_q_mid0"), F.count(F.lit(1)).alias("_q_cnt")]
-    for name, expr in (sums or {}).items():
-        aggs.append(F.sum(expr).alias(f"_q_tot_{name}"))
-    per_part = ranged.groupBy(_PID).agg(*aggs)
+    per_part = ranged.groupBy(_PID).agg(F.min(_MID).alias("_q_mid0"), F.count(F.lit(1)).alias("_q_cnt"))
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy()
-    out = per_part.withColumn("_q_off", F.coalesce(F.sum("_q_cnt").over(before), F.lit(0)))
-    out = out.withColumn("_q_ntot", F.sum("_q_cnt").over(everything))
-    for name in (sums or {}):
-        out = out.withColumn(f"_q_offsum_{name}",
-                             F.coalesce(F.sum(f"_q_tot_{name}").over(before), F.lit(0)))
-        out = out.withColumn(f"_q_all_{name}", F.sum(f"_q_tot_{name}").over(everything))
-    return out
+    return per_part.withColumn("_q_off", F.coalesce(F.sum("_q_cnt").over(before), F.lit(0))) \
+        .withColumn("_q_ntot", F.sum("_q_cnt").over(Window.partitionBy()))
 
 
 def global_rank(df: DataFrame, order_cols, tie_break=(), rank_col: str = "_rank",
@@ -112,51 +103,192 @@ def global_rank(df: DataFrame, order_cols, tie_break=(), rank_col: str = "_rank"
     return out.drop(_PID, _MID, _ROW, "_q_mid0", "_q_cnt", "_q_off", "_q_ntot")
 
 
+# ---------------------------------------------------------------- explicit ranges
+
+def _text_bracket(rows: DataFrame, key: str, k: int, parts: int = 256) -> tuple[DataFrame, int, list]:
+    """The rows between two splitters of ``key`` that hold position ``k``, the position among them, and, where
+    they have one value of the key, that value in a list."""
+    cuts = splitters(rows, [key], parts)
+    counts = {r["at"]: r["n"] for r in rows.groupBy(range_id(rows, [key], cuts).alias("at"))
+              .agg(F.count(F.lit(1)).alias("n")).collect()}  # at most ``parts`` rows
+    at, below = 0, 0
+    while below + counts.get(at, 0) < k:
+        below += counts.get(at, 0)
+        at += 1
+    c = F.col(f"`{key}`")
+    low = cuts[at - 1][0] if at else None
+    edge = c.isNull() if low is None else c.eqNullSafe(F.lit(low))
+    inside = rows if at == 0 else rows.filter(edge | (c > F.lit(low)) if low is not None else F.lit(True))
+    if at < len(cuts) and cuts[at][0] is not None:
+        inside = inside.filter(c.isNull() | (c < F.lit(cuts[at][0])))
+    equal = rows.filter(edge).count()  # the splitter itself may hold most of the range
+    if k - below <= equal:
+        return rows.filter(edge), k - below, [low]
+    return inside.filter(~edge & c.isNotNull()), k - below - equal, []
+
+
+def splitters(df: DataFrame, keys: list[str], parts: int, per_part: int = 64, seed: int = 11) -> list[tuple]:
+    """At most ``parts - 1`` key tuples, ascending (nulls first), that cut the rows into about equal ranges.
+
+    They come from a sample of about ``per_part`` rows a range and only decide the balance: what is done
+    with the ranges has the same result for any cuts.
+    """
+    narrow = df.select(*[F.col(f"`{k}`") for k in keys])
+    n = narrow.count()
+    if parts < 2 or not n:
+        return []
+    sample = narrow.sample(False, min(1.0, per_part * parts / n), seed).collect()
+    order = lambda r: tuple((v is not None, v) if v is not None else (False,) for v in r)
+    rows = sorted({tuple(r) for r in sample}, key=order) if len(sample) < 2 * parts else \
+        sorted((tuple(r) for r in sample), key=order)
+    picked = [rows[len(rows) * i // parts] for i in range(1, parts)] if rows else []
+    return [x for i, x in enumerate(picked) if i == 0 or x != picked[i - 1]]
+
+
+def range_id(df: DataFrame, keys: list[str], cuts: list[tuple]) -> Column:
+    """Number of ``cuts`` at or below a row's key: its range, by binary search in one expression. A pure
+    function of the row, so any two scans deal the rows alike."""
+    if not cuts:
+        return F.lit(0)
+    kinds = [df.schema[k].dataType for k in keys]
+    table = F.array(*[F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(c, kinds))])
+                      for c in cuts])
+    row = F.struct(*[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keys)])
+
+    def halve(span: Column, _: Column) -> Column:
+        middle = F.floor((span["lo"] + span["hi"]) / 2).cast("int")
+        open_ = span["lo"] < span["hi"]
+        above = F.coalesce(F.get(table, middle) <= row, F.lit(False))
+        return F.struct(F.when(open_ & above, middle + 1).otherwise(span["lo"]).alias("lo"),
+                        F.when(open_ & ~above, middle).otherwise(span["hi"]).alias("hi"))
+
+    start = F.struct(F.lit(0).alias("lo"), F.lit(len(cuts)).alias("hi"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(len(cuts).bit_length())), start, halve,
+                       lambda span: span["lo"])
+
+
+def _in_ranges(df: DataFrame, keys: list[str], parts: int | None) -> tuple[DataFrame, int]:
+    """``df`` with the id of its range in ``_PID``, and the number of ranges."""
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    cuts = splitters(df, keys, parts)
+    return df.withColumn(_PID, range_id(df, keys, cuts)), len(cuts) + 1
+
+
 def running_totals(df: DataFrame, order_cols, sums: dict[str, Column], tie_break=(),
                    descending: bool = False, num_partitions: int | None = None,
-                   with_grand_totals: bool = True, materialize: str = "persist") -> DataFrame:
-    """Inclusive running sums of ``sums`` in the global order, plus grand totals.
-
-    Within a partition the cumulative sum follows the sorted rows (one pass of
-    a pandas ``cumsum`` per Arrow batch, carrying the running value between
-    batches); partition offsets come from the same per-partition table as in
-    :func:`global_rank`.  Columns ``<name>`` hold the running sums and
-    ``<name>_total`` the totals over the whole table.
+                   with_grand_totals: bool = True) -> DataFrame:
+    """Inclusive running sums of ``sums`` in the global order of columns, plus grand totals.
+
+    Rows are dealt once, by explicit ranges of the key; a window runs inside each range, and the totals of
+    earlier ranges (one row a range, combined map-side from the input) are added. Columns ``<name>`` hold the
+    running sums and ``<name>_total`` the totals over the whole table. Rows with equal keys need a tie-break to have an
+    order of their own; without one they share a range.
     """
-    keys = _sort_keys(list(order_cols) + list(tie_break), descending) + [F.col(_ROW)]
-    ranged = df.withColumn(_ROW, F.monotonically_increasing_id())
+    keys = [*order_cols, *tie_break]
     for name, expr in sums.items():
-        ranged = ranged.withColumn(f"_q_v_{name}", expr.cast("double"))
-    ranged = _ranged(ranged, keys, num_partitions, materialize)
-    names = list(sums)
-    schema = StructType(list(ranged.schema.fields)
-                        + [StructField(f"_q_cs_{name}", DoubleType()) for name in names])
-
-    def cumsum(batches):
-        carry = {name: 0.0 for name in names}
-        last_pid = None
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            pid = int(pdf[_PID].iloc[0])
-            if pid != last_pid:
-                carry = {name: 0.0 for name in names}
-                last_pid = pid
-            for name in names:
-                cs = pdf[f"_q_v_{name}"].fillna(0.0).cumsum() + carry[name]
-                pdf[f"_q_cs_{name}"] = cs
-                carry[name] = float(cs.iloc[-1])
-            yield pdf
-
-    summed = ranged.mapInPandas(cumsum, schema)
-    offsets = _partition_offsets(ranged, {name: F.col(f"_q_v_{name}") for name in names})
-    out = summed.join(F.broadcast(offsets), _PID)
-    for name in names:
-        out = out.withColumn(name, F.col(f"_q_offsum_{name}") + F.col(f"_q_cs_{name}"))
+        df = df.withColumn(f"_q_v_{name}", expr.cast("double"))
+    placed, ranges = _in_ranges(df, keys, num_partitions)
+    if descending:
+        placed = placed.withColumn(_PID, F.lit(ranges - 1) - F.col(_PID))
+    per = placed.groupBy(_PID).agg(*[F.sum(f"_q_v_{name}").alias(f"_q_tot_{name}") for name in sums])
+    earlier = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    every = Window.partitionBy()
+    offsets = per.select(_PID, *[F.coalesce(F.sum(f"_q_tot_{name}").over(earlier), F.lit(0.0))
+                                 .alias(f"_q_off_{name}") for name in sums],
+                         *[F.sum(f"_q_tot_{name}").over(every).alias(f"_q_all_{name}") for name in sums])
+    within = Window.partitionBy(_PID).orderBy(*_sort_keys(keys, descending)) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = placed.repartitionById(ranges, F.col(_PID))
+    for name in sums:
+        out = out.withColumn(name, F.sum(f"_q_v_{name}").over(within))
+    out = out.join(F.broadcast(offsets), _PID)  # at most ``num_partitions`` rows
+    for name in sums:
+        out = out.withColumn(name, F.coalesce(name, F.lit(0.0)) + F.col(f"_q_off_{name}"))
         if with_grand_totals:
             out = out.withColumn(f"{name}_total", F.col(f"_q_all_{name}"))
-    drop = [c for c in out.columns if c.startswith("_q_")]
-    return out.drop(*drop)
+    return out.drop(*[c for c in out.columns if c.startswith("_q_")])
+
+
+def first_difference(df: DataFrame, col: str, order_cols, partition_cols=(), out: str | None = None,
+                     num_partitions: int | None = None) -> DataFrame:
+    """``col`` minus its value in the row before, in the order of ``order_cols`` within ``partition_cols``.
+
+    Rows are dealt once, by explicit ranges of (partition, order); differences are taken inside each
+    range, and the first row of a range takes the last value of the nearest range before it that has
+    rows. Those boundary rows, one a range, are found by an aggregate that combines map-side, so one group that holds
+    all rows is spread like any other. Order columns should be unique in a group; ties are taken by value.
+    """
+    groups, keys = list(partition_cols), [*partition_cols, *order_cols]
+    placed, ranges = _in_ranges(df, keys, num_partitions)
+    last = F.max(F.struct(*[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keys)],
+                          F.col(f"`{col}`").alias("v"))).alias("last")
+    boundary = {r[_PID]: r["last"] for r in placed.groupBy(_PID).agg(last).collect()}  # one row a range
+    before, found = [], None
+    for i in range(ranges):
+        if found is not None:
+            before.append((i, *found))
+        found = boundary.get(i, found)
+    schema = StructType([StructField("_q_at", IntegerType()),
+                         *[StructField(f"_q_b{i}", df.schema[k].dataType) for i, k in enumerate(keys)],
+                         StructField("_q_bv", df.schema[col].dataType)])
+    ends = df.sparkSession.createDataFrame(before, schema)
+    order = Window.partitionBy(_PID).orderBy(*_sort_keys([*keys, col], False))
+    row = F.struct(*[F.col(f"`{k}`").alias(f"g{i}") for i, k in enumerate(groups)], F.col(f"`{col}`").alias("v"))
+    inner = placed.repartitionById(ranges, F.col(_PID)).withColumn("_q_prev", F.lag(row).over(order))
+    joined = inner.join(F.broadcast(ends), F.col(_PID) == F.col("_q_at"), "left")
+    same_inside, same_across = F.lit(True), F.lit(True)
+    for i, k in enumerate(groups):
+        same_inside &= F.col(f"_q_prev.g{i}").eqNullSafe(F.col(f"`{k}`"))
+        same_across &= F.col(f"_q_b{i}").eqNullSafe(F.col(f"`{k}`"))
+    previous = F.when(F.col("_q_prev").isNotNull(), F.when(same_inside, F.col("_q_prev.v"))) \
+        .when(F.col("_q_at").isNotNull(), F.when(same_across, F.col("_q_bv")))
+    joined = joined.withColumn(out or f"{col}_diff", F.col(f"`{col}`") - previous)
+    return joined.drop(*[c for c in joined.columns if c.startswith("_q_")])
+
+
+# ---------------------------------------------------------------- cumulative sums by value
+
+_LEVELS = (48, 24, 0)  # 16, 24 and 24 bits of a 64-bit key
+
+
+def cumulate_by_key(df: DataFrame, key: Column, sums: list[str], group_cols=(), descending: bool = False,
+                    prefix: str = "upto_") -> DataFrame:
+    """Running sums of ``sums`` over the rows whose 64-bit ``key`` is at or before a row's, per group, and
+    grand totals (``all_<name>``).
+
+    A radix tree instead of a sort: totals by the first 16 bits and by the next 24 of the key, each
+    accumulated among the children of one parent only, are added to the accumulation inside a
+    40-bit prefix. A window group has at most 2**16 and 2**24 rows at the upper levels; at the lowest, 2**24 different
+    keys (rows of one key are one row if ``df`` has been grouped by it). Nothing is sampled or kept.
+    """
+    gs = list(group_cols)
+    mask = (1 << 24) - 1
+    rows = df.withColumn("_q_key", key)
+    rows = rows.withColumns({
+        "_q_p1": F.shiftright("_q_key", _LEVELS[0]).cast("int"),
+        "_q_p2": F.shiftright("_q_key", _LEVELS[1]).bitwiseAND(F.lit(mask)).cast("int"),
+        "_q_p3": F.col("_q_key").bitwiseAND(F.lit(mask)).cast("int")})
+    way = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    zero = lambda c: F.coalesce(c, F.lit(0))
+
+    second = rows.groupBy(*gs, "_q_p1", "_q_p2").agg(*[F.sum(n).alias(f"_q_s_{n}") for n in sums])
+    first = second.groupBy(*gs, "_q_p1").agg(*[F.sum(f"_q_s_{n}").alias(f"_q_s_{n}") for n in sums])
+    top = Window.partitionBy(*gs)
+    first = first.select(
+        *gs, "_q_p1", *[zero(F.sum(f"_q_s_{n}").over(before(top.orderBy(way("_q_p1"))))).alias(f"_q_a_{n}")
+                        for n in sums], *[F.sum(f"_q_s_{n}").over(top).alias(f"all_{n}") for n in sums])
+    middle = Window.partitionBy(*gs, "_q_p1").orderBy(way("_q_p2"))
+    second = second.select(*gs, "_q_p1", "_q_p2",
+                           *[zero(F.sum(f"_q_s_{n}").over(before(middle))).alias(f"_q_b_{n}") for n in sums])
+    offsets = second.join(first, [*gs, "_q_p1"]).select(
+        *gs, "_q_p1", "_q_p2", *[(F.col(f"_q_a_{n}") + F.col(f"_q_b_{n}")).alias(f"_q_off_{n}") for n in sums],
+        *[f"all_{n}" for n in sums])
+    inner = Window.partitionBy(*gs, "_q_p1", "_q_p2").orderBy(way("_q_p3"))
+    rows = rows.withColumns({f"{prefix}{n}": F.sum(n).over(inner) for n in sums})
+    out = rows.join(offsets, [*gs, "_q_p1", "_q_p2"])
+    out = out.withColumns({f"{prefix}{n}": F.col(f"{prefix}{n}") + F.col(f"_q_off_{n}") for n in sums})
+    return out.drop("_q_key", "_q_p1", "_q_p2", "_q_p3", *[f"_q_off_{n}" for n in sums])
 
 
 def split_labels(rank: Column, total: Column, train: float = 0.70, val: float = 0.15,
@@ -233,8 +365,8 @@ def key_at(df: DataFrame, keys: list[str], position: int, small: int = 20_000,
 
     Approximate percentiles of the first key bracket the position, one pass counts the rows below and
     inside, and the bracket is narrowed until it holds few rows, of which the top rows are
-    taken; a bracket that is one value fixes that key and goes on with the next. None if a key with many
-    rows has no percentiles (text).
+    taken; a bracket that is one value fixes that key and goes on with the next. Keys without percentiles
+    (text) are bracketed by sampled splitters and exact counts of the rows between them.
     """
     fixed: list = []
     rows, k = df, position
@@ -249,7 +381,9 @@ def key_at(df: DataFrame, keys: list[str], position: int, small: int = 20_000,
         if df.schema[key].dataType.typeName() not in (
                 "byte", "short", "integer", "long", "float", "double", "decimal", "date", "timestamp",
                 "timestamp_ntz"):
-            return None
+            rows, k, value = _text_bracket(rows, key, k)
+            fixed += value
+            continue
         nulls = rows.filter(F.col(key).isNull()).count()
         if k <= nulls:
             rows = rows.filter(F.col(key).isNull())
@@ -274,9 +408,3 @@ def key_at(df: DataFrame, keys: list[str], position: int, small: int = 20_000,
             else:
                 rows, below = rows.filter(c > F.lit(lo)), upto
         k -= below
-
-
-def first_difference(df: DataFrame, col: str, order_cols, partition_cols=()) -> DataFrame:
-    """``col - lag(col)`` in the given order (W2); only for bounded partitions."""
-    w = Window.partitionBy(*partition_cols).orderBy(*order_cols)
-    return df.withColumn(f"{col}_diff", F.col(col) - F.lag(col).over(w))

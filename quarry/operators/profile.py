@@ -1,17 +1,20 @@
 """Distribution profiling.
 
 Statistics over many columns are fused: one aggregate computes the moments
-of every column, one range-partitioned pass ranks all values for exact
-quantiles.  Long ("tidy") outputs keep schemas fixed whatever the input width.
+of every column, one sketch a column brackets all quantiles and one counting pass makes them exact.  Long ("tidy") outputs keep schemas fixed whatever the input width.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.ordering import global_rank
+from quarry.functions.numeric import ordered_bits
+from quarry.operators.ordering import cumulate_by_key
 from quarry.operators.quality import nan_as_null
+from quarry.session import ensure_checkpoint_dir
 
 
 def _q(name: str) -> Column:
@@ -39,122 +42,103 @@ def to_long(df: DataFrame, cols, id_cols=(), name_col: str = "column_name",
 
 # ---------------------------------------------------------------- quantiles
 
+SKETCH_K = 4096
+#: Rank error that a KLL sketch of this k exceeds once in a hundred, and how many of them a bracket takes each way.
+SKETCH_ERROR = 2.296 / SKETCH_K ** 0.9021
+BRACKET = 4 * SKETCH_ERROR
+
+
+def value_sketches(long: DataFrame, group_cols=("column_name",), value_col="value") -> DataFrame:
+    """One mergeable KLL sketch a group: (group_cols..., sketch).
+
+    Written to the checkpoint folder, so that all callers that ask for quantiles of these groups share
+    one pass; a group's sketch has some 90 kB at most, whatever its size.
+    """
+    ensure_checkpoint_dir(long.sparkSession)
+    return long.groupBy(*group_cols).agg(
+        F.expr(f"kll_sketch_agg_double(cast(`{value_col}` as double), {SKETCH_K})").alias("sketch")).checkpoint()
+
+
 def quantiles_long(long: DataFrame, probs, group_cols=("column_name",), value_col="value",
-                   exact: bool = True, accuracy: int = 10_000, method: str = "bracket"
-                   ) -> DataFrame:
+                   exact: bool = True, method: str = "bracket", sketches: DataFrame | None = None) -> DataFrame:
     """Quantiles of ``value_col`` per group, linear interpolation.
 
     Output: group_cols..., prob, quantile.  The exact mode equals numpy's
     ``linear`` method and DuckDB's ``quantile_cont``: with ``h = (n-1)p`` the
     result is ``v[floor h] + (h - floor h)(v[ceil h] - v[floor h])``.
 
-    Exact values come from a bracket: ``percentile_approx`` (rank error at
-    most n/accuracy) gives values around each target rank, one pass counts the
-    rows below and inside each bracket, and only the rows inside are ranked
-    globally. Where both edges of a bracket are one value (heavy ties, few distinct
-    values), that value is the quantile and nothing is ranked.  If
-    a bracket misses its target ranks (the check is exact) the whole input is
-    ranked instead.  ``exact=False`` returns ``percentile_approx`` directly.
+    Exact values come from brackets: the group's sketch gives values around each target rank, and one
+    pass counts the rows by value inside the brackets; all others are counted at the bracket's edge below
+    them, map-side, so few rows shuffle. Cumulative counts by value (a radix tree, no sort of the whole)
+    then name the values at the ranks. A rank that falls outside its bracket has no value; then every value
+    is counted instead (``method="rank"`` does so at once). ``exact=False`` returns the sketch's quantiles.
+    ``sketches``: those of ``value_sketches`` for the same rows and groups. The result is in the checkpoint folder; nothing is cached.
     """
     gkeys = list(group_cols)
     probs = [float(p) for p in probs]
+    rows = long.select(*gkeys, F.col(value_col).cast("double").alias("_q_v"))
+    if exact and method != "bracket":
+        return _quantiles_by_counts(rows, probs, gkeys, None)
+    if sketches is None:
+        sketches = value_sketches(long, gkeys, value_col)
+    at = lambda p: F.expr(f"kll_sketch_get_quantile_double(sketch, {min(1.0, max(0.0, p))!r}D)")
     if not exact:
-        q = long.groupBy(*gkeys).agg(
-            F.percentile_approx(value_col, probs, accuracy).alias("_q_vals"))
-        return q.select(*gkeys, F.posexplode("_q_vals").alias("_q_i", "quantile")).select(
-            *gkeys, F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("_q_i") + 1)
-            .alias("prob"), "quantile")
-    if method == "bracket":
-        bracketed = _bracketed_quantiles(long, probs, gkeys, value_col, accuracy)
-        if bracketed is not None:
-            return bracketed
-    return _ranked_quantiles(long, probs, gkeys, value_col)
-
-
-def _interpolate(picked: DataFrame, gkeys) -> DataFrame:
-    frac = F.col("_q_h") - F.col("_q_lo")
-    return picked.select(*gkeys, "prob",
-                         (F.col("_q_vlo") + frac * (F.col("_q_vhi") - F.col("_q_vlo")))
-                         .alias("quantile"))
-
-
-def _bracketed_quantiles(long: DataFrame, probs, gkeys, value_col: str, accuracy: int):
-    delta = 3.0 / accuracy
-    edges = []
-    for p in probs:
-        edges += [max(0.0, p - delta), min(1.0, p + delta)]
-    stats = long.groupBy(*gkeys).agg(
-        F.count(F.lit(1)).alias("_q_n"),
-        F.percentile_approx(value_col, edges, accuracy).alias("_q_edges"))
-    per = (stats.select(*gkeys, "_q_n", "_q_edges",
-                        F.posexplode(F.array(*[F.lit(p) for p in probs])).alias("_q_pi", "prob"))
-                .withColumn("_q_blo", F.element_at("_q_edges", F.col("_q_pi") * 2 + 1))
-                .withColumn("_q_bhi", F.element_at("_q_edges", F.col("_q_pi") * 2 + 2))
-                .withColumn("_q_h", (F.col("_q_n") - 1).cast("double") * F.col("prob"))
-                .withColumn("_q_lo", F.floor("_q_h"))
-                .withColumn("_q_hi", F.ceil("_q_h"))
-                .drop("_q_edges", "_q_pi"))
-    per = per.cache()
-    v = F.col(value_col)
-    tagged = long.select(*gkeys, v.alias("_q_v")).join(per, gkeys)
-    below = F.col("_q_v") < F.col("_q_blo")
-    inside = (F.col("_q_v") >= F.col("_q_blo")) & (F.col("_q_v") <= F.col("_q_bhi"))
-    counts = tagged.groupBy(*gkeys, "prob").agg(F.count_if(below).alias("_q_cb"),
-                                                F.count_if(inside).alias("_q_ci"))
-    checked = per.join(counts, gkeys + ["prob"], "left").fillna(0, ["_q_cb", "_q_ci"])
-    ok = (F.col("_q_cb") <= F.col("_q_lo")) & (F.col("_q_cb") + F.col("_q_ci") > F.col("_q_hi"))
-    checked = checked.withColumn("_q_ok", ok).cache()
-    if checked.filter(~F.col("_q_ok")).limit(1).count() > 0:
-        per.unpersist()
-        checked.unpersist()
-        return None
-    tied = checked.filter(F.col("_q_blo") == F.col("_q_bhi")).select(
-        *gkeys, "prob", F.col("_q_blo").cast("double").alias("quantile"))
-    open_ = inside & (F.col("_q_blo") < F.col("_q_bhi"))
-    rows = (tagged.filter(open_).select(*gkeys, "prob", "_q_v")
-                  .withColumn("_q_row", F.monotonically_increasing_id()))
-    ranked = global_rank(rows, gkeys + ["prob", "_q_v"], ["_q_row"], rank_col="_q_pos")
-    first = ranked.groupBy(*gkeys, "prob").agg(F.min("_q_pos").alias("_q_first"))
-    local = (ranked.join(first, gkeys + ["prob"])
-                   .join(checked.select(*gkeys, "prob", "_q_cb", "_q_h", "_q_lo", "_q_hi"),
-                         gkeys + ["prob"])
-                   .withColumn("_q_r", F.col("_q_pos") - F.col("_q_first") + F.col("_q_cb")))
-    picked = local.filter((F.col("_q_r") == F.col("_q_lo")) | (F.col("_q_r") == F.col("_q_hi"))) \
-        .groupBy(*gkeys, "prob").agg(
-            F.first("_q_h").alias("_q_h"), F.first("_q_lo").alias("_q_lo"),
-            F.max(F.when(F.col("_q_r") == F.col("_q_lo"), F.col("_q_v"))).alias("_q_vlo"),
-            F.max(F.when(F.col("_q_r") == F.col("_q_hi"), F.col("_q_v"))).alias("_q_vhi"))
-    return _interpolate(picked, gkeys).unionByName(tied)
-
-
-def _ranked_quantiles(long: DataFrame, probs, gkeys, value_col: str) -> DataFrame:
-    """Exact quantiles by ranking every value (the bracket's fallback)."""
-    tagged = long.withColumn("_q_row", F.monotonically_increasing_id())
-    ranked = global_rank(tagged, gkeys + [value_col], ["_q_row"], rank_col="_q_pos")
-    bounds = ranked.groupBy(*gkeys).agg(F.min("_q_pos").alias("_q_first"),
-                                         F.count(F.lit(1)).alias("_q_n"))
-    need = (bounds
-            .withColumn("prob", F.explode(F.array(*[F.lit(p) for p in probs])))
-            .withColumn("_q_h", (F.col("_q_n") - 1).cast("double") * F.col("prob"))
-            .withColumn("_q_lo", F.floor("_q_h"))
-            .withColumn("_q_hi", F.ceil("_q_h"))
-            .withColumn("_q_side", F.explode(F.array(F.lit(0), F.lit(1))))
-            .withColumn("_q_at", F.col("_q_first") +
-                        F.when(F.col("_q_side") == 0, F.col("_q_lo")).otherwise(F.col("_q_hi"))))
-    need = need.select(*gkeys, "prob", "_q_h", "_q_lo", "_q_side", "_q_at")
-    hits = ranked.select("_q_pos", F.col(value_col).alias("_q_v")).join(
-        need, F.col("_q_pos") == F.col("_q_at"))
-    picked = hits.groupBy(*gkeys, "prob").agg(
-        F.first("_q_h").alias("_q_h"), F.first("_q_lo").alias("_q_lo"),
-        F.max(F.when(F.col("_q_side") == 0, F.col("_q_v"))).alias("_q_vlo"),
-        F.max(F.when(F.col("_q_side") == 1, F.col("_q_v"))).alias("_q_vhi"))
-    return _interpolate(picked, gkeys)
-
-
-def quantiles(df: DataFrame, cols, probs, group_cols=(), exact: bool = True) -> DataFrame:
+        return sketches.select(*gkeys, F.explode(F.array(*[
+            F.struct(F.lit(p).alias("prob"), at(p).alias("quantile")) for p in probs])).alias("_q_x")) \
+            .select(*gkeys, "_q_x.*")
+    edges = sketches.select(*gkeys, *[at(p + way * BRACKET).alias(f"_q_{side}{i}") for i, p in enumerate(probs)
+                                      for side, way in (("lo", -1), ("hi", 1))])
+    found = _quantiles_by_counts(rows, probs, gkeys, edges)
+    if found.filter(F.col("quantile").isNull()).limit(1).count():
+        return _quantiles_by_counts(rows, probs, gkeys, None)
+    return found
+
+
+def _quantiles_by_counts(rows: DataFrame, probs: list[float], gkeys: list[str],
+                         edges: DataFrame | None) -> DataFrame:
+    """Quantiles from cumulative counts by value. With ``edges`` (_q_lo<i>, _q_hi<i> per group), a value outside all
+    of them is counted right behind the greatest edge below it (the next double, which no bracket holds)."""
+    v, bits = F.col("_q_v"), ordered_bits("_q_v")
+    if edges is None:
+        keyed = rows.select(*gkeys, bits.alias("_q_at"), v.alias("_q_x"))
+    else:
+        names = [f"_q_{side}{i}" for i in range(len(probs)) for side in ("lo", "hi")]
+        edges = edges.select(*gkeys, *names, *[ordered_bits(n).alias(f"{n}b") for n in names])
+        if gkeys:
+            rows, of = rows.join(edges, gkeys), F.col
+        else:  # one row of numbers
+            one = edges.first()
+            of = lambda n: F.lit(one[n])
+        inside = functools.reduce(Column.__or__, [
+            (v >= of(f"_q_lo{i}")) & (v <= of(f"_q_hi{i}")) for i in range(len(probs))])
+        snapped = F.coalesce(F.greatest(*[F.when(v >= of(n), of(f"{n}b")) for n in names]) + 1, F.lit(-(1 << 63)))
+        keyed = rows.select(*gkeys, F.when(inside, bits).otherwise(snapped).alias("_q_at"),
+                            F.when(inside, v).alias("_q_x"))
+    counts = keyed.groupBy(*gkeys, "_q_at").agg(F.count(F.lit(1)).alias("_q_n"), F.max("_q_x").alias("_q_x"))
+    counted = cumulate_by_key(counts, F.col("_q_at"), ["_q_n"], gkeys)
+    upto, total = F.col("upto__q_n"), F.col("all__q_n")
+    at = {p: (total - 1).cast("double") * F.lit(p) for p in probs}
+    held = lambda r: F.max(F.when((upto - F.col("_q_n") <= r) & (r < upto), F.col("_q_x")))
+    picked = counted.groupBy(*gkeys).agg(
+        F.max(total).alias("_q_total"), *[held(F.floor(at[p])).alias(f"_q_below{i}") for i, p in enumerate(probs)],
+        *[held(F.ceil(at[p])).alias(f"_q_above{i}") for i, p in enumerate(probs)])
+    h = {p: (F.col("_q_total") - 1).cast("double") * F.lit(p) for p in probs}
+    each = [F.struct(F.lit(p).alias("prob"), (F.col(f"_q_below{i}") + (h[p] - F.floor(h[p])) * (
+        F.col(f"_q_above{i}") - F.col(f"_q_below{i}"))).alias("quantile")) for i, p in enumerate(probs)]
+    return picked.select(*gkeys, F.explode(F.array(*each)).alias("_q_p")).select(
+        *gkeys, "_q_p.prob", "_q_p.quantile").checkpoint()
+
+
+def quantiles(df: DataFrame, cols, probs, group_cols=(), exact: bool = True,
+              sketches: DataFrame | None = None) -> DataFrame:
     """Quantiles of several numeric columns: (group_cols..., column_name, prob, quantile)."""
     long = to_long(df, cols, id_cols=group_cols)
-    return quantiles_long(long, probs, list(group_cols) + ["column_name"], exact=exact)
+    return quantiles_long(long, probs, list(group_cols) + ["column_name"], exact=exact, sketches=sketches)
+
+
+def column_sketches(df: DataFrame, cols) -> DataFrame:
+    """Sketches of numeric columns for ``quantiles``, ``moments`` and ``iqr_outliers`` to share."""
+    return value_sketches(to_long(df, cols))
 
 
 # ---------------------------------------------------------------- moments
@@ -174,7 +158,7 @@ def _sql_clean(c: str) -> str:
 
 
 def moments(df: DataFrame, cols, with_median: bool = True, exact_median: bool = True,
-            digits: int | None = 4) -> DataFrame:
+            digits: int | None = 4, sketches: DataFrame | None = None) -> DataFrame:
     """Per column: n, mean, sample std, median, skewness, kurtosis, high-skew flag.
 
     Two aggregate passes over all columns at once: counts, means and min/max,
@@ -223,7 +207,7 @@ def moments(df: DataFrame, cols, with_median: bool = True, exact_median: bool =
     out = second.select(F.expr(f"inline(array({', '.join(structs)}))"))
     out = out.withColumn("is_high_skew", F.expr("coalesce(abs(skewness) > 1, false)"))
     if with_median:
-        med = quantiles(df, cols, [0.5], exact=exact_median).select(
+        med = quantiles(df, cols, [0.5], exact=exact_median, sketches=sketches).select(
             "column_name", F.col("quantile").alias("median"))
         out = out.join(F.broadcast(med), "column_name", "left")
     return out
@@ -236,14 +220,14 @@ def iqr_bounds(q1: Column, q3: Column, k: float = 1.5) -> tuple[Column, Column]:
     return q1 - F.lit(k) * iqr, q3 + F.lit(k) * iqr
 
 
-def iqr_outliers(df: DataFrame, cols, exact: bool = True, k: float = 1.5) -> DataFrame:
+def iqr_outliers(df: DataFrame, cols, exact: bool = True, k: float = 1.5,
+                 sketches: DataFrame | None = None) -> DataFrame:
     """Per column: q1, q3, iqr, fences and count strictly outside them.
 
-    Quantiles come from one ranked pass; fences (two numbers per column) are
-    joined back to the long values and counted in one grouped aggregate.
+    Fences (two numbers per column) are joined back to the long values and counted in one grouped aggregate.
     """
     long = to_long(df, cols)
-    q = quantiles_long(long, [0.25, 0.75], exact=exact)
+    q = quantiles_long(long, [0.25, 0.75], exact=exact, sketches=sketches)
     fences = (q.groupBy("column_name")
                .agg(F.max(F.when(F.col("prob") == 0.25, F.col("quantile"))).alias("q1"),
                     F.max(F.when(F.col("prob") == 0.75, F.col("quantile"))).alias("q3")))
@@ -276,27 +260,26 @@ def box_stats(df: DataFrame, value_col: str, group_cols=(), exact: bool = True,
     gcols = list(group_cols)
     v = _q(value_col).cast("double")
     long = df.select(*[_q(c) for c in gcols], v.alias("value")).filter(_missing_free(F.col("value")))
-    if not gcols:  # one group: true for every value, yet no constant, so joins on it stay equi-joins
-        long = long.withColumn("_q_all", F.col("value") <= F.lit(float("inf")))
-    keys = gcols or ["_q_all"]
-    q = quantiles_long(long, [0.25, 0.5, 0.75], group_cols=keys, exact=exact)
-    five = q.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(name)
-          for p, name in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
+    names = {0.25: "q1", 0.5: "median", 0.75: "q3"}
+    q = quantiles_long(long, list(names), group_cols=gcols, exact=exact)
+    five = q.groupBy(*gcols).agg(
+        *[F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(name) for p, name in names.items()])
     lo, hi = iqr_bounds(F.col("q1"), F.col("q3"), k)
-    five = five.withColumn("_q_lo", lo).withColumn("_q_hi", hi)
-    joined = long.join(five, keys)
+    five = five.withColumns({"_q_lo": lo, "_q_hi": hi})
+    if gcols:
+        joined, of = long.join(five, gcols), F.col
+    else:  # five numbers
+        one = five.first()
+        joined, of = long, lambda n: F.lit(one[n]).cast("double")
     val = F.col("value")
-    inside_lo = val >= F.col("_q_lo")
-    inside_hi = val <= F.col("_q_hi")
-    out = joined.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(val).alias("min"), F.max(val).alias("max"),
-        F.first("q1").alias("q1"), F.first("median").alias("median"), F.first("q3").alias("q3"),
+    inside_lo, inside_hi = val >= of("_q_lo"), val <= of("_q_hi")
+    out = joined.groupBy(*gcols).agg(
+        F.count(F.lit(1)).alias("n"), F.min(val).alias("min"), F.max(val).alias("max"),
+        *[F.first(of(name)).alias(name) for name in names.values()],
         F.min(F.when(inside_lo, val)).alias("lower_whisker"),
         F.max(F.when(inside_hi, val)).alias("upper_whisker"),
         F.count_if(~(inside_lo & inside_hi)).alias("n_outliers"))
-    return out if gcols else out.drop("_q_all")
+    return out.filter("n > 0")
 
 
 # ---------------------------------------------------------------- counts
@@ -328,8 +311,7 @@ def class_counts(df: DataFrame, target: str) -> DataFrame:
     counts = (nan_as_null(df).filter(_q(target).isNotNull())
                 .groupBy(_q(target).cast("string").alias("class_value"))
                 .agg(F.count(F.lit(1)).alias("n")))
-    total = counts.agg(F.count(F.lit(1)).alias("n_classes")).withColumn("_q_some", F.col("n_classes") > 0)
-    return counts.withColumn("_q_some", F.col("n") > 0).join(total, "_q_some").drop("_q_some")
+    return counts.withColumn("n_classes", F.lit(counts.count()))
 
 
 def crosstab_norm(df: DataFrame, row_col: str, col_col: str) -> DataFrame:

@@ -19,7 +19,7 @@ from quarry.functions import calendar as cal
 from quarry.operators import columns as colops
 from quarry.operators import profile as prof
 from quarry.operators import quality as qual
-from quarry.operators.ordering import chronological_split
+from quarry.operators.ordering import chronological_split, first_difference
 from quarry.sources.tables import table
 
 QUERIES: dict = {}
@@ -1215,3 +1215,24 @@ def q_lower_strip(spark, sf):
     from quarry.functions.coerce import lower_strip
     padded = F.concat(F.lit("\u00a0 \t"), F.initcap("event_type"), F.lit(" \u3000"))
     return _t(spark, sf, "events").select("event_id", lower_strip(padded).alias("kind"))
+
+
+# --------------------------------------------------------------- differences
+
+@register("first_difference", """
+SELECT event_id, value - lag(value) OVER (ORDER BY ts, event_id) AS value_diff FROM events
+""")
+def q_first_difference(spark, sf):
+    events = _t(spark, sf, "events").select("event_id", "ts", "value")
+    return first_difference(events, "value", ["ts", "event_id"]).select("event_id", "value_diff")
+
+
+@register("first_difference_by_group", """
+SELECT o_orderkey, o_totalprice - lag(o_totalprice) OVER (
+         PARTITION BY o_orderstatus, o_orderpriority ORDER BY o_orderdate, o_orderkey) AS change
+FROM orders
+""")
+def q_first_difference_by_group(spark, sf):
+    orders = _t(spark, sf, "orders")
+    return first_difference(orders, "o_totalprice", ["o_orderdate", "o_orderkey"],
+                            ["o_orderstatus", "o_orderpriority"], out="change").select("o_orderkey", "change")
