@@ -1,21 +1,21 @@
 """Permutation feature importance as one distributed job.
 
-For every (feature, repeat) the feature column is shuffled among the sample
-rows with a seeded permutation: row at key position i receives the value of
-the row whose hash position is i.  Both positions come from the distributed
-global rank (each (feature, repeat) group holds exactly n rows, so its offset
-is known), the shuffle is an equi-join on (feature, repeat, position), all
-variants are scored by ONE ``transform``, and the metric per variant is a
-grouped aggregate.  importance = baseline score - permuted score.
+Rows get a position by the MD5 of their key and the seed; the table is dealt by that position once. For every
+(feature, repeat) the row at a position receives the feature's value of the row whose MD5 of key, seed,
+feature and repeat has that rank. Only those donors (position, feature, repeat, value) are shipped to it, a fixed
+number a row, so wide rows cross the network once. All variants and the unchanged rows are scored where the rows lie by ONE
+``transform``, and the metric per variant is a grouped aggregate that combines map-side.
+importance = baseline score - permuted score.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.operators import modeling as mdl
-from quarry.operators.ordering import global_rank
 from quarry.operators.profile import hash_sample
 from quarry.operators.stats import importance_row
 
@@ -47,6 +47,81 @@ def _grouped_score(df: DataFrame, t: mdl.Tournament, group_cols, pred: str) -> D
     return df.sparkSession.createDataFrame(rows, schema)
 
 
+def hash_rank(df: DataFrame, digest: str, out: str, group_cols=()) -> DataFrame:
+    """Append the 1-based position of each row of a group in the order of an MD5 text.
+
+    Digests are uniform, so their first four digits deal the rows of any group into 65,536 like buckets: windows run inside
+    buckets, and offsets come from the buckets' counts (65,536 rows a group at most). No range is sampled.
+    """
+    gs = list(group_cols)
+    parted = df.withColumn("_q_b", F.substring(digest, 1, 4))
+    counts = parted.groupBy(*gs, "_q_b").agg(F.count(F.lit(1)).alias("_q_n"))
+    before = Window.partitionBy(*gs).orderBy("_q_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*gs, "_q_b", F.coalesce(F.sum("_q_n").over(before), F.lit(0)).alias("_q_o"))
+    inside = Window.partitionBy(*gs, "_q_b").orderBy(digest)
+    return parted.withColumn(out, F.row_number().over(inside)).join(offsets, [*gs, "_q_b"]) \
+        .withColumn(out, F.col(out) + F.col("_q_o")).drop("_q_b", "_q_o")
+
+
+def key_text(key_cols) -> Column:
+    """The key of a row as text; a null part is an empty text."""
+    return F.concat_ws("|", *[F.coalesce(F.col(f"`{k}`").cast("string"), F.lit("")) for k in key_cols])
+
+
+def permuted_variants(df: DataFrame, key_cols, features, n_repeats: int, seed: int) -> DataFrame:
+    """Every row once as it is (``_q_f`` -1) and once a (feature ``_q_f``, repeat ``_q_r``), with that feature's
+    value from the row that the permutation names. ``key_cols`` should be unique."""
+    features = list(features)
+    text = lambda *more: F.md5(F.concat_ws("|", key_text(key_cols), F.lit(str(seed)),
+                                           *[m.cast("string") for m in more]).cast("binary"))
+    placed = hash_rank(df.withColumn("_q_h", text()), "_q_h", "_q_i").drop("_q_h")
+    slots = F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_q_f"), F.lit(r).alias("_q_r"), F.col(f"`{c}`").cast("string").alias("_q_d"))
+        for i, c in enumerate(features) for r in range(n_repeats)]))
+    narrow = df.select(*[F.col(f"`{k}`") for k in dict.fromkeys([*key_cols, *features])], slots.alias("_q_x"))
+    donors = hash_rank(narrow.select(text(F.col("_q_x._q_f"), F.col("_q_x._q_r")).alias("_q_h"), "_q_x._q_f", "_q_x._q_r",
+                                     "_q_x._q_d"), "_q_h", "_q_i", ["_q_f", "_q_r"])
+    given = donors.groupBy("_q_i").agg(F.collect_list(F.struct("_q_f", "_q_r", "_q_d")).alias("_q_x"))
+    own = F.array(F.struct(F.lit(-1).alias("_q_f"), F.lit(0).alias("_q_r"), F.lit(None).cast("string").alias("_q_d")))
+    rows = placed.join(given, "_q_i").withColumn("_q_x", F.explode(F.concat(own, "_q_x")))
+    return rows.withColumns({
+        c: F.when(F.col("_q_x._q_f") == i, F.col("_q_x._q_d").cast(df.schema[c].dataType)).otherwise(F.col(f"`{c}`"))
+        for i, c in enumerate(features)} | {"_q_f": F.col("_q_x._q_f"), "_q_r": F.col("_q_x._q_r")}).drop("_q_x", "_q_i")
+
+
+def importance_by_variant(df: DataFrame, key_cols, features, score: Callable[[DataFrame], DataFrame],
+                          n_repeats: int = 5, seed: int = 42) -> DataFrame:
+    """Importance table of any predictor: ``score`` takes the variants and returns (_q_f, _q_r, score)."""
+    features = list(features)
+    scores = score(permuted_variants(df, key_cols, features, n_repeats, seed)).collect()  # a row a variant
+    base = next((r["score"] for r in scores if r["_q_f"] < 0), None)
+    rows = []
+    for i, name in enumerate(features):
+        drops = [base - r["score"] for r in scores if r["_q_f"] == i]
+        if not drops:
+            continue
+        mean = sum(drops) / len(drops)
+        spread = (sum((d - mean) ** 2 for d in drops) / (len(drops) - 1)) ** 0.5 if len(drops) > 1 else None
+        p, hi, lo = importance_row(mean, spread, len(drops))
+        rows.append((name, float(mean), spread, p, len(drops), hi, lo))
+    rows.sort(key=lambda x: -x[1])
+    return df.sparkSession.createDataFrame(rows, IMPORTANCE_SCHEMA)
+
+
+def r2_by_variant(target: str, prediction: Column) -> Callable[[DataFrame], DataFrame]:
+    """R^2 of a prediction column per variant; rows without a label or a prediction do not count."""
+    def score(variants: DataFrame) -> DataFrame:
+        y = F.col(f"`{target}`").cast("double")
+        known = variants.withColumns({"_q_y": y, "_q_p": prediction}).filter(
+            F.col("_q_y").isNotNull() & F.col("_q_p").isNotNull())
+        error = F.col("_q_y") - F.col("_q_p")
+        sst = F.var_pop("_q_y") * F.count("_q_y")
+        value = F.when(sst == 0, F.when(F.sum(error * error) == 0, 1.0).otherwise(0.0)) \
+            .otherwise(1 - F.sum(error * error) / sst)
+        return known.groupBy("_q_f", "_q_r").agg(value.alias("score"))
+    return score
+
+
 def permutation_importance(df: DataFrame, t: mdl.Tournament, key_cols, features=None,
                            n_repeats: int = 5, sample_rows: int | None = None, seed: int = 42,
                            model: str | None = None) -> DataFrame:
@@ -55,39 +130,9 @@ def permutation_importance(df: DataFrame, t: mdl.Tournament, key_cols, features=
     Every row and every feature by default (cost = features x repeats x rows); ``sample_rows`` asks for
     a reproducible sample.
     """
-    spark = df.sparkSession
     features = list(features or (t.spec.numeric + t.spec.categorical + t.spec.dates))
-    sample = hash_sample(df, key_cols, sample_rows, seed) if sample_rows else df
-    keyed = global_rank(sample, key_cols, rank_col="_q_i", total_col="_q_n").cache()
-    n = keyed.select("_q_n").first()[0]
-    variants = F.array(*[F.struct(F.lit(fi).alias("_q_f"), F.lit(r).alias("_q_r"))
-                         for fi in range(len(features)) for r in range(n_repeats)])
-    exploded = keyed.withColumn("_q_v", F.explode(variants)).select("*", "_q_v.*").drop("_q_v")
-    h = F.xxhash64(*[F.col(k) for k in key_cols], F.lit(seed), F.col("_q_f"), F.col("_q_r"))
-    # a donor row carries the shuffled feature's value alone, as text (exact both ways)
-    value = F.coalesce(*[F.when(F.col("_q_f") == i, F.col(f"`{c}`").cast("string"))
-                         for i, c in enumerate(features)])
-    donors = global_rank(exploded.select("_q_f", "_q_r", h.alias("_q_h"), "_q_i",
-                                         value.alias("_q_d")),
-                         ["_q_f", "_q_r", "_q_h"], ["_q_i"], rank_col="_q_pos")
-    group = F.col("_q_f") * n_repeats + F.col("_q_r")
-    donors = donors.withColumn("_q_at", F.col("_q_pos") - group * F.lit(n)).drop("_q_i", "_q_pos",
-                                                                             "_q_h")
-    permuted = exploded.join(donors, ["_q_f", "_q_r"]).filter(F.col("_q_i") == F.col("_q_at"))
-    permuted = permuted.withColumns({
-        c: F.when(F.col("_q_f") == i, F.col("_q_d").cast(keyed.schema[c].dataType)).otherwise(F.col(c))
-        for i, c in enumerate(features)}).drop("_q_d", "_q_at")
-    perm_scores = _grouped_score(mdl.predict(permuted, t, model, "_q_pred"), t,
-                                 ["_q_f", "_q_r"], "_q_pred")
-    base_score = _grouped_score(mdl.predict(keyed.withColumn("_q_all", F.lit(0)), t, model,
-                                            "_q_pred"), t, ["_q_all"], "_q_pred").first()["score"]
-    drops = perm_scores.withColumn("_q_drop", F.lit(base_score) - F.col("score"))
-    stats = drops.groupBy("_q_f").agg(F.avg("_q_drop").alias("m"), F.stddev_samp("_q_drop").alias("s"),
-                                      F.count(F.lit(1)).alias("k")).collect()
-    keyed.unpersist()
-    rows = []
-    for r in stats:
-        p, hi, lo = importance_row(r["m"], r["s"], r["k"])
-        rows.append((features[r["_q_f"]], float(r["m"]), r["s"], p, int(r["k"]), hi, lo))
-    rows.sort(key=lambda x: -x[1])
-    return spark.createDataFrame(rows, IMPORTANCE_SCHEMA)
+    rows = hash_sample(df, key_cols, sample_rows, seed) if sample_rows else df
+    return importance_by_variant(
+        rows, key_cols, features,
+        lambda variants: _grouped_score(mdl.predict(variants, t, model, "_q_pred"), t, ["_q_f", "_q_r"], "_q_pred"),
+        n_repeats, seed)

@@ -1236,3 +1236,40 @@ def q_first_difference_by_group(spark, sf):
     orders = _t(spark, sf, "orders")
     return first_difference(orders, "o_totalprice", ["o_orderdate", "o_orderkey"],
                             ["o_orderstatus", "o_orderpriority"], out="change").select("o_orderkey", "change")
+
+
+# --------------------------------------------------------------- permutation importance of a formula
+
+_IMPORTANCE_FEATURES = ["l_quantity", "l_discount", "l_linenumber"]
+_IMPORTANCE_PRED = "1500 * {0} - 20000 * {1} + 10 * {2}"
+
+
+def _importance_sql(repeats: int = 3) -> str:
+    key = ("concat_ws('|', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), CAST(l_partkey AS VARCHAR), "
+           "CAST(l_suppkey AS VARCHAR))")
+    parts = ["SELECT -1 AS f, 0 AS r, l_extendedprice AS y, "
+             + _IMPORTANCE_PRED.format(*_IMPORTANCE_FEATURES) + " AS p FROM placed"]
+    for f, name in enumerate(_IMPORTANCE_FEATURES):
+        own = [f"d.{c}" if c == name else f"b.{c}" for c in _IMPORTANCE_FEATURES]
+        parts += [f"""SELECT {f}, {r}, b.l_extendedprice, {_IMPORTANCE_PRED.format(*own)} FROM placed b JOIN (
+  SELECT {name}, row_number() OVER (ORDER BY md5(k || '|42|{f}|{r}')) AS i FROM keyed) d USING (i)"""
+                  for r in range(repeats)]
+    return f"""
+WITH keyed AS (SELECT *, {key} AS k FROM lineitem),
+placed AS (SELECT *, row_number() OVER (ORDER BY md5(k || '|42')) AS i FROM keyed),
+v AS ({" UNION ALL ".join(parts)}),
+s AS (SELECT f, r, 1 - sum((y - p) * (y - p)) / (var_pop(y) * count(y)) AS score FROM v GROUP BY f, r),
+d AS (SELECT s.f, b.score - s.score AS fall FROM s, (SELECT score FROM s WHERE f = -1) b WHERE s.f >= 0)
+SELECT CASE f {" ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(_IMPORTANCE_FEATURES))} END AS feature,
+       round(avg(fall), 8) AS importance, round(stddev_samp(fall), 8) AS stddev, CAST(count(*) AS INTEGER) AS n
+FROM d GROUP BY f"""
+
+
+@register("importance_of_formula", _importance_sql())
+def q_importance_of_formula(spark, sf):
+    """Permutation importance of a closed-form predictor on all of lineitem."""
+    rows = _t(spark, sf, "lineitem").select(*trn.LINEITEM_KEYS, "l_quantity", "l_discount", "l_extendedprice")
+    formula = F.expr(_IMPORTANCE_PRED.format(*_IMPORTANCE_FEATURES))
+    table_ = imp.importance_by_variant(rows, trn.LINEITEM_KEYS, _IMPORTANCE_FEATURES,
+                                       imp.r2_by_variant("l_extendedprice", formula), n_repeats=3)
+    return table_.select("feature", _r("importance", 8).alias("importance"), _r("stddev", 8).alias("stddev"), "n")
