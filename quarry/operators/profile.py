@@ -7,13 +7,16 @@ of every column, one sketch a column brackets all quantiles and one counting pas
 from __future__ import annotations
 
 import functools
+import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.constants import TOP_OUTLIER_COLUMNS, TOP_TARGET_CORR
 from quarry.functions.numeric import ordered_bits
+from quarry.operators.columns import bounded_distinct
 from quarry.operators.ordering import cumulate_by_key
-from quarry.operators.quality import nan_as_null
+from quarry.operators.quality import nan_as_null, null_counts
 from quarry.session import ensure_checkpoint_dir
 
 
@@ -296,14 +299,44 @@ def top_k_per_group(df: DataFrame, group_cols, order_cols, k: int, rank_col: str
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)
 
 
+TRACKED = 10_000  # items a frequent-items sketch follows
+#: The sketch's stated error as a share of the rows: 3.5 by its table size, the power of two above TRACKED / 0.75.
+FREQUENT_ERROR = 3.5 / (1 << math.ceil(math.log2(TRACKED / 0.75)))
+
+
 def value_counts(df: DataFrame, cols, k: int = 15) -> DataFrame:
     """(column_name, value, n, rank): top ``k`` values per column, nulls excluded.
 
     Ties in count are ordered by value so the cut at ``k`` is deterministic.
+
+    A frequent-items sketch a column names 4 k candidates; one pass counts these exactly, so only
+    candidates shuffle. That is the result where it can be proved: the candidates hold all rows, or the k-th count is
+    above what any other value can have (the least estimate among the candidates, and twice the sketch's error,
+    which covers values it has dropped). Columns without a proof, such as keys, are counted in full.
     """
+    cols, most = list(cols), 4 * k
+    ensure_checkpoint_dir(df.sparkSession)
     long = to_long(df, cols, cast="string")
-    counts = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-    return top_k_per_group(counts, ["column_name"], [F.desc("n"), F.asc("value")], k)
+    order = [F.desc("n"), F.asc("value")]
+    sketched = long.groupBy("column_name").agg(
+        F.expr(f"approx_top_k(value, {most}, {TRACKED})").alias("top"), F.count(F.lit(1)).alias("rows")).checkpoint()
+    named = sketched.select("column_name", F.inline("top")).select("column_name", F.col("item").alias("value"))
+    counts = long.join(F.broadcast(named), ["column_name", "value"]).groupBy("column_name", "value").agg(
+        F.count(F.lit(1)).alias("n")).checkpoint()  # 4 k rows a column at most
+    best = {r["column_name"]: r for r in counts.groupBy("column_name").agg(
+        F.sum("n").alias("held"), F.sort_array(F.collect_list("n"), asc=False).alias("counts")).collect()}
+    proven = []
+    for r in sketched.collect():  # one row a column
+        found = best.get(r["column_name"])
+        others = max(2 * FREQUENT_ERROR * r["rows"], r["top"][-1]["count"] if len(r["top"]) >= most else 0)
+        if found and (found["held"] == r["rows"] or len(found["counts"]) >= k and found["counts"][k - 1] > others):
+            proven.append(r["column_name"])
+    full = [c for c in cols if c not in proven]
+    out = top_k_per_group(counts.filter(F.col("column_name").isin(proven)), ["column_name"], order, k)
+    if not full:
+        return out
+    every = to_long(df, full, cast="string").groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    return out.unionByName(top_k_per_group(every, ["column_name"], order, k))
 
 
 def class_counts(df: DataFrame, target: str) -> DataFrame:
@@ -314,82 +347,98 @@ def class_counts(df: DataFrame, target: str) -> DataFrame:
     return counts.withColumn("n_classes", F.lit(counts.count()))
 
 
-def crosstab_norm(df: DataFrame, row_col: str, col_col: str) -> DataFrame:
+def crosstab_norm(df: DataFrame, row_col: str, col_col: str, max_columns: int = 15) -> DataFrame | None:
     """Row-normalised cross-tab in long form: (row_value, col_value, n, share).
 
     Every row value is listed with every column value, absent pairs with 0.  Rows with
-    a null in either column are left out, as in ``pandas.crosstab``.
+    a null in either column are left out, as in ``pandas.crosstab``.  None if there are more than
+    ``max_columns`` column values (a target of that many classes has no cross-tab); they are the grid's
+    columns, so they are read first, and row values stay rows.
     """
-    pairs = (df.filter(_q(row_col).isNotNull() & _q(col_col).isNotNull())
-               .groupBy(_q(row_col).cast("string").alias("row_value"),
-                        _q(col_col).cast("string").alias("col_value"))
-               .agg(F.count(F.lit(1)).alias("n")))
-    # the grid: counted pairs, spread over the column values (a list in one row)
-    columns = pairs.agg(F.sort_array(F.collect_set("col_value")).alias("_q_cols"),
-                        (F.count(F.lit(1)) > 0).alias("_q_some"))
+    both = df.filter(_q(row_col).isNotNull() & _q(col_col).isNotNull())
+    if bounded_distinct(both, col_col, max_columns + 1) > max_columns:
+        return None
+    values = sorted(r[0] for r in both.select(_q(col_col).cast("string")).distinct().collect())
+    pairs = both.groupBy(_q(row_col).cast("string").alias("row_value"),
+                         _q(col_col).cast("string").alias("col_value")).agg(F.count(F.lit(1)).alias("n"))
     rows = pairs.groupBy("row_value").agg(
         F.map_from_entries(F.collect_list(F.struct("col_value", "n"))).alias("_q_n"),
-        F.sum("n").alias("_q_row_n"), (F.sum("n") > 0).alias("_q_some"))
-    cells = rows.join(columns, "_q_some").select(
-        "row_value", "_q_row_n", "_q_n", F.explode("_q_cols").alias("col_value"))
+        F.sum("n").alias("_q_row_n"))
+    cells = rows.select("row_value", "_q_row_n", "_q_n", F.explode(
+        F.array(*[F.lit(v) for v in values]).cast("array<string>")).alias("col_value"))
     n = F.coalesce(F.try_element_at("_q_n", F.col("col_value")), F.lit(0)).cast("long")
     return cells.select("row_value", "col_value", n.alias("n"), (n / F.col("_q_row_n")).alias("share"))
 
 
 # ---------------------------------------------------------------- correlation
 
-def _pair_corr(a: str, b: str) -> Column:
-    """Pearson r over rows where both are present; NULL when either side is constant.
+def _pearson(df: DataFrame, pairs: list[tuple[str, str]], names=("column_a", "column_b")) -> DataFrame:
+    """(names[0], names[1], corr) of each pair over the rows where both are present (pairwise-complete, as
+    pandas does), in two passes of plain sums whatever is missing.
 
-    Built from ``covar_samp`` and pairwise ``stddev_samp`` with ``try_divide``:
-    the ``corr`` aggregate raises DIVIDE_BY_ZERO on a constant under ANSI.
+    The first gives counts and means. The second sums products of values centred by them, with 0 for a
+    missing value, and, only for columns that miss some, the same masked by the other column: pair counts, sums and squares. A column that is constant
+    on a pair's rows (min = max, exactly) has no correlation.
     """
-    x, y = _q(a).cast("double"), _q(b).cast("double")
-    both = _missing_free(x) & _missing_free(y)
-    xs, ys = F.when(both, x), F.when(both, y)
-    return F.try_divide(F.covar_samp(xs, ys), F.stddev_samp(xs) * F.stddev_samp(ys))
+    cols = list(dict.fromkeys(c for p in pairs for c in p))
+    at = {c: i for i, c in enumerate(cols)}
+    # SQL text: one JVM call per expression keeps plan building cheap for wide tables
+    clean = [_sql_clean(c) for c in cols]
+    first = df.agg(F.count(F.lit(1)).alias("n"), *[F.expr(f"count({x})").alias(f"n{i}") for i, x in enumerate(clean)],
+                   *[F.expr(f"avg({x})").alias(f"m{i}") for i, x in enumerate(clean)],
+                   *[F.expr(f"min({x}) = max({x})").alias(f"k{i}") for i, x in enumerate(clean)]).first()
+    partial = [first[f"n{i}"] != first["n"] for i in range(len(cols))]
+    mean = [first[f"m{i}"] if first[f"m{i}"] is not None else 0.0 for i in range(len(cols))]
+    base = df.select(
+        *[F.expr(f"coalesce({x} - CAST('{mean[i]!r}' AS DOUBLE), 0D)").alias(f"z{i}") for i, x in enumerate(clean)],
+        *[F.expr(f"CASE WHEN {x} IS NOT NULL THEN 1D ELSE 0D END").alias(f"u{i}")
+          for i, x in enumerate(clean) if partial[i]])
+    sums: dict[str, str] = {}
+
+    def total(name: str, expr: str) -> str:
+        sums.setdefault(name, expr)
+        return name
+
+    def own(i: int, j: int) -> tuple[str, str, str]:
+        """Sum, sum of squares and constancy of column i on the rows that have column j."""
+        if partial[j]:
+            return (total(f"s{i}_{j}", f"sum(z{i} * u{j})"), total(f"q{i}_{j}", f"sum(z{i} * z{i} * u{j})"),
+                    total(f"k{i}_{j}", "min(CASE WHEN {0} THEN z{1} END) = max(CASE WHEN {0} THEN z{1} END)".format(
+                        f"u{j} = 1" + (f" AND u{i} = 1" if partial[i] else ""), i)))
+        return (total(f"s{i}", f"sum(z{i})"), total(f"q{i}", f"sum(z{i} * z{i})"),
+                "true" if first[f"k{i}"] else "false")
+
+    structs = []
+    for a, b in pairs:
+        i, j = at[a], at[b]
+        cross = total(f"p{min(i, j)}_{max(i, j)}", f"sum(z{i} * z{j})")
+        n = (total(f"n{min(i, j)}_{max(i, j)}", f"sum(u{i} * u{j})") if partial[i] and partial[j] else
+             f"CAST({min(first[f'n{i}'], first[f'n{j}'])} AS DOUBLE)")
+        (si, qi, ki), (sj, qj, kj) = own(i, j), own(j, i)
+        corr = (f"CASE WHEN coalesce({ki}, true) OR coalesce({kj}, true) THEN CAST(NULL AS DOUBLE) ELSE "
+                f"try_divide({cross} - try_divide({si} * {sj}, {n}), sqrt(greatest({qi} - try_divide({si} * {si}, {n}), 0D)) "
+                f"* sqrt(greatest({qj} - try_divide({sj} * {sj}, {n}), 0D))) END")
+        structs.append(f"named_struct('{names[0]}', {a!r}, '{names[1]}', {b!r}, 'corr', {corr})")
+    found = base.agg(*[F.expr(e).alias(n) for n, e in sums.items()])
+    return found.select(F.expr(f"inline(array({', '.join(structs)}))"))
 
 
 def corr_pairs(df: DataFrame, cols) -> DataFrame:
     """Strict lower triangle of the Pearson matrix: (column_a, column_b, corr).
 
-    ``column_a`` comes later in ``cols`` than ``column_b``.  Without missing
-    values the matrix comes from two passes of plain sums (means, then
-    centered cross products); with missing values every pair uses only the
-    rows where both are present (pairwise-complete, as pandas does).
+    ``column_a`` comes later in ``cols`` than ``column_b``.
     """
     cols = list(cols)
     if len(cols) < 2:
         raise ValueError("correlation needs at least two numeric columns")
-    first = df.agg(F.count(F.lit(1)).alias("n"),
-                   *[F.count(_clean(c)).alias(f"n{i}") for i, c in enumerate(cols)],
-                   *[F.avg(_clean(c)).alias(f"m{i}") for i, c in enumerate(cols)],
-                   *[(F.min(_clean(c)) == F.max(_clean(c))).alias(f"k{i}")
-                     for i, c in enumerate(cols)]).first()
-    if any(first[f"n{i}"] != first["n"] for i in range(len(cols))):
-        structs = [F.struct(F.lit(cols[i]).alias("column_a"), F.lit(cols[j]).alias("column_b"),
-                            _pair_corr(cols[i], cols[j]).alias("corr"))
-                   for i in range(len(cols)) for j in range(i)]
-        return df.agg(F.array(*structs).alias("_q_c")).select(F.inline("_q_c"))
-    # SQL text: one JVM call per expression keeps plan building cheap for wide tables
-    d = [f"({_sql_clean(c)} - CAST('{first[f'm{i}']!r}' AS DOUBLE))" for i, c in enumerate(cols)]
-    sums = df.agg(*[F.expr(f"sum({d[i]} * {d[j]})").alias(f"c{i}_{j}")
-                    for i in range(len(cols)) for j in range(i + 1)])
-    # a constant column has no correlation; centring it with a rounded mean leaves dust
-    structs = [f"named_struct('column_a', {cols[i]!r}, 'column_b', {cols[j]!r}, 'corr', "
-               + ("CAST(NULL AS DOUBLE))" if first[f"k{i}"] or first[f"k{j}"] else
-                  f"try_divide(c{i}_{j}, sqrt(c{i}_{i} * c{j}_{j})))")
-               for i in range(len(cols)) for j in range(i)]
-    return sums.select(F.expr(f"inline(array({', '.join(structs)}))"))
+    return _pearson(df, [(cols[i], cols[j]) for i in range(len(cols)) for j in range(i)])
 
 
 def target_corr(df: DataFrame, features, target: str, k: int = 8) -> DataFrame:
     """Feature-target correlations, top ``k`` by absolute value."""
-    structs = [F.struct(F.lit(c).alias("feature"), _pair_corr(c, target).alias("corr"))
-               for c in features]
-    allc = df.agg(F.array(*structs).alias("_q_c")).select(F.inline("_q_c"))
+    allc = _pearson(df, [(c, target) for c in features], ("feature", "_q_target")).drop("_q_target")
     allc = allc.withColumn("abs_corr", F.abs("corr"))
-    w = Window.orderBy(F.desc_nulls_last("abs_corr"), F.asc("feature"))
+    w = Window.orderBy(F.desc_nulls_last("abs_corr"), F.asc("feature"))  # one row a feature
     return allc.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
@@ -560,16 +609,20 @@ def histograms(df: DataFrame, cols, bins: int = 40) -> DataFrame:
 
 
 def chart_tables(df: DataFrame, target: str, kind: str, numeric, categorical,
-                 low_cardinality) -> dict[str, DataFrame]:
+                 low_cardinality, outliers: DataFrame | None = None) -> dict[str, DataFrame]:
     """The data behind each profile chart, for all columns given (L4); callers choose which.
 
-    target distribution (50 bins / class counts), numeric features (40 bins),
-    categorical columns (top 15 values), top-8 target correlations,
-    low-cardinality columns against the target (box data for regression,
-    row-normalised cross-tabs for classification).
+    missing counts, target distribution (50 bins / class counts), numeric features (40 bins),
+    correlation matrix, columns with most outliers, categorical columns (top 15 values), top-8 target
+    correlations and these features against the target (20 x 20 bins), low-cardinality columns
+    against the target (box data for regression, row-normalised cross-tabs for classification with
+    at most 15 classes).
     """
     out: dict[str, DataFrame] = {}
     df = nan_as_null(df)
+    out["missing_counts"] = null_counts(df)
+    if outliers is not None:
+        out["top_outliers"] = top_outlier_columns(outliers, TOP_OUTLIER_COLUMNS)
     if kind == "regression":
         out["target_histogram"] = histogram(df, target, 50)
         out["target_box"] = box_stats(df, target)
@@ -579,7 +632,14 @@ def chart_tables(df: DataFrame, target: str, kind: str, numeric, categorical,
     if feats:
         out["feature_histograms"] = histograms(df, feats, 40)
         if kind == "regression":
-            out["target_corr"] = target_corr(df, feats, target, 8)
+            out["target_corr"] = target_corr(df, feats, target, TOP_TARGET_CORR).checkpoint()
+            top = [r["feature"] for r in out["target_corr"].orderBy("rank").collect() if r["corr"] is not None]
+            if top:
+                out["feature_vs_target"] = functools.reduce(DataFrame.unionByName, [
+                    scatter_bins(df, c, target).select(F.lit(c).alias("feature"), "*") for c in top])
+    both = [*feats, *([target] if kind == "regression" else [])]
+    if len(both) > 1:
+        out["correlation"] = corr_pairs(df, both)
     if categorical:
         out["value_counts"] = value_counts(df, list(categorical), 15)
     frames = []
@@ -589,8 +649,8 @@ def chart_tables(df: DataFrame, target: str, kind: str, numeric, categorical,
                 F.lit(c).alias("column_name"), F.col(c).cast("string").alias("group_value"),
                 *[x for x in ("n", "min", "max", "q1", "median", "q3", "lower_whisker",
                               "upper_whisker", "n_outliers")]))
-        else:
-            frames.append(crosstab_norm(df, c, target).select(F.lit(c).alias("column_name"), "*"))
+        elif (table := crosstab_norm(df, c, target)) is not None:
+            frames.append(table.select(F.lit(c).alias("column_name"), "*"))
     if frames:
         merged = frames[0]
         for f in frames[1:]:

@@ -1273,3 +1273,45 @@ def q_importance_of_formula(spark, sf):
     table_ = imp.importance_by_variant(rows, trn.LINEITEM_KEYS, _IMPORTANCE_FEATURES,
                                        imp.r2_by_variant("l_extendedprice", formula), n_repeats=3)
     return table_.select("feature", _r("importance", 8).alias("importance"), _r("stddev", 8).alias("stddev"), "n")
+
+
+# --------------------------------------------------------------- correlation where values are missing
+
+_GAPS = {"l_quantity": "nullif(l_quantity, 7)", "l_discount": "nullif(l_discount, 0.05)", "l_tax": "l_tax",
+         "l_extendedprice": "CASE WHEN l_linenumber = 3 THEN CAST('NaN' AS DOUBLE) ELSE l_extendedprice END",
+         "fixed": "CASE WHEN l_quantity = 7 THEN 1D ELSE 0D END"}
+_GAP_PAIRS = [(a, b) for i, a in enumerate(_GAPS) for b in list(_GAPS)[:i]]
+
+
+def _gaps_sql() -> str:
+    cols = ", ".join(f"nullif({e.replace('1D', '1.0::DOUBLE').replace('0D', '0.0::DOUBLE')}, "
+                     f"CAST('NaN' AS DOUBLE)) AS {c}" for c, e in _GAPS.items())
+    one = ("SELECT '{0}' AS column_a, '{1}' AS column_b, round(CASE WHEN min({0}) = max({0}) OR min({1}) = max({1}) THEN NULL "
+           "ELSE corr({0}, {1}) END, 6) AS corr FROM g WHERE {0} IS NOT NULL AND {1} IS NOT NULL")
+    return f"WITH g AS (SELECT {cols} FROM lineitem)\n" + "\nUNION ALL\n".join(one.format(a, b) for a, b in _GAP_PAIRS)
+
+
+@register("corr_with_gaps", _gaps_sql())
+def q_corr_with_gaps(spark, sf):
+    rows = _t(spark, sf, "lineitem").select(*[F.expr(e).alias(c) for c, e in _GAPS.items()])
+    return prof.corr_pairs(rows, list(_GAPS)).withColumn("corr", _r("corr", 6))
+
+
+# --------------------------------------------------------------- top values of wide columns
+
+def _top_sql(tname: str, col: str, expr: str, k: int) -> str:
+    return (f"SELECT '{col}' AS column_name, value, n, CAST(rank AS INTEGER) AS rank FROM (SELECT value, count(*) AS n, "
+            f"row_number() OVER (ORDER BY count(*) DESC, value) AS rank FROM (SELECT {expr} AS value FROM {tname}) "
+            f"WHERE value IS NOT NULL GROUP BY value) WHERE rank <= {k}")
+
+
+_WIDE = {"word": "CASE WHEN l_linenumber <= 2 THEN 'often ' || CAST(l_linenumber AS STRING) ELSE CAST(l_partkey AS STRING) END",
+         "l_suppkey": "CAST(l_suppkey AS STRING)", "l_comment_key": "CAST(l_orderkey * 10 + l_linenumber AS STRING)"}
+
+
+@register("value_counts_wide", "\nUNION ALL\n".join(
+    _top_sql("lineitem", c, e.replace("STRING", "VARCHAR"), 2 if c == "word" else 5) for c, e in _WIDE.items()))
+def q_value_counts_wide(spark, sf):
+    """Two values far above thousands of others (proved by the sketch), a narrow key, and a column of near-unique values."""
+    rows = _t(spark, sf, "lineitem").select(*[F.expr(e).alias(c) for c, e in _WIDE.items()])
+    return prof.value_counts(rows, ["word"], 2).unionByName(prof.value_counts(rows, ["l_suppkey", "l_comment_key"], 5))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.constants import TOP_VALUES
 from quarry.functions.calendar import add_calendar_features
 from quarry.operators import curves as crv
 from quarry.operators import metrics as met
@@ -103,6 +104,7 @@ EDA_SCHEMA = T.StructType([
     T.StructField("total_missing", T.LongType()), T.StructField("total_outliers_iqr", T.LongType()),
     T.StructField("high_skew_features", T.ArrayType(T.StringType())),
     T.StructField("target_stats", T.MapType(T.StringType(), T.DoubleType())),
+    T.StructField("n_classes", T.LongType()),
     T.StructField("class_counts", T.MapType(T.StringType(), T.LongType())),
 ])
 
@@ -119,7 +121,8 @@ def profile_train(train: DataFrame, target: str | None = None, exact: bool = Tru
                   with_charts: bool = True) -> Profiled:
     """Stage 2 over the training rows: ID drop (may drop the target), moments, outliers.
 
-    ``with_charts`` also builds the chart-data tables (some need a range pass).
+    One sketch a numeric column serves all quantiles. The report names the number of classes of a classification target and
+    its most frequent ones; all of them are a chart table. ``with_charts`` also builds the chart-data tables.
     """
     spark = train.sparkSession
     roles = column_roles(train, None, exclude_target=False)
@@ -128,28 +131,30 @@ def profile_train(train: DataFrame, target: str | None = None, exact: bool = Tru
     kind = problem_type(df, target)
     numeric, categorical = type_partition(df, target)
     moments = prof.moments(df, numeric, with_median=False) if numeric else None
-    outliers = prof.iqr_outliers(df, numeric, exact=exact) if numeric else None
+    sketched = list(dict.fromkeys([*numeric, *([target] if kind == "regression" else [])]))
+    sketches = prof.column_sketches(df, sketched) if sketched else None
+    outliers = prof.iqr_outliers(df, numeric, exact=exact, sketches=sketches).checkpoint() if numeric else None
     total_out = outliers.agg(F.sum("n_outliers")).first()[0] if outliers is not None else 0
     high = ([r["column_name"] for r in moments.filter("is_high_skew").collect()]
             if moments is not None else [])
     missing = qual.total_missing(df).first()["n_missing"]
-    stats, classes = None, None
+    stats, classes, n_classes = None, None, None
     if kind == "regression":
-        m = prof.moments(df, [target], exact_median=exact, digits=None).first()
+        m = prof.moments(df, [target], exact_median=exact, digits=None, sketches=sketches).first()
         stats = {"target_mean": m["mean"], "target_std": m["std"],
                  "target_median": m["median"], "target_skew": m["skewness"]}
     else:
-        cc = prof.class_counts(df, target).collect()
-        classes = {r["class_value"]: r["n"] for r in cc}
+        n_classes = qual.nan_as_null(df).agg(F.count_distinct(F.col(f"`{target}`"))).first()[0]
+        classes = {r["value"]: r["n"] for r in prof.value_counts(df, [target], TOP_VALUES).collect()}
     report = _one_row(spark, {
         "stage": "eda", "target_column": target, "problem_type": kind, "n_rows": roles.n_rows,
         "n_numeric_features": len(numeric), "n_categorical_features": len(categorical),
         "dropped_id_cols": roles.id_like, "total_missing": missing,
         "total_outliers_iqr": int(total_out or 0), "high_skew_features": high,
-        "target_stats": stats, "class_counts": classes,
+        "target_stats": stats, "n_classes": n_classes, "class_counts": classes,
     }, EDA_SCHEMA)
     low = [c for c in categorical if c in roles.low_cardinality]
-    charts = prof.chart_tables(df, target, kind, numeric, categorical, low) if with_charts else {}
+    charts = prof.chart_tables(df, target, kind, numeric, categorical, low, outliers) if with_charts else {}
     return Profiled(report, moments, outliers, charts)
 
 
@@ -217,12 +222,20 @@ EVAL_SCHEMA = T.StructType([
 ])
 
 
-def evaluate(split: DataFrame, t: mdl.Tournament) -> DataFrame:
-    """Stage 5: test metrics of the best model (M1/M3/M5 or M2 + M7/M8)."""
+def score_test(split: DataFrame, t: mdl.Tournament) -> DataFrame:
+    """The test rows with the best model's prediction (``_q_pred``; for classification also ``prob_<class>``),
+    written to the checkpoint folder: all metrics and tables of stage 5 read this one copy."""
+    test = split.filter(F.col("split") == "test").drop("split")
+    rows = mdl.predict_proba(test, t) if t.kind != "regression" else test
+    return mdl.predict(rows, t, out_col="_q_pred").checkpoint()
+
+
+def evaluate(split: DataFrame, t: mdl.Tournament, scored: DataFrame | None = None) -> DataFrame:
+    """Stage 5: test metrics of the best model (M1/M3/M5 or M2 + M7/M8); ``scored`` is that of ``score_test``."""
     spark = split.sparkSession
     test = split.filter(F.col("split") == "test").drop("split")
     target = t.spec.target
-    scored = mdl.predict(test, t, out_col="_q_pred")
+    scored = score_test(split, t) if scored is None else scored
     n_features = len([c for c in test.columns if c != target])
     if t.kind == "regression":
         row = met.regression_metrics(scored, target, "_q_pred", n_features=n_features).first()
@@ -232,7 +245,7 @@ def evaluate(split: DataFrame, t: mdl.Tournament) -> DataFrame:
     else:
         row = met.classification_metrics(scored, target, "_q_pred").first()
         metrics = {k: row[k] for k in ("accuracy", "precision", "recall", "f1_score")}
-        probs = mdl.predict_proba(test, t)
+        probs = scored
         if t.kind == "binary":
             pos = t.labels[-1]
             a = crv.auc(probs.withColumn("_y", (F.col(target).cast("string") == pos).cast("int")),
@@ -252,7 +265,8 @@ def evaluate(split: DataFrame, t: mdl.Tournament) -> DataFrame:
     return report
 
 
-def evaluation_tables(split: DataFrame, t: mdl.Tournament, key_cols) -> dict[str, DataFrame]:
+def evaluation_tables(split: DataFrame, t: mdl.Tournament, key_cols,
+                      scored: DataFrame | None = None) -> dict[str, DataFrame]:
     """The tables of stage 5: what the charts of the evaluation show, and feature importance.
 
     Regression: residuals (a histogram of 60 bins, and key, actual, predicted, residual of every test row)
@@ -261,7 +275,7 @@ def evaluation_tables(split: DataFrame, t: mdl.Tournament, key_cols) -> dict[str
     from quarry.operators.importance import permutation_importance
     test = split.filter(F.col("split") == "test").drop("split")
     target = t.spec.target
-    scored = mdl.predict(test, t, out_col="_q_pred")
+    scored = score_test(split, t) if scored is None else scored
     out = {"importance": permutation_importance(test, t, key_cols)}
     if t.kind == "regression":
         pairs = met.residuals(scored, target, "_q_pred").select(
@@ -272,10 +286,9 @@ def evaluation_tables(split: DataFrame, t: mdl.Tournament, key_cols) -> dict[str
         return out
     out |= {"confusion": met.confusion(scored, target, "_q_pred"),
             "classification_report": met.classification_report(scored, target, "_q_pred")}
-    probs = mdl.predict_proba(test, t)
     scores = {lbl: F.col(f"prob_{lbl}") for lbl in t.labels}
-    out |= {"roc_points": crv.roc_curves_by_class(probs, target, scores),
-            "pr_points": crv.pr_curves_by_class(probs, target, scores)}
+    out |= {"roc_points": crv.roc_curves_by_class(scored, target, scores),
+            "pr_points": crv.pr_curves_by_class(scored, target, scores)}
     return out
 
 
@@ -288,7 +301,7 @@ def run_all(df: DataFrame, target: str, date_col: str, tie_break, key_cols, out_
 
     Outputs: ``ingestion`` / ``eda`` / ``preparation`` / ``evaluation``
     reports (JSON), ``splits`` (the cleaned table) and ``prepared`` (parquet partitioned by split), the
-    ``skew_kurtosis``, ``leaderboard``, ``charts/*`` and ``evaluation_tables/*`` tables (CSV) and the
+    ``skew_kurtosis``, ``outliers``, ``leaderboard``, ``charts/*`` and ``evaluation_tables/*`` tables (CSV) and the
     saved ``model``.  The date column is a feature (year, month, day, weekday) unless excluded.
     A failing stage raises and stops the run, like the reference's runner.
     """
@@ -304,6 +317,8 @@ def run_all(df: DataFrame, target: str, date_col: str, tie_break, key_cols, out_
     if prof_out.skew_kurtosis is not None:
         write_table(prof_out.skew_kurtosis.select("column_name", "skewness", "kurtosis"),
                     f"{out_dir}/skew_kurtosis")
+    if prof_out.outliers is not None:
+        write_table(prof_out.outliers, f"{out_dir}/outliers")
     for name, table in prof_out.charts.items():
         write_table(table, f"{out_dir}/charts/{name}")
     prep_report, pruned = prepare(ing.split, ing.target, explicit_drops, [date_col], tie_break)
@@ -313,9 +328,10 @@ def run_all(df: DataFrame, target: str, date_col: str, tie_break, key_cols, out_
                             folds=folds, budget_s=budget_s)
     write_table(board, f"{out_dir}/leaderboard")
     save(t, f"{out_dir}/model", df.sparkSession)
-    ev = evaluate(pruned, t)
+    scored = score_test(pruned, t)
+    ev = evaluate(pruned, t, scored)
     write_report(ev, f"{out_dir}/evaluation")
-    for name, table in evaluation_tables(pruned, t, key_cols).items():
+    for name, table in evaluation_tables(pruned, t, key_cols, scored).items():
         write_table(table, f"{out_dir}/evaluation_tables/{name}")
     return {"ingestion": ing.report, "eda": prof_out.report, "preparation": prep_report,
             "leaderboard": board, "evaluation": ev}

@@ -138,3 +138,64 @@ def test_cut_of_a_text_key_needs_no_rank(spark, monkeypatch):
 def test_curve_of_no_rows(spark):
     none = spark.createDataFrame([], "y int, s double")
     assert curves.roc_curve(none, "y", "s").count() == 0 and curves.pr_curve(none, "y", "s").count() == 0
+
+
+def test_top_values_are_exact_with_and_without_a_proof(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice("abc") if k % 2 else f"w{rng.randrange(30000)}", f"u{k}", f"g{k % 7}",
+             f"z{int(rng.paretovariate(1.1))}", None) for k in range(40000)]
+    df = spark.createDataFrame(rows, "some string, unique string, few string, zipf string, none string")
+    cols = ["some", "unique", "few", "zipf", "none"]
+    for k in (3, 15):
+        got = {c: [(r["value"], r["n"]) for r in prof.value_counts(df, cols, k).filter(F.col("column_name") == c)
+                   .orderBy("rank").collect()] for c in cols}
+        for i, c in enumerate(cols):
+            counts: dict = {}
+            for row in rows:
+                if row[i] is not None:
+                    counts[row[i]] = counts.get(row[i], 0) + 1
+            assert got[c] == sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:k], (c, k)
+
+
+def test_proved_columns_shuffle_candidates_only(spark):
+    df = spark.range(50000).selectExpr("case when id % 2 = 0 then 'hot' when id % 5 = 0 then 'warm' else md5(cast(id as string)) end v")
+    out = prof.value_counts(df, ["v"], 2)
+    plan = plan_of(out)
+    assert "Expand" not in plan and "Generate" not in plan and "md5" not in plan  # the counted candidates alone
+    assert [(r["value"], r["n"]) for r in out.orderBy("rank").collect()] == [("hot", 25000), ("warm", 5000)]
+
+
+def test_cross_tab_stops_at_many_classes(spark):
+    df = spark.range(2000).selectExpr("cast(id % 4 as string) r", "cast(id % 16 as string) c", "cast(id % 15 as string) d")
+    assert prof.crosstab_norm(df, "r", "c") is None
+    assert prof.crosstab_norm(df, "r", "d").count() == 4 * 15
+
+
+def test_text_target_with_many_classes_is_reported_bounded(spark):
+    from quarry.plans.stages import profile_train
+    df = spark.range(100_000).selectExpr("md5(cast(id % 99999 as string)) label", "id % 3 a", "cast(rand(1) as double) b",
+                                         "concat('c', id % 4) kind")
+    out = profile_train(df, "label")
+    row = out.report.first()
+    assert row["n_classes"] == 99_999 and len(row["class_counts"]) == 15
+    assert out.charts["class_counts"].count() == 99_999 and "category_vs_target" not in out.charts
+    assert "correlation" in out.charts or row["n_numeric_features"] < 2
+
+
+def test_correlations_with_gaps_match_pandas(spark):
+    import numpy as np
+    import pandas as pd
+    rng = np.random.default_rng(2)
+    pdf = pd.DataFrame(rng.normal(size=(3000, 4)) + 1e6, columns=list("abcd"))
+    pdf["b"] = pdf["a"] * 2 + rng.normal(size=3000)
+    pdf.loc[rng.random(3000) < 0.3, "b"] = np.nan
+    pdf.loc[rng.random(3000) < 0.5, "c"] = np.nan
+    pdf["e"] = np.where(pdf["c"].isna(), 4.0, 3.0)
+    got = {(r.column_a, r.column_b): r["corr"] for r in prof.corr_pairs(spark.createDataFrame(pdf), list("abcde")).collect()}
+    want = pdf.corr()
+    for (a, b), value in got.items():
+        if math.isnan(want.loc[a, b]):
+            assert value is None
+        else:
+            assert value == pytest.approx(want.loc[a, b], abs=1e-9)
+    assert len(got) == 10
