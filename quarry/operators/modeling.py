@@ -1,11 +1,12 @@
 """Model tournament, weighted ensemble, leaderboard and scoring.
 
-* T1  vectorisation: ``Imputer`` + ``StringIndexer(handleInvalid="keep")``
-      (+ ``OneHotEncoder`` for linear models) + ``VectorAssembler``.
+* T1  categoricals as out-of-fold target statistics (``encoding.py``), then ``Imputer`` and
+      ``VectorAssembler``.
 * T3  a Spark ML pool fitted on the training split and scored on the
       chronological validation split - never on random folds.
-* T4  k-fold bagging: fold = ``pmod(xxhash64(key), k)``; k fits on the
-      complements, member prediction = mean of the k fold predictions.
+* T4  k-fold bagging: fold = 32 bits of ``md5(key)`` modulo k; k fits on the
+      complements, member prediction = mean of the k fold predictions. The linear member's
+      folds come from one aggregate (``least_squares.py``).
 * T6  greedy forward selection with replacement (Caruana et al., 2004).  For
       regression one aggregate collects n, SST and the products of the members'
       errors; R^2 of any weight vector then follows from that small matrix, so
@@ -20,7 +21,9 @@ predictions stay in the same row.
 from __future__ import annotations
 
 import json
+import threading
 import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
 
@@ -33,8 +36,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators import encoding
 from quarry.operators import metrics as met
 from quarry.operators.columns import type_partition
+from quarry.operators.least_squares import LeastSquares
 
 MAX_CATEGORIES = 256
 
@@ -54,23 +59,25 @@ class FeatureSpec:
     kind: str
     dates: list[str] = field(default_factory=list)   # expanded into year, month, day and weekday
     hashed: list[str] = field(default_factory=list)  # categoricals encoded by hash bucket
+    encoded: list[str] = field(default_factory=list)  # columns of target statistics, in place of the categoricals
 
     @property
     def n_features(self) -> int:
         return len(self.numeric) + len(self.categorical) + len(self.dates)
 
 
-def feature_spec(train: DataFrame, target: str, kind: str, exclude=()) -> FeatureSpec:
+def feature_spec(train: DataFrame, target: str, kind: str, exclude=(), hash_wide: bool = True) -> FeatureSpec:
     """Numeric and categorical features of ``train``.
 
-    Categoricals with more distinct values than a tree's bins hold (HyperLogLog estimate, with room
-    for its error) are encoded by hash bucket: indexing them would bring every label to the driver.
+    For a pipeline on its own, ``hash_wide`` marks categoricals with more distinct values than a tree's bins hold
+    (HyperLogLog estimate, with room for its error) to be encoded by hash bucket. The tournament does not ask for
+    it: it encodes all categoricals by target statistics.
     """
     numeric, categorical = type_partition(train, target)
     numeric = [c for c in numeric if c not in exclude]
     categorical = [c for c in categorical if c not in exclude]
     hashed = []
-    if categorical:
+    if categorical and hash_wide:
         row = train.agg(*[F.approx_count_distinct(F.col(f"`{c}`")).alias(f"n{i}")
                           for i, c in enumerate(categorical)]).first()
         hashed = [c for i, c in enumerate(categorical) if row[f"n{i}"] > 0.75 * MAX_CATEGORIES]
@@ -90,6 +97,9 @@ def vectorizer(spec: FeatureSpec, one_hot: bool, out_col: str) -> list:
         casted = [f"_dbl_{c}" for c in num_in]
         stages.append(_caster(num_in, casted))
         stages.append(Imputer(inputCols=casted, outputCols=imputed, strategy="mean"))
+    if spec.encoded:  # complete, so not imputed
+        stages.append(VectorAssembler(inputCols=imputed + spec.encoded, outputCol=out_col, handleInvalid="keep"))
+        return stages
     idx = [f"_idx_{c}" for c in spec.categorical]
     if spec.hashed:
         stages.append(_hasher(spec.hashed))
@@ -135,8 +145,7 @@ def model_pool(kind: str, n_classes: int = 2, seed: int = 42) -> dict[str, tuple
     """name -> (estimator factory, uses one-hot features)."""
     if kind == "regression":
         return {
-            "linear": (lambda f, l: reg.LinearRegression(featuresCol=f, labelCol=l,
-                                                         regParam=1e-6), True),
+            "linear": (LeastSquares(), True),
             "tree": (lambda f, l: reg.DecisionTreeRegressor(featuresCol=f, labelCol=l, maxDepth=8,
                                                             maxBins=MAX_CATEGORIES + 1,
                                                             seed=seed), False),
@@ -187,6 +196,7 @@ class Tournament:
     ensemble_fit_time: float = 0.0
     ensemble_pred_time: float = 0.0
     l1_names: list[str] = field(default_factory=list)
+    statistics: encoding.Statistics | None = None
 
     @property
     def best(self) -> str:
@@ -242,7 +252,7 @@ def member_columns(df: DataFrame, t: Tournament, names) -> DataFrame:
 
     Level-2 members first get their level-1 feature columns (T5).
     """
-    out = df
+    out = with_statistics(df, t)
     if any(t.members[n].level > 1 for n in names):
         out = _ensure_l1(out, t)
     for name in names:
@@ -260,7 +270,14 @@ def member_columns(df: DataFrame, t: Tournament, names) -> DataFrame:
                 avg = F.zip_with(avg, F.col(p), lambda a, b: a + b)
             avg = F.transform(avg, lambda x: x / len(parts))
         out = out.withColumn(f"_p_{name}", avg).drop(*parts)
-    return out
+    return out.drop(*[c for c in t.spec.encoded if c not in df.columns])
+
+
+def with_statistics(df: DataFrame, t: Tournament) -> DataFrame:
+    """``df`` with the target statistics of its categoricals, unless they are there."""
+    if t.statistics is None or all(c in df.columns for c in t.spec.encoded):
+        return df
+    return encoding.apply(df, t.statistics)
 
 
 def _transform_to(df: DataFrame, model: PipelineModel, t: Tournament, out_col: str) -> DataFrame:
@@ -328,13 +345,14 @@ def run_tournament(train: DataFrame, val: DataFrame, target: str, kind: str, key
                    parallelism: int = 8, stack_levels: int = 1) -> Tournament:
     """Fit the pool on ``train`` (bagged), score on ``val``, build the weighted ensemble.
 
-    ``budget_s`` stops starting new fits once exceeded (a member enters the
-    board only with all its folds).  The labelled training frame is cached once
+    ``budget_s`` ends the fits that still run when it is over, by the tag of their jobs, and starts no others
+    (a member enters the board only with all its folds).  The labelled training frame is cached once, with
+    the out-of-fold target statistics of its categoricals,
     and reused by every fit; up to ``parallelism`` fits run as concurrent jobs.
     ``stack_levels=2`` adds a second bagged pool fed with out-of-fold level-1
     predictions (T5; unset in the reference configuration, so off by default).
     """
-    spec = feature_spec(train, target, kind, exclude=tuple(exclude))
+    spec = feature_spec(train, target, kind, exclude=tuple(exclude), hash_wide=False)
     labels = None
     if kind != "regression":
         found = (train.select(F.col(target).cast("string")).filter(F.col(target).isNotNull())
@@ -344,8 +362,16 @@ def run_tournament(train: DataFrame, val: DataFrame, target: str, kind: str, key
         labels = sorted(r[0] for r in found)
     t = Tournament(kind, eval_metric_for(kind), spec, labels)
     pool = pool or model_pool(kind, len(labels or []), seed)
-    fold = F.pmod(F.xxhash64(*[F.col(k) for k in key_cols], F.lit(seed)), F.lit(folds))
-    base = _label_frame(train, t).filter(F.col("_label").isNotNull()).withColumn("_fold", fold)
+    base = _label_frame(train, t).filter(F.col("_label").isNotNull()).withColumn(
+        "_fold", fold_of(key_cols, folds, seed))
+    if spec.categorical:
+        # statistics need rows outside a fold: three folds of their own where there is no bagging
+        base = base.withColumn("_q_part", F.col("_fold") if folds > 1 else fold_of(key_cols, 3, seed))
+        classes = [F.col("_label")] if kind != "multiclass" else [
+            (F.col("_label") == i).cast("double") for i in range(len(labels))]
+        t.statistics, base = encoding.learn(base, spec.categorical, classes, "_q_part")
+        base = base.drop("_q_part")
+        spec.encoded = [n for c in spec.categorical for n in encoding.names_of(c, len(classes))]
     base = base.repartition(_partitions_for(base)).cache()
     started = time.time()
     t.members.update(_fit_pool(base, spec, pool, kind, folds, parallelism, budget_s, started))
@@ -354,7 +380,8 @@ def run_tournament(train: DataFrame, val: DataFrame, target: str, kind: str, key
         t.l1_names = list(t.members)
         oof = _oof_features(base, t, folds)
         l1_feats = [c for n in t.l1_names for c in l1_columns(t, n)]
-        spec2 = FeatureSpec(spec.numeric + l1_feats, spec.categorical, target, kind, spec.dates, spec.hashed)
+        spec2 = FeatureSpec(spec.numeric + l1_feats, spec.categorical, target, kind, spec.dates, spec.hashed,
+                            spec.encoded)
         base2 = oof.repartition(_partitions_for(oof)).cache()
         t.members.update(_fit_pool(base2, spec2, pool, kind, folds, parallelism, budget_s,
                                    started, suffix="_l2", level=2, first_order=len(t.members)))
@@ -366,6 +393,46 @@ def run_tournament(train: DataFrame, val: DataFrame, target: str, kind: str, key
     return t
 
 
+def fold_of(key_cols, folds: int, seed: int) -> Column:
+    """Fold of a row: the first 32 bits of the MD5 of its key and the seed, modulo ``folds``."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(f"`{k}`").cast("string"), F.lit("")) for k in key_cols], F.lit(str(seed)))
+    return (F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long") % F.lit(folds)).cast("int")
+
+
+def linear_inputs(spec: FeatureSpec) -> list[str]:
+    """The inputs of a linear member as SQL expressions, those that ``vectorizer`` gives the others."""
+    dates = [f"{fn}(`{c}`)" for c in spec.dates for fn in DATE_PARTS.values()]
+    return [*[f"`{c}`" for c in spec.numeric], *dates, *[f"`{c}`" for c in spec.encoded]]
+
+
+class Deadline:
+    """Ends what runs under its tag once ``seconds`` are over, again and again until ``close``: a fit is
+    many jobs, and the next one starts when one is cancelled."""
+
+    def __init__(self, spark, seconds: float | None):
+        self.context, self.tag = spark.sparkContext, f"quarry-{uuid.uuid4().hex}"
+        self.end = None if seconds is None else time.time() + seconds
+        self.done = threading.Event()
+        self.thread = threading.Thread(target=self._watch, daemon=True)
+        if self.end is not None:
+            self.thread.start()
+
+    @property
+    def over(self) -> bool:
+        return self.end is not None and time.time() >= self.end
+
+    def _watch(self) -> None:
+        self.done.wait(max(0.0, self.end - time.time()))
+        while not self.done.is_set():
+            self.context.cancelJobsWithTag(self.tag)
+            self.done.wait(0.1)
+
+    def close(self) -> None:
+        self.done.set()
+        if self.end is not None:
+            self.thread.join()
+
+
 def _fit_pool(base: DataFrame, spec: FeatureSpec, pool: dict, kind: str, folds: int,
               parallelism: int, budget_s: float | None, started: float, suffix: str = "",
               level: int = 1, first_order: int = 0) -> dict[str, Member]:
@@ -374,22 +441,41 @@ def _fit_pool(base: DataFrame, spec: FeatureSpec, pool: dict, kind: str, folds:
     for order, (name, (factory, one_hot)) in enumerate(pool.items(), start=first_order + 1):
         for j in range(folds):
             jobs.append((order, name + suffix, factory, one_hot, j))
+    deadline = Deadline(base.sparkSession, None if budget_s is None else budget_s - (time.time() - started))
+    label = "_label"
 
     def fit_one(job):
         order, name, factory, one_hot, j = job
-        if budget_s is not None and time.time() - started > budget_s:
-            return job, None, 0.0
-        part = base.filter(F.col("_fold") != j) if folds > 1 else base
-        est = factory("_features", "_label").setPredictionCol("_pred")
-        if kind != "regression":
-            est = est.setProbabilityCol("_prob").setRawPredictionCol("_raw")
+        if deadline.over:
+            return []
+        context = base.sparkSession.sparkContext
+        context.addJobTag(deadline.tag)
         t0 = time.time()
-        model = Pipeline(stages=vectorizer(spec, one_hot, "_features") + [est]).fit(part)
-        return job, model, time.time() - t0
+        try:
+            if isinstance(factory, LeastSquares):  # all folds at once
+                fitted = factory.fit(base, linear_inputs(spec), label, "_fold" if folds > 1 else None, folds)
+                each = (time.time() - t0) / folds
+                return [((order, name, factory, one_hot, k), m, each) for k, m in enumerate(fitted)]
+            part = base.filter(F.col("_fold") != j) if folds > 1 else base
+            est = factory("_features", label).setPredictionCol("_pred")
+            if kind != "regression":
+                est = est.setProbabilityCol("_prob").setRawPredictionCol("_raw")
+            model = Pipeline(stages=vectorizer(spec, one_hot, "_features") + [est]).fit(part)
+            return [(job, model, time.time() - t0)]
+        except Exception:
+            if deadline.over:  # its jobs were cancelled
+                return []
+            raise
+        finally:
+            context.removeJobTag(deadline.tag)
 
     # fits are independent Spark jobs; running a few at once keeps executors busy
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool_exec:
-        results = list(pool_exec.map(fit_one, jobs))
+    once = [job for job in jobs if job[4] == 0 or not isinstance(job[2], LeastSquares)]
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool_exec:
+            results = [r for found in pool_exec.map(fit_one, once) for r in found]
+    finally:
+        deadline.close()
     members: dict[str, Member] = {}
     for order, name, _f, _o, _j in jobs:
         if name in members:
@@ -430,7 +516,7 @@ def _score_members(t: Tournament, val: DataFrame) -> DataFrame:
     transforms the validation rows exactly once; a member's prediction time
     is the time of its own step.
     """
-    current = val.cache()
+    current = with_statistics(val, t).cache()
     steps = [current]
     for name, m in t.members.items():
         t0 = time.time()
@@ -641,8 +727,12 @@ def save(t: Tournament, path: str, spark) -> None:
             for n in keep]
     spark.createDataFrame(meta, "member string, weight double, folds int, level int") \
          .coalesce(1).write.mode("overwrite").json(f"{path}/_weights")
-    about = json.dumps({"kind": t.kind, "eval_metric": t.eval_metric, "labels": t.labels,
-                        "spec": asdict(t.spec)})
+    about = json.dumps({"kind": t.kind, "eval_metric": t.eval_metric, "labels": t.labels, "spec": asdict(t.spec),
+                        "statistics": None if t.statistics is None else {
+                            "columns": t.statistics.columns, "prior": t.statistics.prior,
+                            "smoothing": t.statistics.smoothing}})
+    if t.statistics is not None:
+        t.statistics.table.write.mode("overwrite").parquet(f"{path}/_statistics")
     spark.createDataFrame([(about,)], "value string") \
          .coalesce(1).write.mode("overwrite").text(f"{path}/_about")
 
@@ -656,6 +746,8 @@ def load(path: str, spark) -> Tournament:
     about = json.loads(spark.read.text(f"{path}/_about").first()["value"])
     meta = spark.read.json(f"{path}/_weights").collect()
     t = Tournament(about["kind"], about["eval_metric"], FeatureSpec(**about["spec"]), about["labels"])
+    if about.get("statistics"):
+        t.statistics = encoding.Statistics(table=spark.read.parquet(f"{path}/_statistics"), **about["statistics"])
     for r in meta:
         models = [PipelineModel.load(f"{path}/{r['member']}/fold{j}") for j in range(r["folds"])]
         t.members[r["member"]] = Member(r["member"], models, 0.0, level=r["level"])
