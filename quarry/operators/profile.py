@@ -546,9 +546,10 @@ def band_avg(df: DataFrame, col: str, edges, value: str) -> DataFrame:
 
 # ---------------------------------------------------------------- sampling
 
-def hash_sample(df: DataFrame, key_cols, n: int, seed: int = 42, oversample: float = 1.5
-                ) -> DataFrame:
-    """Reproducible sample of ``n`` rows: the smallest ``xxhash64(keys, seed)``.
+def hash_sample(df: DataFrame, key_cols, n: int, seed: int = 42, oversample: float = 1.5,
+                digest: str = "xxhash64") -> DataFrame:
+    """Reproducible sample of ``n`` rows: the smallest ``xxhash64(keys, seed)``, or ``md5(keys|seed)`` as
+    text with ``digest="md5"``, which other engines can repeat (A25).
 
     A plain ``orderBy(h).limit(n)`` would funnel n rows from every partition
     into one task.  The 64-bit hash is uniform, so rows below a threshold
@@ -557,7 +558,11 @@ def hash_sample(df: DataFrame, key_cols, n: int, seed: int = 42, oversample: flo
     below any threshold that keeps at least n rows, so the result equals the
     plain top-n.  The whole table is returned when it has <= n rows.
     """
-    h = F.xxhash64(*[_q(c) for c in key_cols], F.lit(seed))
+    if digest == "md5":
+        h = F.md5(F.concat_ws("|", *[F.coalesce(_q(c).cast("string"), F.lit("")) for c in key_cols],
+                              F.lit(str(seed))).cast("binary"))
+    else:
+        h = F.xxhash64(*[_q(c) for c in key_cols], F.lit(seed))
     hashed = df.withColumn("_q_h", h)
     total = df.count()
     if total <= n:
@@ -565,8 +570,8 @@ def hash_sample(df: DataFrame, key_cols, n: int, seed: int = 42, oversample: flo
     frac = oversample * n / total
     cand = hashed
     while frac < 1.0:
-        threshold = -(2 ** 63) + int(frac * 2 ** 64)
-        trial = hashed.filter(F.col("_q_h") < F.lit(threshold))
+        place = int(frac * 2 ** 64)
+        trial = hashed.filter(F.col("_q_h") < F.lit(f"{place:016x}" if digest == "md5" else place - 2 ** 63))
         if trial.count() >= n:
             cand = trial
             break

@@ -1315,3 +1315,125 @@ def q_value_counts_wide(spark, sf):
     """Two values far above thousands of others (proved by the sketch), a narrow key, and a column of near-unique values."""
     rows = _t(spark, sf, "lineitem").select(*[F.expr(e).alias(c) for c, e in _WIDE.items()])
     return prof.value_counts(rows, ["word"], 2).unionByName(prof.value_counts(rows, ["l_suppkey", "l_comment_key"], 5))
+
+
+# --------------------------------------------------------------- modelling against SQL
+
+def _md5_number(text: str) -> str:
+    """The first 32 bits of an MD5 text as a number."""
+    return " + ".join(f"(instr('0123456789abcdef', substr(md5({text}), {i + 1}, 1)) - 1) * {16 ** (7 - i)}" for i in range(8))
+
+
+_BAGGED_SQL = f"""
+r AS (SELECT l_orderkey, l_linenumber, l_quantity AS x, l_extendedprice AS y, count(*) OVER () AS n,
+             row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey) AS rk,
+             ({_md5_number("concat_ws('|', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), '42')")}) % 3 AS f
+      FROM lineitem),
+s AS (SELECT *, CASE WHEN rk <= floor(n * CAST(0.7 AS DOUBLE)) THEN 'train'
+                     WHEN rk <= floor(n * CAST(0.85 AS DOUBLE)) THEN 'val' ELSE 'test' END AS split FROM r),
+m AS (SELECT j, regr_slope(y, x) AS a, regr_intercept(y, x) AS b FROM s, (VALUES (0), (1), (2)) v(j)
+      WHERE split = 'train' AND f <> j GROUP BY j),
+bag AS (SELECT avg(a) AS a, avg(b) AS b FROM m),
+p AS (SELECT split, x, y, a * x + b AS p FROM s, bag)"""
+
+
+def _bagged(spark, sf):
+    """Split, three folds by the digest of the key, least squares on each fold's complement."""
+    key = ("bagged_linear", spark.sparkContext.applicationId, sf)
+    if key not in trn._CACHE:
+        split = chronological_split(_t(spark, sf, "lineitem"), "l_shipdate", trn.LINEITEM_KEYS).select(
+            "l_quantity", trn.LINEITEM_TARGET, "split", "l_orderkey", "l_linenumber")
+        part = {k: split.filter(F.col("split") == k).drop("split") for k in ("train", "val", "test")}
+        pool = {"linear": mdl.model_pool("regression")["linear"]}
+        t = mdl.run_tournament(part["train"], part["val"], trn.LINEITEM_TARGET, "regression",
+                               ["l_orderkey", "l_linenumber"], folds=3, pool=pool, exclude=("l_orderkey", "l_linenumber"))
+        trn._CACHE[key] = (t, part["test"])
+    return trn._CACHE[key]
+
+
+@register("bagged_linear", f"""
+WITH {_BAGGED_SQL}
+SELECT count(*) AS n, round(sqrt(avg((y - p) * (y - p))), 3) AS rmse, round(avg(abs(y - p)), 3) AS mae,
+       round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 6) AS r2
+FROM p WHERE split = 'test'
+""")
+def q_bagged_linear(spark, sf):
+    """Test metrics of the bagged linear member."""
+    t, test = _bagged(spark, sf)
+    scored = mdl.predict(test, t, model="linear", out_col="p")
+    m = met.regression_metrics(scored, trn.LINEITEM_TARGET, "p")
+    return m.select("n", _r("rmse", 3).alias("rmse"), _r("mae", 3).alias("mae"), _r("r2", 6).alias("r2"))
+
+
+@register("bagged_leaderboard", f"""
+WITH {_BAGGED_SQL},
+v AS (SELECT round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 6) AS score FROM p WHERE split = 'val')
+SELECT 'linear_bag' AS model, score AS score_val, 'r2' AS eval_metric, CAST(1 AS INTEGER) AS stack_level,
+       CAST(1 AS INTEGER) AS fit_order FROM v
+UNION ALL SELECT 'weighted_ensemble', score, 'r2', CAST(2 AS INTEGER), CAST(2 AS INTEGER) FROM v
+""")
+def q_bagged_leaderboard(spark, sf):
+    """The leaderboard of one bagged member and its ensemble, without times."""
+    t, _ = _bagged(spark, sf)
+    return mdl.leaderboard_frame(spark, t).select("model", _r("score_val", 6).alias("score_val"), "eval_metric",
+                                                  "stack_level", "fit_order")
+
+
+@register("bagged_batch", f"""
+WITH {_BAGGED_SQL},
+q AS (SELECT round_even(p, 0) AS p FROM p WHERE split = 'test')
+SELECT count(*) AS n_rows, round(avg(p), 3) AS avg_prediction, max(p) AS max_prediction, min(p) AS min_prediction FROM q
+""")
+def q_bagged_batch(spark, sf):
+    """The test rows as a scored batch, rounded half-even, and its summary."""
+    from quarry.plans.scoring import batch_summary, score_batch
+    t, test = _bagged(spark, sf)
+    scored = score_batch(test, t, trn.LINEITEM_TARGET, keys=["l_orderkey", "l_linenumber"], digits=0, sort=False)
+    out = batch_summary(scored, f"Predicted_{trn.LINEITEM_TARGET}")
+    return out.withColumn("avg_prediction", _r("avg_prediction", 3))
+
+
+@register("target_statistics", f"""
+WITH b AS (SELECT o_orderkey, o_custkey AS v, o_totalprice AS y,
+                  ({_md5_number("concat_ws('|', CAST(o_orderkey AS VARCHAR), '42')")}) % 3 AS f FROM orders),
+c AS (SELECT v, f, count(*) AS n, sum(y) AS s FROM b GROUP BY v, f),
+w AS (SELECT v, sum(n) AS n, sum(s) AS s FROM c GROUP BY v),
+t AS (SELECT f, count(*) AS n, sum(y) AS s FROM b GROUP BY f),
+a AS (SELECT t.f, ((SELECT sum(y) FROM b) - t.s) / ((SELECT count(*) FROM b) - t.n) AS prior FROM t)
+SELECT o_orderkey, round((w.s - c.s + 10 * prior) / (w.n - c.n + 10), 4) AS customer_value
+FROM b JOIN c USING (v, f) JOIN w USING (v) JOIN a USING (f)
+""")
+def q_target_statistics(spark, sf):
+    """Out-of-fold smoothed means of the target by a wide categorical."""
+    from quarry.operators import encoding
+    rows = _t(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("customer"), "o_totalprice")
+    rows = rows.withColumn("fold", mdl.fold_of(["o_orderkey"], 3, 42))
+    _, out = encoding.learn(rows, ["customer"], [F.col("o_totalprice")], "fold")
+    return out.select("o_orderkey", _r("_ts_customer", 4).alias("customer_value"))
+
+
+@register("hash_sample_md5", """
+SELECT o_orderkey, o_totalprice FROM orders ORDER BY md5(CAST(o_orderkey AS VARCHAR) || '|42') LIMIT 2000
+""")
+def q_hash_sample_md5(spark, sf):
+    """The reproducible sample by a digest that other engines have too."""
+    return prof.hash_sample(_t(spark, sf, "orders"), ["o_orderkey"], 2000, seed=42, digest="md5").select(
+        "o_orderkey", "o_totalprice")
+
+
+# --------------------------------------------------------------- delimited text with line breaks in quotes
+
+@register("csv_spanning_lines", """
+SELECT doc_id, length(text) AS chars, md5(text) AS digest, n_chars FROM documents WHERE trim(text) <> ''
+""")
+def q_csv_spanning_lines(spark, sf):
+    """All documents written as delimited text, whose quoted fields span lines, and read back by the sniffing reader."""
+    import uuid
+    from quarry.session import ensure_checkpoint_dir
+    from quarry.sources.delimited import read_delimited
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-{uuid.uuid4().hex}/documents.csv"
+    docs = _t(spark, sf, "documents").select("doc_id", "text", "n_chars").filter("trim(text) <> ''")
+    docs.write.option("header", True).option("quoteAll", True).option("escape", '"') \
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder)
+    return read_delimited(spark, folder).select("doc_id", F.length("text").alias("chars"), F.md5(
+        F.col("text").cast("binary")).alias("digest"), "n_chars")

@@ -7,11 +7,12 @@ never pulled through the driver.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, IllegalArgumentException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.constants import ENCODINGS, SEPARATORS  # fixed values: encodings (outer loop), separators
+from quarry.sources.records import opens, records
 # Spark's CSV reader takes Java charset names.
 JAVA_CHARSETS = {"utf-8": "utf-8", "latin-1": "iso-8859-1", "cp1252": "windows-1252"}
 
@@ -21,17 +22,11 @@ MISSING_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN",
 
 
 def _scan(spark: SparkSession, path: str) -> tuple[bool, bool, bool]:
-    """(has lines, holds bad UTF-8, has a quoted line break), from one pass over the whole text.
-
-    A line with an odd number of quotes opens or
-    closes a field that runs over a line break.
-    """
-    lines = spark.read.text(path)
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    row = lines.agg(F.count(F.lit(1)).alias("n"),
-                    F.count_if(~F.is_valid_utf8("value")).alias("bad"),
-                    F.count_if(quotes % 2 == 1).alias("open")).first()
-    return row["n"] > 0, row["bad"] > 0, row["open"] > 0
+    """(has lines, holds bad UTF-8, holds quotes), from one pass over the whole text."""
+    row = spark.read.text(path).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(~F.is_valid_utf8("value")).alias("bad"),
+        F.count_if(F.contains("value", F.lit('"'))).alias("quoted")).first()
+    return row["n"] > 0, row["bad"] > 0, row["quoted"] > 0
 
 
 def sniff_format(spark: SparkSession, path: str, encodings=ENCODINGS,
@@ -44,7 +39,7 @@ def sniff_format(spark: SparkSession, path: str, encodings=ENCODINGS,
 
 
 def _sniff(spark, path, encodings, separators) -> tuple[str, str, bool]:
-    some, bad_utf8, multi_line = _scan(spark, path)
+    some, bad_utf8, quoted = _scan(spark, path)
     if not some:
         raise ValueError(f"Cannot parse {path}: no lines")
     for enc in encodings:
@@ -53,19 +48,31 @@ def _sniff(spark, path, encodings, separators) -> tuple[str, str, bool]:
         for sep in separators:
             # header-only schema resolution reads the first line, not the data
             try:
-                cols = _reader(spark, enc, sep, multi_line).csv(path).columns
-            except Exception:  # charset not accepted by this Spark build
+                cols = _reader(spark, enc, sep).csv(path).columns
+            except IllegalArgumentException:  # charset not accepted by this Spark build
                 break
             if len(cols) > 1:
-                return enc, sep, multi_line
+                # does a line that starts outside quotes end inside them? if none does, lines are records
+                lines = spark.read.text(path).filter(F.contains("value", F.lit('"')))
+                over = quoted and lines.filter(opens(F.col("value"), sep)).limit(1).count() > 0
+                return enc, sep, over
     raise ValueError(f"No known encoding and separator give {path} more than one column")
 
 
-def _reader(spark: SparkSession, enc: str, sep: str, multi_line: bool):
-    """Quotes are doubled inside quoted fields; files are split unless a quoted field spans lines."""
-    return (spark.read.option("header", True).option("sep", sep).option("quote", '"')
-                 .option("escape", '"').option("multiLine", multi_line)
-                 .option("encoding", JAVA_CHARSETS.get(enc, enc)).option("mode", "PERMISSIVE"))
+def _reader(spark: SparkSession, enc: str, sep: str):
+    """Quotes are doubled inside quoted fields; every line is a record, so files are split."""
+    return (spark.read.option("header", True).option("encoding", JAVA_CHARSETS.get(enc, enc))
+                 .options(**_options(sep)))
+
+
+def _options(sep: str) -> dict[str, str]:
+    return {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+
+
+def _read_spanning(spark: SparkSession, path: str, enc: str, sep: str, schema) -> DataFrame:
+    """Records that span lines, put together split by split and parsed one by one."""
+    found = records(spark, path, sep, JAVA_CHARSETS.get(enc, enc)).filter(~F.col("first"))
+    return found.select(F.from_csv("record", schema, _options(sep)).alias("r")).select("r.*")
 
 
 def missing_tokens_as_null(df: DataFrame) -> DataFrame:
@@ -94,11 +101,17 @@ def typed(df: DataFrame) -> DataFrame:
 def read_delimited(spark: SparkSession, path: str, infer_schema: bool = True,
                    encodings=ENCODINGS, separators=SEPARATORS, schema=None) -> DataFrame:
     """Sniffed CSV read with header (S1); ``schema`` skips inference."""
-    enc, sep, multi_line = _sniff(spark, path, encodings, separators)
-    reader = _reader(spark, enc, sep, multi_line)
+    enc, sep, spanning = _sniff(spark, path, encodings, separators)
+    reader = _reader(spark, enc, sep)
+    if spanning:
+        names = reader.csv(path).columns
+        kind = schema if schema is not None else ", ".join("`" + c.replace("`", "``") + "` string" for c in names)
+        df = _read_spanning(spark, path, enc, sep, kind if isinstance(kind, str) else kind.simpleString()[7:-1])
+    else:
+        df = (reader.schema(schema) if schema is not None else reader.option("inferSchema", False)).csv(path)
     if schema is not None:
-        return reader.schema(schema).csv(path)
-    df = missing_tokens_as_null(reader.option("inferSchema", False).csv(path))
+        return df
+    df = missing_tokens_as_null(df)
     return typed(df) if infer_schema else df
 
 
