@@ -12,8 +12,8 @@ carry would each land in one reduce task, so they never meet a row shuffle:
 
 Defined results: null text counts as empty; of equal texts the row with the largest id stays, a
 null id being the smallest; rows that repeat both id and text are one group in which exactly one
-row stays; an empty table gives an empty result; other columns are never read, so their names
-cannot clash.
+row stays; an empty table gives an empty result; other columns are never read, and may have any names:
+those used here are chosen among the free ones.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import lower_ascii, stored, text_of
+from quarry.llm.common import free_name, lower_ascii, stored, text_of
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -75,15 +75,12 @@ def keep_unique(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 **options) -> DataFrame:
     """The rows of ``docs`` that ``exact_dedup`` keeps, all columns unchanged."""
     decided = exact_dedup(docs, id_col, text_col, **options)
-    kept = (decided.groupBy("id", "digest")
-            .agg(F.max("kept").alias("any_kept"), F.count("*").alias("n"))
-            .filter("any_kept").select(F.col("id").alias("__id"), F.col("digest").alias("__digest"),
-                                       F.col("n").alias("__n")))
-    marked = docs.withColumn(
-        "__own", F.unhex(F.sha2(lower_ascii(text_of(text_col)), 256))).join(
-        kept, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__digest")))
-    extra = ["__own", "__id", "__digest", "__n"]
+    own, i, digest, n = extra = [free_name(docs.columns, x) for x in ("own", "of_id", "of_digest", "of_n")]
+    kept = decided.groupBy("id", "digest").agg(F.max("kept").alias("any_kept"), F.count("*").alias("n")) \
+        .filter("any_kept").select(F.col("id").alias(i), F.col("digest").alias(digest), F.col("n").alias(n))
+    marked = docs.withColumn(own, F.unhex(F.sha2(lower_ascii(text_of(text_col)), 256))).join(
+        kept, docs[id_col].eqNullSafe(F.col(i)) & (F.col(own) == F.col(digest)))
     # rows that repeat id and text: one of them stays
-    once = marked.filter("__n = 1").drop(*extra)
-    repeated = marked.filter("__n > 1").dropDuplicates(["__id", "__digest"]).drop(*extra)
+    once = marked.filter(F.col(n) == 1).drop(*extra)
+    repeated = marked.filter(F.col(n) > 1).dropDuplicates([i, digest]).drop(*extra)
     return once.unionByName(repeated)

@@ -12,19 +12,19 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, label) for every node of ``edges`` (a, b): the smallest node it can reach.
 
     Large star: every node hands the least node around it to its larger neighbours; small star: to
-    its smaller ones. The edges shrink to one star a component in about log(n) rounds. A hub's edges
-    are spread over the rows of its neighbours, minima are combined map-side, and each round is
-    written to the shared folder, so lineage stays short.
+    its smaller ones. The edges shrink to one star a component in about log(n) rounds. Minima are combined
+    map-side and written to the shared folder, like each round's edges: lineage stays short, and the joins
+    of edges with minima are between two plain shuffles, so that Spark splits a hub's many edges over tasks.
     """
     now = stored(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"),
                                                F.least("a", "b").alias("b")).distinct(), "edges")
     seen = None
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = (both.filter("b > a").join(least, "a")
-                 .select(F.col("b").alias("a"), F.col("m").alias("b"))).filter("a <> b").distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
+        large = stored((both.filter("b > a").join(least, "a")
+                        .select(F.col("b").alias("a"), F.col("m").alias("b"))).filter("a <> b").distinct(), "large")
+        low = stored(large.groupBy("a").agg(F.min("b").alias("m")), "low")
         small = (large.join(low, "a").select(
             F.explode(F.array(F.struct("a", F.col("m").alias("b")),
                               F.struct(F.greatest("b", "m").alias("a"),

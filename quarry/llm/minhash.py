@@ -35,10 +35,10 @@ from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import stored
+from quarry.llm.common import free_name, stored
 from quarry.llm.graph import components
 from quarry.llm.hashing import hash_ranges, lower_ascii_bytes, mix, shingles, slices, text_buffer, words
 
@@ -226,12 +226,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col("first.row").alias("node"), F.col("first.id").alias("id"), "digest", "n_shingles",
         "bands"), "representatives")
     keys = reps.select("node", F.col("n_shingles").alias("size"), F.explode("bands").alias("key"))
-    bucket = Window.partitionBy("key")
-    shared = stored(keys.withColumns({
-        "n": F.count("*").over(bucket), "least": F.min("node").over(bucket),
-        "weight": F.sum("size").over(bucket), "x": F.bit_xor(F.xxhash64("node")).over(bucket),
-        "s": F.sum(F.xxhash64(F.lit(1), "node").bitwiseAND(F.lit((1 << 40) - 1))).over(bucket)})
-        .filter("n > 1"), "buckets")
+    # counts combine map-side and are written, so the join back is one that Spark splits at a hot band key
+    often = stored(keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "often")
+    held = stored(keys.join(often, "key"), "held")
+    told = stored(held.groupBy("key").agg(
+        F.min("node").alias("least"), F.sum("size").alias("weight"), F.bit_xor(F.xxhash64("node")).alias("x"),
+        F.sum(F.xxhash64(F.lit(1), "node").bitwiseAND(F.lit((1 << 40) - 1))).alias("s")), "told")
+    shared = stored(held.join(told, "key"), "buckets")
     # bands that hold the same members say the same
     one_of_each = shared.groupBy("n", "x", "s").agg(F.min("key").alias("key")).select("key")
     members = stored(shared.join(one_of_each, "key", "left_semi")
@@ -268,6 +269,7 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """The rows of ``docs`` that ``near_duplicates`` keeps, all columns unchanged. Rows that repeat an
     id go only if every one of them is dropped."""
     decided = near_duplicates(docs, id_col, text_col, **options)
-    dropped = decided.groupBy(F.col("id").alias("__id")).agg(F.bool_or("kept").alias("__kept")) \
-        .filter("not __kept").select("__id")
-    return docs.join(dropped, F.col(id_col).eqNullSafe(F.col("__id")), "left_anti")
+    mine = free_name(docs.columns, "dropped_id")
+    dropped = decided.groupBy(F.col("id").alias(mine)).agg(F.bool_or("kept").alias("any_kept")) \
+        .filter("not any_kept").select(mine)
+    return docs.join(dropped, docs[id_col].eqNullSafe(F.col(mine)), "left_anti")

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.bpe import WordEncoder
+from quarry.llm.bpe import WordEncoder, encoder_of
 from quarry.llm.common import stored
 from quarry.llm.hashing import slices, text_buffer
 
@@ -47,20 +47,25 @@ def rank_encoder(ranks: bytes, pattern: str) -> WordEncoder:
                                          special_tokens={}).encode_ordinary)
 
 
+def vocabulary_encoder(vocabulary: str | bytes, pattern: str | None) -> WordEncoder:
+    """The encoder of a tokenizers model (its JSON; no pattern), or of a rank file's content and pattern."""
+    return encoder_of(vocabulary) if pattern is None else rank_encoder(vocabulary, pattern)
+
+
 def piece_starts(n: int, capacity: int) -> list[int]:
     """Where the pieces of a document of ``n`` tokens start; all but the first are full."""
     first = n % capacity or capacity
     return [0, *range(first, n, capacity)]
 
 
-def token_pieces(docs: DataFrame, ranks: bytes, pattern: str, id_col: str = "doc_id",
+def token_pieces(docs: DataFrame, ranks: str | bytes, pattern: str | None, id_col: str = "doc_id",
                  text_col: str = "text", capacity: int = CAPACITY, end_token: int = 2,
                  with_ids: bool = False) -> DataFrame:
     """id, piece, start, length, ids_crc32 (and ids) per piece."""
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
-        encoder = rank_encoder(ranks, pattern)
+        encoder = vocabulary_encoder(ranks, pattern)
         for whole in batches:
             for batch in slices(whole, "text"):
                 ids, at = encoder.encode(*text_buffer(batch["text"]))
@@ -198,7 +203,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, per_partition: int = 60_00
         rows.filter(F.col("length") < capacity).join(spots, "row").select(columns))
 
 
-def pack_documents(docs: DataFrame, ranks: bytes, pattern: str, id_col: str = "doc_id",
+def pack_documents(docs: DataFrame, ranks: str | bytes, pattern: str | None, id_col: str = "doc_id",
                    text_col: str = "text", capacity: int = CAPACITY, end_token: int = 2,
                    with_ids: bool = False, **options) -> DataFrame:
     return pack(token_pieces(docs, ranks, pattern, id_col, text_col, capacity, end_token, with_ids),

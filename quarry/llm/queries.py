@@ -148,9 +148,15 @@ def gpt_ranks() -> tuple[bytes, str]:
         return file.read(), public_tokenizers.PATTERN
 
 
+def gpt_model() -> tuple[str, None]:
+    """The tokenizers model byte_bpe_50k.json, in the place of a rank file and its pattern."""
+    import public_tokenizers
+    return bpe.from_json(public_tokenizers.path("byte_bpe_50k.json")), None
+
+
 @register("op6_best_fit_packing")
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(documents(spark, sf_dir), *gpt_ranks()) \
+    return packing.pack_documents(documents(spark, sf_dir), *gpt_model()) \
         .withColumnRenamed("id", "doc_id")
 
 
@@ -189,7 +195,7 @@ def op8_license_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_token_shards")
 def op9_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-{uuid.uuid4().hex}/shards"
-    return shards.write_shards(documents(spark, sf_dir), *gpt_ranks(), folder) \
+    return shards.write_shards(documents(spark, sf_dir), *gpt_model(), folder) \
         .withColumnRenamed("id", "doc_id")
 
 

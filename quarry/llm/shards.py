@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.hashing import mix, slices, text_buffer
-from quarry.llm.packing import rank_encoder
+from quarry.llm.packing import vocabulary_encoder
 
 STRIDE, PER_SHARD, PAD = 512, 8192, 50256
 ROUNDS = 6
@@ -129,7 +129,7 @@ def holds(filesystem, name: str, wanted: list[bytes]) -> bool:
         return all(file.read(len(x)) == x for x in wanted)
 
 
-def write_shards(docs: DataFrame, ranks: bytes, pattern: str, uri: str, key: int = 1,
+def write_shards(docs: DataFrame, ranks: str | bytes, pattern: str | None, uri: str, key: int = 1,
                  id_col: str = "doc_id", text_col: str = "text", stride: int = STRIDE,
                  per_shard: int = PER_SHARD, end_token: int = 2, pad: int = PAD) -> DataFrame:
     """slot, shard, offset (bytes), id, piece, length, ids_crc32 per sequence, the last read back
@@ -137,11 +137,13 @@ def write_shards(docs: DataFrame, ranks: bytes, pattern: str, uri: str, key: int
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def encoded(batches):
-        encoder = rank_encoder(ranks, pattern)
+        encoder = vocabulary_encoder(ranks, pattern)
         for whole in batches:
             for batch in slices(whole, "text"):
                 buf, offsets = text_buffer(batch["text"])
                 ids, at = encoder.encode(buf, offsets)
+                if len(ids) and int(ids.max()) > 0xFFFF:
+                    raise ValueError(f"token id {int(ids.max())} does not fit the shards' 16 bits")
                 yield batch, ids.astype("<u2"), at, buf, np.diff(offsets).astype("<i8")
 
     def chained(check, buf, sizes):  # of texts and their lengths, in order
@@ -163,7 +165,8 @@ def write_shards(docs: DataFrame, ranks: bytes, pattern: str, uri: str, key: int
     shards = max(1, ceil(n / per_shard))
     write_manifest(uri, {"sequences": n, "key": key, "stride": stride, "per_shard": per_shard,
                          "end_token": end_token, "pad": pad,
-                         "vocabulary": zlib.crc32(pattern.encode(), zlib.crc32(ranks)),
+                         "vocabulary": zlib.crc32((pattern or "").encode(), zlib.crc32(
+                             ranks.encode() if isinstance(ranks, str) else ranks)),
                          "input": zlib.crc32(repr(sorted(starts.items())).encode())})
 
     def place(batches):

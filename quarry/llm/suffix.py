@@ -10,10 +10,10 @@ offset. Neighbouring windows share theirs; such a run of windows is one record,
 its windows together, under 2 * length bytes) holds a run's worth of suffixes at their anchor.
 
 1. One pass over the texts makes the records. Records with equal text within a slice are settled there.
-2. Records shuffle by the hash of their gram (fixed-size rows, no text). Equal records anywhere settle
-   each other whole; grams that occur with one text only are done. What remains are grams with
+2. Records shuffle by the hash of their gram (fixed-size rows, no text), those of grams that a sample shows to
+   be hot by their text as well. Equal records anywhere settle each other whole; grams that occur with one text only are done. What remains are grams with
    different texts around them: the edges of repeated passages.
-3. The texts of those are fetched and range-partitioned by their leading tokens at the anchor,
+3. The texts of those are fetched and range-partitioned by their leading tokens at the anchor (the whole gram),
    with sampled splitters. Each bucket sorts the suffixes to the right of the anchors, and the reversed
    prefixes to the left, by multikey quicksort on 8-byte tokens, level by level. The common
    prefixes of neighbours then tell, for each offset of the anchor in a window, which windows are equal.
@@ -23,8 +23,8 @@ its windows together, under 2 * length bytes) holds a run's worth of suffixes at
 
 Defined results: a null text counts as empty; texts under ``length`` bytes lose nothing; rows that repeat
 id and text repeat each other, so they lose all that is covered; null ids are treated like others; an
-empty table gives an empty result; other columns are kept as they are and their names cannot clash
-with those used here (prefixed by two underscores).
+empty table gives an empty result; other columns are kept as they are and may have any names: those used
+here are chosen among the free ones.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import stored, text_of
+from quarry.llm.common import free_name, stored, text_of
 from quarry.llm.hashing import BLOCK, mix, powers, slices, text_buffer
 
 LENGTH, GRAM = 400, 64
@@ -218,15 +218,43 @@ def covered_offsets(texts: list[bytes], left: np.ndarray, length: int) -> tuple[
     return low, high
 
 
+def hot_records(docs: DataFrame, length: int, gram: int, share: int = 16, least: int = 64) -> tuple[DataFrame, DataFrame]:
+    """(h, busy) of grams, and (h, digest, often) of records, that many rows have, by a sample of one in ``share`` documents:
+    at most 8 a shuffle partition of either. They only steer how rows are dealt: a busy gram counts as one with
+    different texts, which at most fetches a text in vain, and a record that is often in the sample is one that
+    stands in several places (``least`` is over 1)."""
+    spark = docs.sparkSession
+    most = 8 * int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    some = docs.filter(F.pmod(F.xxhash64(F.lit(3), "__id", "__th"), F.lit(share)) == 0)
+    seen = stored(records(some, length, gram).filter("not settled").groupBy("h", "digest").agg(F.sum("cnt").alias("n")),
+                  "sample")
+    rows = seen.agg(F.sum("n")).first()[0] or 0
+    enough = max(least, rows // most)
+    grams = seen.groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= enough)
+    pairs = seen.filter(F.col("n") >= enough)
+    # n >= rows / most, so at most ``most`` rows each
+    return (stored(grams.select("h", F.lit(True).alias("busy")), "grams"),
+            stored(pairs.select("h", "digest", F.lit(True).alias("often")), "pairs"))
+
+
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = 20_000,
                    bucket_bytes: int = 8 << 20) -> DataFrame:
     """(id, th, start, stop) of covered byte ranges, not merged; ``docs`` has __id, __th, __text."""
     kind = docs.schema["__id"].dataType.simpleString()
-    by_gram, by_text = Window.partitionBy("h"), Window.partitionBy("h", "digest")
-    marked = (records(docs, length, gram).repartition("h")
-              .withColumn("total", F.sum("cnt").over(by_text))
-              .withColumn("mixed", F.min("digest").over(by_gram) != F.max("digest").over(by_gram))
-              .withColumn("open", F.min(F.when(~F.col("settled"), F.col("total"))).over(by_gram) == 1))
+    grams, pairs = hot_records(docs, length, gram)
+    # a hot gram's records are dealt by their text too, those of a hot text by their place
+    spread = F.when(F.col("often"), F.xxhash64("id", "th", "p1")).when(F.col("busy"), F.xxhash64("digest")) \
+        .otherwise(F.lit(0))
+    dealt = (records(docs, length, gram).join(F.broadcast(grams), "h", "left").join(F.broadcast(pairs), ["h", "digest"], "left")
+             .withColumns({"busy": F.col("busy").isNotNull(), "often": F.col("often").isNotNull()})
+             .withColumn("salt", F.when(F.col("busy"), F.pmod(spread, F.lit(1 << 16))).otherwise(F.lit(0))))
+    by_gram, by_text = Window.partitionBy("h", "salt"), Window.partitionBy("h", "salt", "digest")
+    marked = (dealt.repartition("h", "salt")
+              .withColumn("total", F.sum("cnt").over(by_text) + F.when(F.col("often"), 1).otherwise(0))
+              .withColumn("mixed", F.col("busy") | (F.min("digest").over(by_gram) != F.max("digest").over(by_gram)))
+              .withColumn("open", F.col("busy") | (
+                  F.min(F.when(~F.col("settled"), F.col("total"))).over(by_gram) == 1))
+              .drop("busy", "often", "salt"))
     seen = stored(marked.filter("settled or total > 1 or mixed"), "records")
     whole = seen.filter("settled or (total > 1 and cnt = 1)").select(
         "id", "th", F.col("p1").alias("start"), (F.col("p2") + length).alias("stop"))
@@ -257,7 +285,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
                     "total": pa.array(out["total"], pa.int64()), "id": batch["__id"].take(rows),
                     "th": batch["__th"].take(rows), "a": pa.array(out["a"], pa.int64()),
                     "p1": pa.array(out["p1"], pa.int64()), "text": pa.array(out["text"], pa.binary()),
-                    "lead": pa.array([t[a - p:a - p + 16] for t, a, p in zip(
+                    "lead": pa.array([t[a - p:a - p + gram] for t, a, p in zip(
                         out["text"], out["a"], out["p1"], strict=True)], pa.binary())})
 
     cut_schema = (f"h bigint, digest binary, total bigint, id {kind}, th bigint, a bigint, p1 bigint, "
@@ -284,6 +312,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
             "stop": pa.array(a[keep] - low[keep] + length, pa.int64())})
 
     spans = f"id {kind}, th bigint, start bigint, stop bigint"
+    frequent = F.broadcast(frequent)  # of over ``hot`` rows each, so their number is at most rows / hot
     edges = (texts.join(frequent, "h", "left_anti").repartitionByRange(parts, "lead")
              .select("total", "id", "th", "a", "p1", "text").mapInArrow(compare, spans))
 
@@ -313,15 +342,18 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
 
 
 def with_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
-               **options) -> DataFrame:
-    """``docs`` with __spans: the covered ranges of each text (array of start and stop; null: none)."""
-    keyed = docs.withColumns({"__id": F.col(id_col), "__text": text_of(text_col)}).withColumn(
+               **options) -> tuple[DataFrame, str, str]:
+    """``docs`` with two columns more, whose names are returned: the text (null: empty) and its covered ranges
+    (array of start and stop; null: none)."""
+    text, spans, th, of, oth = (free_name(docs.columns, x) for x in ("whole_text", "spans", "text_hash", "of_id", "of_hash"))
+    keyed = docs.select(F.col(id_col).alias("__id"), text_of(text_col).alias("__text")).withColumn(
         "__th", F.xxhash64("__text"))
     found = repeated_spans(keyed.select("__id", "__th", "__text"), length, **options)
-    per_text = found.groupBy(F.col("id").alias("__of"), F.col("th").alias("__oth")).agg(
-        F.collect_set(F.struct("start", "stop")).alias("__spans"))
-    return keyed.join(per_text, keyed["__id"].eqNullSafe(F.col("__of")) & (keyed["__th"] == F.col("__oth")),
-                      "left").drop("__of", "__oth", "__id", "__th")
+    per_text = found.groupBy(F.col("id").alias(of), F.col("th").alias(oth)).agg(
+        F.collect_set(F.struct("start", "stop")).alias(spans))
+    own = docs.withColumn(text, text_of(text_col)).withColumn(th, F.xxhash64(text))
+    joined = own.join(per_text, own[id_col].eqNullSafe(F.col(of)) & (F.col(th) == F.col(oth)), "left")
+    return joined.drop(of, oth, th), text, spans
 
 
 def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
@@ -344,8 +376,8 @@ def remaining(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
 def removal_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    **options) -> DataFrame:
     """id, n_bytes, n_removed, n_spans, kept_sha256 per row."""
-    joined = with_spans(docs.select(id_col, text_col), id_col, text_col, **options).select(
-        F.col(id_col).alias("id"), "__text", "__spans")
+    joined, text, spans = with_spans(docs.select(id_col, text_col), id_col, text_col, **options)
+    joined = joined.select(F.col(id_col).alias("id"), F.col(text).alias("__text"), F.col(spans).alias("__spans"))
 
     def run(batches):
         for whole in batches:
@@ -369,14 +401,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """``docs`` with the covered bytes taken out of the text; bytes of a character that a cut has
     split go with them. A null text stays null."""
     columns = docs.columns
-    joined = with_spans(docs, id_col, text_col, **options)
+    joined, text, spans = with_spans(docs, id_col, text_col, **options)
 
     def run(batches):
         for whole in batches:
-            for batch in slices(whole, "__text"):
+            for batch in slices(whole, text):
                 new = [None if t is None else remaining(t.encode(), merged(s)).decode(errors="ignore")
                        if s else t
-                       for t, s in zip(batch[text_col].to_pylist(), batch["__spans"].to_pylist(),
+                       for t, s in zip(batch[text_col].to_pylist(), batch[spans].to_pylist(),
                                        strict=True)]
                 yield pa.RecordBatch.from_pydict({
                     c: pa.array(new, pa.string()) if c == text_col else batch[c] for c in columns})

@@ -414,3 +414,41 @@ def test_stages_keep_the_columns_and_pass_empty_tables(spark):
 def test_text_shingles_follow_rows():
     hashes, rows, at = license.text_shingles(pa.array(["a b c d e f", "", "x y", None, "a b c d e"]))
     assert rows.tolist() == [0, 0, 2, 4] and at.tolist() == [0, 1, 0, 0] and hashes[0] == hashes[3]
+
+
+def test_stages_keep_extra_columns_of_any_name(spark):
+    folder = "/root/testdata/sf0.001"
+    names = ["__id", "__n", "__text", "__own", "__kept", "__th", "__spans", "__digest", "id", "row", "own", "of_id",
+             "whole_text", "spans", "dropped_id", "OWN_1"]
+    docs = spark.read.parquet(f"{folder}/documents.parquet").withColumns({n: F.lit(n) for n in names})
+    plain = spark.read.parquet(f"{folder}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out, want = stage(spark, docs, folder), stage(spark, plain, folder)
+        assert out.columns == docs.columns, name
+        rows = out.collect()
+        assert all(r[n] == n for r in rows for n in names)
+        assert Counter((r.doc_id, r.text) for r in rows) == Counter((r.doc_id, r.text) for r in want.collect())
+    assert corpus_pipeline.pack(spark, docs, folder).count() == corpus_pipeline.pack(spark, plain, folder).count()
+
+
+@pytest.mark.parametrize("least", [2, 64])
+def test_hot_grams_and_hot_starts_equal_brute_force(spark, monkeypatch, least):
+    """A passage in a third of the texts, in many surroundings, and many passages with one 16-byte start."""
+    rng = random.Random(12)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 8))) for _ in range(900)]
+    prose = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    hot, starts = prose(110), ["a phrase of stock " + prose(100) for _ in range(30)]
+    rows = [(i, f"{prose(rng.randint(5, 40))} {hot} {prose(rng.randint(5, 40))}" if i % 3 == 0 else
+             f"{prose(20)} {rng.choice(starts)} {prose(20)}") for i in range(900)]
+    rows += [(2000 + i, rows[0][1]) for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    plain = suffix.hot_records
+    monkeypatch.setattr(suffix, "hot_records", lambda d, n, g: plain(d, n, g, share=2, least=least))
+    got = suffix.removal_report(docs).collect()
+    assert Counter(map(tuple, got)) == Counter(brute_removal(rows, 400))
+
+
+def test_components_of_a_hub(spark):
+    edges = [(0, k) for k in range(1, 4000)] + [(k, k + 10_000) for k in range(1, 4000, 7)]
+    got = {r.node: r.label for r in graph.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    assert set(got.values()) == {0} and len(got) == 4000 + len(range(1, 4000, 7))

@@ -10,6 +10,7 @@ import pyarrow as pa
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from quarry.llm import bpe, packing, shards
@@ -216,3 +217,24 @@ def test_shards_of_a_changed_input_replace_the_old_ones(spark, tmp_path):
         for i, text in enumerate(texts):
             ids = [*library.encode_ordinary(text), 2]
             assert got[i] == (ids, zlib.crc32(np.array(ids, "<u2").tobytes()))
+
+
+def test_packing_and_shards_take_the_tokenizers_model(spark, edge_docs, tmp_path):
+    from quarry.llm.queries import gpt_model
+    a = packing.pack_documents(edge_docs, *gpt_model()).drop("sequence_id", "offset").collect()
+    b = packing.pack_documents(edge_docs, *gpt_ranks()).drop("sequence_id", "offset").collect()
+    assert Counter(map(tuple, a)) == Counter(map(tuple, b))
+    rows = shards.write_shards(edge_docs, *gpt_model(), str(tmp_path / "s"), stride=64, per_shard=50)
+    assert rows.agg(F.sum("length")).first()[0] == sum(r.length for r in a)
+
+
+def test_shards_refuse_ids_over_16_bits(spark, edge_docs, tmp_path, monkeypatch):
+    import json
+
+    from quarry.llm.queries import gpt_model
+    spec, _ = gpt_model()
+    model = json.loads(spec)
+    model["model"]["vocab"]["t"] = 70_000  # "t" alone gets an id beyond 16 bits
+    docs = spark.createDataFrame([(1, "t t t")], "doc_id bigint, text string")
+    with pytest.raises(Exception, match="16 bits"):
+        shards.write_shards(docs, json.dumps(model), None, str(tmp_path / "x")).collect()
