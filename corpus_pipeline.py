@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm import exact, minhash, packing, suffix, toxicity
 from quarry.llm.common import stored
-from quarry.llm.queries import gpt_ranks
+from quarry.llm.queries import gpt_model
 
 PASSAGE_BYTES = 200
 
@@ -53,7 +53,7 @@ def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str,
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     del spark, sf_dir
-    return packing.pack_documents(docs, *gpt_ranks()).withColumnRenamed("id", "doc_id")
+    return packing.pack_documents(docs, *gpt_model()).withColumnRenamed("id", "doc_id")
 
 
 STAGES = [
