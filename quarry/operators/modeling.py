@@ -250,17 +250,27 @@ def _ensure_l1(df: DataFrame, t: Tournament) -> DataFrame:
 def member_columns(df: DataFrame, t: Tournament, names) -> DataFrame:
     """Append ``_p_<name>`` per member (regression value, or probability array).
 
-    Level-2 members first get their level-1 feature columns (T5).
+    Level-2 members first get their level-1 feature columns (T5). Rows are vectorised once for
+    all models that share their preparation, as those of one level do.
     """
     out = with_statistics(df, t)
     if any(t.members[n].level > 1 for n in names):
         out = _ensure_l1(out, t)
+    held, vectors = None, []
     for name in names:
         m = t.members[name]
         parts = []
         for j, model in enumerate(m.fold_models):
             tmp = f"_f{j}_{name}"
-            out = _transform_to(out, model, t, tmp)
+            *prepare, last = model.stages
+            uids = [stage.uid for stage in prepare]
+            if prepare and uids != held:
+                out = out.drop(*vectors)
+                before = set(out.columns)
+                for stage in prepare:
+                    out = stage.transform(out)
+                held, vectors = uids, [c for c in out.columns if c not in before]
+            out = _transform_to(out, last, t, tmp)
             parts.append(tmp)
         if t.kind == "regression":
             avg = sum((F.col(p) for p in parts[1:]), F.col(parts[0])) / len(parts)
@@ -270,7 +280,7 @@ def member_columns(df: DataFrame, t: Tournament, names) -> DataFrame:
                 avg = F.zip_with(avg, F.col(p), lambda a, b: a + b)
             avg = F.transform(avg, lambda x: x / len(parts))
         out = out.withColumn(f"_p_{name}", avg).drop(*parts)
-    return out.drop(*[c for c in t.spec.encoded if c not in df.columns])
+    return out.drop(*vectors, *[c for c in t.spec.encoded if c not in df.columns])
 
 
 def with_statistics(df: DataFrame, t: Tournament) -> DataFrame:
@@ -280,7 +290,7 @@ def with_statistics(df: DataFrame, t: Tournament) -> DataFrame:
     return encoding.apply(df, t.statistics)
 
 
-def _transform_to(df: DataFrame, model: PipelineModel, t: Tournament, out_col: str) -> DataFrame:
+def _transform_to(df: DataFrame, model, t: Tournament, out_col: str) -> DataFrame:
     before = set(df.columns)
     scored = model.transform(df)
     if t.kind == "regression":
@@ -436,13 +446,20 @@ class Deadline:
 def _fit_pool(base: DataFrame, spec: FeatureSpec, pool: dict, kind: str, folds: int,
               parallelism: int, budget_s: float | None, started: float, suffix: str = "",
               level: int = 1, first_order: int = 0) -> dict[str, Member]:
-    """Fit every (model, fold) pair as concurrent Spark jobs; complete members only."""
+    """Fit every (model, fold) pair as concurrent Spark jobs; complete members only.
+
+    All of them read one vectorised frame; the means of missing features are those of the whole training set.
+    """
     jobs = []
     for order, (name, (factory, one_hot)) in enumerate(pool.items(), start=first_order + 1):
         for j in range(folds):
             jobs.append((order, name + suffix, factory, one_hot, j))
     deadline = Deadline(base.sparkSession, None if budget_s is None else budget_s - (time.time() - started))
     label = "_label"
+    ready = vectors = None
+    if any(not isinstance(factory, LeastSquares) for factory, _ in pool.values()):
+        ready = Pipeline(stages=vectorizer(spec, True, "_features")).fit(base)
+        vectors = ready.transform(base).select("_fold", label, "_features").cache()
 
     def fit_one(job):
         order, name, factory, one_hot, j = job
@@ -456,12 +473,11 @@ def _fit_pool(base: DataFrame, spec: FeatureSpec, pool: dict, kind: str, folds:
                 fitted = factory.fit(base, linear_inputs(spec), label, "_fold" if folds > 1 else None, folds)
                 each = (time.time() - t0) / folds
                 return [((order, name, factory, one_hot, k), m, each) for k, m in enumerate(fitted)]
-            part = base.filter(F.col("_fold") != j) if folds > 1 else base
+            part = vectors.filter(F.col("_fold") != j) if folds > 1 else vectors
             est = factory("_features", label).setPredictionCol("_pred")
             if kind != "regression":
                 est = est.setProbabilityCol("_prob").setRawPredictionCol("_raw")
-            model = Pipeline(stages=vectorizer(spec, one_hot, "_features") + [est]).fit(part)
-            return [(job, model, time.time() - t0)]
+            return [(job, PipelineModel([*ready.stages, est.fit(part)]), time.time() - t0)]
         except Exception:
             if deadline.over:  # its jobs were cancelled
                 return []
@@ -476,6 +492,8 @@ def _fit_pool(base: DataFrame, spec: FeatureSpec, pool: dict, kind: str, folds:
             results = [r for found in pool_exec.map(fit_one, once) for r in found]
     finally:
         deadline.close()
+        if vectors is not None:
+            vectors.unpersist()
     members: dict[str, Member] = {}
     for order, name, _f, _o, _j in jobs:
         if name in members:
