@@ -143,6 +143,24 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     return out
 
 
+def least_hashed(ids: DataFrame, order: Column, n: int) -> DataFrame:
+    """The ``n`` distinct rows of ``ids`` (__id) first in ``order``, a 64-bit hash, then by id.
+
+    Rows under a threshold of the hash that some 1.5 n rows should meet are kept first, and the threshold is
+    doubled while fewer than ``n`` do: the final merge sees about 2 n rows, however many tasks there are, and the result is that of the
+    plain order and limit.
+    """
+    share = 1.5 * n / max(1, ids.count())
+    some = ids.distinct()
+    while share < 1:
+        trial = ids.filter(order < F.lit(int(share * 2**64) - 2**63)).distinct()
+        if trial.count() >= n:
+            some = trial
+            break
+        share *= 2
+    return some.orderBy(order, "__id").limit(n)
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic", max_positive: int = 4000, max_unlabelled: int = 8000,
         bits: int = BITS) -> np.ndarray | None:
@@ -152,11 +170,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if not share:
         return None
     order = F.xxhash64(F.lit(7), F.col("__id"))
-    chosen = (known.filter("__y = 1").orderBy(order, "__id").limit(max_positive)
-              .withColumn("__kind", F.lit(1)))
-    others = (docs.filter(training_fold(id_col)).select(F.col(id_col).alias("__id"))
-              .distinct().orderBy(order, "__id").limit(max_unlabelled)
-              .select("__id"))
+    chosen = least_hashed(known.filter("__y = 1").select("__id"), order, max_positive).withColumn("__kind", F.lit(1))
+    others = least_hashed(docs.filter(training_fold(id_col)).select(F.col(id_col).alias("__id")), order, max_unlabelled)
     listed = F.when(F.col("__y") == 1, 2).otherwise(0)  # unlabelled, but a positive as well
     others = others.join(known.filter("__y = 1"), "__id", "left").withColumn("__kind", listed)
     wanted = chosen.select("__id", "__kind").unionByName(others.select("__id", "__kind"))
