@@ -17,9 +17,10 @@ up, so copies never form pairs, however many there are.
 
 *Verification.* Buckets tie representatives into clusters (components over buckets, light rows). A
 cluster of at most ``unit`` members is checked in one task on the full sets: intersection sizes are a
-product of 0/1 matrices, and only a spanning forest of the true links leaves the task. Larger
-clusters are checked bucket by bucket, each distinct bucket once, and a bucket over ``unit``
-in blocks: every pair of blocks is one task, so no task grows with the bucket and no pair is lost.
+product of 0/1 matrices, and only a spanning forest of the true links leaves the task. Members of
+larger clusters are first held against one centre; those linked to it are one class. What is left are pairs with
+a stray, within reach by the triangle inequality of the Jaccard distance: they are checked bucket by bucket, each distinct
+bucket once, and a bucket over ``unit`` in pairs of blocks, so no task grows with the bucket and no pair is lost.
 Links pct * |union| <= 100 * |intersection| are exact on the full sets. Components over the links give the classes.
 
 Defined results: null text or no words: empty set, linked with nothing; rows that repeat share a
@@ -194,18 +195,61 @@ def verify(units: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return units.join(sets, "node").groupBy("unit", "i", "j").applyInArrow(run, "a bigint, b bigint")
 
 
-def blocks(members: DataFrame, unit: int, unit_shingles: int) -> DataFrame:
-    """(unit, i, j, node): groups over the limits fall into blocks, one unit a pair of blocks.
-    ``members`` has (unit, node, n, weight): the group's members and shingles in all."""
-    number = F.greatest(F.ceil(F.col("n") / unit), F.ceil(F.col("weight") / unit_shingles))
-    own = F.pmod(F.xxhash64("node"), F.col("k"))
-    return (members.withColumn("k", F.when(
-                (F.col("n") <= unit) & (F.col("weight") <= unit_shingles), F.lit(1))
-                .otherwise(number * 2).cast("int"))
-            .withColumn("own", own.cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-            .select("unit", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                    "node"))
+def centre_distances(large: DataFrame, members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(label, node, centre, common, own, other) for every node of the large clusters: its set against that of the
+    cluster's centre, the member that shares the most buckets with others. Exact intersection and set sizes."""
+    score = members.join(large, "node").groupBy("label", "node").agg(F.sum("n").alias("score"))
+    centres = stored(score.groupBy("label").agg(F.max(F.struct("score", F.col("node").alias("centre"))).alias("best"))
+                     .select("label", "best.centre"), "centres")
+    pairs = stored(large.join(centres, "label"), "pairs")
+    heads = stored(sets.join(centres.select(F.col("centre").alias("node")).distinct(), "node").select(
+        F.col("node").alias("centre"), F.col("hashes").alias("head")), "heads")
+    both = stored(pairs.join(sets, "node"), "rated").join(heads, "centre")
+
+    def run(batches):
+        for batch in batches:
+            own = [np.frombuffer(x, np.uint64) for x in batch["hashes"].to_pylist()]
+            head = [np.frombuffer(x, np.uint64) for x in batch["head"].to_pylist()]
+            common = [len(np.intersect1d(a, b, assume_unique=True)) for a, b in zip(own, head, strict=True)]
+            yield pa.RecordBatch.from_pydict({
+                "label": batch["label"], "node": batch["node"], "centre": batch["centre"],
+                "common": pa.array(common, pa.int64()), "own": pa.array([len(a) for a in own], pa.int64()),
+                "other": pa.array([len(b) for b in head], pa.int64())})
+
+    return both.select("label", "node", "centre", "hashes", "head").mapInArrow(
+        run, "label bigint, node bigint, centre bigint, common bigint, own bigint, other bigint")
+
+
+def stray_blocks(members: DataFrame, rated: DataFrame, percent: int, unit: int, unit_shingles: int) -> DataFrame:
+    """(unit, i, j, node): what is left to verify in the buckets of large clusters. ``rated`` has (node, linked, far): whether
+    a node is linked to its cluster's centre, and its Jaccard distance from it.
+
+    Two linked nodes are in one class already, so a bucket without strays is done. The distance is a
+    metric, so a linked node can only be linked to a stray that is at most 1 - percent/100 further from the centre.
+    Strays fall into blocks, linked nodes within reach into blocks of their own; a unit is a pair of blocks of
+    which one has strays, so work grows with strays times members.
+    """
+    reach = 1 - percent / 100 + 1e-9
+    here = members.join(rated, "node")
+    nearest = here.filter("not linked").groupBy("key").agg(F.min("far").alias("nearest"))
+    inside = stored(here.join(stored(nearest, "nearest"), "key").filter(
+        ~F.col("linked") | (F.col("far") >= F.col("nearest") - reach)), "reachable")
+    blocks_of = lambda n, weight: F.greatest(F.ceil(n / unit), F.ceil(weight / unit_shingles))
+    only = lambda what, linked: F.sum(F.when(F.col("linked") == linked, what).otherwise(0))
+    one = F.lit(1)
+    sizes = inside.groupBy("key").agg(
+        F.count("*").alias("n"), F.sum("size").alias("weight"), only(one, False).alias("ns"), only(one, True).alias("nl"),
+        only(F.col("size"), False).alias("ws"), only(F.col("size"), True).alias("wl"))
+    fits = (F.col("n") <= unit) & (F.col("weight") <= unit_shingles)
+    sizes = stored(sizes.filter("n > 1").select(
+        "key", F.when(fits, 1).otherwise(blocks_of(F.col("ns"), F.col("ws")) * 2).cast("int").alias("ks"),
+        F.when(fits, 0).otherwise(blocks_of(F.col("nl"), F.col("wl")) * 2).cast("int").alias("kl")), "sizes")
+    dealt = inside.join(sizes, "key").withColumn("own", F.when(
+        F.col("linked") & (F.col("kl") > 0), F.col("ks") + F.pmod(F.xxhash64("node"), F.col("kl")))
+        .otherwise(F.pmod(F.xxhash64("node"), F.col("ks"))).cast("int"))
+    partners = F.when(F.col("own") < F.col("ks"), F.col("ks") + F.col("kl")).otherwise(F.col("ks"))
+    return dealt.withColumn("with", F.explode(F.sequence(F.lit(0), partners - 1))).select(
+        F.col("key").alias("unit"), F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "node")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -244,12 +288,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = stored(clusters.join(sized, "label").withColumn("small", small), "clusters")
     by_cluster = placed.filter("small").select(
         F.col("label").alias("unit"), F.lit(0).alias("i"), F.lit(0).alias("j"), "node")
-    by_bucket = blocks(
-        members.join(placed.filter("not small").select("node"), "node", "left_semi")
-        .select(F.col("key").alias("unit"), "node", "n", "weight"), unit, unit_shingles)
     sets = stored(full_sets(docs, reps.join(placed.select("node"), "node").select("node", "id", "digest"),
                             id_col, text_col, shingle), "sets")
-    links = verify(by_cluster.unionByName(by_bucket), sets, percent)
+    large = placed.filter("not small").select("label", "node")
+    union = F.col("own") + F.col("other") - F.col("common")
+    rated = stored(centre_distances(large, members, sets).select(
+        "node", "centre", (100 * F.col("common") >= percent * union).alias("linked"),
+        (1 - F.col("common") / union).alias("far")), "distances")
+    by_bucket = stray_blocks(members, rated.select("node", "linked", "far"), percent, unit, unit_shingles)
+    links = verify(by_cluster.unionByName(by_bucket), sets, percent).unionByName(
+        rated.filter("linked and node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")))
     classes = components(links)
     named = reps.select("node", "id", "digest").join(classes, "node", "left").withColumn(
         "label", F.coalesce("label", "node"))

@@ -452,3 +452,22 @@ def test_components_of_a_hub(spark):
     edges = [(0, k) for k in range(1, 4000)] + [(k, k + 10_000) for k in range(1, 4000, 7)]
     got = {r.node: r.label for r in graph.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert set(got.values()) == {0} and len(got) == 4000 + len(range(1, 4000, 7))
+
+
+def test_large_clusters_are_linked_to_their_centre_first(spark, monkeypatch):
+    rng = random.Random(31)
+    word = lambda: "w%d" % rng.randrange(10**6)
+    base = [word() for _ in range(200)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 500):  # distinct near copies of one text, and some that are only near to a copy
+        copy = list(base) if i < 440 else rows[rng.randrange(1, 440)][1].split(" ")
+        for _ in range(rng.randint(1, 3)):
+            copy[rng.randrange(200)] = word()
+        rows.append((i, " ".join(copy)))
+    units = []
+    plain = minhash.verify
+    monkeypatch.setattr(minhash, "verify", lambda u, *a: (units.append(u.count()), plain(u, *a))[1])
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), unit=32).collect()
+    assert Counter((r.id, r.n_shingles, r.component_id) for r in got) == Counter(brute_classes(rows))
+    buckets = 32 * len(rows)  # all pairs of blocks would be some (2 * 500 / 32) copies of each member in each bucket
+    assert units[0] < buckets * 2 * len(rows) / 32 / 4
