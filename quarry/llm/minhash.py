@@ -269,7 +269,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands")).select(
         F.col("first.row").alias("node"), F.col("first.id").alias("id"), "digest", "n_shingles",
         "bands"), "representatives")
-    keys = reps.select("node", F.col("n_shingles").alias("size"), F.explode("bands").alias("key"))
+    # as many parts as the shuffles have, so that the counts a task combines stay few
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    keys = reps.select("node", "n_shingles", "bands").repartition(parts, "node").select(
+        "node", F.col("n_shingles").alias("size"), F.explode("bands").alias("key"))
     # counts combine map-side and are written, so the join back is one that Spark splits at a hot band key
     often = stored(keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "often")
     held = stored(keys.join(often, "key"), "held")
