@@ -4,44 +4,20 @@ Fixed values, in the reference's order of use:
 """
 
 # Data split and problem type
-TRAIN_FRACTION = 0.70
-VAL_FRACTION = 0.15
-TEST_FRACTION = 0.15
-SEED = 42
 LOW_CARD_THRESHOLD = 15          # numeric with more distinct values -> regression; <= 15 -> low cardinality
 
 # profiling
-IQR_FACTOR = 1.5
-TARGET_BINS = 50
-FEATURE_BINS = 40
-RESIDUAL_BINS = 60
-MAX_NUMERIC_PLOTS = 20
-MAX_CATEGORICAL_PLOTS = 16
-MAX_LOW_CARD_PLOTS = 6
 TOP_VALUES = 15
 TOP_TARGET_CORR = 8
 TOP_OUTLIER_COLUMNS = 20
-SKEW_ROUND_DIGITS = 4
-HIGH_SKEW = 1.0
-PROFILE_SAMPLE_ROWS = 20_000
 
 # Modelling and evaluation
-BAG_FOLDS = 3
 MAPE_NONZERO = 1e-6
 MINUTES_PER_DAY = 1440
-MAX_ROC_CLASSES = 12
-IMPORTANCE_SAMPLE_ROWS = 2000
-IMPORTANCE_REPEATS = 5
-IMPORTANCE_TOP = 30
-IMPORTANCE_CONFIDENCE = 0.99
-PREDICTION_DIGITS = 2
 
 # Scoring form and batch upload
-FLIGHTS_DIVISOR = 20             # flights = max(1, shipments // 20)
-FORM_LIGHTING_HOURS = 24.0
 PEAK_MONTHS = (5, 6, 7, 12)
 WEEKEND_DAYS_FORM = ("Friday", "Saturday")
-BOUNDED_READ_ROWS = 10_000
 LABEL_SEPARATOR = " — "
 ENCODINGS = ("utf-8", "latin-1", "cp1252")
 SEPARATORS = (",", ";", "\t", "|")

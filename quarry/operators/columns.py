@@ -162,7 +162,7 @@ def column_roles(df: DataFrame, target: str | None = None, order_cols=(), tie_br
     seq_candidates = [c for c in seq_candidates if c in unique]
     if seq_candidates and order_cols:
         ranked = global_rank(df.select(*{*order_cols, *tie_break, *seq_candidates}),
-                             list(order_cols), list(tie_break), rank_col="_q_r")
+                             list(order_cols), list(tie_break), rank_col="_q_r", materialize="checkpoint")
         row = ranked.agg(*[(F.min(_q(c) - F.col("_q_r")).eqNullSafe(F.max(_q(c) - F.col("_q_r"))))
                            .alias(f"_s{i}") for i, c in enumerate(seq_candidates)]).first()
         roles.sequence = [c for i, c in enumerate(seq_candidates) if row[f"_s{i}"]]

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from quarry.functions.numeric import circular_add, circular_diff
 
 from quarry.constants import MAPE_NONZERO as NONZERO_EPS  # noqa: E402
+from quarry.session import ensure_checkpoint_dir
 
 
 def _c(col) -> Column:
@@ -168,7 +169,8 @@ def classification_report(df: DataFrame, y, p) -> DataFrame:
     Columns: row_label, precision, recall, f1, support.  Accuracy is the
     ``accuracy`` row with its value in f1 and support = n, as in the text report.
     """
-    pc = per_class(confusion(df, y, p)).cache()
+    ensure_checkpoint_dir(df.sparkSession)
+    pc = per_class(confusion(df, y, p)).checkpoint()  # a row a class
     rows = pc.select(F.col("class_label").alias("row_label"), "precision", "recall", "f1",
                      "support")
     total = F.sum("support")

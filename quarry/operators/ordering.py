@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 from pyspark import StorageLevel
 
+from quarry.session import ensure_checkpoint_dir
+
 
 _PID = "_q_pid"
 _MID = "_q_mid"
@@ -52,6 +54,7 @@ def _ranged(df: DataFrame, keys: list[Column], num_partitions: int | None,
                 .withColumn(_PID, F.spark_partition_id())
                 .withColumn(_MID, F.monotonically_increasing_id()))
     if materialize == "checkpoint":
+        ensure_checkpoint_dir(df.sparkSession)
         return ranged.checkpoint(eager=True)
     ranged = ranged.persist(StorageLevel.MEMORY_AND_DISK)
     _MATERIALISED.append(ranged)
@@ -310,7 +313,7 @@ def split_labels(rank: Column, total: Column, train: float = 0.70, val: float =
 def chronological_split(df: DataFrame, date_col: str, tie_break=(), train: float = 0.70,
                         val: float = 0.15, split_col: str = "split",
                         rank_col: str | None = None, num_partitions: int | None = None,
-                        materialize: str = "persist") -> DataFrame:
+                        materialize: str = "checkpoint") -> DataFrame:
     """Label each row train/val/test by its position in (date, tie-break) order.
 
     The two cut positions are found by bracketing and every row is labelled by comparing its key

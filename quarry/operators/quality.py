@@ -27,7 +27,7 @@ def resolve_target(df: DataFrame, target: str | None = None) -> str:
     """Configured target, else the last column; ``KeyError`` when absent."""
     name = target or df.columns[-1]
     if name not in df.columns:
-        raise KeyError(f"Target column '{name}' not found. Columns: {df.columns}")
+        raise KeyError(f"the table has no column '{name}' to predict, only {', '.join(df.columns)}")
     return name
 
 

@@ -13,6 +13,7 @@ from quarry.functions.numeric import round_half_even
 from quarry.operators import modeling as mdl
 from quarry.operators.columns import missing_required
 from quarry.operators.features import coerce_batch, reorder
+from quarry.session import ensure_checkpoint_dir
 
 
 class MissingColumns(ValueError):
@@ -26,7 +27,7 @@ def score_batch(df: DataFrame, t: mdl.Tournament, target: str, keys=(), required
     Raises :class:`MissingColumns` listing required names that are absent.
     With ``sort`` the rows come highest prediction first (L2).  A range sort
     samples its input before shuffling, which would run every model twice, so
-    the scored rows are persisted first and both passes read that copy.
+    the scored rows are written to the checkpoint folder first and both passes read that copy.
     """
     required = list(required or (t.spec.numeric + t.spec.categorical))
     missing = missing_required(df, required)
@@ -39,7 +40,8 @@ def score_batch(df: DataFrame, t: mdl.Tournament, target: str, keys=(), required
     scored = reorder(scored, [pred_col, *keys])
     if not sort:
         return scored
-    return scored.persist().orderBy(F.desc(pred_col), *keys)
+    ensure_checkpoint_dir(df.sparkSession)
+    return scored.checkpoint().orderBy(F.desc(pred_col), *keys)
 
 
 def batch_summary(scored: DataFrame, pred_col: str) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from quarry.constants import TOP_VALUES
 from quarry.functions.calendar import add_calendar_features
+from quarry.functions.numeric import normalized_problem_type
 from quarry.operators import curves as crv
 from quarry.operators import metrics as met
 from quarry.operators import modeling as mdl
@@ -257,7 +258,7 @@ def evaluate(split: DataFrame, t: mdl.Tournament, scored: DataFrame | None = Non
             metrics["roc_auc_ovr_weighted"] = a
     report = _one_row(spark, {
         "stage": "evaluation", "best_model": t.best,
-        "problem_type": t.kind,
+        "problem_type": normalized_problem_type(t.kind),
         "eval_metric": t.eval_metric, "target_col": target,
         "test_rows": test.count(), "metrics": {k: (float(v) if v is not None else None)
                                               for k, v in metrics.items()},
@@ -301,12 +302,12 @@ def run_all(df: DataFrame, target: str, date_col: str, tie_break, key_cols, out_
 
     Outputs: ``ingestion`` / ``eda`` / ``preparation`` / ``evaluation``
     reports (JSON), ``splits`` (the cleaned table) and ``prepared`` (parquet partitioned by split), the
-    ``skew_kurtosis``, ``outliers``, ``leaderboard``, ``charts/*`` and ``evaluation_tables/*`` tables (CSV) and the
+    scoring ``template`` (20 rows without the target), the ``skew_kurtosis``, ``outliers``, ``leaderboard``, ``charts/*`` and ``evaluation_tables/*`` tables (CSV) and the
     saved ``model``.  The date column is a feature (year, month, day, weekday) unless excluded.
     A failing stage raises and stops the run, like the reference's runner.
     """
     from quarry.operators.modeling import save
-    from quarry.sources.sinks import write_report, write_splits, write_table
+    from quarry.sources.sinks import export_template, write_report, write_splits, write_table
 
     ing = ingest(df, target, date_col, tie_break)
     write_report(ing.report, f"{out_dir}/ingestion")
@@ -324,6 +325,8 @@ def run_all(df: DataFrame, target: str, date_col: str, tie_break, key_cols, out_
     prep_report, pruned = prepare(ing.split, ing.target, explicit_drops, [date_col], tie_break)
     write_report(prep_report, f"{out_dir}/preparation")
     write_splits(pruned, f"{out_dir}/prepared")
+    export_template(pruned.drop("split"), f"{out_dir}/template", ing.target, [date_col, *tie_break]
+                    if date_col in pruned.columns else list(key_cols))
     t, board = train_models(pruned, ing.target, key_cols, exclude=tuple(exclude),
                             folds=folds, budget_s=budget_s)
     write_table(board, f"{out_dir}/leaderboard")

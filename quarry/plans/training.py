@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from quarry.operators import modeling as mdl
 from quarry.operators.columns import problem_type, prune_columns, prune_decision
 from quarry.operators.ordering import chronological_split
+from quarry.session import ensure_checkpoint_dir
 from quarry.sources.tables import table
 
 _CACHE: dict = {}
@@ -21,8 +22,9 @@ LINEITEM_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 
 def split_table(df: DataFrame, date_col: str, tie_break) -> DataFrame:
-    """Chronological split, materialised once: later stages read it many times."""
-    return chronological_split(df, date_col, tie_break).cache()
+    """Chronological split, written to the checkpoint folder once: later stages read it many times."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return chronological_split(df, date_col, tie_break).checkpoint()
 
 
 def lineitem_splits(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:

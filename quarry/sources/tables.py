@@ -29,9 +29,3 @@ def table(spark: SparkSession, root: str, name: str, spread: bool = False) -> Da
         if df.rdd.getNumPartitions() * 2 <= cores:
             df = df.repartition(cores)
     return df
-
-
-def register_views(spark: SparkSession, root: str, names=TABLE_NAMES) -> None:
-    """Expose the tables to ``spark.sql`` under their own names."""
-    for name in names:
-        table(spark, root, name).createOrReplaceTempView(name)

@@ -36,7 +36,7 @@ def test_run_all_writes_every_output(spark):
     for name in ("ingestion", "eda", "preparation", "evaluation", "splits", "prepared", "leaderboard", "model",
                  "charts/target_histogram", "charts/target_box", "charts/feature_histograms",
                  "charts/target_corr", "charts/value_counts", "charts/category_vs_target", "charts/missing_counts",
-                 "charts/top_outliers", "charts/correlation", "charts/feature_vs_target", "outliers",
+                 "charts/top_outliers", "charts/correlation", "charts/feature_vs_target", "outliers", "template",
                  "evaluation_tables/importance", "evaluation_tables/actual_vs_predicted",
                  "evaluation_tables/residual_histogram", "evaluation_tables/fit_range"):
         assert os.path.exists(os.path.join(out, name)), name
