@@ -7,25 +7,26 @@ and duplicate rows) and Insert an empty user or assistant turn (3); a truncated
 cheapest edits are found whose role initials are ``(s?(ua)+)?``; of equally cheap ones those whose initials,
 in order, are least in ASCII.
 
-*Method.* A path of edits is one integer: its cost in the high digits, below it a slot of three letters for
-each row (the row's letter after the inserts before it, D=1, I=2, K=3, R=4) and one slot for inserts at the
-end, slots and letters being padded with zeros at their ends. Weights of edges add up, so the plain integer
-minimum over the graph (row, state of the role pattern) decides cost and ties at once. Every slot but the last ends with its
-row's letter, so none begins another one, and the order of slots is the order of the letters.
-
-*Distribution.* Equal rows are first merged into one with a count (map-side combined). Rows are then range-partitioned by conversation and place, so
-a conversation may span many partitions. A task solves those that lie within it; of those at its edges, or
-longer than ``chunk`` rows, it makes segments, each with the least weight between any two
-states. One fold over these small tables (sorted, streamed from the end) chooses the states
-between segments; the segments' edits are then applied in parallel. Only a conversation's own audit is ever held
-whole, since it is one value of the result.
+*Method.* A path of edits is one integer: its cost in the high digits, below it a slot of three letters for each
+row (the row's letter after the inserts before it, D=1, I=2, K=3, R=4) and one slot for inserts at the end,
+slots and letters being padded with zeros at their ends. Weights of edges add up, so the plain integer minimum
+over the graph (row, state of the role pattern) decides cost and ties at once. Every slot but the last ends with
+its row's letter, so none begins another one, and the order of slots is the order of the letters.
+
+*Distribution.* Equal rows are first merged into one with a count (map-side combined). Rows are then
+range-partitioned by conversation and place, so a conversation may span many partitions. A task solves those
+that lie within it; of those at its edges, or longer than ``chunk`` rows, it makes segments, each with the least
+weight between any two states. One fold over these small tables (sorted, streamed from the end) chooses the
+states between segments; the segments' edits are then applied in parallel. Only a conversation's own audit is
+ever held whole, since it is one value of the result.
 
 Why two inserts a slot are enough: two adjacent inserts are a pair that can be left out, unless it is the
 only pair behind a system turn.
 
 Defined results: null role or text is one space; a role without an initial of s, u or a cannot be kept; null
-conversation ids are one conversation; null turns come first and do not count as turns; rows with count 0 only name their conversation,
-which then has zeros, an empty audit and no turns; an empty table gives an empty result; other columns are never read.
+conversation ids are one conversation; null turns come first and do not count as turns; rows with count 0 only
+name their conversation, which then has zeros, an empty audit and no turns; an empty table gives an empty
+result; other columns are never read.
 """
 
 from __future__ import annotations

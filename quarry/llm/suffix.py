@@ -11,8 +11,8 @@ its windows together, under 2 * length bytes) holds a run's worth of suffixes at
 
 1. One pass over the texts makes the records. Records with equal text within a slice are settled there.
 2. Records shuffle by the hash of their gram (fixed-size rows, no text), those of grams that a sample shows to
-   be hot by their text as well. Equal records anywhere settle each other whole; grams that occur with one text only are done. What remains are grams with
-   different texts around them: the edges of repeated passages.
+   be hot by their text as well. Equal records anywhere settle each other whole; grams that occur with one text
+   only are done. What remains are grams with different texts around them: the edges of repeated passages.
 3. The texts of those are fetched and range-partitioned by their leading tokens at the anchor (the whole gram),
    with sampled splitters. Each bucket sorts the suffixes to the right of the anchors, and the reversed
    prefixes to the left, by multikey quicksort on 8-byte tokens, level by level. The common
