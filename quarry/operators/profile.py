@@ -1,7 +1,8 @@
 """Distribution profiling.
 
-Statistics over many columns are fused: one aggregate computes the moments
-of every column, one sketch a column brackets all quantiles and one counting pass makes them exact.  Long ("tidy") outputs keep schemas fixed whatever the input width.
+Statistics over many columns are fused: one aggregate computes the moments of every column, one sketch a column
+brackets all quantiles and one counting pass makes them exact.  Long ("tidy") outputs keep schemas fixed
+whatever the input width.
 """
 
 from __future__ import annotations
@@ -376,9 +377,9 @@ def _pearson(df: DataFrame, pairs: list[tuple[str, str]], names=("column_a", "co
     """(names[0], names[1], corr) of each pair over the rows where both are present (pairwise-complete, as
     pandas does), in two passes of plain sums whatever is missing.
 
-    The first gives counts and means. The second sums products of values centred by them, with 0 for a
-    missing value, and, only for columns that miss some, the same masked by the other column: pair counts, sums and squares. A column that is constant
-    on a pair's rows (min = max, exactly) has no correlation.
+    The first gives counts and means. The second sums products of values centred by them, with 0 for a missing
+    value, and, only for columns that miss some, the same masked by the other column: pair counts, sums and
+    squares. A column that is constant on a pair's rows (min = max, exactly) has no correlation.
     """
     cols = list(dict.fromkeys(c for p in pairs for c in p))
     at = {c: i for i, c in enumerate(cols)}

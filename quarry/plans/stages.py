@@ -300,10 +300,11 @@ def run_all(df: DataFrame, target: str, date_col: str, tie_break, key_cols, out_
             exclude=()) -> dict[str, DataFrame]:
     """Stages 1-5 in order, each report and table written under ``out_dir``.
 
-    Outputs: ``ingestion`` / ``eda`` / ``preparation`` / ``evaluation``
-    reports (JSON), ``splits`` (the cleaned table) and ``prepared`` (parquet partitioned by split), the
-    scoring ``template`` (20 rows without the target), the ``skew_kurtosis``, ``outliers``, ``leaderboard``, ``charts/*`` and ``evaluation_tables/*`` tables (CSV) and the
-    saved ``model``.  The date column is a feature (year, month, day, weekday) unless excluded.
+    Outputs: ``ingestion`` / ``eda`` / ``preparation`` / ``evaluation`` reports (JSON), ``splits`` (the cleaned
+    table) and ``prepared`` (parquet partitioned by split), the scoring ``template`` (20 rows without the
+    target), the ``skew_kurtosis``, ``outliers``, ``leaderboard``, ``charts/*`` and ``evaluation_tables/*``
+    tables (CSV) and the saved ``model``.  The date column is a feature (year, month, day, weekday) unless
+    excluded.
     A failing stage raises and stops the run, like the reference's runner.
     """
     from quarry.operators.modeling import save
