@@ -50,6 +50,15 @@ SKETCH_K = 4096
 #: Rank error that a KLL sketch of this k exceeds once in a hundred, and how many of them a bracket takes each way.
 SKETCH_ERROR = 2.296 / SKETCH_K ** 0.9021
 BRACKET = 4 * SKETCH_ERROR
+#: A table of numbers per group is sent whole to every task up to this many groups.
+SENT_GROUPS = 10_000
+
+
+def _sent_if_few(per_group: DataFrame, stored: DataFrame, rows: int = 1) -> DataFrame:
+    """``per_group`` to be broadcast where ``stored``, a frame in the checkpoint folder with ``rows`` rows a group, has few
+    groups. Without the hint a stored frame counts as large as what it was made from, and the rows
+    that it is joined to would be dealt and sorted by the few groups."""
+    return F.broadcast(per_group) if stored.limit(SENT_GROUPS * rows + 1).count() <= SENT_GROUPS * rows else per_group
 
 
 def value_sketches(long: DataFrame, group_cols=("column_name",), value_col="value") -> DataFrame:
@@ -92,7 +101,8 @@ def quantiles_long(long: DataFrame, probs, group_cols=("column_name",), value_co
             .select(*gkeys, "_q_x.*")
     edges = sketches.select(*gkeys, *[at(p + way * BRACKET).alias(f"_q_{side}{i}") for i, p in enumerate(probs)
                                       for side, way in (("lo", -1), ("hi", 1))])
-    found = _quantiles_by_counts(rows, probs, gkeys, edges)
+    edges = edges.select("*", *[ordered_bits(n).alias(f"{n}b") for n in edges.columns[len(gkeys):]])
+    found = _quantiles_by_counts(rows, probs, gkeys, _sent_if_few(edges, sketches) if gkeys else edges)
     if found.filter(F.col("quantile").isNull()).limit(1).count():
         return _quantiles_by_counts(rows, probs, gkeys, None)
     return found
@@ -107,7 +117,6 @@ def _quantiles_by_counts(rows: DataFrame, probs: list[float], gkeys: list[str],
         keyed = rows.select(*gkeys, bits.alias("_q_at"), v.alias("_q_x"))
     else:
         names = [f"_q_{side}{i}" for i in range(len(probs)) for side in ("lo", "hi")]
-        edges = edges.select(*gkeys, *names, *[ordered_bits(n).alias(f"{n}b") for n in names])
         if gkeys:
             rows, of = rows.join(edges, gkeys), F.col
         else:  # one row of numbers
@@ -271,7 +280,7 @@ def box_stats(df: DataFrame, value_col: str, group_cols=(), exact: bool = True,
     lo, hi = iqr_bounds(F.col("q1"), F.col("q3"), k)
     five = five.withColumns({"_q_lo": lo, "_q_hi": hi})
     if gcols:
-        joined, of = long.join(five, gcols), F.col
+        joined, of = long.join(_sent_if_few(five, q, len(names)), gcols), F.col
     else:  # five numbers
         one = five.first()
         joined, of = long, lambda n: F.lit(one[n]).cast("double")
