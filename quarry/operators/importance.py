@@ -1,15 +1,16 @@
 """Permutation feature importance as one distributed job.
 
-Rows get a position by the MD5 of their key and the seed; the table is dealt by that position once. For every
-(feature, repeat) the row at a position receives the feature's value of the row whose MD5 of key, seed,
-feature and repeat has that rank. Only those donors (position, feature, repeat, value) are shipped to it, a fixed
-number a row, so wide rows cross the network once. All variants and the unchanged rows are scored where the rows lie by ONE
+Rows get a position by the MD5 of their key and the seed. For every (feature, repeat) the row at a position
+receives the feature's value of the row whose MD5 of key, seed, feature and repeat has that rank. One shuffle deals
+rows and donors (digest, variant, value) by ranges of ranks, a fixed number a row, so wide rows cross the
+network once. All variants and the unchanged rows are scored where the rows lie by ONE
 ``transform``, and the metric per variant is a grouped aggregate that combines map-side.
 importance = baseline score - permuted score.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from quarry.operators import modeling as mdl
 from quarry.operators.profile import hash_sample
 from quarry.operators.stats import importance_row
+from quarry.session import ensure_checkpoint_dir
 
 IMPORTANCE_SCHEMA = ("feature string, importance double, stddev double, p_value double, n int, "
                      "p99_high double, p99_low double")
@@ -68,25 +70,79 @@ def key_text(key_cols) -> Column:
     return F.concat_ws("|", *[F.coalesce(F.col(f"`{k}`").cast("string"), F.lit("")) for k in key_cols])
 
 
+#: Rows of one unit of ranks over all variants, and ranges of digests over all variants.
+UNIT_ROWS = 4_000_000
+DIGEST_RANGES = 1 << 20
+
+
 def permuted_variants(df: DataFrame, key_cols, features, n_repeats: int, seed: int) -> DataFrame:
     """Every row once as it is (``_q_f`` -1) and once a (feature ``_q_f``, repeat ``_q_r``), with that feature's
-    value from the row that the permutation names. ``key_cols`` should be unique."""
-    features = list(features)
-    text = lambda *more: F.md5(F.concat_ws("|", key_text(key_cols), F.lit(str(seed)),
-                                           *[m.cast("string") for m in more]).cast("binary"))
-    placed = hash_rank(df.withColumn("_q_h", text()), "_q_h", "_q_i").drop("_q_h")
-    slots = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("_q_f"), F.lit(r).alias("_q_r"), F.col(f"`{c}`").cast("string").alias("_q_d"))
-        for i, c in enumerate(features) for r in range(n_repeats)]))
-    narrow = df.select(*[F.col(f"`{k}`") for k in dict.fromkeys([*key_cols, *features])], slots.alias("_q_x"))
-    donors = hash_rank(narrow.select(text(F.col("_q_x._q_f"), F.col("_q_x._q_r")).alias("_q_h"), "_q_x._q_f", "_q_x._q_r",
-                                     "_q_x._q_d"), "_q_h", "_q_i", ["_q_f", "_q_r"])
-    given = donors.groupBy("_q_i").agg(F.collect_list(F.struct("_q_f", "_q_r", "_q_d")).alias("_q_x"))
-    own = F.array(F.struct(F.lit(-1).alias("_q_f"), F.lit(0).alias("_q_r"), F.lit(None).cast("string").alias("_q_d")))
-    rows = placed.join(given, "_q_i").withColumn("_q_x", F.explode(F.concat(own, "_q_x")))
+    value from the row that the permutation names. ``key_cols`` should be unique; rows of equal keys have the order of
+    their values.
+
+    Ranks are cut into units of equal length. Counts by the first digits of the digests say which ranks a range of
+    digests has, so a row and the donors of its unit are dealt to the unit at once (a range that lies in
+    two units goes to both), ranked there and matched by rank.
+    """
+    features, own = list(features), list(df.columns)
+    kinds = list(dict.fromkeys(df.schema[c].dataType for c in features))
+    held = [f"_q_v{k}" for k in range(len(kinds))]
+    of_kind = {c: f"_q_v{kinds.index(df.schema[c].dataType)}" for c in features}
+    variants = len(features) * n_repeats
+    digits = next(d for d in (4, 3, 2) if d == 2 or (variants + 1) << (4 * d) <= DIGEST_RANGES)
+    number = lambda first, n: F.conv(F.substring("_q_d", first, n), 16, 10)
+    whole, feature = F.col("_q_s") < 0, F.floor(F.col("_q_s") / F.lit(n_repeats)).cast("int")
+    name = F.concat_ws("|", feature.cast("string"), (F.col("_q_s") % n_repeats).cast("string"))
+
+    def slots(rows: DataFrame) -> DataFrame:
+        """A row itself (-1) and as the donor of every variant, with the digest that ranks it."""
+        keyed = rows.withColumn("_q_k", F.concat_ws("|", key_text(key_cols), F.lit(str(seed))))
+        return keyed.withColumn("_q_s", F.explode(F.sequence(F.lit(-1), F.lit(variants - 1)))).withColumn(
+            "_q_d", F.md5(F.when(whole, F.col("_q_k")).otherwise(F.concat_ws("|", "_q_k", name)).cast("binary")))
+
+    ensure_checkpoint_dir(df.sparkSession)
+    counts = slots(df).groupBy("_q_s", number(1, digits).cast("int").alias("_q_b")).agg(F.count(F.lit(1)).alias("_q_n")).checkpoint()
+    n = counts.filter("_q_s < 0").agg(F.sum("_q_n")).first()[0] or 0
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    units = max(1, min((1 << (4 * digits)) // 16, max(least, n * (variants + 1) // UNIT_ROWS)))
+    per = max(1, -(-n // units))  # ranks a unit
+    before = Window.partitionBy("_q_s").orderBy("_q_b").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = counts.select("_q_s", "_q_b", "_q_n", F.coalesce(F.sum("_q_n").over(before), F.lit(0)).alias("_q_o"))
+    unit = lambda at: F.floor(at / F.lit(per)).cast("int")
+    of_unit = Window.partitionBy("_q_s", "_q_u")
+    parts = ranges.withColumn("_q_u", F.explode(F.sequence(unit(F.col("_q_o")), unit(F.col("_q_o") + F.col("_q_n") - 1)))) \
+        .select("_q_s", "_q_b", "_q_u", (F.col("_q_b") - F.min("_q_b").over(of_unit)).alias("_q_k"),
+                (F.min("_q_o").over(of_unit) - F.col("_q_u") * F.lit(per)).alias("_q_o")).checkpoint()
+    # a row's order in its unit: the range of digests, counted from the unit's first, and as many digits as fit in
+    more = (63 - (parts.agg(F.max("_q_k")).first()[0] or 0).bit_length()) // 4
+    starts = parts.select("_q_u", "_q_s", "_q_o").distinct()
+
+    value = lambda v: functools.reduce(
+        lambda found, i: found.when(feature == i, F.col(f"`{features[i]}`")),
+        [i for i, c in enumerate(features) if of_kind[c] == v], F.when(whole, F.lit(None)))
+    dealt = slots(df.withColumn("_q_t", F.xxhash64(*[F.col(f"`{c}`") for c in own]))).withColumns(
+        {v: value(v).cast(t) for v, t in zip(held, kinds)} | {"_q_b": number(1, digits).cast("int")}).drop("_q_k")
+    dealt = dealt.withColumns({c: F.when(whole, F.col(f"`{c}`")) for c in [*own, "_q_t"]})
+    # parts and starts: DIGEST_RANGES rows and units a variant, with those in two units twice
+    dealt = dealt.join(F.broadcast(parts.drop("_q_o")), ["_q_s", "_q_b"]).withColumn(
+        "_q_h", F.shiftleft(F.col("_q_k").cast("long"), 4 * more) + number(1 + digits, more).cast("long")) \
+        .select(*[F.col(f"`{c}`") for c in own], "_q_t", "_q_s", *held, "_q_h", "_q_u") \
+        .repartitionById(units, F.col("_q_u"))  # what differs between rows is side by side, which compresses better
+
+    inside = Window.partitionBy("_q_u", "_q_s").orderBy("_q_h", "_q_t", *held)
+    ranked = dealt.withColumn("_q_i", F.row_number().over(inside)).join(F.broadcast(starts), ["_q_u", "_q_s"]) \
+        .withColumn("_q_i", F.col("_q_o") + F.col("_q_i") - 1).filter(F.col("_q_i").between(0, per - 1))
+    donor = F.when(~whole, F.struct("_q_s", *held))
+    rows = ranked.groupBy("_q_u", "_q_i").agg(
+        *[F.first(F.col(f"`{c}`"), ignorenulls=True).alias(c) for c in own], F.collect_list(donor).alias("_q_x"))
+    itself = F.array(F.struct(F.lit(-1).alias("_q_s"), *[F.lit(None).cast(t).alias(v) for v, t in zip(held, kinds)]))
+    rows = rows.withColumn("_q_x", F.explode(F.concat(itself, "_q_x")))
+    s = F.col("_q_x._q_s")
+    of = F.when(s < 0, F.lit(-1)).otherwise(F.floor(s / F.lit(n_repeats)).cast("int"))
     return rows.withColumns({
-        c: F.when(F.col("_q_x._q_f") == i, F.col("_q_x._q_d").cast(df.schema[c].dataType)).otherwise(F.col(f"`{c}`"))
-        for i, c in enumerate(features)} | {"_q_f": F.col("_q_x._q_f"), "_q_r": F.col("_q_x._q_r")}).drop("_q_x", "_q_i")
+        c: F.when(of == i, F.col(f"_q_x.{of_kind[c]}")).otherwise(F.col(f"`{c}`"))
+        for i, c in enumerate(features)} | {
+            "_q_f": of, "_q_r": F.when(s < 0, F.lit(0)).otherwise(s % n_repeats)}).drop("_q_x", "_q_u", "_q_i")
 
 
 def importance_by_variant(df: DataFrame, key_cols, features, score: Callable[[DataFrame], DataFrame],
