@@ -142,7 +142,10 @@ def _hasher(columns) -> SQLTransformer:
 # ---------------------------------------------------------------- T3 pool
 
 def model_pool(kind: str, n_classes: int = 2, seed: int = 42) -> dict[str, tuple]:
-    """name -> (estimator factory, uses one-hot features)."""
+    """name -> (estimator factory, uses one-hot features).
+
+    Forests keep every row's node in every tree from level to level; the trees are those found from the root.
+    """
     if kind == "regression":
         return {
             "linear": (LeastSquares(), True),
@@ -151,7 +154,7 @@ def model_pool(kind: str, n_classes: int = 2, seed: int = 42) -> dict[str, tuple
                                                             seed=seed), False),
             "forest": (lambda f, l: reg.RandomForestRegressor(
                 featuresCol=f, labelCol=l, numTrees=30, maxDepth=8, maxBins=MAX_CATEGORIES + 1,
-                seed=seed), False),
+                cacheNodeIds=True, seed=seed), False),
             "gbt": (lambda f, l: reg.GBTRegressor(featuresCol=f, labelCol=l, maxIter=30,
                                                   maxDepth=5, maxBins=MAX_CATEGORIES + 1,
                                                   seed=seed), False),
@@ -164,7 +167,7 @@ def model_pool(kind: str, n_classes: int = 2, seed: int = 42) -> dict[str, tuple
                                                          seed=seed), False),
         "forest": (lambda f, l: cls.RandomForestClassifier(
             featuresCol=f, labelCol=l, numTrees=30, maxDepth=8, maxBins=MAX_CATEGORIES + 1,
-            seed=seed), False),
+            cacheNodeIds=True, seed=seed), False),
     }
     if n_classes == 2:
         pool["gbt"] = (lambda f, l: cls.GBTClassifier(featuresCol=f, labelCol=l, maxIter=30,
@@ -358,7 +361,7 @@ def run_tournament(train: DataFrame, val: DataFrame, target: str, kind: str, key
     ``budget_s`` ends the fits that still run when it is over, by the tag of their jobs, and starts no others
     (a member enters the board only with all its folds).  The labelled training frame is cached once, with
     the out-of-fold target statistics of its categoricals,
-    and reused by every fit; up to ``parallelism`` fits run as concurrent jobs.
+    and reused by every fit; up to ``parallelism`` members are fitted as concurrent jobs, each one fold at a time.
     ``stack_levels=2`` adds a second bagged pool fed with out-of-fold level-1
     predictions (T5; unset in the reference configuration, so off by default).
     """
@@ -446,9 +449,10 @@ class Deadline:
 def _fit_pool(base: DataFrame, spec: FeatureSpec, pool: dict, kind: str, folds: int,
               parallelism: int, budget_s: float | None, started: float, suffix: str = "",
               level: int = 1, first_order: int = 0) -> dict[str, Member]:
-    """Fit every (model, fold) pair as concurrent Spark jobs; complete members only.
+    """Fit the members side by side as concurrent Spark jobs; complete members only.
 
-    All of them read one vectorised frame; the means of missing features are those of the whole training set.
+    A member's folds go one after another: every fit of trees holds a copy of its rows, and many at once would not
+    stay in memory. All of them read one vectorised frame; the means of missing features are those of the whole training set.
     """
     jobs = []
     for order, (name, (factory, one_hot)) in enumerate(pool.items(), start=first_order + 1):
@@ -485,11 +489,17 @@ def _fit_pool(base: DataFrame, spec: FeatureSpec, pool: dict, kind: str, folds:
         finally:
             context.removeJobTag(deadline.tag)
 
+    def fit_all(chain):
+        return [r for job in chain for r in fit_one(job)]
+
     # fits are independent Spark jobs; running a few at once keeps executors busy
     once = [job for job in jobs if job[4] == 0 or not isinstance(job[2], LeastSquares)]
+    chains: dict[str, list] = {}
+    for job in once:
+        chains.setdefault(job[1], []).append(job)
     try:
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool_exec:
-            results = [r for found in pool_exec.map(fit_one, once) for r in found]
+            results = [r for found in pool_exec.map(fit_all, chains.values()) for r in found]
     finally:
         deadline.close()
         if vectors is not None:
