@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators import encoding
 from quarry.operators import metrics as met
+from quarry.operators import trees as hist
 from quarry.operators.columns import type_partition
 from quarry.operators.least_squares import LeastSquares
 
@@ -116,6 +117,14 @@ def vectorizer(spec: FeatureSpec, one_hot: bool, out_col: str) -> list:
     return stages
 
 
+def vector_inputs(spec: FeatureSpec) -> list[str]:
+    """The columns that ``vectorizer`` assembles, where all of them hold one number."""
+    if spec.categorical and not spec.encoded:
+        return []
+    num_in = [*spec.numeric, *[f"_{part}_{c}" for c in spec.dates for part in DATE_PARTS]]
+    return [*[f"_imp_{c}" for c in num_in], *spec.encoded]
+
+
 def _caster(inputs, outputs) -> SQLTransformer:
     """Numeric inputs as doubles (the imputer needs floating columns)."""
     sel = ", ".join(f"CAST(`{i}` AS DOUBLE) AS `{o}`" for i, o in zip(inputs, outputs))
@@ -451,8 +460,9 @@ def _fit_pool(base: DataFrame, spec: FeatureSpec, pool: dict, kind: str, folds:
               level: int = 1, first_order: int = 0) -> dict[str, Member]:
     """Fit the members side by side as concurrent Spark jobs; complete members only.
 
-    A member's folds go one after another: every fit of trees holds a copy of its rows, and many at once would not
-    stay in memory. All of them read one vectorised frame; the means of missing features are those of the whole training set.
+    Regression trees are fitted from blocks of binned rows (``trees.py``), all folds of a member at once. Of other
+    members the folds go one after another: every fit holds a copy of its rows, and many at once would not
+    stay in memory. These read one vectorised frame; the means of missing features are those of the whole training set.
     """
     jobs = []
     for order, (name, (factory, one_hot)) in enumerate(pool.items(), start=first_order + 1):
@@ -461,9 +471,15 @@ def _fit_pool(base: DataFrame, spec: FeatureSpec, pool: dict, kind: str, folds:
     deadline = Deadline(base.sparkSession, None if budget_s is None else budget_s - (time.time() - started))
     label = "_label"
     ready = vectors = None
-    if any(not isinstance(factory, LeastSquares) for factory, _ in pool.values()):
+    blocks: dict[int, hist.Blocks] = {}
+    asked = {name: factory("_features", label).setPredictionCol("_pred") for name, (factory, _) in pool.items()
+             if not isinstance(factory, LeastSquares)}
+    inputs = vector_inputs(spec)
+    binned = {name for name, est in asked.items() if kind == "regression" and inputs and hist.fits(est)}
+    if asked:
         ready = Pipeline(stages=vectorizer(spec, True, "_features")).fit(base)
-        vectors = ready.transform(base).select("_fold", label, "_features").cache()
+        if set(asked) - binned:
+            vectors = ready.transform(base).select("_fold", label, "_features").cache()
 
     def fit_one(job):
         order, name, factory, one_hot, j = job
@@ -477,6 +493,13 @@ def _fit_pool(base: DataFrame, spec: FeatureSpec, pool: dict, kind: str, folds:
                 fitted = factory.fit(base, linear_inputs(spec), label, "_fold" if folds > 1 else None, folds)
                 each = (time.time() - t0) / folds
                 return [((order, name, factory, one_hot, k), m, each) for k, m in enumerate(fitted)]
+            plain = name.removesuffix(suffix)
+            if plain in binned:  # all folds at once
+                est = asked[plain]
+                fitted = hist.fit(est, blocks[est.getMaxBins()], inputs, folds)
+                each = (time.time() - t0) / folds
+                return [((order, name, factory, one_hot, k), PipelineModel([*ready.stages, m]), each)
+                        for k, m in enumerate(fitted)]
             part = vectors.filter(F.col("_fold") != j) if folds > 1 else vectors
             est = factory("_features", label).setPredictionCol("_pred")
             if kind != "regression":
@@ -493,15 +516,21 @@ def _fit_pool(base: DataFrame, spec: FeatureSpec, pool: dict, kind: str, folds:
         return [r for job in chain for r in fit_one(job)]
 
     # fits are independent Spark jobs; running a few at once keeps executors busy
-    once = [job for job in jobs if job[4] == 0 or not isinstance(job[2], LeastSquares)]
+    once = [job for job in jobs if job[4] == 0 or not (
+        isinstance(job[2], LeastSquares) or job[1].removesuffix(suffix) in binned)]
     chains: dict[str, list] = {}
     for job in once:
         chains.setdefault(job[1], []).append(job)
     try:
+        for most in sorted({asked[name].getMaxBins() for name in binned}):
+            blocks[most] = hist.blocks_of(ready.transform(base), inputs, label, "_fold", folds, most,
+                                          min(asked[name].getSeed() for name in binned))
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool_exec:
             results = [r for found in pool_exec.map(fit_all, chains.values()) for r in found]
     finally:
         deadline.close()
+        for held in blocks.values():
+            held.rdd.unpersist()
         if vectors is not None:
             vectors.unpersist()
     members: dict[str, Member] = {}
