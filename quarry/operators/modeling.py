@@ -41,6 +41,7 @@ from quarry.operators import metrics as met
 from quarry.operators import trees as hist
 from quarry.operators.columns import type_partition
 from quarry.operators.least_squares import LeastSquares
+from quarry.session import batches_by_rows
 
 MAX_CATEGORIES = 256
 
@@ -409,7 +410,8 @@ def run_tournament(train: DataFrame, val: DataFrame, target: str, kind: str, key
                                    started, suffix="_l2", level=2, first_order=len(t.members)))
         base2.unpersist()
     base.unpersist()
-    scored = _score_members(t, val)
+    with batches_by_rows(val.sparkSession):
+        scored = _score_members(t, val)
     _fit_ensemble(t, scored, ensemble_rounds)
     scored.unpersist()
     return t

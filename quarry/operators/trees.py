@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.histograms import NO_BIN, add, best, descend, histograms, left_over, packer
+from quarry.session import batches_by_rows
 
 #: Rows of one partition of blocks.
 PARTITION_ROWS = 4_000_000
@@ -97,8 +98,9 @@ def blocks_of(frame: DataFrame, inputs: list[str], label: str, fold: str, folds:
     cores = frame.sparkSession.sparkContext.defaultParallelism
     wide = cores * -(-total // (cores * PARTITION_ROWS))
     packed = rows.coalesce(wide).mapInArrow(packer(edges, means, folds, len(inputs)), "block binary")
-    rdd = packed.rdd.map(lambda r: pickle.loads(r[0])).persist(StorageLevel.MEMORY_AND_DISK)
-    rdd.count()
+    with batches_by_rows(frame.sparkSession):
+        rdd = packed.rdd.map(lambda r: pickle.loads(r[0])).persist(StorageLevel.MEMORY_AND_DISK)
+        rdd.count()
     return Blocks(rdd, edges, means, width)
 
 

@@ -13,7 +13,7 @@ from quarry.functions.numeric import round_half_even
 from quarry.operators import modeling as mdl
 from quarry.operators.columns import missing_required
 from quarry.operators.features import coerce_batch, reorder
-from quarry.session import ensure_checkpoint_dir
+from quarry.session import batches_by_rows, ensure_checkpoint_dir
 
 
 class MissingColumns(ValueError):
@@ -41,7 +41,9 @@ def score_batch(df: DataFrame, t: mdl.Tournament, target: str, keys=(), required
     if not sort:
         return scored
     ensure_checkpoint_dir(df.sparkSession)
-    return scored.checkpoint().orderBy(F.desc(pred_col), *keys)
+    with batches_by_rows(df.sparkSession):
+        scored = scored.checkpoint()
+    return scored.orderBy(F.desc(pred_col), *keys)
 
 
 def batch_summary(scored: DataFrame, pred_col: str) -> DataFrame:
